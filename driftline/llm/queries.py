@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from driftline.llm import decontaminate, exact_dedup, secrets
+from driftline.llm import decontaminate, exact_dedup, pieces, secrets, token_files
 
 QUERIES = {
+    "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op7_sentencepiece": pieces.op7_sentencepiece,
     "op8_secret_scan": secrets.op8_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
