@@ -1,14 +1,16 @@
 """Token ids in Arrow stream files of equal-length sequences.
 
 Format: documents in rising order of id are cut into shards of neighbouring ids. ``<shard>.arrow`` is an Arrow IPC stream whose
-record batches hold ``ids: fixed_size_list<uint32, L>`` and ``mask: fixed_size_list<uint8, L>``: the shard's ids, each
-document followed by the end id, cut every L places; the mask is 0 on the padding of the shard's last sequence. Every batch
+record batches hold ``ids: fixed_size_list<uint16, L>`` (uint32 for vocabularies beyond 65,536) and ``mask: fixed_size_list<bool, L>``: the
+shard's ids, each document followed by the end id, cut every L places; the mask is false on the padding of the shard's last
+sequence. Every batch
 but the last has ``ROWS`` sequences, so sequence i is row i % ROWS of batch i // ROWS, a view into the mapped file without a
 copy. ``<shard>.index.arrow`` has doc_id, start (in the shard) and n_tokens. A document's place in the whole corpus is its
 start plus the tokens of all shards before: one number a shard.
 
-Words between ASCII white space are encoded apart and joined, which gives what encoding the whole text gives: the tokenizer
-drops white space and no token spans it (``test_token_files`` holds it against the whole texts).
+Words between ASCII white space, and marks that trail a word, are encoded apart and joined, which gives what encoding the
+whole text gives: the tokenizer drops white space, and no token spans either place (``test_token_files`` holds the files
+against ids of whole texts).
 
 Nulls: a null text is empty and gets the end id alone; a null id sorts first. Texts of any length are encoded whole. Ties and
 repeated rows: rows of one id are ordered by the hash of their text and each is a document. Empty table: no files, no rows.
@@ -17,6 +19,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 
@@ -32,7 +35,7 @@ from driftline.llm.wordcache import UnitEncoder, split_words
 LENGTH, ROWS, END = 2048, 64, 1
 TOKENIZER = "word_bpe_49k.json"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
-_ENCODERS: dict[str, UnitEncoder] = {}
+_TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
 def default_tokenizer() -> str:
@@ -41,34 +44,66 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path(TOKENIZER))
 
 
-def encoder(path: str) -> UnitEncoder:
-    """The worker's encoder for a tokenizer file; its cache lives as long as the worker."""
-    if path not in _ENCODERS:
-        import os
+class WordTokenizer:
+    """A tokenizer file of the word-end kind: white space is dropped, and each run of letters ends in a token of its own kind."""
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-
-        def encode(units: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch(units, add_special_tokens=False)]
-
-        _ENCODERS[path] = UnitEncoder(encode)
-    return _ENCODERS[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.dtype = np.uint16 if len(self.ends) <= 1 << 16 else np.uint32
+        self.units = UnitEncoder(self.encode_units)
+
+    def _each(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units of plain letters are joined by spaces into long lines, whose ids are cut again where a word ends; others go one by one."""
+        plain = pc.match_substring_regex(pa.array(units, pa.string()), "^[a-zA-ZÀ-ÖØ-öø-ÿ]+$").to_numpy(zero_copy_only=False)
+        letters, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        lines = [" ".join(units[i] for i in letters[a : a + 64].tolist()) for a in range(0, len(letters), 64)]
+        flat = np.fromiter((i for e in self._each(lines) for i in e), np.uint32)
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        if len(stops) != len(letters) or (len(flat) and stops[-1] != len(flat)):  # not what such a file promises
+            letters, others, flat, stops = letters[:0], np.arange(len(units)), flat[:0], stops[:0]
+        rest = self._each([units[i] for i in others.tolist()])
+        lens = np.zeros(len(units), np.int64)
+        lens[letters], lens[others] = np.diff(stops, prepend=0), np.fromiter(map(len, rest), np.int64, len(rest))
+        out = np.zeros(int(lens.sum()), np.uint32)
+        of = np.repeat(np.arange(len(units)), lens)
+        is_letter = np.zeros(len(units), bool)
+        is_letter[letters] = True
+        out[is_letter[of]] = flat
+        out[~is_letter[of]] = np.fromiter((i for e in rest for i in e), np.uint32)
+        return out, lens
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words, offsets = split_words(texts)
+        return self.units(words, offsets, trim=True)
+
+
+def tokenizer(path: str) -> WordTokenizer:
+    """The worker's tokenizer; its cache lives as long as the worker."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 class ShardWriter:
     """Writes one shard's sequences as they come; holds less than one batch."""
 
-    def __init__(self, sink, length: int = LENGTH, rows: int = ROWS):
+    def __init__(self, sink, dtype: type = np.uint32, length: int = LENGTH, rows: int = ROWS):
         self.length, self.rows, self.held, self.n_held, self.total = length, rows, [], 0, 0
-        self.schema = pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.out = pa.ipc.new_stream(sink, self.schema)
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:real] = 1
+        mask = np.zeros(len(ids), bool)
+        mask[:real] = True
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.out.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
 
@@ -87,7 +122,7 @@ class ShardWriter:
     def close(self) -> None:
         if self.n_held:
             flat = np.concatenate(self.held)
-            padded = np.zeros(-(-len(flat) // self.length) * self.length, np.uint32)
+            padded = np.zeros(-(-len(flat) // self.length) * self.length, flat.dtype)
             padded[: len(flat)] = flat
             self._write(padded, len(flat))
         self.out.close()
@@ -106,25 +141,25 @@ class TokenFile:
     def __len__(self) -> int:
         return sum(b.num_rows for b in self.batches)
 
-    def _flat(self, k: int, column: int) -> np.ndarray:
-        return self.batches[k].column(column).values.to_numpy()
+    def _flat(self, k: int) -> np.ndarray:
+        return self.batches[k].column(0).values.to_numpy()
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """ids and mask of the i-th sequence."""
         at = i % self.rows * self.length
-        return self._flat(i // self.rows, 0)[at : at + self.length], self._flat(i // self.rows, 1)[at : at + self.length]
+        return self._flat(i // self.rows)[at : at + self.length], self.batches[i // self.rows].column(1).values.slice(at, self.length)
 
     def span(self, start: int, n: int) -> np.ndarray:
         """n ids from a place in the shard; a view if they lie in one batch."""
         size, parts = self.rows * self.length, []
         while n:
-            part = self._flat(start // size, 0)[start % size :][:n]
+            part = self._flat(start // size)[start % size :][:n]
             parts.append(part)
             start, n = start + len(part), n - len(part)
         return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.zeros(0, np.uint32)])
 
 
-def write_tokens(docs: DataFrame, out_dir: str, tokenizer: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
+def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
     """Encode and write all documents; returns the shards in order: name, base (ids in shards before it), n_docs, n_tokens.
 
     One row a shard reaches the driver. Tasks write under names of their own and name the files they finished, so that a
@@ -136,7 +171,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer: str, length: int = LE
     ordered = rows.repartitionByRange(shards, "doc_id", tie).sortWithinPartitions("doc_id", tie)
 
     def write(batches):
-        encode, sink, name = encoder(tokenizer), None, uuid.uuid4().hex
+        words, sink, name = tokenizer(path), None, uuid.uuid4().hex
         fs, root = filesystem(out_dir)
         first = None
         for batch in batches:
@@ -145,14 +180,13 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer: str, length: int = LE
             if sink is None:
                 fs.create_dir(root, recursive=True)
                 sink, index_sink = fs.open_output_stream(f"{root}/{name}.arrow"), fs.open_output_stream(f"{root}/{name}.index.arrow")
-                shard, index, n_docs = ShardWriter(sink, length), pa.ipc.new_stream(index_sink, _INDEX), 0
+                shard, index, n_docs = ShardWriter(sink, words.dtype, length), pa.ipc.new_stream(index_sink, _INDEX), 0
                 first = batch.column(0)[0].as_py()
             for part in batches_of(batch):
-                words, offsets = split_words(part.column(1))
-                ids, at = encode(words, offsets)
+                ids, at = words.encode(part.column(1))
                 n = np.diff(at) + 1
                 ends = np.cumsum(n)
-                flat = np.full(int(ends[-1]), end, np.uint32)
+                flat = np.full(int(ends[-1]), end, words.dtype)
                 inside = np.ones(len(flat), bool)
                 inside[ends - 1] = False
                 flat[inside] = ids
@@ -190,7 +224,7 @@ def read_back(spark: SparkSession, out_dir: str, shards: list[dict]) -> DataFram
                 tokens = TokenFile(f"{out_dir}/{name}.arrow")
                 for part in pa.ipc.open_stream(fs.open_input_stream(f"{root}/{name}.index.arrow")):
                     start, n = part.column(1).to_numpy(), part.column(2).to_numpy()
-                    crc = [zlib.crc32(tokens.span(a, k).astype("<u4", copy=False)) for a, k in zip(start.tolist(), n.tolist(), strict=True)]
+                    crc = [zlib.crc32(tokens.span(a, k).astype("<u4")) for a, k in zip(start.tolist(), n.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(start + base), part.column(2), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     table = spark.createDataFrame([(s["name"], s["base"]) for s in shards], "name string, base long").repartition(max(1, len(shards)))
