@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from driftline.llm.base import load, text_of
 from driftline.llm.token_files import batches_of
-from driftline.llm.wordcache import UnitEncoder
+from driftline.llm.wordcache import TRAIL, UnitEncoder
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -117,6 +117,9 @@ class PieceModel:
         self.pair_key = np.full(1 << _PAIR_BITS, -1, np.int64)
         self.pair_ok = np.zeros(1 << _PAIR_BITS, bool)
         self.pairs: dict[tuple[str, str], bool] = {}
+        # marks that trail a word may be cut off if no piece has such a mark after a letter or digit: no merge crosses there
+        mixed = re.compile(f"[A-Za-z0-9À-ÖØ-öø-ÿ][{re.escape(TRAIL)}]")
+        self.trim = not any(mixed.search(p) for p in self.id)
         self.units = UnitEncoder(self.encode_units)
 
     def merge(self, unit: str) -> list[str]:
@@ -181,8 +184,8 @@ class PieceModel:
             self.pairs[a, b] = self.pair(a, b)
         return self.pairs[a, b]
 
-    def _viterbi(self, units: list[str]) -> list[np.ndarray]:
-        """Units of one length."""
+    def _viterbi(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units of one length: all ids and each unit's number of them."""
         k, n = len(units), len(units[0])
         codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(k, n).astype(np.uint64)
         prefix = np.zeros((n + 1, k), np.uint64)
@@ -223,40 +226,48 @@ class PieceModel:
         rows, found = np.concatenate(rows_at[::-1]), np.concatenate(back[::-1])
         order = np.argsort(rows, kind="stable")
         found, counts = found[order], np.bincount(rows, minlength=k)
-        edges = np.r_[0, np.cumsum(counts)].tolist()
         if (found >= 0).all():
-            flat = found.astype(np.uint32)
-            return [flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        lists = (found[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True))
-        return [np.array([y for x in row for y in ([x] if x >= 0 else self._fallback(chr(-1 - x)))], np.uint32) for row in lists]
-
-    def encode_units(self, units: list[str]) -> list[np.ndarray]:
-        out: list = [None] * len(units)
-        by: dict[int, list[int]] = {}
-        for k, u in enumerate(units):
-            if u.startswith(MARK + MARK):
-                marks = len(u) - len(u.lstrip(MARK))
-                out[k] = self._runs(u, marks)
-            elif u:
-                by.setdefault(len(u), []).append(k)
-            else:
-                out[k] = np.zeros(0, np.uint32)
-        for group in by.values():
-            for a in range(0, len(group), 50_000):
-                rows = group[a : a + 50_000]
-                texts = [units[k] for k in rows]
-                for k, ids in zip(rows, self._viterbi(texts) if len(rows) >= FEW else map(self._scalar, texts), strict=True):
-                    out[k] = ids
-        return out
-
-    def _runs(self, unit: str, marks: int) -> np.ndarray:
+            return found.astype(np.uint32), counts
+        parts = [[x] if x >= 0 else self._fallback(chr(-1 - x)) for x in found.tolist()]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        return np.array([y for p in parts for y in p], np.uint32), np.add.reduceat(sizes, np.cumsum(counts) - counts)
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and each unit's number of them, for units that aren't empty."""
+        chars = np.fromiter(map(len, units), np.int64, len(units))
+        runs = np.fromiter((u.startswith(MARK + MARK) for u in units), bool, len(units))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # units, ids, numbers
+        order = np.argsort(np.where(runs, 0, chars), kind="stable")
+        lengths = np.where(runs, 0, chars)[order]
+        edges = np.r_[np.flatnonzero(np.r_[True, lengths[1:] != lengths[:-1]]), len(units)] if len(units) else np.zeros(1, np.int64)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            for at in range(a, b, 50_000):
+                rows = order[at : min(at + 50_000, b)]
+                texts = [units[i] for i in rows.tolist()]
+                if lengths[a] == 0 or len(rows) < FEW:
+                    each = [self._runs(t) if lengths[a] == 0 else self._scalar(t) for t in texts]
+                    found.append((rows, np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))))
+                else:
+                    found.append((rows, *self._viterbi(texts)))
+        lens = np.zeros(len(units), np.int64)
+        for rows, _, n in found:
+            lens[rows] = n
+        begin = np.cumsum(lens) - lens
+        out = np.zeros(int(lens.sum()), np.uint32)
+        for rows, ids, n in found:
+            ends = np.cumsum(n)
+            out[np.repeat(begin[rows] - (ends - n), n) + np.arange(len(ids))] = ids
+        return out, lens
+
+    def _runs(self, unit: str) -> np.ndarray:
         """A unit with several marks: its last mark merges with the word as usual, since these pieces score above runs of marks; what marks are left merge from the left."""
+        marks = len(unit) - len(unit.lstrip(MARK))
         ids = self._scalar(unit[marks - 1 :])
         if len(ids) and self.surface[int(ids[0])] == MARK:
             ids, left = ids[1:], marks
         else:
             left = marks - 1
-        run = [self.id[p] if p in self.id else None for p in self._merged_run(left)]
+        run = [self.id[p] for p in self._merged_run(left)]
         return np.r_[np.array(run, np.uint32), ids].astype(np.uint32)
 
     def _merged_run(self, n: int) -> list[str]:
@@ -283,7 +294,7 @@ class PieceModel:
         full = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)  # an empty text gives one empty word
         if not full.all():
             words, offsets = words.filter(pa.array(full)), np.r_[0, np.cumsum(full)][offsets]
-        return self.units(pc.binary_join_element_wise(pa.scalar(MARK), words, ""), offsets)
+        return self.units(pc.binary_join_element_wise(pa.scalar(MARK), words, ""), offsets, self.trim)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """The texts of the id lists that begin at the offsets."""
@@ -330,23 +341,23 @@ def decode_documents(encoded: DataFrame, ids_col: str = "ids", model_path: str |
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out_col, T.StringType())]))
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """(doc_id, sha, ids, decoded) -> doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), decoded_sha256, round_trip."""
+def digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
+    """(doc_id, text) -> doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), decoded_sha256, round_trip: encodes and decodes in one pass."""
+    path = model_path or default_model()
 
     def run(batches):
         for batch in batches:
-            lists = batch.column(2)
-            offsets = lists.offsets.to_numpy()
-            ids = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            crc = [zlib.crc32(ids[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            sha = [hashlib.sha256(t.encode()).hexdigest() for t in batch.column(3).to_pylist()]
-            same = pc.equal(pa.array(sha), batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(sha), same], names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip"])
+            for part in batches_of(batch):
+                ids, offsets = model(path).encode(part.column(1))
+                flat, at = ids.astype("<u4"), offsets.tolist()
+                crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+                decoded = model(path).decode(ids, offsets)
+                sha = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded])
+                same = pc.equal(pa.array(decoded, pa.string()), part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64()), sha, same], names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip"])
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
+    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    encoded = encode_documents(docs).select("doc_id", F.sha2("text", 256).alias("sha"), "ids")
-    return digest(decode_documents(encoded))
+    return digests(load(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")))
