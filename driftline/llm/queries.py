@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from driftline.llm import decontaminate, exact_dedup, pieces, secrets, token_files
+from driftline.llm import decontaminate, exact_dedup, pieces, quality, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op5_quality": quality.op5_quality,
     "op7_sentencepiece": pieces.op7_sentencepiece,
     "op8_secret_scan": secrets.op8_secret_scan,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
