@@ -8,8 +8,10 @@
    whose signatures agree in too few places are dropped, the others are confirmed on the full sets, and confirmed links are
    joined into components. Buckets whose classes are all in one component are done, which for a large group of near copies
    happens without enumerating its pairs.
-4. What is left: in buckets that still hold several components, all pairs across components are compared by signature in
-   tiles of at most TILE by TILE classes, spread over the tasks; survivors are confirmed as in 3. No link is lost to a cap.
+4. What is left: buckets that still hold several components. All classes of one component meet all of the others by signature,
+   in tiles of at most TILE by TILE classes spread over the tasks. A small bucket lists the pairs that agree enough; a larger
+   one first lists each class's best partner, and in a last round confirms on the full sets inside the tiles, skipping what
+   the tile has joined already. No link is lost to a cap, and no list of pairs grows with the square of a bucket.
 5. Components by alternating large-star and small-star.
 
 Texts are read again only for the classes in surviving pairs. Nulls: a null text is empty; texts without words have empty sets
@@ -37,6 +39,8 @@ BANDS, ROWS = 32, 4
 AGREE = 76
 STAR_ROUNDS = 2
 TILE = 256
+#: Buckets of at most so many classes list all their pairs across components.
+SMALL = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -149,100 +153,146 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * |intersection| >= threshold * |union|; written. docs: (doc_id, th, text)."""
-    wanted = materialise(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(classes.select("key", "rep"), "key").select("key", "rep.doc_id", "rep.th"), "wanted")
+def _texts(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key) distinct -> (key, text), the text of one document of each class; written. docs: (doc_id, th, text)."""
+    wanted = materialise(keys.join(classes.select("key", "rep"), "key").select("key", "rep.doc_id", "rep.th"), "wanted")
     side = maybe_broadcast(wanted.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), wanted.count())
     texts = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["th"] == F.col("_th"))).select("key", "text")
-    texts = materialise(texts.groupBy("key").agg(F.min("text").alias("text")), "texts")
+    return materialise(texts.groupBy("key").agg(F.min("text").alias("text")), "texts")
+
+
+def _sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+    h, offsets = shingles(texts, k)
+    return [h[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
+def _similar(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    """100 * |x & y| >= threshold * |x | y|, for sets as rising arrays that aren't empty."""
+    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * common >= threshold * (len(x) + len(y) - common)
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; written. docs: (doc_id, th, text)."""
+    texts = _texts(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), classes, docs)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 coded = pc.dictionary_encode(pa.concat_arrays([part.column(2), part.column(3)]))
-                h, offsets = shingles(coded.dictionary, k)
-                index, n = coded.indices.to_numpy(), part.num_rows
-                sets = [h[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                good = np.zeros(n, bool)
-                for i, (a, b) in enumerate(zip(index[:n].tolist(), index[n:].tolist(), strict=True)):
-                    x, y = sets[a], sets[b]
-                    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y)):
-                        continue
-                    small, large = (x, y) if len(x) < len(y) else (y, x)
-                    common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                    good[i] = 100 * common >= threshold * (len(x) + len(y) - common)
-                yield part.filter(pa.array(good)).select([0, 1])
+                sets, index, n = _sets(coded.dictionary, k), coded.indices.to_numpy(), part.num_rows
+                good = [_similar(sets[a], sets[b], threshold) for a, b in zip(index[:n].tolist(), index[n:].tolist(), strict=True)]
+                yield part.filter(pa.array(good, pa.bool_())).select([0, 1])
 
     one, two = (texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
     return materialise(joined.mapInArrow(run, "a binary, b binary"), "links")
 
 
-def _rest(lab: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
-    """lab (h, band, key, comp): pairs across components within buckets whose signatures agree, each found in its first common band only."""
+def _crossing(sig: np.ndarray, comp: list, left: np.ndarray, right: np.ndarray, same_tile: bool, agree: int):
+    """For each row of a tile's left side: the row, and the rows of its right side in other components whose signatures agree enough, with their agreement."""
+    codes = {c: i for i, c in enumerate(dict.fromkeys(comp))}
+    code = np.array([codes[c] for c in comp])
+    for x in left.tolist():
+        ys = right[right > x] if same_tile else right
+        ys = ys[code[ys] != code[x]]
+        same = (sig[ys] == sig[x]).sum(axis=1)
+        if (same >= agree).any():
+            yield x, ys[same >= agree], same[same >= agree]
+
+
+def _rest(lab: DataFrame, classes: DataFrame, agree: int, docs: DataFrame | None = None, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """lab (h, band, key, comp) -> (a, b), links across components within buckets.
+
+    Without docs: candidates. From a bucket of at most SMALL classes all pairs whose signatures agree enough, each in its first
+    common band only; from a larger one each class's best partner in a tile. With docs: for the larger buckets, links confirmed
+    on the full sets inside the tiles, none between classes that the tile has already joined; so no list of pairs arises that
+    grows with the square of a bucket.
+    """
+    final = docs is not None
     per = lab.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
-    per = per.groupBy("h").agg(F.min(F.struct("comp", "n")).alias("main"), F.sum("n").alias("total")).filter("total > main.n")
-    per = per.select("h", F.col("main.comp").alias("main"), F.ceil(F.col("main.n") / TILE).alias("tm"), F.ceil((F.col("total") - F.col("main.n")) / TILE).alias("to"))
-    rows = lab.join(per, "h").join(classes.select("key", "sig"), "key").withColumn("other", F.col("comp") != F.col("main"))
+    per = per.groupBy("h").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("total")).filter("total > main.n")
+    if final:
+        per = per.filter(F.col("total") > SMALL)
+    per = per.select("h", "total", F.col("main.comp").alias("main"), F.ceil(F.col("main.n") / TILE).alias("tm"), F.ceil((F.col("total") - F.col("main.n")) / TILE).alias("to"))
+    rows = lab.join(per, "h")
+    rows = rows.join(classes.select("key", "sig"), "key").withColumn("other", F.col("comp") != F.col("main"))
     own = F.pmod(F.xxhash64("key"), F.when(F.col("other"), F.col("to")).otherwise(F.col("tm")))
     rows = rows.withColumn("own", own)
+    carried = ["band", "total", "own", "other", "key", "comp", "sig"]
+    if final:
+        rows = materialise(rows, "rest")
+        rows = rows.join(_texts(rows.select("key").distinct(), classes, docs), "key")
+        carried.append("text")
 
     # the tiles (kind, i, j) in which a row takes part: kind 0 crosses others i with main ones j, kind 1 others i with others j >= i
     def tile(kind: int, i, j):
         return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"))
 
-    up_to = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    def up_to(c: str):
+        return F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+
     crossing = F.transform(up_to("tm"), lambda j: tile(0, F.col("own"), j))
     among = F.transform(up_to("to"), lambda j: tile(1, F.least(F.col("own"), j), F.greatest(F.col("own"), j)))
     serving = F.transform(up_to("to"), lambda i: tile(0, i, F.col("own")))
     rows = rows.withColumn("t", F.explode(F.when(F.col("other"), F.concat(crossing, among)).otherwise(serving)))
-    rows = rows.select("h", "t.kind", "t.i", "t.j", "band", "own", "other", "key", "comp", "sig").repartition("h", "kind", "i", "j").sortWithinPartitions("h", "kind", "i", "j")
+    rows = rows.select("h", "t.kind", "t.i", "t.j", *carried).repartition("h", "kind", "i", "j").sortWithinPartitions("h", "kind", "i", "j")
 
-    def compare(group: pa.Table):
-        kind, i, j, band = (group.column(c)[0].as_py() for c in ("kind", "i", "j", "band"))
+    def compare(group: pa.Table) -> list[tuple[bytes, bytes]]:
+        kind, i, j, band, total = (group.column(c)[0].as_py() for c in ("kind", "i", "j", "band", "total"))
         sig = _sig_array(group.column("sig").combine_chunks())
         key, comp = group.column("key").to_pylist(), group.column("comp").to_pylist()
         other, own = group.column("other").to_numpy(), group.column("own").to_numpy()
         left = np.flatnonzero(other if kind == 0 else own == i)
         right = np.flatnonzero(~other if kind == 0 else own == j)
+        found = _crossing(sig, comp, left, right, kind == 1 and i == j, agree)
+        if final:
+            sets, up = _sets(group.column("text").combine_chunks(), k), {c: c for c in comp}
+
+            def root(c):
+                while up[c] != c:
+                    c = up[c]
+                return c
+
+            out = []
+            for x, ys, same in found:
+                for y in ys[np.argsort(-same, kind="stable")].tolist():
+                    if root(comp[x]) != root(comp[y]) and _similar(sets[x], sets[y], threshold):
+                        up[root(comp[x])] = root(comp[y])
+                        out.append((key[x], key[y]))
+            return out
+        if total > SMALL:
+            return [(key[x], key[int(ys[same.argmax()])]) for x, ys, same in found]
         bands = _band_hashes(sig)
-        out = []
-        for x in left.tolist():
-            ys = right[right > x] if kind == 1 and i == j else right
-            ys = ys[(sig[ys] == sig[x]).sum(axis=1) >= agree]
-            if len(ys):
-                ys = ys[(bands[ys] == bands[x]).argmax(axis=1) == band]
-            out += [(key[x], key[y]) for y in ys.tolist() if comp[x] != comp[y]]
-        return out
+        return [(key[x], key[y]) for x, ys, _ in found for y in ys[(bands[ys] == bands[x]).argmax(axis=1) == band].tolist()]
 
     def run(batches):
         held: list[pa.RecordBatch] = []
-        found: list[tuple[bytes, bytes]] = []
+        last = None
 
-        def done() -> None:
-            nonlocal held
-            if held:
-                found.extend(compare(pa.Table.from_batches(held)))
-            held = []
+        def done(found: list[tuple[bytes, bytes]]):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], names=["a", "b"])
 
-        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
+            found: list[tuple[bytes, bytes]] = []
             group = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)], axis=1)
             edges = np.r_[0, np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, batch.num_rows].tolist()
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if last != group[a].tolist():
-                    done()
-                    last = group[a].tolist()
+                    if held:
+                        found += compare(pa.Table.from_batches(held))
+                    held, last = [], group[a].tolist()
                 held.append(batch.slice(a, b - a))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], names=["a", "b"])
-                found.clear()
-        done()
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], names=["a", "b"])
+                yield done(found)
+        if held and (found := compare(pa.Table.from_batches(held))):
+            yield done(found)
 
     return rows.mapInArrow(run, "a binary, b binary")
 
@@ -267,21 +317,22 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
             return members.withColumn("comp", F.col("key"))
         return members.join(roots.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("comp", F.coalesce("root", "key")).drop("root")
 
-    for turn in range(STAR_ROUNDS + 1):
+    for turn in range(STAR_ROUNDS + 2):
         lab = labelled()
         if turn < STAR_ROUNDS:
             hubs = lab.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_"), "key", "comp")).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"))
             hubs = hubs.filter("low != high").select("h", F.col("hub.key").alias("hub"), F.col("hub.comp").alias("hub_comp"))
             pairs = lab.join(hubs, "h").filter("comp != hub_comp").select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
             pairs = _agreeing(pairs, classes, agree)
-        else:
+        elif turn == STAR_ROUNDS:
             pairs = _rest(lab, classes, agree)
+        else:
+            pairs = _rest(lab, classes, agree, base, k, threshold)
         pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         if pairs.isEmpty():
-            if turn < STAR_ROUNDS:
-                continue
-            break
-        found = confirm(pairs, classes, base, k, threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+            continue
+        found = confirm(pairs, classes, base, k, threshold) if turn <= STAR_ROUNDS else pairs
+        found = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = found if links is None else links.union(found)
         roots = materialise(components(links), "roots")
     of = drawn.select("doc_id", "n", "key", "th")
