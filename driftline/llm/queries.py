@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality, secrets, token_files, toxicity, warc_fixity
+from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality, repeats, secrets, token_files, toxicity, warc_fixity
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_warc_fixity": warc_fixity.op3_warc_fixity,
+    "op4_suffix_dedup": repeats.op4_suffix_dedup,
     "op5_quality": quality.op5_quality,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_sentencepiece": pieces.op7_sentencepiece,
@@ -19,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op3_warc_fixity": warc_fixity.ORACLE,
+    "op4_suffix_dedup": repeats.ORACLE,
     "op6_near_dedup": near_dedup.ORACLE,
     "op8_secret_scan": secrets.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
