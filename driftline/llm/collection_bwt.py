@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 
-SYMBOL = 8
+SYMBOL = 40
+_WORD = 8
 
 
 class RoundFiles:
@@ -45,14 +46,31 @@ class RoundFiles:
 
 
 def symbols(data: np.ndarray) -> np.ndarray:
-    """Codes of the SYMBOL bytes from each place, in their order; places too near the end have none."""
+    """Codes of the SYMBOL bytes from each place, from 1, equal iff the bytes are; places too near the end have none.
+
+    Places are sorted by a hash of the bytes; neighbours with one hash are compared byte for byte. (Any fixed order of symbols
+    gives the same common prefixes.)
+    """
     n = len(data) - SYMBOL + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    value = np.zeros(n, np.uint64)
-    for j in range(SYMBOL):
-        value = (value << np.uint64(8)) | data[j : j + n]
-    return np.unique(value, return_inverse=True)[1].astype(np.int64) + 1
+    value = np.zeros(len(data) - _WORD + 1, np.uint64)
+    for j in range(_WORD):
+        value = (value << np.uint64(8)) | data[j : j + len(value)]
+    h = np.zeros(n, np.uint64)
+    for j in range(0, SYMBOL, _WORD):
+        h = (h ^ value[j : j + n]) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+    order = np.argsort(h)
+    new = np.r_[True, h[order[1:]] != h[order[:-1]]]
+    twin = np.flatnonzero(~new)
+    x, y = order[twin], order[twin - 1]
+    if any((value[x + j] != value[y + j]).any() for j in range(0, SYMBOL, _WORD)):  # two symbols share a hash
+        order = np.lexsort([value[j : j + n] for j in range(0, SYMBOL, _WORD)])
+        new = np.r_[True, np.any([value[order[1:] + j] != value[order[:-1] + j] for j in range(0, SYMBOL, _WORD)], axis=0)]
+    code = np.empty(n, np.int64)
+    code[order] = np.cumsum(new)
+    return code
 
 
 class LeastOver:
@@ -110,8 +128,10 @@ def build(data: np.ndarray, offsets: np.ndarray, files: RoundFiles) -> tuple[np.
 
         all_keys = merged(keys, key_new, np.int64)
         # common prefixes of each new suffix with the one before it, and of an old one that now follows a new one
-        behind = np.unique(np.r_[spot, spot + 1])
-        behind = behind[(behind > 0) & (behind < size)]
+        near = np.zeros(size + 1, bool)
+        near[spot] = near[spot + 1] = True
+        near[0] = near[size] = False
+        behind = np.flatnonzero(near)
         low, high = all_keys[behind - 1], all_keys[behind]
         alike = (low >> 32) == (high >> 32)
         a, b = (low & 0xFFFFFFFF)[alike] + 1, (high & 0xFFFFFFFF)[alike]

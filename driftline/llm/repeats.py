@@ -40,8 +40,8 @@ ANCHORS = (64, 184, 200)
 #: Distinct snippets of an anchor that may share a collection.
 GROUP = 256
 #: Bytes of snippets in one collection.
-COLLECTION = 6_000_000
-_PART = 4_000_000  # bytes hashed at a time
+COLLECTION = 2_500_000
+_PART = 1_500_000  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(411).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
@@ -143,14 +143,15 @@ def snippet_bytes(reps: DataFrame, docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            raw = pc.cast(batch.column(0), pa.binary())
-            for i in range(batch.num_rows):
-                data = raw[i].as_py()
-                found = batch.column(1)[i].values.flatten()
-                at = found[3].to_numpy()
-                begin, end = at // 256, at // 256 + at % 256 - 1 + LENGTH
-                parts = [data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*found[:3], pa.array(parts, pa.binary())], names=["anchor", "snip", "n", "data"])
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                lists = part.column(1)
+                anchor, snip, n, at = lists.flatten().flatten()
+                at, edges, parts = at.to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist(), []
+                begin, end = (at // 256).tolist(), (at // 256 + at % 256 - 1 + LENGTH).tolist()
+                for data, x, y in zip(pc.cast(part.column(0), pa.binary()).to_pylist(), edges[:-1], edges[1:], strict=True):
+                    parts += [data[i:j] for i, j in zip(begin[x:y], end[x:y], strict=True)]
+                yield pa.RecordBatch.from_arrays([anchor, snip, n, pa.array(parts, pa.binary())], names=["anchor", "snip", "n", "data"])
 
     return materialise(joined.mapInArrow(run, "anchor long, snip long, n long, data binary"), "snippets")
 
