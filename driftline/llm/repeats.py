@@ -36,11 +36,11 @@ from driftline.llm.token_files import batches_of
 
 LENGTH = 200
 #: Anchor lengths of the first pass and of the passes for anchors with many snippets.
-ANCHORS = (64, 184, 200)
+ANCHORS = (64, 120, 160, 184, 200)
 #: Distinct snippets of an anchor that may share a collection.
-GROUP = 256
+GROUP = 512
 #: Bytes of snippets in one collection.
-COLLECTION = 2_500_000
+COLLECTION = 2_000_000
 _PART = 1_500_000  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(411).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -185,32 +185,27 @@ def _stretches(flags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def sorted_collections(snippets: DataFrame, folder: str) -> DataFrame:
-    """(anchor, data, n, keep columns...) -> (k1, k2, rel): repeated windows of each snippet, named by its first two key columns; rel = start * 256 + windows.
-
-    snippets: (anchor long, k1 long, k2 long, base long, n long, data binary); base is added to starts.
-    """
-    spread = snippets.repartition("anchor").sortWithinPartitions("anchor")
+    """(anchor, snip, n, data) -> (anchor, snip, rel): repeated windows of each snippet; rel = start * 256 + windows."""
+    spread = snippets.select("anchor", "snip", "n", "data").repartition("anchor").sortWithinPartitions("anchor")
 
     def run(batches):
         held: list[pa.RecordBatch] = []
         size = 0
 
         def done():
-            table = pa.Table.from_batches(held)
-            data = table.column("data").combine_chunks()
-            lens = pc.binary_length(data).to_numpy().astype(np.int64)
-            offsets = np.r_[0, np.cumsum(lens)]
+            table = pa.Table.from_batches(held).combine_chunks()
+            data = table.column("data").chunk(0)
+            offsets = np.r_[0, np.cumsum(pc.binary_length(data).to_numpy().astype(np.int64))]
             flags = flagged(np.frombuffer(b"".join(data.to_pylist()), np.uint8), offsets, table.column("n").to_numpy(), folder)
             who, start, count = _stretches(flags, offsets)
-            base = table.column("base").to_numpy()[who]
             row = pa.array(who)
-            return pa.RecordBatch.from_arrays([table.column("k1").combine_chunks().take(row), table.column("k2").combine_chunks().take(row), pa.array((base + start) * 256 + count)], names=["k1", "k2", "rel"])
+            return pa.RecordBatch.from_arrays([table.column("anchor").chunk(0).take(row), table.column("snip").chunk(0).take(row), pa.array(start * 256 + count)], names=["anchor", "snip", "rel"])
 
         last = None
         for batch in batches:
             anchor = batch.column(0).to_numpy()
             edges = np.r_[0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor)].tolist() if len(anchor) else [0]
-            lens = np.r_[0, np.cumsum(pc.binary_length(batch.column(5)).to_numpy())]
+            lens = np.r_[0, np.cumsum(pc.binary_length(batch.column(3)).to_numpy())]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if size > COLLECTION and anchor[a] != last:
                     yield done()
@@ -220,49 +215,56 @@ def sorted_collections(snippets: DataFrame, folder: str) -> DataFrame:
         if held:
             yield done()
 
-    return spread.select("anchor", "k1", "k2", "base", "n", "data").mapInArrow(run, "k1 long, k2 long, rel long")
+    return spread.mapInArrow(run, "anchor long, snip long, rel long")
 
 
 def _cut_again(snippets: DataFrame, k: int) -> DataFrame:
-    """(k1, k2, base, n, data) -> (anchor, snip, k1, k2, base, count, n, data): the runs of snippets by longer anchors."""
+    """(anchor, snip, n, data) -> (anchor, snip, up_anchor, up_snip, off, count, n, data): the runs of snippets by longer anchors, and where they are in the snippet."""
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch, _PART, column=4):
-                raw = part.column(4)
-                lens = pc.binary_length(raw).to_numpy().astype(np.int64)
-                offsets = np.r_[0, np.cumsum(lens)]
+            for part in batches_of(batch, _PART, column=3):
+                raw = part.column(3)
+                offsets = np.r_[0, np.cumsum(pc.binary_length(raw).to_numpy().astype(np.int64))]
                 joined = b"".join(raw.to_pylist())
                 text, start, count, anchor, snip = runs(np.frombuffer(joined, np.uint8), offsets, k)
                 row = pa.array(text)
-                base = part.column(2).take(row).to_numpy() + start - offsets[text]
                 data = [joined[a:b] for a, b in zip(start.tolist(), (start + count - 1 + LENGTH).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(snip.view(np.int64)), part.column(0).take(row), part.column(1).take(row), pa.array(base), pa.array(count), part.column(3).take(row), pa.array(data, pa.binary())], names=["anchor", "snip", "k1", "k2", "base", "count", "n", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(snip.view(np.int64)), part.column(0).take(row), part.column(1).take(row), pa.array(start - offsets[text]), pa.array(count), part.column(2).take(row), pa.array(data, pa.binary())], names=["anchor", "snip", "up_anchor", "up_snip", "off", "count", "n", "data"])
 
-    return snippets.select("k1", "k2", "base", "n", "data").mapInArrow(run, "anchor long, snip long, k1 long, k2 long, base long, count long, n long, data binary")
+    return snippets.select("anchor", "snip", "n", "data").mapInArrow(run, "anchor long, snip long, up_anchor long, up_snip long, off long, count long, n long, data binary")
 
 
 def mixed_windows(snippets: DataFrame) -> DataFrame:
     """snippets (anchor, snip, n, data) of mixed anchors -> (anchor, snip, rel): each snippet's repeated windows."""
-    spark = snippets.sparkSession
-    folder = scratch(spark, "rounds")
-    rows = snippets.select("anchor", "snip", F.col("anchor").alias("k1"), F.col("snip").alias("k2"), F.lit(0).cast("long").alias("base"), "n", "data")
-    found = []
+    folder = scratch(snippets.sparkSession, "rounds")
+    rows, up, found = snippets, None, []
+
+    def placed(part: DataFrame) -> DataFrame:
+        """(anchor, snip, rel) of a level's snippets as places in the first level's."""
+        if up is None:
+            return part
+        return part.join(up, ["anchor", "snip"]).select(F.col("top_anchor").alias("anchor"), F.col("top_snip").alias("snip"), (F.col("base") * 256 + F.col("rel")).alias("rel"))
+
     for k in ANCHORS[1:]:
-        large = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > GROUP).select("anchor")
-        large = materialise(large, "large")
+        large = materialise(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > GROUP).select("anchor"), "large")
         n = large.count()
-        found.append(sorted_collections(rows.join(maybe_broadcast(large, n), "anchor", "left_anti"), folder))
+        found.append(placed(sorted_collections(rows.join(maybe_broadcast(large, n), "anchor", "left_anti"), folder)))
         if not n:
             break
         cut = materialise(_cut_again(rows.join(maybe_broadcast(large, n), "anchor", "left_semi"), k), "cut")
-        kind = kinds(cut, "n")
-        cut = cut.join(kind, "anchor")
-        found.append(cut.filter("even").select("k1", "k2", (F.col("base") * 256 + F.col("count")).alias("rel")))
-        rows = cut.filter("NOT even").drop("even", "count")
-        # rows of one (anchor, snippet) that come from several parents: all enter the collection, and find each other there
-    out = materialise(reduce(DataFrame.unionByName, found), "windows")
-    return out.select(F.col("k1").alias("anchor"), F.col("k2").alias("snip"), "rel")
+        kind = materialise(kinds(cut, "n"), "anchors")
+        even = cut.join(kind.filter("even"), "anchor").select(F.col("up_anchor").alias("anchor"), F.col("up_snip").alias("snip"), (F.col("off") * 256 + F.col("count")).alias("rel"))
+        found.append(placed(even))
+        mixed = cut.join(kind.filter("NOT even"), "anchor")
+        ways = mixed.select(F.col("anchor").alias("_a"), F.col("snip").alias("_s"), F.col("up_anchor").alias("anchor"), F.col("up_snip").alias("snip"), "off")
+        if up is None:
+            ways = ways.select("_a", "_s", F.col("anchor").alias("top_anchor"), F.col("snip").alias("top_snip"), F.col("off").alias("base"))
+        else:
+            ways = ways.join(up, ["anchor", "snip"]).select("_a", "_s", "top_anchor", "top_snip", (F.col("base") + F.col("off")).alias("base"))
+        rows = materialise(mixed.groupBy("anchor", "snip").agg(F.sum("n").alias("n"), F.min("data").alias("data")), "classes")
+        up = materialise(ways.withColumnsRenamed({"_a": "anchor", "_s": "snip"}), "ways")
+    return reduce(DataFrame.unionByName, found)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
@@ -273,7 +275,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     hits = materialise(hits, "hits")
     mixed = hits.filter("anchor IS NOT NULL")
     reps = mixed.groupBy("anchor", "snip").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "at")).alias("rep"))
-    windows = mixed_windows(snippet_bytes(reps, docs)).groupBy("anchor", "snip").agg(F.collect_list("rel").alias("rel"))  # at most one a window
+    windows = materialise(mixed_windows(snippet_bytes(reps, docs)).groupBy("anchor", "snip").agg(F.collect_list("rel").alias("rel")), "windows")  # at most one a window
     placed = mixed.join(windows, ["anchor", "snip"]).select("doc_id", "th", F.floor(F.col("at") / 256).cast("long").alias("start"), F.explode("rel").alias("rel"))
     placed = placed.select("doc_id", "th", (F.col("start") * 256 + F.col("rel")).alias("at"))
     return hits.filter("anchor IS NULL").select("doc_id", "th", "at").union(placed)
