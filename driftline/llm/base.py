@@ -45,6 +45,26 @@ def maybe_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> Dat
     return F.broadcast(df) if rows <= most else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of the table has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, mark: Column, name: str) -> DataFrame:
+    """docs without the rows whose id and mark are in ``gone`` (id, mark), a written table; ids may be null."""
+    gone = materialise(gone.distinct(), name)
+    one, two, three = fresh(docs, "gone_id", "gone_mark", "own_mark")
+    gone = maybe_broadcast(gone.toDF(one, two), gone.count())
+    marked = docs.withColumn(three, mark)
+    return marked.join(gone, F.col(id_col).eqNullSafe(F.col(one)) & F.col(three).eqNullSafe(F.col(two)), "left_anti").select(*docs.columns)
+
+
 def text_of(column: str) -> Column:
     """The text, a null one being empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.base import load, materialise, maybe_broadcast, text_of
+from driftline.llm.base import drop_rows, load, materialise, maybe_broadcast, text_of
 
 WINDOW, SHINGLE = 10, 5
 #: Characters between words, either case of A-Z being word characters.
@@ -117,8 +117,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without any benchmark window, with all their columns."""
-    bad = materialise(contamination(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct(), "contaminated")
-    return docs.join(maybe_broadcast(bad, bad.count()), docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(text_col)) == F.col("_h")), "left_anti")
+    bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated").select("doc_id", "h")
+    return drop_rows(docs, bad, id_col, F.xxhash64(text_of(text_col)), "contaminated")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

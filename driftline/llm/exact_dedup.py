@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import load, materialise, maybe_broadcast, text_of
+from driftline.llm.base import drop_rows, fresh, load, materialise, maybe_broadcast, text_of
 from driftline.llm.quotient import CountingQuotientFilter, tally
 
 #: Fingerprints that one task gathers before it writes out its filters.
@@ -84,13 +84,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     verdict = exact_dedup(docs, id_col, text_col)
-    dropped = verdict.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"), F.col("text_sha256").alias("_sha"))
-    dropped = materialise(dropped.distinct(), "dropped")
     sha = F.sha2(text_of(text_col), 256)
-    out = docs.join(maybe_broadcast(dropped, dropped.count()), docs[id_col].eqNullSafe(F.col("_dropped")) & (sha == F.col("_sha")), "left_anti")
-    keys = docs.select(F.col(id_col).alias("_id"), sha.alias("_sha")).groupBy("_id", "_sha").count().filter("count > 1")
+    out = drop_rows(docs, verdict.filter(~F.col("kept")).select("doc_id", "text_sha256"), id_col, sha, "dropped")
+    keys = docs.select(F.col(id_col).alias("i"), sha.alias("s")).groupBy("i", "s").count().filter("count > 1")
     if not keys.isEmpty():  # rows that repeat id and text: one of them stays
-        out = out.withColumn("_sha", sha).dropDuplicates([id_col, "_sha"]).drop("_sha")
+        (name,) = fresh(docs, "sha")
+        out = out.withColumn(name, sha).dropDuplicates([id_col, name]).drop(name)
     return out
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import load, materialise, maybe_broadcast, text_of
+from driftline.llm.base import drop_rows, load, materialise, maybe_broadcast, text_of
 from driftline.llm.components import components
 from driftline.llm.token_files import batches_of
 from driftline.llm.wordcache import split_words
@@ -349,9 +349,8 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
 
 def keep_one(docs: DataFrame, k: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with all its columns."""
-    gone = near_dedup(docs, k, id_col=id_col, text_col=text_col).filter(~F.col("kept"))
-    gone = materialise(gone.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "gone")
-    return docs.join(maybe_broadcast(gone, gone.count()), docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(text_col)) == F.col("_th")), "left_anti")
+    gone = near_dedup(docs, k, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select("doc_id", "th")
+    return drop_rows(docs, gone, id_col, F.xxhash64(text_of(text_col)), "gone")
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -309,20 +309,22 @@ class PieceModel:
         return out
 
 
-def encode_documents(docs: DataFrame, text_col: str = "text", model_path: str | None = None, out_col: str = "ids") -> DataFrame:
-    """All columns and ``ids`` array<int>."""
+def encode_documents(docs: DataFrame, text_col: str = "text", model_path: str | None = None, out_col: str = "ids", check_col: str | None = None) -> DataFrame:
+    """All columns and ``ids`` array<int>; check_col: whether the ids decode to the text."""
     path = model_path or default_model()
     at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch.set_column(at, text_col, pc.fill_null(batch.column(at).cast(pa.string()), "")), column=at):
-                ids, offsets = model(path).encode(part.column(at))
+            for part in batches_of(batch, column=at):
+                texts = pc.fill_null(part.column(at).cast(pa.string()), "")
+                ids, offsets = model(path).encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out_col])
+                checked = [pc.equal(pa.array(model(path).decode(ids, offsets), pa.string()), texts)] if check_col else []
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, *checked], names=[*part.schema.names, out_col, *([check_col] if check_col else [])])
 
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema.fields), T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(run, schema)
+    extra = [T.StructField(out_col, T.ArrayType(T.IntegerType())), *([T.StructField(check_col, T.BooleanType())] if check_col else [])]
+    return docs.mapInArrow(run, T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema.fields), *extra]))
 
 
 def decode_documents(encoded: DataFrame, ids_col: str = "ids", model_path: str | None = None, out_col: str = "decoded") -> DataFrame:

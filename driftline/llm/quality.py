@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.llm.base import fold, load, text_of
+from driftline.llm.base import fold, fresh, load, text_of
 from driftline.llm.labelled import TRAIN_ROWS, training_rows
 from driftline.llm.token_files import batches_of
 from driftline.llm.wordcache import split_words
@@ -215,15 +215,17 @@ def score(docs: DataFrame, model: AdditiveModel, text_col: str = "text", out_col
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch.set_column(at, text_col, pc.fill_null(batch.column(at).cast(pa.string()), "")), column=at):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(features(part.column(at))))], names=[*part.schema.names, out_col])
+            for part in batches_of(batch, column=at):
+                texts = pc.fill_null(part.column(at).cast(pa.string()), "")
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(features(texts)))], names=[*part.schema.names, out_col])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score at least the threshold, with the columns of ``docs``."""
-    return score(docs, learn(docs, labels), out_col="_score").filter(F.col("_score") >= threshold).select(*docs.columns)
+    (name,) = fresh(docs, "score")
+    return score(docs, learn(docs, labels), out_col=name).filter(F.col(name) >= threshold).select(*docs.columns)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,7 +207,7 @@ def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH,
 
 def batches_of(batch: pa.RecordBatch, size: int = 8_000_000, column: int = 1):
     """The batch in slices of about so many bytes of text, one row at least."""
-    group = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    group = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
     edges = np.r_[0, np.flatnonzero(np.diff(group)) + 1, batch.num_rows]
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         if b > a:

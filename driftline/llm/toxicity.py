@@ -182,8 +182,9 @@ def score(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch.set_column(at, text_col, pc.fill_null(batch.column(at).cast(pa.string()), "")), column=at):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(machine.scores(part.column(at)))], names=[*part.schema.names, out_col])
+            for part in batches_of(batch, column=at):
+                texts = pc.fill_null(part.column(at).cast(pa.string()), "")
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(machine.scores(texts))], names=[*part.schema.names, out_col])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
