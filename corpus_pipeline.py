@@ -10,11 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality
-from driftline.llm.base import load, materialise
+from driftline.llm.base import TEXT_BATCH, load, materialise
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows here hold whole texts: fewer of them in an Arrow batch keep JVM and Python workers small. Set for the session, since the stages' results are computed after they return."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled ones among them, scores at 0.3 or more."""
+    small_batches(spark)
     return quality.keep_good(docs, load(spark, sf_dir, "labels"))
 
 
@@ -35,6 +41,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and round_trip: whether decoding the ids gives the text."""
+    small_batches(spark)
     out = pieces.encode_documents(docs.select("doc_id", "text"), check_col="round_trip")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 

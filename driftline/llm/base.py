@@ -33,11 +33,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/driftline-{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Rows of an Arrow batch where rows hold whole texts, or two of them.
+TEXT_BATCH, PAIR_BATCH = 1000, 50
+
+
+def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    batch_rows: rows of an Arrow batch in this write, which then has 4 MB at most; the session's settings are put back.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    held = {"spark.sql.execution.arrow.maxRecordsPerBatch": batch_rows, "spark.sql.execution.arrow.maxBytesPerBatch": 4_000_000} if batch_rows else {}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, str(v))
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def maybe_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:

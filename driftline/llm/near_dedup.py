@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import drop_rows, load, materialise, maybe_broadcast, text_of
+from driftline.llm.base import PAIR_BATCH, TEXT_BATCH, drop_rows, load, materialise, maybe_broadcast, text_of
 from driftline.llm.components import components
-from driftline.llm.token_files import batches_of
+from driftline.llm.token_files import batches_of, tidy
 from driftline.llm.wordcache import split_words
 
 WORDS, THRESHOLD = 5, 80
@@ -41,6 +41,8 @@ STAR_ROUNDS = 2
 TILE = 256
 #: Buckets of at most so many classes list all their pairs across components.
 SMALL = 32
+#: Bytes of text that a task turns into shingles at a time.
+SLICE = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,7 +104,7 @@ def sketch(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch):
+            for part in batches_of(batch, SLICE):
                 h, offsets = shingles(part.column(1), k)
                 n = np.diff(offsets)
                 sig = signatures(h, offsets)
@@ -181,16 +183,19 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, thres
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            both = pc.add(pc.binary_length(batch.column(2)), pc.binary_length(batch.column(3))).to_numpy().astype(np.int64)
+            edges = np.r_[0, np.flatnonzero(np.diff(np.cumsum(both) // SLICE)) + 1, batch.num_rows].tolist()
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(a, b - a)
                 coded = pc.dictionary_encode(pa.concat_arrays([part.column(2), part.column(3)]))
                 sets, index, n = _sets(coded.dictionary, k), coded.indices.to_numpy(), part.num_rows
                 good = [_similar(sets[a], sets[b], threshold) for a, b in zip(index[:n].tolist(), index[n:].tolist(), strict=True)]
                 yield part.filter(pa.array(good, pa.bool_())).select([0, 1])
+        tidy()
 
     one, two = (texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return materialise(joined.mapInArrow(run, "a binary, b binary"), "links")
+    return materialise(joined.mapInArrow(run, "a binary, b binary"), "links", PAIR_BATCH)
 
 
 def _crossing(sig: np.ndarray, comp: list, left: np.ndarray, right: np.ndarray, same_tile: bool, agree: int):
@@ -302,7 +307,7 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
     if threshold < THRESHOLD:
         raise ValueError("bands and signature bound are set for a similarity of 0.8 or more")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
-    drawn = materialise(sketch(docs, k, id_col, text_col), "sketch")
+    drawn = materialise(sketch(docs, k, id_col, text_col), "sketch", TEXT_BATCH)
     named = F.when(F.col("doc_id").isNotNull(), F.col("doc_id"))
     classes = drawn.filter("key IS NOT NULL").groupBy("key").agg(F.min("sig").alias("sig"), F.min(F.struct("doc_id", "th")).alias("rep"))
     classes = materialise(classes, "classes")
@@ -328,7 +333,7 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
             pairs = _rest(lab, classes, agree)
         else:
             pairs = _rest(lab, classes, agree, base, k, threshold)
-        pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs", TEXT_BATCH)
         if pairs.isEmpty():
             continue
         found = confirm(pairs, classes, base, k, threshold) if turn <= STAR_ROUNDS else pairs

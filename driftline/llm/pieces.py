@@ -39,9 +39,11 @@ MARK = "▁"
 _UNITS = re.compile(f"{MARK}*[^{MARK}]*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_PAIR_BITS = 21
+_PAIR_BITS = 20
 #: Groups of fewer equal-length units are walked without numpy.
 FEW = 12
+#: Bytes of text that a task encodes at a time.
+SLICE = 1_500_000
 _MODELS: dict[str, PieceModel] = {}
 
 
@@ -120,7 +122,7 @@ class PieceModel:
         # marks that trail a word may be cut off if no piece has such a mark after a letter or digit: no merge crosses there
         mixed = re.compile(f"[A-Za-z0-9À-ÖØ-öø-ÿ][{re.escape(TRAIL)}]")
         self.trim = not any(mixed.search(p) for p in self.id)
-        self.units = UnitEncoder(self.encode_units)
+        self.units = UnitEncoder(self.encode_units, 120_000)
 
     def merge(self, unit: str) -> list[str]:
         """The model's rule on a short string: merge the neighbours whose union scores best, the leftmost of equals, until none is a piece."""
@@ -179,7 +181,7 @@ class PieceModel:
 
     def _known(self, a: str, b: str) -> bool:
         if (a, b) not in self.pairs:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 50_000:
                 self.pairs.clear()
             self.pairs[a, b] = self.pair(a, b)
         return self.pairs[a, b]
@@ -316,7 +318,7 @@ def encode_documents(docs: DataFrame, text_col: str = "text", model_path: str |
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch, column=at):
+            for part in batches_of(batch, SLICE, at):
                 texts = pc.fill_null(part.column(at).cast(pa.string()), "")
                 ids, offsets = model(path).encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
@@ -349,7 +351,7 @@ def digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch):
+            for part in batches_of(batch, SLICE):
                 ids, offsets = model(path).encode(part.column(1))
                 flat, at = ids.astype("<u4"), offsets.tolist()
                 crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]

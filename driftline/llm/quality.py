@@ -30,6 +30,8 @@ from driftline.llm.labelled import TRAIN_ROWS, training_rows
 from driftline.llm.token_files import batches_of
 from driftline.llm.wordcache import split_words
 
+#: Bytes of text that a task looks at at a time.
+SLICE = 4_000_000
 THRESHOLD = 0.3
 _KINDS = ("upper", "lower", "digit", "space", "newline", "stop", "comma", "shout", "bar", "symbol", "other", "beyond")
 FEATURES = (*(f"share_{k}" for k in _KINDS), "log_bytes", "log_words", "word_bytes", "distinct_words", "same_as_last", "most_of_a_word", "line_words", "distinct_lines", "short_words", "upper_of_letters")
@@ -200,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch):
+            for part in batches_of(batch, SLICE):
                 found = features(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float32()))], names=["doc_id", "label", "x"])
 
@@ -215,7 +217,7 @@ def score(docs: DataFrame, model: AdditiveModel, text_col: str = "text", out_col
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch, column=at):
+            for part in batches_of(batch, SLICE, at):
                 texts = pc.fill_null(part.column(at).cast(pa.string()), "")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(features(texts)))], names=[*part.schema.names, out_col])
 

@@ -30,9 +30,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import load, materialise, maybe_broadcast, scratch, text_of
+from driftline.llm.base import TEXT_BATCH, load, materialise, maybe_broadcast, scratch, text_of
 from driftline.llm.collection_bwt import SYMBOL, RoundFiles, build
-from driftline.llm.token_files import batches_of
+from driftline.llm.token_files import batches_of, tidy
 
 LENGTH = 200
 #: Anchor lengths of the first pass and of the passes for anchors with many snippets.
@@ -153,7 +153,7 @@ def snippet_bytes(reps: DataFrame, docs: DataFrame) -> DataFrame:
                     parts += [data[i:j] for i, j in zip(begin[x:y], end[x:y], strict=True)]
                 yield pa.RecordBatch.from_arrays([anchor, snip, n, pa.array(parts, pa.binary())], names=["anchor", "snip", "n", "data"])
 
-    return materialise(joined.mapInArrow(run, "anchor long, snip long, n long, data binary"), "snippets")
+    return materialise(joined.mapInArrow(run, "anchor long, snip long, n long, data binary"), "snippets", TEXT_BATCH)
 
 
 def flagged(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, folder: str) -> np.ndarray:
@@ -214,6 +214,7 @@ def sorted_collections(snippets: DataFrame, folder: str) -> DataFrame:
                 size, last = size + int(lens[b] - lens[a]), anchor[a]
         if held:
             yield done()
+        tidy()
 
     return spread.mapInArrow(run, "anchor long, snip long, rel long")
 

@@ -19,6 +19,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 import zlib
@@ -35,6 +36,7 @@ from driftline.llm.wordcache import UnitEncoder, split_words
 LENGTH, ROWS, END = 2048, 64, 1
 TOKENIZER = "word_bpe_49k.json"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
+_LIBC: dict[str, ctypes.CDLL] = {}
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
@@ -205,13 +207,23 @@ def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH,
     return found
 
 
-def batches_of(batch: pa.RecordBatch, size: int = 8_000_000, column: int = 1):
-    """The batch in slices of about so many bytes of text, one row at least."""
+def batches_of(batch: pa.RecordBatch, size: int = 3_000_000, column: int = 1):
+    """The batch in slices of about so many bytes of text, one row at least. After the last, freed memory goes back to the system: a worker lives on between tasks."""
     group = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
     edges = np.r_[0, np.flatnonzero(np.diff(group)) + 1, batch.num_rows]
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         if b > a:
             yield batch.slice(a, b - a)
+    tidy()
+
+
+def tidy() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if "libc" not in _LIBC:
+        _LIBC["libc"] = ctypes.CDLL(None)
+    if hasattr(_LIBC["libc"], "malloc_trim"):
+        _LIBC["libc"].malloc_trim(0)
 
 
 def read_back(spark: SparkSession, out_dir: str, shards: list[dict]) -> DataFrame:

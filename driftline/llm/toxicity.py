@@ -32,6 +32,8 @@ from driftline.llm.labelled import TRAIN_ROWS, training_rows
 from driftline.llm.token_files import batches_of
 from driftline.llm.wordcache import split_words
 
+#: Bytes of text that a task looks at at a time.
+SLICE = 4_000_000
 THRESHOLD = 0.5
 BITS, FACTORS, TERMS, CAP = 20, 4, 4096, 3.0
 BEGINNINGS = (3, 4, 5, 6)
@@ -143,7 +145,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
 
     def count(batches):
         for batch in batches:
-            for part in batches_of(batch, column=0):
+            for part in batches_of(batch, SLICE, 0):
                 y = part.column(1).to_numpy(zero_copy_only=False)
                 row, bucket, _ = terms(part.column(0))
                 both = [np.bincount(bucket[y[row] == k], minlength=1 << BITS) for k in (1, 0)]
@@ -162,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
 
     def sparse(batches):
         for batch in batches:
-            for part in batches_of(batch, column=0):
+            for part in batches_of(batch, SLICE, 0):
                 row, bucket, n = terms(part.column(0), place >= 0)
                 at = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.ListArray.from_arrays(at, pa.array(place[bucket])), pa.ListArray.from_arrays(at, pa.array(value(n).astype(np.float32)))], names=["label", "term", "x"])
@@ -182,7 +184,7 @@ def score(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch, column=at):
+            for part in batches_of(batch, SLICE, at):
                 texts = pc.fill_null(part.column(at).cast(pa.string()), "")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(machine.scores(texts))], names=[*part.schema.names, out_col])
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Units that a worker's cache keeps; beyond that it starts anew.
-CACHE_UNITS = 600_000
+CACHE_UNITS = 250_000
 
 #: ASCII marks that may trail a word, without the apostrophe, which can begin a token with letters.
 TRAIL = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
@@ -20,8 +20,8 @@ _SOLID = r"[A-Za-z0-9À-ÖØ-öø-ÿ]$"
 class UnitEncoder:
     """Maps units (strings) to ids by ``encode``, which takes distinct units and gives all their ids and each one's number of them."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = CACHE_UNITS):
+        self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
@@ -50,7 +50,7 @@ class UnitEncoder:
         get = self.at.get
         at = np.fromiter((get(u, -1) for u in units), np.int64, len(units))
         missing = np.flatnonzero(at < 0)
-        if len(self.at) + len(missing) > CACHE_UNITS:
+        if len(self.at) + len(missing) > self.most:
             self._clear()
             missing = np.arange(len(units))
         if len(missing):
