@@ -1,0 +1,109 @@
+"""Diff, record tables, work planning and rebuilding."""
+
+from pyspark.sql import functions as F
+
+from driftline.backend import EchoBackend, create_backend, endpoint, read_reply
+from driftline.operators import diff, master, rebuild, work
+from driftline.sources import documents, scripts
+
+
+def rec(spark, rows):
+    return spark.createDataFrame([("t", i, r) for i, r in rows], "table string, rec_idx int, rec map<string,string>")
+
+
+def test_record_lookup_levels(spark):
+    rows = rec(spark, [(0, {"id": "1", "name": '"かな"'}), (1, {"id": '"1"', "name": '"かな"'}), (2, {"name": '"かな"'}), (3, {"id": '"x"', "name": '"かな"'}), (4, {"id": '"e"', "name": '"かな"'})])
+    one = rec(spark, [(0, {"id": "1", "name": '"P0"'}), (2, {"name": '"P2"'}), (7, {"id": '"x"', "name": '"old"'}), (8, {"id": '"x"', "name": '"Px"'}), (4, {"id": '"e"', "name": '""'})])
+    two = rec(spark, [(1, {"id": '"1"', "name": '"F1"'}), (4, {"id": '"e"', "name": '"F4"'})])
+    got = {r.uid: r.existing_cn for r in master.lookup(master.record_fields(rows), one, two).collect()}
+    assert got == {"master:t:0:1:name": "P0", "master:t:1:1:name": "F1", "master:t:2:_idx2:name": "P2", "master:t:3:x:name": "Px", "master:t:4:e:name": ""}
+
+
+def test_record_updates(spark):
+    records = rec(spark, [(0, {"id": '"a"', "name": '"x"'}), (1, {"id": '"b"', "name": '"y"'}), (2, {"name": '"z"'})])
+    items = spark.createDataFrame([("t", 0, '"a"', "name", "A", ""), ("t", 9, '"b"', "name", "B", ""), ("t", 2, '""', "name", "C", ""), ("t", 0, '"a"', "none", "Q", "")], "table string, rec_idx int, record_id string, field string, cn string, existing_cn string")
+    got = {r.rec_idx: (r.rec["name"], r.applied) for r in master.apply_updates(records, items).collect()}
+    assert {k: v[0] for k, v in got.items()} == {0: '"A"', 1: '"B"', 2: '"C"'}
+
+
+def test_yaml_scalars_and_bad_files(spark):
+    files = spark.createDataFrame([("x/T.yaml", "- id: 1\n  a: yes\n  b: true\n  c: 010\n  d: 1:30\n- 3\n"), ("x/bad.yaml", "a: [")], "path string, value string")
+    rows = documents.table_rows(files).collect()
+    assert [(r.table, r.rec_idx, r.rec) for r in rows] == [("T", 0, {"id": "1", "a": '"yes"', "b": "true", "c": '"010"', "d": '"1:30"'})]
+
+
+def test_status_and_names(spark):
+    items = spark.createDataFrame([("f", 1, "message", "text", "A", 0), ("f", 1, "message", "name", "花", 1), ("f", 2, "message", "text", "{user}", 0), ("f", 3, "narration", "text", "C", 0)], "file string, line int, command string, field string, jp string, seq int")
+    one = spark.createDataFrame([("f", 1, "text", r"<r\=old>a</r>", 0), ("f", 3, "text", "C", 0)], "file string, line int, field string, jp string, seq int")
+    two = spark.createDataFrame([("f", 3, "text", r"<r\=C>c</r>", 0)], "file string, line int, field string, jp string, seq int")
+    got = {(r.line, r.field): (r.existing_cn, r.status, r.speaker) for r in diff.resource_diff(items, one, two, {"k": "花海"}).collect()}
+    assert got == {(1, "text"): ("a", "changed", "花"), (1, "name"): ("花海", "existing", None), (2, "text"): ("{user}", "existing", None), (3, "text"): ("c", "existing", None)}
+
+
+def test_localization(spark):
+    files = spark.createDataFrame([("l.json", '{"a": "かな", "b": {"c": ["漢字", "x", "#かな 漢"]}}')], "file string, value string")
+    assert {r.field: r.status for r in documents.localization_items(files).collect()} == {"a": "new", "b.c[0]": "existing", "b.c[2]": "existing"}
+    items = spark.createDataFrame([("l.json", "a", "A", "", 1), ("l.json", "zz", "Z", "", 1)], "file string, field string, cn string, existing_cn string, ord int")
+    assert rebuild.apply_localization(files, items).first().value == '{"a":"A","b":{"c":["漢字","x","#かな 漢"]}}'
+
+
+def work_items(spark, n=5, cn=""):
+    rows = [(f"f:{i}:text", "resource", "f.txt", i, f"text {i}", "new", None, i) for i in range(n)]
+    return spark.createDataFrame(rows, "uid string, category string, file string, line int, jp string, status string, speaker string, ord long").withColumn("existing_cn", F.lit(cn)).withColumn("file_context", F.lit(None).cast("struct<story_type:string,character:string,chapter:string>"))
+
+
+class Flaky:
+    """Leaves out an item for one batch."""
+
+    def translate(self, prompt):
+        reply = EchoBackend().translate(prompt)
+        return "---" if "[f:3:text]" in prompt else reply
+
+
+def test_translate_merge_and_failures(spark):
+    items = work_items(spark)
+    planned = work.batches(items, 2)
+    got = work.merge_results(items, work.translate(planned, EchoBackend, waits=()))
+    assert {r.uid: r.cn for r in got.collect()} == {f"f:{i}:text": f"TEXT {i}" for i in range(5)}
+    bad = {r.uid: (r.cn, r.error is None) for r in work.translate(planned, Flaky, waits=()).collect()}
+    assert bad["f:2:text"] == (None, False) and bad["f:3:text"] == (None, False) and bad["f:4:text"] == ("TEXT 4", True)
+
+
+def test_replies():
+    uids = ["a:1", "a:2"]
+    assert read_reply("[a:2] y\n---\n[a:1] x", uids) == {"a:2": "y", "a:1": "x"}
+    assert read_reply("x\n---\ny", uids) == {"a:1": "x", "a:2": "y"}
+    assert read_reply("x", uids) == {}
+    assert endpoint("http://h/v1/", "/chat/completions") == "http://h/v1/chat/completions" == endpoint("http://h/v1/chat/completions", "/chat/completions")
+    assert isinstance(create_backend("echo"), EchoBackend)
+
+
+def test_pending_by_source(spark):
+    items = spark.createDataFrame([("a", "x", "new"), ("b", "y", "changed"), ("c", "z", "existing")], "uid string, jp string, status string")
+    done = items.filter("uid = 'a'").select("uid", F.sha2(F.lit("other"), 256).alias("jp_sha"))
+    assert {r.uid for r in work.pending(items, done).collect()} == {"a", "b"}
+    assert {r.uid for r in work.pending(items, done, skip_changed=True, by_source=False).collect()} == set()
+
+
+def test_rebuild_scripts(spark):
+    lines = scripts.numbered(spark.createDataFrame([("f", "[message text=A name=N]\nkeep\n[title text=T]")], "file string, value string"))
+    items = spark.createDataFrame([("f", 1, "text", "a", "", 0), ("f", 3, "text", "", "t", 0)], "file string, line int, field string, cn string, existing_cn string, ord int")
+    assert rebuild.rebuild_scripts(lines, items).first().content == "[message text=<r\\=A>a</r> name=N]\nkeep\n[title text=<r\\=T>t</r>]"
+
+
+def test_catalogue_against_duckdb(spark):
+    """Every query with SQL gives the same rows on the smallest tables."""
+    import duckdb
+
+    from driftline.plans import catalogue, oracles
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "events", "documents", "pages", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    for name, query in catalogue.QUERIES.items():
+        df = query(spark, sf)
+        names = sorted(df.columns)
+        ours = sorted(repr(tuple(r)) for r in df.select(*names).collect())
+        want = con.execute(f"SELECT {', '.join(chr(34) + n + chr(34) for n in names)} FROM ({oracles.ORACLES[name]})").fetchall()
+        assert ours == sorted(repr(tuple(r)) for r in want), name
