@@ -58,7 +58,7 @@ class WordTokenizer:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.dtype = np.uint16 if len(self.ends) <= 1 << 16 else np.uint32
-        self.units = UnitEncoder(self.encode_units)
+        self.units = UnitEncoder(self.encode_units, 600_000)
 
     def _each(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
@@ -184,7 +184,7 @@ def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH,
                 sink, index_sink = fs.open_output_stream(f"{root}/{name}.arrow"), fs.open_output_stream(f"{root}/{name}.index.arrow")
                 shard, index, n_docs = ShardWriter(sink, words.dtype, length), pa.ipc.new_stream(index_sink, _INDEX), 0
                 first = batch.column(0)[0].as_py()
-            for part in batches_of(batch):
+            for part in batches_of(batch, 8_000_000):
                 ids, at = words.encode(part.column(1))
                 n = np.diff(at) + 1
                 ends = np.cumsum(n)
