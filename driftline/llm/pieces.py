@@ -44,7 +44,7 @@ _PAIR_BITS = 20
 FEW = 12
 #: Bytes of text that a task encodes at a time.
 SLICE = 1_500_000
-_MODELS: dict[str, PieceModel] = {}
+_MODELS: dict[tuple[str, int], PieceModel] = {}
 
 
 def default_model() -> str:
@@ -53,11 +53,11 @@ def default_model() -> str:
     return str(public_tokenizers.path(MODEL))
 
 
-def model(path: str) -> PieceModel:
-    """The worker's model; its caches live as long as the worker."""
-    if path not in _MODELS:
-        _MODELS[path] = PieceModel(path)
-    return _MODELS[path]
+def model(path: str, units: int = 120_000) -> PieceModel:
+    """The worker's model; its caches live as long as the worker. units: distinct units whose ids it keeps."""
+    if (path, units) not in _MODELS:
+        _MODELS[path, units] = PieceModel(path, units)
+    return _MODELS[path, units]
 
 
 def _hashes(codes: np.ndarray, n: int) -> np.ndarray:
@@ -74,7 +74,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class PieceModel:
-    def __init__(self, path: str):
+    def __init__(self, path: str, units: int):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -122,7 +122,7 @@ class PieceModel:
         # marks that trail a word may be cut off if no piece has such a mark after a letter or digit: no merge crosses there
         mixed = re.compile(f"[A-Za-z0-9À-ÖØ-öø-ÿ][{re.escape(TRAIL)}]")
         self.trim = not any(mixed.search(p) for p in self.id)
-        self.units = UnitEncoder(self.encode_units, 120_000)
+        self.units = UnitEncoder(self.encode_units, units)
 
     def merge(self, unit: str) -> list[str]:
         """The model's rule on a short string: merge the neighbours whose union scores best, the leftmost of equals, until none is a piece."""
@@ -351,11 +351,11 @@ def digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in batches_of(batch, SLICE):
-                ids, offsets = model(path).encode(part.column(1))
+            for part in batches_of(batch, 4 * SLICE):
+                ids, offsets = model(path, 500_000).encode(part.column(1))
                 flat, at = ids.astype("<u4"), offsets.tolist()
                 crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-                decoded = model(path).decode(ids, offsets)
+                decoded = model(path, 500_000).decode(ids, offsets)
                 sha = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded])
                 same = pc.equal(pa.array(decoded, pa.string()), part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64()), sha, same], names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip"])
