@@ -51,23 +51,26 @@ def master_items(rows: DataFrame, primary: DataFrame, fallback: DataFrame, snaps
     return found.select("uid", F.lit("master").alias("category"), F.concat("table", F.lit(".json")).alias("file"), F.col("id").alias("record_id"), "field", "jp", "existing_cn", "status", "rec_idx")
 
 
-def apply_updates(records: DataFrame, items: DataFrame) -> DataFrame:
-    """records (table, rec_idx, rec) with the items' texts put in by place where the ids agree, else by id; plus an ``applied`` count."""
+def apply_updates(records: DataFrame, items: DataFrame, check_id: bool = True) -> DataFrame:
+    """records (table, rec_idx, rec) with the items' texts put in, also as new fields; plus ``applied``, the number of fields set.
+
+    An item goes to the record at its place if that has its id or the item has none, else to the last record with its id.
+    check_id=False takes the record at its place whatever its id.
+    """
     texts = items.select("table", "rec_idx", "record_id", "field", best_text(F.col("cn"), F.col("existing_cn")).alias("t")).filter("t <> ''")
     json_text = F.to_json(F.struct(F.col("t").alias("v")))
     texts = texts.withColumn("t", F.substring(json_text, F.lit(6), F.length(json_text) - 6))
-
-    def pivot(keys: list[str], name: str) -> DataFrame:
-        one = last_wins(texts, [*keys, "field"], "rec_idx", "t")
-        return one.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias(name))
-
-    rec_id = F.coalesce(F.col("rec")["id"], F.lit('""'))
-    out = records.withColumn("record_id", rec_id).join(pivot(["table", "rec_idx", "record_id"], "_place"), ["table", "rec_idx", "record_id"], "left")
-    by_id = pivot(["table", "record_id"], "_id").filter(~F.col("record_id").isin(*_NO_ID))
-    out = out.join(by_id, ["table", "record_id"], "left").withColumn("_u", F.coalesce("_place", "_id", F.create_map().cast("map<string,string>")))
-    known = F.map_filter(F.col("_u"), lambda k, v: F.map_contains_key(F.col("rec"), k))
+    own = records.select("table", "rec_idx", F.coalesce(F.col("rec")["id"], F.lit('""')).alias("_id"))
+    by_id = own.filter(~F.col("_id").isin(*_NO_ID)).groupBy("table", F.col("_id").alias("record_id")).agg(F.max("rec_idx").alias("_last"))
+    found = texts.join(own, ["table", "rec_idx"], "left").join(by_id, ["table", "record_id"], "left")
+    agrees = F.col("_id").isNotNull() & (F.lit(not check_id) | F.col("record_id").isin(*_NO_ID) | (F.col("record_id") == F.col("_id")))
+    aimed = found.withColumn("to", F.when(agrees, F.col("rec_idx")).otherwise(F.col("_last"))).filter("to IS NOT NULL")
+    one = last_wins(aimed, ["table", "to", "field"], "rec_idx", "t")
+    updates = one.groupBy("table", F.col("to").alias("rec_idx")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("_u"))
+    out = records.join(updates, ["table", "rec_idx"], "left").withColumn("_u", F.coalesce("_u", F.create_map().cast("map<string,string>")))
     merged = F.transform_values("rec", lambda k, v: F.coalesce(F.try_element_at(F.col("_u"), k), v))
-    return out.withColumn("applied", F.size(known)).withColumn("rec", merged).drop("_place", "_id", "_u", "record_id")
+    added = F.map_filter("_u", lambda k, v: ~F.map_contains_key(F.col("rec"), k))
+    return out.withColumn("applied", F.size("_u")).withColumn("rec", F.map_concat(merged, added)).drop("_u")
 
 
 def new_table(items: DataFrame) -> DataFrame:

@@ -20,10 +20,13 @@ def test_record_lookup_levels(spark):
 
 
 def test_record_updates(spark):
-    records = rec(spark, [(0, {"id": '"a"', "name": '"x"'}), (1, {"id": '"b"', "name": '"y"'}), (2, {"name": '"z"'})])
-    items = spark.createDataFrame([("t", 0, '"a"', "name", "A", ""), ("t", 9, '"b"', "name", "B", ""), ("t", 2, '""', "name", "C", ""), ("t", 0, '"a"', "none", "Q", "")], "table string, rec_idx int, record_id string, field string, cn string, existing_cn string")
-    got = {r.rec_idx: (r.rec["name"], r.applied) for r in master.apply_updates(records, items).collect()}
-    assert {k: v[0] for k, v in got.items()} == {0: '"A"', 1: '"B"', 2: '"C"'}
+    records = rec(spark, [(0, {"id": '"a"', "name": '"x"'}), (1, {"id": '"b"', "name": '"y"'}), (2, {"name": '"z"'}), (3, {"id": '"a"', "name": '"w"'})])
+    rows = [("t", 0, '"a"', "name", "A", ""), ("t", 9, '"b"', "name", "B", ""), ("t", 2, '""', "name", "C", ""), ("t", 0, '"a"', "more", "Q", ""), ("t", 1, '"a"', "late", "", "L"), ("t", 8, '"none"', "name", "N", ""), ("t", 0, '"a"', "empty", "", "")]
+    items = spark.createDataFrame(rows, "table string, rec_idx int, record_id string, field string, cn string, existing_cn string")
+    got = {r.rec_idx: (r.rec, r.applied) for r in master.apply_updates(records, items).collect()}
+    assert got == {0: ({"id": '"a"', "name": '"A"', "more": '"Q"'}, 2), 1: ({"id": '"b"', "name": '"B"'}, 1), 2: ({"name": '"C"'}, 1), 3: ({"id": '"a"', "name": '"w"', "late": '"L"'}, 1)}
+    blind = {r.rec_idx: r.rec for r in master.apply_updates(records, items, check_id=False).collect()}
+    assert blind[1] == {"id": '"b"', "name": '"B"', "late": '"L"'} and blind[3] == {"id": '"a"', "name": '"w"'}
 
 
 def test_yaml_scalars_and_bad_files(spark):
