@@ -71,7 +71,7 @@ class EchoBackend:
     """Deterministic, for tests and dry runs: answers each item of a prompt with its text in upper case."""
 
     def translate(self, prompt: str) -> str:
-        return "\n---\n".join(f"[{u}] {t.upper()}" for u, t in re.findall(r"^\[([^\]\s]+)\] (?:\([^)]*\) )?(.*)$", prompt, re.M))
+        return "\n---\n".join(f"[{u}] {t.upper()}" for u, t in re.findall(r"^\[(\S+)\] (?:\([^)]*\) )?(.*)$", prompt, re.M))
 
 
 def create_backend(kind: str, **options) -> Backend:

@@ -68,3 +68,32 @@ def json_with(texts: pd.Series, updates: pd.Series) -> pd.Series:
         return json.dumps(tree, ensure_ascii=False, separators=(",", ":"))
 
     return pd.Series([one(t, u) for t, u in zip(texts, updates, strict=True)])
+
+
+@F.pandas_udf(T.StringType())
+def json_with_fields(texts: pd.Series, updates: pd.Series) -> pd.Series:
+    """JSON objects with their map of key to text put in, where the keys exist; keys are no paths."""
+
+    def one(t, u):
+        if t is None:
+            return None
+        tree = json.loads(t)
+        return json.dumps(tree | {k: v for k, v in dict(u if u is not None else {}).items() if k in tree}, ensure_ascii=False, separators=(",", ":"))
+
+    return pd.Series([one(t, u) for t, u in zip(texts, updates, strict=True)])
+
+
+def indented(c, spaces: int):
+    """JSON texts laid out in lines; null for null."""
+
+    @F.pandas_udf(T.StringType())
+    def laid_out(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=False, indent=spaces))
+
+    return laid_out(c)
+
+
+@F.pandas_udf(T.StringType())
+def json_with_data(texts: pd.Series, data: pd.Series) -> pd.Series:
+    """JSON objects with another list of records as their ``data``."""
+    return pd.Series([None if t is None else json.dumps(json.loads(t) | {"data": json.loads(d)}, ensure_ascii=False, indent=1) for t, d in zip(texts, data, strict=True)])

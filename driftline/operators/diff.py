@@ -40,9 +40,10 @@ def with_speaker(items: DataFrame) -> DataFrame:
 
 
 def with_names(items: DataFrame, names: dict[str, str], user: str = "{user}") -> DataFrame:
-    """Names are never pending: each is the first known name that contains it, or itself; so is the user's place."""
+    """Names are never pending: each is what a package has, else the first known name that contains it, else itself; so is the user's place."""
     is_name = F.col("field") == "name"
-    known = F.when(is_name, F.coalesce(first_containing(F.col("jp"), names), F.col("jp"))).when(F.col("jp") == user, F.col("jp")).otherwise(F.col("existing_cn"))
+    named = best_text(F.col("existing_cn"), first_containing(F.col("jp"), names), F.col("jp"))
+    known = F.when(F.col("jp") == user, F.col("jp")).when(is_name, named).otherwise(F.col("existing_cn"))
     return items.withColumn("existing_cn", known).withColumn("status", F.when(is_name | (F.col("jp") == user), F.lit("existing")).otherwise(F.col("status")))
 
 

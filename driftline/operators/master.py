@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftline.functions.jsontree import json_with_data
 from driftline.functions.text import SOURCE_CLASS, best_text, contains_source
 from driftline.operators.diff import last_wins, snapshot_status
 
@@ -73,9 +74,40 @@ def apply_updates(records: DataFrame, items: DataFrame, check_id: bool = True) -
     return out.withColumn("applied", F.size("_u")).withColumn("rec", F.map_concat(merged, added)).drop("_u")
 
 
+def _record_json(rec: Column, raw: bool) -> Column:
+    """A map as a JSON object; raw: its values are JSON texts already."""
+
+    def quoted(c: Column) -> Column:
+        text = F.to_json(F.struct(c.alias("v")))
+        return F.substring(text, F.lit(6), F.length(text) - 6)
+
+    fields = F.transform(F.map_entries(rec), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"] if raw else quoted(e["value"])))
+    return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
+
+
+def _joined(rows: DataFrame, order: str, record: Column) -> DataFrame:
+    """(table, data): the records of a table, which is one document, as a JSON list."""
+    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col("_r").alias("r"))))
+    return rows.withColumn("_r", record).groupBy("table").agg(F.concat(F.lit("["), F.array_join(F.transform(listed, lambda x: x["r"]), ","), F.lit("]")).alias("data"))
+
+
+def package_files(files: DataFrame, items: DataFrame, check_id: bool = True) -> DataFrame:
+    """(table, content): the files (table, value) that items change, rewritten, and files of tables that had none."""
+    from driftline.sources.documents import package_rows
+
+    touched = files.join(items.select("table").distinct(), "table", "left_semi")
+    records = apply_updates(package_rows(touched.withColumnRenamed("table", "path")), items, check_id)
+    kept = touched.join(_joined(records, "rec_idx", _record_json(F.col("rec"), True)), "table").select("table", json_with_data("value", "data").alias("content"))
+    fresh = new_table(items.join(files.select("table"), "table", "left_anti"))
+    whole = F.concat(F.lit('{"id":'), F.col("record_id"), F.when(F.size("fields") > 0, F.concat(F.lit(","), F.substring(_record_json(F.col("fields"), False), F.lit(2), F.lit(2**31 - 1)))).otherwise(F.lit("}")))
+    made = _joined(fresh, "first", whole).select("table", json_with_data(F.lit('{"rules":{"primaryKeys":["id"]},"data":[]}'), "data").alias("content"))
+    return kept.unionByName(made)
+
+
 def new_table(items: DataFrame) -> DataFrame:
-    """(table, record_id, fields): records of a table that no package has; items without text or id are left out."""
+    """(table, record_id, fields, first): records of a table that no package has; items without text or id are left out."""
     text = best_text(F.col("cn"), F.col("existing_cn"))
     kept = items.withColumn("t", text).filter((F.col("t") != "") & ~F.col("record_id").isin(*_NO_ID))
     one = last_wins(kept, ["table", "record_id", "field"], "rec_idx", "t")
-    return one.groupBy("table", "record_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("fields"))
+    found = one.groupBy("table", "record_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("fields"))
+    return found.join(kept.groupBy("table", "record_id").agg(F.min("rec_idx").alias("first")), ["table", "record_id"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.jsontree import json_with
+from driftline.functions.jsontree import json_with, json_with_fields
 from driftline.functions.script import build_line
 from driftline.functions.text import best_text
 from driftline.operators.diff import last_wins
@@ -31,8 +31,7 @@ def apply_generic(files: DataFrame, items: DataFrame) -> DataFrame:
     """(file, value) flat JSON with the texts of the items put in, where the key is there and the text isn't empty."""
     texts = items.withColumn("t", best_text(F.col("cn"), F.col("existing_cn"))).filter("t <> ''")
     got = last_wins(texts, ["file", "field"], "ord", "t").groupBy("file").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("u"))
-    joined = files.join(got, "file", "left").withColumn("u", F.coalesce("u", F.create_map().cast(_NONE)))
-    return joined.select("file", F.to_json(F.transform_values(F.from_json("value", _NONE), lambda k, v: F.coalesce(F.try_element_at(F.col("u"), k), v))).alias("value"))
+    return files.join(got, "file", "left").select("file", json_with_fields("value", F.coalesce("u", F.create_map().cast(_NONE))).alias("value"))
 
 
 def apply_localization(files: DataFrame, items: DataFrame) -> DataFrame:

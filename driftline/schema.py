@@ -11,6 +11,7 @@ ITEM = T.StructType(
         *(T.StructField(n, T.StringType()) for n in ("command", "field", "record_id", "jp", "existing_cn", "status", "speaker")),
         T.StructField("file_context", CONTEXT),
         T.StructField("cn", T.StringType()),
+        T.StructField("rec_idx", T.IntegerType()),
         T.StructField("ord", T.LongType()),
     ]
 )

@@ -73,9 +73,9 @@ def _json_fields(text: str) -> dict[str, str]:
 
 
 def generic_items(files: DataFrame, char_class: str = SOURCE_CLASS) -> DataFrame:
-    """Flat JSON (rel, value): a row for each text whose key is source text; the key is the source."""
-    each = files.select("rel", F.explode(F.from_json("value", "map<string,string>")).alias("field", "existing_cn"))
-    each = each.filter(contains_source(F.col("field"), char_class))
+    """Flat JSON (rel, value): a row for each text whose key is source text; the key is the source. Other values are left out; broken JSON is an error."""
+    each = files.select("rel", F.explode(F.from_json("value", "map<string,variant>", {"mode": "FAILFAST"})).alias("field", "_v"))
+    each = each.filter(contains_source(F.col("field"), char_class) & (F.schema_of_variant("_v") == "STRING")).withColumn("existing_cn", F.variant_get("_v", "$", "string"))
     return each.select(F.concat_ws(":", F.lit("generic"), "rel", "field").alias("uid"), F.lit("generic").alias("category"), F.col("rel").alias("file"), "field", F.col("field").alias("jp"), "existing_cn", F.lit("existing").alias("status"))
 
 
