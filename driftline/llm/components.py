@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.base import materialise, maybe_broadcast
+from driftline.llm.base import BROADCAST_ROWS, materialise, maybe_broadcast
 
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def minima(edges: DataFrame) -> DataFrame:
-    """(u, m): each node's least neighbour. Written, so that adaptive execution can split a node with very many neighbours when they are joined."""
-    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+def minima(edges: DataFrame, most: int) -> DataFrame:
+    """(u, m): each node's least neighbour, of ``most`` rows at most.
+
+    Broadcast where that bound allows. Else written, so that adaptive execution can split a node with very many neighbours
+    when they are joined.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    if most <= BROADCAST_ROWS:
+        return F.broadcast(least)
+    least = materialise(least, "least")
     return maybe_broadcast(least, least.count())
 
 
@@ -33,10 +40,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if not state[0]:
             break
         near = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = minima(near).select(F.col("u"), F.least("u", "m").alias("m"))
+        least = minima(near, 2 * state[0]).select(F.col("u"), F.least("u", "m").alias("m"))
         large = near.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialise(large, "large-star")
-        least = minima(large)
+        least = minima(large, 2 * state[0])
         small = large.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         now = materialise(small.filter("u != v").distinct(), "small-star")
         last, state = state, _state(now)
