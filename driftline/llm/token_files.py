@@ -9,8 +9,9 @@ copy. ``<shard>.index.arrow`` has doc_id, start (in the shard) and n_tokens. A d
 start plus the tokens of all shards before: one number a shard.
 
 Words between ASCII white space, and marks that trail a word, are encoded apart and joined, which gives what encoding the
-whole text gives: the tokenizer drops white space, and no token spans either place (``test_token_files`` holds the files
-against ids of whole texts).
+whole text gives: the tokenizer drops white space, and no token of its model spans either place. Added tokens such as
+<|endoftext|> are matched on raw text and may, so words that contain one are encoded whole (``test_token_files`` and
+``test_added_tokens`` hold the ids against those of whole texts).
 
 Nulls: a null text is empty and gets the end id alone; a null id sorts first. Texts of any length are encoded whole. Ties and
 repeated rows: rows of one id are ordered by the hash of their text and each is a document. Empty table: no files, no rows.
@@ -55,6 +56,10 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        if any(t.normalized or t.content.split() != [t.content] for t in added):
+            raise ValueError(f"{path}: added tokens with white space or matched on normalised text need whole texts")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.dtype = np.uint16 if len(self.ends) <= 1 << 16 else np.uint32
@@ -85,7 +90,7 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words, offsets = split_words(texts)
-        return self.units(words, offsets, trim=True)
+        return self.units(words, offsets, trim=True, uncut=self.added)
 
 
 def tokenizer(path: str) -> WordTokenizer:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -65,10 +65,11 @@ class UnitEncoder:
         ids = self.ids[np.repeat(begin - (ends - take), take) + np.arange(ends[-1] if len(ends) else 0)]
         return ids, np.r_[0, ends][offsets]
 
-    def __call__(self, units: pa.Array, offsets: np.ndarray, trim: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, units: pa.Array, offsets: np.ndarray, trim: bool = False, uncut: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray]:
         """units: of all texts in order; offsets: where each text's units begin, and the end. Returns all ids and each text's offsets in them.
 
-        trim: marks that trail a word are units of their own (for tokenizers without a token across such a place).
+        trim: marks that trail a word are units of their own (for tokenizers without a token across such a place). Words that
+        contain a string of ``uncut`` stay whole.
         """
         coded = pc.dictionary_encode(units)
         index = coded.indices.to_numpy(zero_copy_only=False)
@@ -77,6 +78,8 @@ class UnitEncoder:
         whole = coded.dictionary
         core = pc.utf8_rtrim(whole, TRAIL)
         cut = pc.and_(pc.match_substring_regex(core, _SOLID), pc.less(pc.binary_length(core), pc.binary_length(whole)))
+        for kept in uncut:
+            cut = pc.and_not(cut, pc.match_substring(whole, kept))
         rows = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
         core = pc.if_else(cut, core, whole)
         tails = [w[len(c) :] for w, c in zip(whole.take(pa.array(rows)).to_pylist(), core.take(pa.array(rows)).to_pylist(), strict=True)]

@@ -9,7 +9,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from driftline.llm import pieces, quality, toxicity
+from driftline.llm import pieces, quality, token_files, toxicity
 from driftline.llm.collection_bwt import SYMBOL, RoundFiles, build
 from driftline.llm.quotient import CountingQuotientFilter, tally
 
@@ -63,6 +63,16 @@ def test_pieces_match_the_library():
     assert ours.decode(ids, offsets) == library.decode([ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
 
 
+def test_added_tokens():
+    from tokenizers import Tokenizer
+
+    path, rng = token_files.default_tokenizer(), random.Random(4)
+    texts = ["hello <|endoftext|> world", "ends<|endoftext|>", "ends<|endoftext|>, then", "in<|startoftext|>side", "<|endoftext|><|startoftext|>.", "no<|ENDOFTEXT|> a<|endoftext| b|>", "it<|endoftext|>'s", "plain, words."]
+    texts += ["".join(rng.choice(["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", "word", "É", ",", ".", "'s", " ", "\n"]) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    ids, at = token_files.WordTokenizer(path).encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((4000, 3)).astype(np.float32)
