@@ -12,8 +12,8 @@ documents. The steps:
 
 Everything from the tokens to the verification is one generated code span over the scan when the windows are few enough to
 broadcast (their number is checked); beyond that the same join is by shuffle, and the words around the shingle travel along.
-Shingles are compared by 64-bit hashes of Unicode-lower-cased words, which is coarser than the A-Z rule; step 4 applies the
-exact rule. One window is joined once whatever number of items share it.
+Both sides' shingles are 64-bit hashes of words under the A-Z rule (Unicode's lower case depends on a letter's neighbours, and
+these differ between a document and a window); step 4 compares the words. One window is joined once whatever number of items share it.
 
 Nulls: a null text has no words, a null item_id names no item. Rows with the same doc_id and text are one document, with the
 answer repeated on each row. Empty tables: no windows, hence nothing hit. Other columns are ignored.
@@ -37,29 +37,29 @@ BROADCAST_WINDOWS = 200_000
 
 
 def words(text: Column) -> Column:
-    """Words in their own case."""
-    return F.array_remove(F.split(text, GAPS), "")
+    """Words, A-Z in lower case."""
+    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), GAPS), "")
 
 
 def _key(arr: str, at: Column, n: int) -> Column:
-    """Hash of the n (coarsely lower-cased) words from the 0-based place; null past the end."""
+    """Hash of the n words from the 0-based place; null past the end."""
     parts = [F.get(F.col(arr), at + k) for k in range(n)]
     return F.when(parts[-1].isNotNull(), F.xxhash64(*parts, F.lit(n)))
 
 
 def windows_of(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
-    """(wid, words, n, coarse) for each distinct window, and (wid, item_id) for the items that have it."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), words(F.translate(text_of(text_col), _UPPER, _LOWER)).alias("w")).filter(F.size("w") > 0)
+    """(wid, words, n) for each distinct window, and (wid, item_id) for the items that have it."""
+    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), words(text_of(text_col)).alias("w")).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
     each = items.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("w", s + 1, window))).alias("words"))
     each = each.withColumn("wid", F.sha2(F.array_join("words", " "), 256))
-    distinct = each.dropDuplicates(["wid"]).select("wid", "words", F.size("words").alias("n"), F.split(F.lower(F.array_join("words", " ")), " ").alias("coarse"))
+    distinct = each.dropDuplicates(["wid"]).select("wid", "words", F.size("words").alias("n"))
     return distinct, each.filter("item_id IS NOT NULL").select("wid", "item_id").distinct()
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    """A row for each word place: the document's keys, words in either form, and the place. Outer, so that no filter re-splits the text."""
-    return docs.select("doc_id", "h", words(F.col("text")).alias("w"), F.array_remove(F.split(F.lower("text"), GAPS), "").alias("c")).select("doc_id", "h", "w", "c", F.posexplode_outer("c").alias("p", "_"))
+    """A row for each word place: the document's keys, its words, and the place. Outer, so that no filter re-splits the text."""
+    return docs.select("doc_id", "h", words(F.col("text")).alias("w")).select("doc_id", "h", "w", F.posexplode_outer("w").alias("p", "_"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -73,13 +73,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     else:
         # every shingle of every window with its first place there
         places = reduce(DataFrame.unionByName, [
-            wins.filter(F.col("k") == k).select("wid", "words", "n", "k", "coarse", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("off")).withColumn("key", _key("coarse", F.col("off"), k))
+            wins.filter(F.col("k") == k).select("wid", "words", "n", "k", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("off")).withColumn("key", _key("words", F.col("off"), k))
             for k in lengths
         ])
         places = materialise(places.groupBy("wid", "key").agg(F.min("off").alias("off"), F.first("words").alias("words"), F.first("n").alias("n"), F.first("k").alias("k")), "places")
         keys = places.select("key", "k").distinct()
         tokens = _tokens(base)
-        counted = [tokens.select(_key("c", F.col("p"), k).alias("key")).join(maybe_broadcast(keys.filter(F.col("k") == k).select("key"), n_wins, BROADCAST_WINDOWS), "key").groupBy("key").agg(F.count(F.lit(1)).alias("df")) for k in lengths]
+        counted = [tokens.select(_key("w", F.col("p"), k).alias("key")).join(maybe_broadcast(keys.filter(F.col("k") == k).select("key"), n_wins, BROADCAST_WINDOWS), "key").groupBy("key").agg(F.count(F.lit(1)).alias("df")) for k in lengths]
         rarity = reduce(DataFrame.unionByName, counted)
         # a window with a shingle that no document has (no count) can't occur; else the rarest is its prefix
         ranked = places.join(rarity, "key", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "key", "off", "words", "n", "k")).alias("x"))
@@ -89,15 +89,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             side = maybe_broadcast(prefix.filter(F.col("k") == k).select("wid", "key", "off", "words", "n"), n_wins, BROADCAST_WINDOWS)
             size = F.size("w")
             if n_wins <= BROADCAST_WINDOWS:
-                near, at = tokens.select("doc_id", "h", "w", "p", _key("c", F.col("p"), k).alias("key")), F.col("p") - F.col("off")
+                near, at = tokens.select("doc_id", "h", "w", "p", _key("w", F.col("p"), k).alias("key")), F.col("p") - F.col("off")
                 total, first = size, at
             else:  # the words that a window around this place can reach, where they begin, and the document's length
                 low = F.greatest(F.col("p") - (window - k), F.lit(0))
-                near = tokens.filter("p IS NOT NULL").select("doc_id", "h", F.slice("w", low + 1, F.lit(2 * window)).alias("w"), "p", low.alias("low"), size.alias("size"), _key("c", F.col("p"), k).alias("key"))
+                near = tokens.filter("p IS NOT NULL").select("doc_id", "h", F.slice("w", low + 1, F.lit(2 * window)).alias("w"), "p", low.alias("low"), size.alias("size"), _key("w", F.col("p"), k).alias("key"))
                 total, first = F.col("size"), F.col("p") - F.col("off") - F.col("low")
                 at = F.col("p") - F.col("off")
             bound = (at >= 0) & (at + F.col("n") <= total)
-            same = reduce(lambda a, b: a & b, [(F.col("n") <= j) | (F.translate(F.get("w", first + j), _UPPER, _LOWER) == F.get("words", F.lit(j))) for j in range(window)])
+            same = reduce(lambda a, b: a & b, [(F.col("n") <= j) | (F.get("w", first + j) == F.get("words", F.lit(j))) for j in range(window)])
             found.append(near.join(side, "key").filter(bound & same).select("doc_id", "h", "wid", at.cast("int").alias("s"), F.col("n").cast("int").alias("n")))
         hits = reduce(DataFrame.unionByName, found).distinct()
     hits = materialise(hits, "hits")

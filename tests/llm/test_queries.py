@@ -1,5 +1,6 @@
 """The operators on nulls, empty and odd texts, ties, repeated rows, empty tables and clashing columns."""
 
+import re
 import zlib
 
 import numpy as np
@@ -70,6 +71,18 @@ def test_decontaminate_without_broadcast(docs, spark, monkeypatch):
     assert sorted(map(str, decontaminate.contamination(docs, bench).collect())) == want
 
 
+def test_decontaminate_beside_signs(spark, monkeypatch):
+    greek = [f"{'ΟΔΟΣ' if i % 2 else 'ΑΣ'}{sign}ΣΑ{i} {'ΟΔΟΣ'}'{'İX'}" for i, sign in enumerate([".", ":", "'", "·", "\u00ad", ",", "’", "-"])]
+    passage = " ".join(greek)
+    bench = spark.createDataFrame([(1, passage.replace(".", " ").replace(":", " ").replace("'", " ")), (2, "x Σ y"), (3, "only lower σ")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"Before, {passage} after"), (2, "X:Σ Y"), (3, "only lower Σ"), (4, passage.lower())], "doc_id long, text string")
+    n = len([w for w in re.split(decontaminate.GAPS, passage) if w])
+    want = {1: (n, True), 2: (3, True), 3: (0, False), 4: (0, False)}
+    for most in (decontaminate.BROADCAST_WINDOWS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
+        assert {r.doc_id: (r.n_hit, r.contaminated) for r in decontaminate.contamination(docs, bench).collect()} == want
+
+
 def test_near(docs):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dedup.near_dedup(docs, 4).collect()}
     assert got[1, 57] == got[2, 57][:1] + (True,) or got[1, 57] == (1, True)
