@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftline.functions.text import strip, wrap
 from driftline.schema import CHARACTER_KEYS, CONTEXT
@@ -19,8 +23,10 @@ def _balanced(a: str, b: str, levels: int = 4) -> str:
 
 
 _NEXT = rf"[ \t]+[a-zA-Z_]{WORD}*="
-#: key=value: a value is balanced {...} or [...] (to the end if it never closes), or runs to the next key or bare "=".
+#: key=value: a value is balanced {...} or [...] (to the end if it never closes), or runs to the next key or bare "=". The pattern counts four levels; ``DEEP`` bodies are scanned.
 PAIR = rf"({WORD}+)=({_balanced('{', '}')}|{_balanced('[', ']')}|[{{\[][\s\S]*|(?![{{\[])(?!\z)(?:(?!{_NEXT})[\s\S](?:[^= \t]++|(?!{_NEXT})[ \t]|(?<=\\)=)*+)?)"
+#: More opening signs of a kind than the pattern has levels.
+DEEP = r"(?:\{[^{]*+){5}|(?:\[[^\[]*+){5}"
 CHOICE = rf"(?Ud)text=(.*?)\]?(?=\s+(?:text=|[a-zA-Z_]\w*=)|$)"
 CHOICE_SPAN = rf"(?Ud)text=(.*?)(?=\s+(?:text=|[a-zA-Z_]\w*=)|$)"
 
@@ -38,8 +44,44 @@ def body(line: Column) -> Column:
     return strip(F.regexp_extract(strip(line), rf"(?Us)^\[{WORD}+\s(.*)\]", 1))
 
 
+_KEY = re.compile(r"(\w+)=")
+_STOP = re.compile(r"[ \t]+[a-zA-Z_]\w*=|(?<!\\)=")
+_SIGNS = {"{": re.compile(r"[{}]"), "[": re.compile(r"[\[\]]")}
+
+
+def scan_pairs(text: str) -> list[tuple[str, str]]:
+    """Keys and values in order of appearance, brackets counted to any depth."""
+    found, at = [], 0
+    while (key := _KEY.search(text, at)) and key.end() < len(text):
+        start = key.end()
+        opening, end = text[start], len(text)
+        if opening in _SIGNS:
+            depth = 0
+            for sign in _SIGNS[opening].finditer(text, start):
+                depth += 1 if sign.group() == opening else -1
+                if not depth:
+                    end = sign.end()
+                    break
+        elif stop := _STOP.search(text, start + (opening == "=")):
+            end = stop.start()
+        found.append((key.group(1), text[start:end]))
+        at = end
+    return found
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])))
+def _scanned(texts: pd.Series) -> pd.Series:
+    """Null for null."""
+    return texts.map(lambda t: None if t is None else [{"k": k, "v": v} for k, v in scan_pairs(t)])
+
+
 def pairs(c: Column) -> Column:
     """array<struct<k,v>> in order of appearance."""
+    deep = c.rlike(DEEP)
+    return F.when(deep, _scanned(F.when(deep, c))).otherwise(_matched(c))
+
+
+def _matched(c: Column) -> Column:
     return F.arrays_zip(F.regexp_extract_all(c, F.lit(PAIR), F.lit(1)).alias("k"), F.regexp_extract_all(c, F.lit(PAIR), F.lit(2)).alias("v"))
 
 

@@ -1,5 +1,7 @@
 """Text, script and wrapper functions on literals."""
 
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -63,6 +65,57 @@ def test_script_items(spark):
     assert tuple(one(spark, script.context_of(F.col("s")), s="adv_event_x")) == ("event_x", "", "")
 
 
+def brute_pairs(body):
+    """Sign by sign."""
+    word, out, i = lambda ch: ch.isalnum() or ch == "_", [], 0
+
+    def key_at(j):
+        k = j
+        while k < len(body) and word(body[k]):
+            k += 1
+        return k if j < k < len(body) and body[k] == "=" else None
+
+    while i < len(body):
+        if (k := key_at(i)) is None:
+            i += 1
+            continue
+        key, i = body[i:k], k + 1
+        if i >= len(body):
+            break
+        j, a = i, body[i]
+        if a in "{[":
+            b, depth, j = "}" if a == "{" else "]", 1, i + 1
+            while j < len(body) and depth:
+                depth += (body[j] == a) - (body[j] == b)
+                j += 1
+        else:
+            while j < len(body):
+                if body[j] in " \t":
+                    n = j
+                    while n < len(body) and body[n] in " \t":
+                        n += 1
+                    if n < len(body) and (body[n] == "_" or (body[n].isascii() and body[n].isalpha())) and key_at(n):
+                        break
+                elif body[j] == "=" and j > i and body[j - 1] != "\\":
+                    break
+                j += 1
+        out.append((key, body[i:j]))
+        i = j
+    return out
+
+
+def test_pairs_to_any_depth(spark):
+    rng = random.Random(6)
+    bodies = [f"clip={'{' * n}x{'}' * n} text=hello name=bob" for n in range(9)] + [f"clip={'[' * n}x=1 {']' * n} text=hello" for n in (4, 5, 40, 2000)]
+    bodies += ["a={{{{{x}}}} text=t", "text==x", "text=", "a=\\=b c", "x=[{{{{{{]}}}}}} y=2"]
+    bodies += ["".join(rng.choice(["{", "{{{", "}", "}}}", "[", "[[", "]", "]]", "key=", "text=", "é=", " ", "\t", "\\=", "=", "a", "1", "_"]) for _ in range(rng.randrange(40))) for _ in range(1500)]
+    rows = spark.createDataFrame(list(enumerate(bodies)), "i int, b string").select("i", script.pairs(F.col("b")).alias("kv")).collect()
+    assert {r.i: [tuple(p) for p in r.kv] for r in rows} == {i: brute_pairs(b) for i, b in enumerate(bodies)}
+    five = "[message clip={{{{{x}}}}} text=hello name=bob]"
+    assert [r.jp for r in scripts.items(spark.createDataFrame([("f", 1, five)], "file string, line int, text string")).orderBy("seq").collect()] == ["hello", "bob"]
+    assert one(spark, script.build_line(F.col("l"), F.col("t")), l=five, t={"text": "T"}) == r"[message clip={{{{{x}}}}} text=<r\=hello>T</r> name=bob]"
+
+
 def test_build_line(spark):
     def built(line, texts):
         return one(spark, script.build_line(F.col("l"), F.col("t")), l=line, t=texts)
