@@ -103,9 +103,9 @@ def script_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversation turns as command lines; texts with script signs are left to the tests' fixtures."""
-    turns = table(spark, sf, "conversations").filter("NOT contains(text, '=') AND NOT contains(text, '[') AND NOT contains(text, ']') AND trim(text) <> ''")
-    said = F.trim(F.regexp_replace(F.regexp_replace("text", r"\r\n|\r|\n", r"\\n"), r"[^\x20-\x{10FFFF}]", " "))
+    """All conversation turns, a null text as an empty one. The SQL can't follow texts with script signs and leaves them, and empty ones, out."""
+    turns = table(spark, sf, "conversations")
+    said = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n|\r|\n", r"\\n"), r"[^\x20-\x{10FFFF}]", " "))
     return turns.select(F.col("conv_id").cast("string").alias("file"), (F.col("turn") + 1).cast("int").alias("line"), "role", said.alias("said"))
 
 
@@ -170,7 +170,8 @@ def hashtag_kana_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").filter("NOT contains(text, '<') AND NOT contains(text, '>') AND NOT contains(text, '\\\\') AND NOT contains(text, '\r') AND trim(text) <> '' AND NOT contains(text, '---')")
+    """All documents, a null text as an empty one. The SQL leaves out texts with signs of the wrapper, and empty ones."""
+    docs = table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     return docs.select("doc_id", F.replace("text", F.lit("\n"), F.lit("\\n")).alias("s"), F.replace(F.upper("lang"), F.lit("\n"), F.lit("\\n")).alias("lang"), F.size(F.split("text", "\n", -1)).alias("n")).withColumn("t", F.array_join(F.transform(F.split("s", r"\\n", -1), lambda x: F.concat(F.col("lang"), F.length(x).cast("string"))), "\\n"))
 
 
@@ -201,7 +202,7 @@ def prefix_label(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     nested = F.to_json(F.struct("conv_id", F.struct("role", F.array("text", "role").alias("said")).alias("turn")))
-    return table(spark, sf, "conversations").filter("text IS NOT NULL").select("conv_id", F.col("turn").alias("k"), F.explode(json_leaves(nested)).alias("e")).select("conv_id", "k", "e.path", F.sha2("e.text", 256).alias("text_sha256"))
+    return table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("k"), F.explode(json_leaves(nested)).alias("e")).select("conv_id", "k", "e.path", F.sha2("e.text", 256).alias("text_sha256"))
 
 
 def json_path_set(spark: SparkSession, sf: str) -> DataFrame:
