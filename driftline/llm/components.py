@@ -31,7 +31,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Large-star: each node sends its larger neighbours to its smallest one. Small-star: each node sends its smaller neighbours
     and itself to the smallest. Repeated until the edges stay the same, when they are stars. The least neighbour is a
     pre-aggregated minimum joined back, so a node with very many neighbours is not gathered in one place. Every round is
-    written to the shared folder. Loops and repeated edges do no harm; an empty graph gives an empty result.
+    written to the shared folder. Loops and repeated edges do no harm; an empty graph gives an empty result. Edges that still
+    change after ``most_rounds`` are an error, not a result.
     """
     smaller, larger = F.least("u", "v"), F.greatest("u", "v")
     now = materialise(edges.filter("u != v").select(larger.alias("u"), smaller.alias("v")).distinct(), "edges")
@@ -49,5 +50,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         last, state = state, _state(now)
         if state == last:
             break
+    else:
+        raise RuntimeError(f"components: edges still change after {most_rounds} rounds")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

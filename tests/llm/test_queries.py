@@ -98,6 +98,11 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_stopped_early(spark):
+    with pytest.raises(RuntimeError, match="after 2 rounds"):
+        components(spark.createDataFrame([(i, i + 1) for i in range(50)], "u long, v long"), most_rounds=2)
+
+
 def brute_repeats(texts, n):
     seen = {}
     for k, t in enumerate(texts):
