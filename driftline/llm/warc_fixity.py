@@ -3,7 +3,8 @@
 ``write_warc`` stores records as gzip members one after another and returns a manifest: each record's file, place in the file
 and byte range. A leaf of a file's tree is the SHA-256 of the stored bytes of one range; a node above hashes the ranges and
 hashes of up to ``FANOUT`` neighbouring nodes in order of offset, up to one root a file. ``audit`` compares the roots of two
-replicas and descends only below nodes that differ, down to the records; the hash noted at writing tells which replica is bad.
+replicas and descends only below nodes that differ, down to the records. ``leaves`` also holds each range against the hash noted at writing, which tells which replica is bad and
+finds damage alike in both; ``longer_or_shorter`` holds the files' lengths against the manifest's.
 
 Records of a file are in rising offsets; files are cut by size, so no host, however common, makes one large. Every group that
 is hashed has at most ``FANOUT`` rows. Files live in a folder that all executors reach.
@@ -102,13 +103,13 @@ def copy_replica(manifest: DataFrame, source: str, target: str, damage: DataFram
 
 
 def leaves(manifest: DataFrame, root: str) -> DataFrame:
-    """(file, ord, start, end, hash, record_sha256): what a replica has in the manifest's ranges; record_sha256 is null where the member can't be read, hash also where bytes are missing."""
+    """(file, ord, start, end, hash, record_sha256, intact): what a replica has in the manifest's ranges, and whether it is what was written; record_sha256 is null where the member can't be read, hash also where bytes are missing."""
 
     def run(batches):
         fs, top = filesystem(root)
         held: tuple[str, object] | None = None
         for batch in batches:
-            names, ords, starts, ends = (c.to_pylist() for c in batch.columns)
+            names, starts, ends, written = (batch.column(k).to_pylist() for k in (0, 2, 3, 4))
             hashes, records = [], []
             for name, a, b in zip(names, starts, ends, strict=True):
                 try:
@@ -123,11 +124,25 @@ def leaves(manifest: DataFrame, root: str) -> DataFrame:
                     records.append(hashlib.sha256(gzip.decompress(stored)).hexdigest() if len(stored) == b - a else None)
                 except (OSError, EOFError, ValueError, zlib.error):
                     records.append(None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.string()), pa.array(records, pa.string())], names=["file", "ord", "start", "end", "hash", "record_sha256"])
+            intact = pa.array([h == w for h, w in zip(hashes, written, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(hashes, pa.string()), pa.array(records, pa.string()), intact], names=["file", "ord", "start", "end", "hash", "record_sha256", "intact"])
 
     run_of = F.floor(F.col("ord") / RUN)
-    ordered = manifest.select("file", "ord", "start", "end").repartition("file", run_of).sortWithinPartitions("file", "ord")
-    return ordered.mapInArrow(run, "file string, ord long, start long, end long, hash string, record_sha256 string")
+    ordered = manifest.select("file", "ord", "start", "end", "written").repartition("file", run_of).sortWithinPartitions("file", "ord")
+    return ordered.mapInArrow(run, "file string, ord long, start long, end long, hash string, record_sha256 string, intact boolean")
+
+
+def longer_or_shorter(manifest: DataFrame, root: str) -> DataFrame:
+    """(file, ord): the last record of each file that doesn't end where that record does."""
+
+    def run(batches):
+        fs, top = filesystem(root)
+        for batch in batches:
+            sizes = [fs.get_file_info(f"{top}/{name}").size for name in batch.column(0).to_pylist()]
+            yield batch.filter(pa.array([s != e for s, e in zip(sizes, batch.column(2).to_pylist(), strict=True)], pa.bool_())).select(["file", "ord"])
+
+    last = manifest.groupBy("file").agg(F.max("ord").alias("ord"), F.max("end").alias("end"))
+    return last.mapInArrow(run, "file string, ord long")
 
 
 def tree(leaf: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
@@ -161,13 +176,16 @@ def audit(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOUT) -> DataF
 
 
 def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive all pages, copy the archive with a drill's damage, audit the replicas: a row a page with what the first replica holds and whether the record differs."""
+    """Archive all pages, copy the archive with a drill's damage, audit the replicas: a row a page with what the first replica holds and whether either replica's record is not the one written."""
     first, second = scratch(spark, "warc-a"), scratch(spark, "warc-b")
     manifest = write_warc(load(spark, sf_dir, "pages"), first)
     drill = manifest.filter(F.col("page_id") % DRILL == 0).select("file", F.floor((F.col("start") + F.col("end")) / 2).cast("long").alias("at"))
     copy_replica(manifest, first, second, drill)
     one, two = (materialise(leaves(manifest, root), "leaves") for root in (first, second))
-    bad = audit(tree(one), tree(two)).select("file", "ord", F.lit(True).alias("corrupt"))
+    bad = audit(tree(one), tree(two)).select("file", "ord")
+    for leaf, root in ((one, first), (two, second)):
+        bad = bad.union(leaf.filter("NOT intact").select("file", "ord")).union(longer_or_shorter(manifest, root))
+    bad = materialise(bad.distinct().withColumn("corrupt", F.lit(True)), "bad")
     joined = manifest.join(one.select("file", "ord", "record_sha256"), ["file", "ord"]).join(maybe_broadcast(bad, bad.count()), ["file", "ord"], "left")
     return joined.select("page_id", "n_bytes", "record_sha256", F.coalesce("corrupt", F.lit(False)).alias("corrupt"))
 

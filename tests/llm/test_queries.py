@@ -180,3 +180,19 @@ def test_warc(spark):
     assert warc_fixity.audit(trees[0], trees[0], fanout=4).count() == 0
     whole = {r.record_sha256 for r in warc_fixity.leaves(manifest, a).collect()}
     assert len(whole) == 302 and warc_fixity.write_warc(pages.limit(0), scratch(spark, "test-c")).count() == 0
+
+
+def test_warc_against_what_was_written(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "é" * i) for i in range(300)], "page_id long, url string, html string")
+    a, b, alike = (scratch(spark, f"test-{x}") for x in "efg")
+    manifest = warc_fixity.write_warc(pages, a, file_bytes=20_000)
+    warc_fixity.copy_replica(manifest, a, b, manifest.filter("page_id IN (17, 250)").select("file", (F.col("start") + 5).alias("at")))
+    warc_fixity.copy_replica(manifest, b, alike)
+    one, two, three = (warc_fixity.leaves(manifest, root) for root in (a, b, alike))
+    assert warc_fixity.audit(warc_fixity.tree(two), warc_fixity.tree(three)).count() == 0  # the replicas agree
+    assert [{r.page_id for r in x.filter("NOT intact").join(manifest, ["file", "ord"]).collect()} for x in (one, two, three)] == [set(), {17, 250}, {17, 250}]
+    assert warc_fixity.longer_or_shorter(manifest, alike).count() == 0
+    last = manifest.orderBy("file", F.desc("ord")).first()
+    with open(f"{alike.removeprefix('file://')}/{last.file}", "ab") as out:
+        out.write(b"more")
+    assert [tuple(r) for r in warc_fixity.longer_or_shorter(manifest, alike).collect()] == [(last.file, last.ord)]
