@@ -9,9 +9,11 @@ from driftline.functions import script, text
 from driftline.functions.jsontree import json_leaves, json_with
 from driftline.functions.wrapper import split_wrapped
 from driftline.operators import diff, master, rebuild, work
-from driftline.sources import scripts
+from driftline.sources import scripts, web
 
 ACCENTS = r"[À-ÿ]"
+#: More names than this are joined.
+NAMES = 1000
 LABELS = {"1-": "first", "2-": "second", "3-": "third"}
 
 
@@ -185,9 +187,14 @@ def split_wrapped_back(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_name_match(spark: SparkSession, sf: str) -> DataFrame:
-    """The first nation, by key, whose name contains a two-letter piece of each region's name; the names are a small dimension."""
-    names = {r.n_nationkey: r.n_name for r in table(spark, sf, "nation").orderBy("n_nationkey").limit(1000).collect()}
-    return table(spark, sf, "region").select("r_regionkey", text.first_containing(F.substring("r_name", 2, 2), names).alias("n_name"))
+    """The first nation, by key, whose name contains a two-letter piece of each region's name; beyond ``NAMES`` names by a join."""
+    nations, regions = table(spark, sf, "nation").orderBy("n_nationkey", "n_name"), table(spark, sf, "region").withColumn("piece", F.substring("r_name", 2, 2))
+    names = [r.n_name for r in nations.limit(NAMES + 1).collect()]
+    if len(names) <= NAMES:
+        return regions.select("r_regionkey", text.first_containing(F.col("piece"), dict(enumerate(names))).alias("n_name"))
+    hits = regions.select("piece").distinct().join(nations.filter("n_name <> ''"), F.contains("n_name", "piece"))
+    first = hits.groupBy("piece").agg(F.min(F.struct("n_nationkey", "n_name"))["n_name"].alias("n_name"))
+    return regions.join(first, "piece", "left").select("r_regionkey", "n_name")
 
 
 def context_from_stem(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,9 +234,12 @@ def script_rebuild(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def manifest_filter(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").filter(F.startswith("url", F.lit("https")) & ~F.endswith("url", F.lit("#top")))
-    log = table(spark, sf, "pages").filter("page_id % 4 = 0").select("page_id")
-    return pages.join(log, "page_id", "left_anti").select("page_id", F.replace(F.lit("https://store.example.com/{o}?x"), F.lit("{o}"), F.col("page_id").cast("string")).alias("object_url"))
+    """Pages over https that aren't held: every fourth is in the log, and its file is its HTML."""
+    pages = table(spark, sf, "pages").withColumn("name", F.concat_ws(" ", "url", "page_id"))
+    log = pages.filter("page_id % 4 = 0").select("name", F.lit("ok").alias("state"))
+    held = pages.select("name", F.coalesce(F.octet_length("html"), F.lit(0)).alias("n_bytes"))
+    wanted = web.eligible(pages.filter(~F.endswith("url", F.lit("#top"))), "https", "")
+    return web.missing(wanted, log, held).select("page_id", F.replace(F.lit("https://store.example.com/{o}?x"), F.lit("{o}"), F.col("page_id").cast("string")).alias("object_url"))
 
 
 def export_new(spark: SparkSession, sf: str) -> DataFrame:

@@ -109,3 +109,15 @@ def test_leaves_with_nulls(spark, sf):
     got = [(r.conv_id * 4 + r.k, r.path, r.text_sha256) for r in catalogue.json_flatten(spark, sf).collect()]
     want = [(i, p, digest(x)) for i, t in enumerate(TURNS) for p, x in (("turn.role", "user" if i % 2 else "helper"), ("turn.said[0]", t), ("turn.said[1]", "user" if i % 2 else "helper")) if x is not None]
     assert sorted(got) == sorted(want)
+
+
+def test_manifest_wants_empty_files(spark, tmp_path):
+    rows = [(0, "https://a", "x"), (4, "https://b", ""), (8, "https://c", None), (1, "https://d", "x"), (2, "http://e", "x"), (3, "https://f#top", "x")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id for r in catalogue.manifest_filter(spark, str(tmp_path)).collect()} == {4, 8, 1}
+
+
+def test_names_beyond_the_bound(spark, tmp_path):
+    spark.createDataFrame([(i, {1100: "xSIx", 1101: "ySIy", 1102: ""}.get(i, "-")) for i in range(1200)], "n_nationkey long, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(1, "ASIA"), (2, "AFRICA"), (3, None)], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    assert {tuple(r) for r in catalogue.first_name_match(spark, str(tmp_path)).collect()} == {(1, "xSIx"), (2, None), (3, None)}
