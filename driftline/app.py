@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,10 +104,16 @@ def extract(spark: SparkSession, cfg: dict) -> DataFrame:
     return documents.read_items(spark, f"{paths['work']}/extract")
 
 
-def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | None = None, waits: tuple[int, ...] = work.WAITS) -> dict:
+def progress(done: int, whole: int, ok: int, failed: int, seconds: float) -> str:
+    """Batches done, share, texts, failed batches, seconds so far and to go at this rate."""
+    rate = done / seconds if seconds > 0 else 0
+    return f"[{done}/{whole}] {100 * done / max(whole, 1):.1f}% ok {ok} failed {failed} | {seconds:.0f} s, {rate:.2f} batches a s, {(whole - done) / rate if rate else 0:.0f} s to go"
+
+
+def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | None = None, waits: tuple[int, ...] = work.WAITS, report: Callable[[str], object] = print) -> dict:
     """Pending items answered in waves, each kept in the checkpoint; all items merged. The checkpoint goes once no batch has failed.
 
-    Results are kept by uid and source text, so that a changed source is pending again.
+    Results are kept by uid and source text, so that a changed source is pending again. ``report`` gets a line a wave.
     """
     llm, at = cfg["llm"], cfg["paths"]["work"]
     items, skip = documents.read_items(spark, f"{at}/extract"), bool(llm["skip_changed"])
@@ -122,28 +129,31 @@ def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | No
     elif files.exists(prior_path):  # items from elsewhere: a result is a text that isn't merely carried over
         earlier = documents.read_items(spark, prior_path).filter(~no_text(F.col("cn")) & ~F.col("cn").eqNullSafe(F.col("existing_cn")))
         prior = earlier.select("uid", content_key(F.col("jp")).alias("jp_sha"), "cn")
-    done = checkpoint().unionByName(prior.join(checkpoint(), ["uid", "jp_sha"], "left_anti"))
-    todo = work.pending(items, done, skip)
-    n_todo, per_wave = todo.count(), llm["batch_size"] * WAVE
+    todo = work.pending(items, work.checkpoint_over_prior(checkpoint(), prior, ["uid", "jp_sha"]), skip)
+    n_eligible, n_todo, per_wave = items.filter(work.eligible(skip)).count(), todo.count(), llm["batch_size"] * WAVE
     waves = -(-n_todo // per_wave)
     batched = work.batches(todo, llm["batch_size"]).withColumn("wave", F.pmod(F.xxhash64("gk", "batch"), F.lit(max(waves, 1))))
     batched.write.mode("overwrite").partitionBy("wave").parquet(planned_path)
     if backend is None and (kind := llm["backend"]) != "echo":
         validate_llm(llm)
-        options = {"base_url": llm["base_url"], "model": llm["model"], "key": llm["api_key"], "timeout": llm["timeout"]} | ({"max_tokens": llm["max_tokens"]} if kind == "anthropic" else {})
+        options = {"base_url": llm["base_url"], "model": llm["model"], "key": llm["api_key"], "timeout": llm["timeout"]} | ({"max_tokens": llm["max_tokens"], "api_version": llm["api_version"]} if kind == "anthropic" else {})
         create_backend(kind, **options)  # an unknown kind fails here, not in the tasks
     else:
         kind, options = "echo", {}
     make = backend or (lambda: create_backend(kind, **options))
-    planned, failed = spark.read.schema(batched.schema).parquet(planned_path), 0
+    planned, failed, n_ok, n_batches = spark.read.schema(batched.schema).parquet(planned_path), 0, 0, 0
+    whole, began = planned.select("gk", "batch").distinct().count(), time.monotonic()
     for wave in range(waves):
         some = planned.filter(F.col("wave") == wave)
         answered_path = f"{at}/answered"
         work.translate(some, make, llm["max_concurrent"], waits=waits, names=cfg["names"]).write.mode("overwrite").parquet(answered_path)
         answered = spark.read.parquet(answered_path)
         answered.filter(~no_text(F.col("cn"))).join(some.select("uid", content_key(F.col("jp")).alias("jp_sha")), "uid").select("uid", "jp_sha", "cn").write.mode("append").parquet(checkpoint_path)
-        failed += answered.filter("error IS NOT NULL").select("gk", "batch").distinct().count()
-    results = checkpoint().unionByName(prior.join(checkpoint(), ["uid", "jp_sha"], "left_anti")).groupBy("uid", "jp_sha").agg(F.max("cn").alias("cn"))
+        bad = answered.groupBy("gk", "batch").agg(F.max(F.col("error").isNotNull()).alias("failed"), F.count_if(~no_text(F.col("cn"))).alias("ok"))
+        batches, lost, ok = bad.agg(F.count(F.lit(1)), F.count_if("failed"), F.coalesce(F.sum("ok"), F.lit(0))).first()
+        n_batches, failed, n_ok = n_batches + batches, failed + lost, n_ok + ok
+        report(progress(n_batches, whole, n_ok, failed, time.monotonic() - began))
+    results = work.checkpoint_over_prior(checkpoint(), prior, ["uid", "jp_sha"]).groupBy("uid", "jp_sha").agg(F.max("cn").alias("cn"))
     results.write.mode("overwrite").parquet(f"{results_path}.new")
     files.swap(f"{results_path}.new", results_path)
     valid = spark.read.schema(CHECKPOINT).parquet(results_path).join(keyed.select("uid", "jp_sha"), ["uid", "jp_sha"], "left_semi").select("uid", "cn")
@@ -151,7 +161,7 @@ def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | No
     files.swap(f"{at}/translated.new", prior_path)
     for path in [planned_path, f"{at}/answered"] + ([] if failed else [checkpoint_path]):
         files.remove(path)
-    return {"n_pending": n_todo, "n_failed_batches": failed}
+    return {"n_eligible": n_eligible, "n_skipped": n_eligible - n_todo, "n_pending": n_todo, "n_answered": n_ok, "n_batches": whole, "n_failed_batches": failed}
 
 
 def build(spark: SparkSession, cfg: dict, package: str = "package") -> dict:
@@ -173,12 +183,13 @@ def build(spark: SparkSession, cfg: dict, package: str = "package") -> dict:
 
     texts = of["master"].withColumn("table", stem(F.col("file")))
     made = master.package_files(_master(spark, one).select(stem(F.col("path")).alias("table"), "value"), texts)
-    out["tables"] = files.write_named(made.select(F.concat("table", F.lit(".json")).alias("file"), "content"), f"{fresh}/{LOCAL}/masterTrans")
+    out["tables"], set_tables = files.write_counted(made.select(F.concat("table", F.lit(".json")).alias("file"), "content", "applied"), f"{fresh}/{LOCAL}/masterTrans")
 
     flat = _generic(spark, one).withColumnRenamed("rel", "file").join(of["generic"].select("file").distinct(), "file", "left_semi")
-    out["flat"] = files.write_named(rebuild.apply_generic(flat, of["generic"]).select("file", indented(F.col("value"), 2).alias("content")), fresh)
+    out["flat"], set_flat = files.write_counted(rebuild.apply_generic(flat, of["generic"]).select("file", indented(F.col("value"), 2).alias("content"), "applied"), fresh)
     nested = rebuild.apply_localization(_localization(spark, one), of["localization"])
-    out["nested"] = files.write_named(nested.select("file", indented(F.col("value"), 2).alias("content")), f"{fresh}/{LOCAL}")
+    out["nested"], set_nested = files.write_counted(nested.select("file", indented(F.col("value"), 2).alias("content"), "applied"), f"{fresh}/{LOCAL}")
+    out["applied"] = {"tables": set_tables, "flat": set_flat, "nested": set_nested}
 
     snapshot_path = f"{paths['work']}/snapshot"
     tables.write_pairs(diff.snapshot_upsert(tables.read_pairs(spark, snapshot_path, "uid", "jp"), of["master"]), snapshot_path)

@@ -49,7 +49,10 @@ class ChatBackend:
         reply = _post(endpoint(self.base_url, "/chat/completions"), {"model": self.model, "messages": [{"role": "user", "content": prompt}]}, {"Authorization": f"Bearer {self.key}"}, self.timeout)
         if not reply.get("choices"):
             raise ValueError(f"no choices: {json.dumps(reply)[:200]}")
-        return reply["choices"][0]["message"]["content"]
+        message = reply["choices"][0].get("message") if isinstance(reply["choices"][0], dict) else None
+        if not isinstance(message, dict) or not isinstance(message.get("content"), str):
+            raise ValueError(f"no text in the first choice: {json.dumps(reply)[:200]}")
+        return message["content"].strip()
 
 
 @dataclass
@@ -59,11 +62,15 @@ class MessagesBackend:
     key: str
     timeout: float = 180
     max_tokens: int = 4096
+    api_version: str = "2023-06-01"
 
     def translate(self, prompt: str) -> str:
         body = {"model": self.model, "max_tokens": self.max_tokens, "messages": [{"role": "user", "content": prompt}]}
-        reply = _post(endpoint(self.base_url, "/v1/messages"), body, {"x-api-key": self.key, "anthropic-version": "2023-06-01"}, self.timeout)
-        return next(b["text"] for b in reply["content"] if b.get("type") == "text")
+        reply = _post(endpoint(self.base_url, "/v1/messages"), body, {"x-api-key": self.key, "anthropic-version": self.api_version}, self.timeout)
+        texts = [b["text"] for b in reply.get("content") or () if isinstance(b, dict) and b.get("type") == "text" and isinstance(b.get("text"), str)]
+        if not texts:
+            raise ValueError(f"no text block: {json.dumps(reply)[:200]}")
+        return texts[0].strip()
 
 
 @dataclass

@@ -12,8 +12,8 @@ import yaml
 from driftline.sources.manifest import ManifestOptions
 
 #: Keys of the llm section that the environment overrides, as LLM_<KEY>.
-LLM_KEYS = {"backend": str, "base_url": str, "api_key": str, "model": str, "max_tokens": int, "batch_size": int, "max_concurrent": int, "timeout": int}
-LLM_DEFAULTS = {"backend": "openai", "skip_changed": True, "batch_size": 20, "max_concurrent": 5, "timeout": 180, "max_tokens": 4096}
+LLM_KEYS = {"backend": str, "base_url": str, "api_key": str, "model": str, "max_tokens": int, "batch_size": int, "max_concurrent": int, "timeout": int, "api_version": str}
+LLM_DEFAULTS = {"backend": "openai", "skip_changed": True, "batch_size": 20, "max_concurrent": 5, "timeout": 180, "max_tokens": 4096, "api_version": "2023-06-01"}
 #: scripts: fetched files; primary, fallback: earlier packages; tables: YAML tables; work: items, checkpoint and snapshot.
 PATHS = {"scripts": "cache/server", "primary": "cache/primary", "fallback": "cache/fallback", "tables": "cache/tables", "work": "cache", "output": "output"}
 

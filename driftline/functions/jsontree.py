@@ -55,32 +55,39 @@ def json_leaves(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else [{"path": k, "text": v} for k, v in flatten(json.loads(t)).items()])
 
 
-@F.pandas_udf(T.StringType())
-def json_with(texts: pd.Series, updates: pd.Series) -> pd.Series:
-    """JSON texts with their map of path to text put in, where the paths exist."""
+_UPDATED = T.StructType([T.StructField("value", T.StringType()), T.StructField("applied", T.LongType())])
+
+
+def _updated(texts: pd.Series, updates: pd.Series, put) -> pd.DataFrame:
+    """put(tree, key, text) tells whether it set the text."""
 
     def one(t, u):
         if t is None:
-            return None
+            return None, 0
         tree = json.loads(t)
-        for path, text in dict(u if u is not None else {}).items():
-            set_path(tree, path, text)
-        return json.dumps(tree, ensure_ascii=False, separators=(",", ":"))
+        n = sum(put(tree, key, text) for key, text in dict(u if u is not None else {}).items())
+        return json.dumps(tree, ensure_ascii=False, separators=(",", ":")), n
 
-    return pd.Series([one(t, u) for t, u in zip(texts, updates, strict=True)])
+    return pd.DataFrame([one(t, u) for t, u in zip(texts, updates, strict=True)], columns=["value", "applied"])
 
 
-@F.pandas_udf(T.StringType())
-def json_with_fields(texts: pd.Series, updates: pd.Series) -> pd.Series:
-    """JSON objects with their map of key to text put in, where the keys exist; keys are no paths."""
+@F.pandas_udf(_UPDATED)
+def json_with(texts: pd.Series, updates: pd.Series) -> pd.DataFrame:
+    """struct<value,applied>: JSON texts with their map of path to text put in, where the paths exist, and how many were."""
+    return _updated(texts, updates, set_path)
+
+
+def _set_field(tree, key: str, text: str) -> bool:
+    if key not in tree:
+        return False
+    tree[key] = text
+    return True
 
-    def one(t, u):
-        if t is None:
-            return None
-        tree = json.loads(t)
-        return json.dumps(tree | {k: v for k, v in dict(u if u is not None else {}).items() if k in tree}, ensure_ascii=False, separators=(",", ":"))
 
-    return pd.Series([one(t, u) for t, u in zip(texts, updates, strict=True)])
+@F.pandas_udf(_UPDATED)
+def json_with_fields(texts: pd.Series, updates: pd.Series) -> pd.DataFrame:
+    """struct<value,applied>: JSON objects with their map of key to text put in, where the keys exist; keys are no paths."""
+    return _updated(texts, updates, _set_field)
 
 
 def indented(c, spaces: int):

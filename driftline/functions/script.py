@@ -27,6 +27,7 @@ _NEXT = rf"[ \t]+[a-zA-Z_]{WORD}*="
 PAIR = rf"({WORD}+)=({_balanced('{', '}')}|{_balanced('[', ']')}|[{{\[][\s\S]*|(?![{{\[])(?!\z)(?:(?!{_NEXT})[\s\S](?:[^= \t]++|(?!{_NEXT})[ \t]|(?<=\\)=)*+)?)"
 #: More opening signs of a kind than the pattern has levels.
 DEEP = r"(?:\{[^{]*+){5}|(?:\[[^\[]*+){5}"
+# Fixed values, the format's own: how the texts of choices are found (to read and to replace them).
 CHOICE = rf"(?Ud)text=(.*?)\]?(?=\s+(?:text=|[a-zA-Z_]\w*=)|$)"
 CHOICE_SPAN = rf"(?Ud)text=(.*?)(?=\s+(?:text=|[a-zA-Z_]\w*=)|$)"
 
@@ -41,7 +42,8 @@ def command(line: Column) -> Column:
 
 
 def body(line: Column) -> Column:
-    return strip(F.regexp_extract(strip(line), rf"(?Us)^\[{WORD}+\s(.*)\]", 1))
+    """What is between the command's white space and the last "]", blanks at either end included: they belong to values."""
+    return F.regexp_extract(strip(line), rf"(?Us)^\[{WORD}+\s(.*)\]", 1)
 
 
 _KEY = re.compile(r"(\w+)=")

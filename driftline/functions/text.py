@@ -31,7 +31,7 @@ def looks_like_source(c: Column, char_class: str = KANA_CLASS) -> Column:
 
 
 def normalise_source(c: Column, tags: str = "r|em") -> Column:
-    """Drop markup tags and unify dashes."""
+    """Drop markup tags and unify dashes. The tag pattern and the two dashes are fixed values of the format."""
     return F.replace(F.regexp_replace(c, rf"</?(?:{tags})(?:\\=[^>]*)?>", ""), F.lit("—"), F.lit("―"))
 
 
@@ -40,7 +40,7 @@ def sources_equal(a: Column, b: Column, tags: str = "r|em") -> Column:
 
 
 def normalise_answer(c: Column) -> Column:
-    """Make an answer safe for one line: no trailing separator, line breaks as two characters, tags in the script's spelling."""
+    """Make an answer safe for one line: no trailing separator, line breaks as two characters, tags in the script's spelling. The patterns are fixed values of the format."""
     c = F.regexp_replace(c, r"(?:\r?\n|\\r\\n|\\n)+---\s*$", "")
     c = F.regexp_replace(c, r"\r\n|\r|\n", r"\\n")
     return F.replace(F.replace(c, F.lit("<r="), F.lit("<r\\=")), F.lit("</r\\>"), F.lit("</r>"))

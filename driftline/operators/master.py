@@ -86,21 +86,21 @@ def _record_json(rec: Column, raw: bool) -> Column:
 
 
 def _joined(rows: DataFrame, order: str, record: Column) -> DataFrame:
-    """(table, data): the records of a table, which is one document, as a JSON list."""
+    """(table, data, applied): the records of a table, which is one file and so one row, as a JSON list; how many fields were set."""
     listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col("_r").alias("r"))))
-    return rows.withColumn("_r", record).groupBy("table").agg(F.concat(F.lit("["), F.array_join(F.transform(listed, lambda x: x["r"]), ","), F.lit("]")).alias("data"))
+    return rows.withColumn("_r", record).groupBy("table").agg(F.concat(F.lit("["), F.array_join(F.transform(listed, lambda x: x["r"]), ","), F.lit("]")).alias("data"), F.sum("applied").cast("long").alias("applied"))
 
 
 def package_files(files: DataFrame, items: DataFrame, check_id: bool = True) -> DataFrame:
-    """(table, content): the files (table, value) that items change, rewritten, and files of tables that had none."""
+    """(table, content, applied): the files (table, value) that items change, rewritten, and files of tables that had none; how many fields were set."""
     from driftline.sources.documents import package_rows
 
     touched = files.join(items.select("table").distinct(), "table", "left_semi")
     records = apply_updates(package_rows(touched.withColumnRenamed("table", "path")), items, check_id)
-    kept = touched.join(_joined(records, "rec_idx", _record_json(F.col("rec"), True)), "table").select("table", json_with_data("value", "data").alias("content"))
+    kept = touched.join(_joined(records, "rec_idx", _record_json(F.col("rec"), True)), "table").select("table", json_with_data("value", "data").alias("content"), "applied")
     fresh = new_table(items.join(files.select("table"), "table", "left_anti"))
     whole = F.concat(F.lit('{"id":'), F.col("record_id"), F.when(F.size("fields") > 0, F.concat(F.lit(","), F.substring(_record_json(F.col("fields"), False), F.lit(2), F.lit(2**31 - 1)))).otherwise(F.lit("}")))
-    made = _joined(fresh, "first", whole).select("table", json_with_data(F.lit('{"rules":{"primaryKeys":["id"]},"data":[]}'), "data").alias("content"))
+    made = _joined(fresh.withColumn("applied", F.size("fields")), "first", whole).select("table", json_with_data(F.lit('{"rules":{"primaryKeys":["id"]},"data":[]}'), "data").alias("content"), "applied")
     return kept.unionByName(made)
 
 

@@ -28,14 +28,14 @@ def rebuild_scripts(lines: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def apply_generic(files: DataFrame, items: DataFrame) -> DataFrame:
-    """(file, value) flat JSON with the texts of the items put in, where the key is there and the text isn't empty."""
+    """(file, value, applied): flat JSON with the texts of the items put in, where the key is there and the text isn't empty; how many were."""
     texts = items.withColumn("t", best_text(F.col("cn"), F.col("existing_cn"))).filter("t <> ''")
     got = last_wins(texts, ["file", "field"], "ord", "t").groupBy("file").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("u"))
-    return files.join(got, "file", "left").select("file", json_with_fields("value", F.coalesce("u", F.create_map().cast(_NONE))).alias("value"))
+    return files.join(got, "file", "left").select("file", json_with_fields("value", F.coalesce("u", F.create_map().cast(_NONE))).alias("x")).select("file", "x.*")
 
 
 def apply_localization(files: DataFrame, items: DataFrame) -> DataFrame:
-    """(file, value) nested JSON with the texts of the items set at existing paths."""
+    """(file, value, applied): nested JSON with the texts of the items set at existing paths; how many were."""
     texts = items.withColumn("t", best_text(F.col("cn"), F.col("existing_cn"))).filter("t <> ''")
     got = last_wins(texts, ["file", "field"], "ord", "t").groupBy("file").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("u"))
-    return files.join(got, "file", "left").select("file", json_with("value", F.coalesce("u", F.create_map().cast(_NONE))).alias("value"))
+    return files.join(got, "file", "left").select("file", json_with("value", F.coalesce("u", F.create_map().cast(_NONE))).alias("x")).select("file", "x.*")

@@ -25,9 +25,10 @@ def eligible(skip_changed: bool = False) -> Column:
     return (F.col("status") == "new") | ((F.col("status") == "changed") & F.lit(not skip_changed))
 
 
-def checkpoint_over_prior(checkpoint: DataFrame, prior: DataFrame) -> DataFrame:
-    """(uid, cn): the checkpoint, and earlier results that it lacks; empty ones don't count."""
-    return checkpoint.select("uid", "cn").unionByName(prior.filter(~no_text(F.col("cn"))).select("uid", "cn").join(checkpoint, "uid", "left_anti"))
+def checkpoint_over_prior(checkpoint: DataFrame, prior: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(uid, cn), or other keys than uid: the checkpoint, and earlier results that it lacks; empty ones don't count."""
+    keys = keys or ["uid"]
+    return checkpoint.select(*keys, "cn").unionByName(prior.filter(~no_text(F.col("cn"))).select(*keys, "cn").join(checkpoint, keys, "left_anti"))
 
 
 def pending(items: DataFrame, done: DataFrame, skip_changed: bool = False, by_source: bool = True) -> DataFrame:
@@ -93,21 +94,21 @@ def translate(planned: DataFrame, backend: Callable[[], object], concurrency: in
         for frame in frames:
             out = []
             for gk, batch, prompt, uids in frame[["gk", "batch", "prompt", "uids"]].itertuples(index=False):
-                uids, best, error = list(uids), {}, ""
+                uids, best, whole, error = list(uids), {}, False, None
                 for attempt in range(ATTEMPTS):
                     try:
-                        found = read_reply(service.translate(prompt), uids)
-                        best = found if len(found) > len(best) else best
-                        missing = [u for u in uids if not found.get(u)]
-                        error = f"{len(missing)} of {len(uids)} missing" if missing else ""
+                        found = {u: t for u, t in read_reply(service.translate(prompt), uids).items() if t}
+                        whole = len(found) == len(uids)
+                        best = found if whole or len(found) > len(best) else best
+                        error = None if whole else f"{len(uids) - len(found)} of {len(uids)} missing"
                     except Exception as e:  # noqa: BLE001  a failed call is an error row, not a failed job
-                        error = str(e)[:200]
-                    if not error:
+                        error = str(e)[:200] or type(e).__name__
+                    if whole:
                         break
                     if attempt < ATTEMPTS - 1:
                         time.sleep(waits[min(attempt, len(waits) - 1)] if waits else 0)
-                kept = best if not error or keep_partial else {}
-                out += [(gk, batch, u, kept.get(u), error or None) for u in uids]
+                kept = best if whole or keep_partial else {}
+                out += [(gk, batch, u, kept.get(u), error) for u in uids]
             yield pd.DataFrame(out, columns=["gk", "batch", "uid", "cn", "error"])
 
     return wanted.mapInPandas(run, "gk string, batch long, uid string, cn string, error string")
@@ -120,4 +121,5 @@ def merge_results(items: DataFrame, results: DataFrame, skip_changed: bool = Fal
 
 
 def counts(items: DataFrame) -> DataFrame:
+    """One row: n, n_new, n_changed."""
     return items.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "new").alias("n_new"), F.count_if(F.col("status") == "changed").alias("n_changed"))

@@ -215,7 +215,7 @@ def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
 def json_path_set(spark: SparkSession, sf: str) -> DataFrame:
     tree = F.to_json(F.struct("event_type", F.struct(F.array("event_type").alias("l")).alias("n")))
     update = F.create_map(F.lit("n.l[0]"), F.col("user_id").cast("string"), F.lit("missing"), F.lit("x"))
-    return table(spark, sf, "events").select("event_id", json_with(tree, update).alias("tree"))
+    return table(spark, sf, "events").select("event_id", json_with(tree, update)["value"].alias("tree"))
 
 
 def generic_explode(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +262,7 @@ def category_union(spark: SparkSession, sf: str) -> DataFrame:
 def apply_generic(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("file"), F.to_json(F.create_map(F.lit("a"), F.col("event_type"), F.lit("b"), F.lit("y"))).alias("value"))
     items = events.filter(F.col("file").cast("long") % 2 == 0).select("file", F.explode(F.array(F.lit("a"), F.lit("zz"))).alias("field"), F.lit("T").alias("cn"), F.lit("").alias("existing_cn"), F.lit(1).alias("ord"))
-    return rebuild.apply_generic(events, items)
+    return rebuild.apply_generic(events, items).select("file", "value", "applied")
 
 
 def crypto_hash(spark: SparkSession, sf: str) -> DataFrame:

@@ -59,15 +59,22 @@ def remove(path: str) -> None:
         store.delete_file(place)
 
 
-def write_named(files: DataFrame, folder: str) -> int:
-    """Write (file, content) as one file a row, on the executors; the number of files. A null content is an empty file."""
+def write_counted(files: DataFrame, folder: str) -> tuple[int, int]:
+    """Write (file, content, applied) as one file a row, on the executors; the number of files and the sum of ``applied``. A null content is an empty file."""
 
     def run(frames):
         for frame in frames:
-            sizes = [put(f"{folder}/{safe_name(n)}", (c or "").encode()) for n, c in zip(frame["file"], frame["content"], strict=True)]
-            yield pd.DataFrame({"n_bytes": sizes})
+            for n, c in zip(frame["file"], frame["content"], strict=True):
+                put(f"{folder}/{safe_name(n)}", (c or "").encode())
+            yield frame[["applied"]]
+
+    done = files.select("file", "content", F.col("applied").cast("long").alias("applied")).mapInPandas(run, "applied long")
+    return tuple(done.agg(F.count(F.lit(1)), F.coalesce(F.sum("applied"), F.lit(0))).first())
 
-    return files.select("file", "content").mapInPandas(run, "n_bytes long").agg(F.count("n_bytes").alias("n")).first()["n"]
+
+def write_named(files: DataFrame, folder: str) -> int:
+    """Write (file, content) as one file a row, on the executors; the number of files."""
+    return write_counted(files.withColumn("applied", F.lit(0)), folder)[0]
 
 
 def tree(folder: str) -> tuple[list[str], list[str]]:

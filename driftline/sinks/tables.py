@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from driftline.sinks import files
 from driftline.sources.documents import exists, read_map
 
-#: Rows go to the driver's JSON writer one at a time; the text is held on disk beyond this size.
-SPOOL_BYTES = 64 << 20
-
 
 def write_items(items: DataFrame, path: str) -> None:
     """Items as Parquet, or as one JSON array in the order of ord. JSON rows stream through the driver."""
@@ -22,15 +19,13 @@ def write_items(items: DataFrame, path: str) -> None:
         return
     ordered = items.orderBy("ord") if "ord" in items.columns else items
     store, place = files.located(path)
-    with tempfile.SpooledTemporaryFile(SPOOL_BYTES) as held:
-        for n, row in enumerate(ordered.select(F.to_json(F.struct(*ordered.columns)).alias("j")).toLocalIterator()):
-            held.write((b",\n" if n else b"[\n") + row.j.encode())
-        held.write(b"\n]" if held.tell() else b"[]")
-        held.seek(0)
-        store.create_dir(place.rsplit("/", 1)[0], recursive=True)
-        with store.open_output_stream(place, compression=None) as out:
-            while piece := held.read(1 << 20):
-                out.write(piece)
+    part, n = f"{place}.{uuid.uuid4().hex}.tmp", 0
+    store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(part, compression=None) as out:  # beside the place, which may be read meanwhile
+        for n, row in enumerate(ordered.select(F.to_json(F.struct(*ordered.columns)).alias("j")).toLocalIterator(), 1):
+            out.write((b",\n" if n > 1 else b"[\n") + row.j.encode())
+        out.write(b"\n]" if n else b"[]")
+    store.move(part, place)
 
 
 def export_items(items: DataFrame, status: str, path: str) -> int:

@@ -63,13 +63,24 @@ def table_rows(files: DataFrame) -> DataFrame:
 
 
 def package_rows(files: DataFrame) -> DataFrame:
-    """JSON translations {rules, data: [record]} -> (table, rec_idx, rec) with values as JSON texts."""
-    records = F.from_json(F.get_json_object("value", "$.data"), "array<string>")
-    return files.select(stem(F.col("path")).alias("table"), F.posexplode(records).alias("rec_idx", "r")).select("table", "rec_idx", F.udf(_json_fields, MASTER_RECORD)("r").alias("rec"))
+    """JSON translations (path, value), {rules, data: [record]} -> (table, rec_idx, rec): each record's fields as JSON texts, in their order.
 
+    A file that isn't a JSON object with a list of objects is an error: without it, all items of its table would look new. A file without ``data`` has no records.
+    """
 
-def _json_fields(text: str) -> dict[str, str]:
-    return {k: json.dumps(v, ensure_ascii=False) for k, v in json.loads(text).items()}
+    def run(batches):
+        for batch in batches:
+            out = []
+            for table, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    records = json.loads(value).get("data", [])
+                    out += [(table, i, [(k, json.dumps(v, ensure_ascii=False)) for k, v in r.items()]) for i, r in enumerate(records)]
+                except (AttributeError, TypeError, ValueError) as e:
+                    raise ValueError(f"{table}: not a JSON object with a list of records ({e})") from e
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out]), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.map_(pa.string(), pa.string()))], names=["table", "rec_idx", "rec"])
+
+    return files.select(stem(F.col("path")).alias("table"), "value").mapInArrow(run, f"table string, rec_idx int, rec {MASTER_RECORD}")
 
 
 def generic_items(files: DataFrame, char_class: str = SOURCE_CLASS) -> DataFrame:

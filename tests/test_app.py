@@ -55,15 +55,17 @@ def test_stages(spark, cfg, tmp_path):
     assert in_order == ["resource"] * 5 + ["master"] * 3 + ["generic"] * 2 + ["localization"] * 2
     assert app.export(spark, cfg) == {"new": 5, "changed": 1}
 
-    assert app.translate(spark, cfg, Partial, waits=()) == {"n_pending": 6, "n_failed_batches": 1}
+    said = []
+    assert app.translate(spark, cfg, Partial, waits=(), report=said.append) == {"n_eligible": 6, "n_skipped": 0, "n_pending": 6, "n_answered": 4, "n_batches": 4, "n_failed_batches": 1}
+    assert said[-1].startswith("[4/4] 100.0% ok 4 failed 1 | ")
     assert files.exists(f"{cfg['paths']['work']}/checkpoint")
-    assert app.translate(spark, cfg, EchoBackend, waits=()) == {"n_pending": 2, "n_failed_batches": 0}
+    assert app.translate(spark, cfg, EchoBackend, waits=()) == {"n_eligible": 6, "n_skipped": 4, "n_pending": 2, "n_answered": 2, "n_batches": 1, "n_failed_batches": 0}
     assert not files.exists(f"{cfg['paths']['work']}/checkpoint")
-    assert app.translate(spark, cfg, EchoBackend, waits=()) == {"n_pending": 0, "n_failed_batches": 0}
+    assert app.translate(spark, cfg, EchoBackend, waits=())["n_pending"] == 0
     cn = {r.uid: r.cn for r in documents.read_items(spark, f"{cfg['paths']['work']}/translated").collect()}
     assert cn[f"{stem}:1:text"] == "すABC" and cn[f"{stem}:4:text[1]"] == "おY" and cn[f"{stem}:3:text"] == "T3" and cn["master:New:0:7:name"] == "かな新"
 
-    assert app.build(spark, cfg) == {"scripts": 1, "tables": 2, "flat": 1, "nested": 1}
+    assert app.build(spark, cfg) == {"scripts": 1, "tables": 2, "flat": 1, "nested": 1, "applied": {"tables": 3, "flat": 1, "nested": 2}}
     out = tmp_path / "output" / "package"
     assert (out / f"local-files/resource/{stem}.txt").read_text() == "[message text=<r\\=すabc>すABC</r> name=麻央]\n# note\n[narration text=<r\\=うdef>T3</r>]\n[choicegroup choices=[choice text=<r\\=えx]>えX</r> choices=[choice text=<r\\=おy]>おY</r>]"
     read = lambda name: json.loads((out / "local-files" / name).read_text())

@@ -116,6 +116,16 @@ def test_pairs_to_any_depth(spark):
     assert one(spark, script.build_line(F.col("l"), F.col("t")), l=five, t={"text": "T"}) == r"[message clip={{{{{x}}}}} text=<r\=hello>T</r> name=bob]"
 
 
+def test_blanks_at_the_edges_belong_to_values(spark):
+    def jp(line):
+        return [(r.field, r.jp) for r in scripts.items(spark.createDataFrame([("f", 1, line)], "file string, line int, text string")).orderBy("seq").collect()]
+
+    assert jp("[message text=hello ]") == [("text", "hello ")]
+    assert jp("  [message  text= a  name=b\t] ") == [("text", " a"), ("name", "b\t")]
+    assert jp("[choicegroup text=a text=b ]") == [("text[0]", "a"), ("text[1]", "b ")]
+    assert one(spark, script.build_line(F.col("l"), F.col("t")), l="[message text=hello ]", t={"text": "T"}) == r"[message text=<r\=hello >T</r>]"
+
+
 def test_build_line(spark):
     def built(line, texts):
         return one(spark, script.build_line(F.col("l"), F.col("t")), l=line, t=texts)

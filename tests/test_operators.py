@@ -1,5 +1,9 @@
 """Diff, record tables, work planning and rebuilding."""
 
+import json
+
+import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from driftline.backend import EchoBackend, create_backend, endpoint, read_reply
@@ -72,6 +76,57 @@ def test_translate_merge_and_failures(spark):
     assert bad["f:2:text"] == (None, False) and bad["f:3:text"] == (None, False) and bad["f:4:text"] == ("TEXT 4", True)
 
 
+class Silent:
+    """An error without a message."""
+
+    def translate(self, prompt):
+        raise RuntimeError
+
+
+class HalfThenError:
+    """A part of the first batch, then errors."""
+
+    def __init__(self):
+        self.asked = 0
+
+    def translate(self, prompt):
+        self.asked += 1
+        if self.asked > 1:
+            raise ValueError
+        return "[f:0:text] T"
+
+
+def test_errors_are_never_successes(spark, monkeypatch):
+    from driftline import backend
+
+    planned = work.batches(work_items(spark, 2), 2)
+    for kind, partial, want in ((Silent, True, {None}), (HalfThenError, False, {None}), (HalfThenError, True, {None, "T"})):
+        rows = work.translate(planned, kind, waits=(), keep_partial=partial).collect()
+        assert {r.cn for r in rows} == want and all(r.error for r in rows)
+    service = backend.MessagesBackend("http://h", "m", "k", api_version="v9")
+    said = []
+    for reply in ({"content": []}, {"content": [{"type": "tool_use"}]}, {}):
+        monkeypatch.setattr(backend, "_post", lambda url, body, headers, timeout, reply=reply: said.append(headers["anthropic-version"]) or reply)
+        with pytest.raises(ValueError, match="no text block"):
+            service.translate("p")
+    assert set(said) == {"v9"}
+    monkeypatch.setattr(backend, "_post", lambda *a: {"choices": [{"message": {"content": None}}]})
+    with pytest.raises(ValueError, match="no text"):
+        backend.ChatBackend("http://h", "m", "k").translate("p")
+
+
+def test_package_files_keep_order_and_refuse_bad_json(spark):
+    text = '{"rules": {"primaryKeys": ["id"]}, "data": [{"id": "r1", "x": 1, "y": [1, {"b": 2, "a": 1.50}], "z": "old", "a": null, "b": true, "c": "k"}]}'
+    files = spark.createDataFrame([("T", text)], "table string, value string")
+    items = spark.createDataFrame([("T", 0, '"r1"', "z", "new", ""), ("T", 0, '"r1"', "more", "m", "")], "table string, rec_idx int, record_id string, field string, cn string, existing_cn string")
+    row = master.package_files(files, items).first()
+    assert list(json.loads(row.content)["data"][0].items()) == [("id", "r1"), ("x", 1), ("y", [1, {"b": 2, "a": 1.5}]), ("z", "new"), ("a", None), ("b", True), ("c", "k"), ("more", "m")] and row.applied == 2
+    for bad in ("{", "[]", '{"data": [1]}', '{"data": 3}'):
+        with pytest.raises(PythonException, match="not a JSON object"):
+            documents.package_rows(spark.createDataFrame([("a/T.json", bad)], "path string, value string")).collect()
+    assert documents.package_rows(spark.createDataFrame([("a/T.json", "{}")], "path string, value string")).count() == 0
+
+
 def test_replies():
     uids = ["a:1", "a:2"]
     assert read_reply("[a:2] y\n---\n[a:1] x", uids) == {"a:2": "y", "a:1": "x"}
