@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.base import BROADCAST_ROWS, materialise, maybe_broadcast
+from driftline.llm import base
+from driftline.llm.base import discard, materialise, maybe_broadcast
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,7 +20,7 @@ def minima(edges: DataFrame, most: int) -> DataFrame:
     when they are joined.
     """
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    if most <= BROADCAST_ROWS:
+    if most <= base.BROADCAST_ROWS:
         return F.broadcast(least)
     least = materialise(least, "least")
     return maybe_broadcast(least, least.count())
@@ -46,7 +47,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = materialise(large, "large-star")
         least = minima(large, 2 * state[0])
         small = large.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        past = now
         now = materialise(small.filter("u != v").distinct(), "small-star")
+        discard(past, large)
         last, state = state, _state(now)
         if state == last:
             break

@@ -8,11 +8,15 @@
    whose signatures agree in too few places are dropped, the others are confirmed on the full sets, and confirmed links are
    joined into components. Buckets whose classes are all in one component are done, which for a large group of near copies
    happens without enumerating its pairs.
-4. What is left: buckets that still hold several components. All classes of one component meet all of the others by signature,
-   in tiles of at most TILE by TILE classes spread over the tasks. A small bucket lists the pairs that agree enough; a larger
-   one first lists each class's best partner, and in a last round confirms on the full sets inside the tiles, skipping what
-   the tile has joined already. No link is lost to a cap, and no list of pairs grows with the square of a bucket.
-5. Components by alternating large-star and small-star.
+4. What is left: buckets that still hold several components. In those of at most SMALL classes all classes of unlike components
+   meet by signature, each pair in its first common band.
+5. The classes of larger ones, such as pages of one template that are less similar than the threshold, would meet in numbers
+   that grow with the square of the bucket. They go through a prefix-filtered join of their full sets instead, exact and
+   without buckets: shingles are put in one order for all, the rarest first, and two sets as similar as the threshold share
+   one among the first few of each, at places that leave room for enough common shingles after it. What pages of a template
+   have in common comes late in that order. Rounds with a hub for each shingle join dense groups first; then the pairs that
+   remain across components are listed. No link is lost to a cap.
+6. Components by alternating large-star and small-star after each step.
 
 Texts are read again only for the classes in surviving pairs. Nulls: a null text is empty; texts without words have empty sets
 and are linked with nothing; a null id is never the smallest of a component unless alone in it. Texts shorter than k words are
@@ -21,6 +25,8 @@ one shingle. Rows with one id and text carry the same answer. Empty table: empty
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import PAIR_BATCH, TEXT_BATCH, drop_rows, load, materialise, maybe_broadcast, text_of
+from driftline.llm.base import PAIR_BATCH, TEXT_BATCH, discard, drop_rows, load, materialise, maybe_broadcast, narrowed, text_of
 from driftline.llm.components import components
 from driftline.llm.token_files import batches_of, tidy
 from driftline.llm.wordcache import split_words
@@ -38,9 +44,10 @@ BANDS, ROWS = 32, 4
 #: Signatures that agree in fewer of the 128 places are not of sets as similar as 0.8: the mean is 102.4 there, the deviation 4.5.
 AGREE = 76
 STAR_ROUNDS = 2
-TILE = 256
 #: Buckets of at most so many classes list all their pairs across components.
 SMALL = 32
+#: Rounds with a hub for each shingle, made while the pairs to list are more than LISTED times the places they come from.
+HUB_ROUNDS, LISTED = 4, 8
 #: Bytes of text that a task turns into shingles at a time.
 SLICE = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -157,10 +164,12 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
 
 def _texts(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(key) distinct -> (key, text), the text of one document of each class; written. docs: (doc_id, th, text)."""
-    wanted = materialise(keys.join(classes.select("key", "rep"), "key").select("key", "rep.doc_id", "rep.th"), "wanted")
-    side = maybe_broadcast(wanted.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), wanted.count())
-    texts = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["th"] == F.col("_th"))).select("key", "text")
-    return materialise(texts.groupBy("key").agg(F.min("text").alias("text")), "texts")
+    wanted = materialise(keys.join(classes.select("key", "rep"), "key").select("key", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th")), "wanted")
+    near, side = narrowed(docs, "th", wanted, "_th", wanted.count())
+    texts = near.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("key", "text")
+    texts = materialise(texts.groupBy("key").agg(F.min("text").alias("text")), "texts")
+    discard(wanted)
+    return texts
 
 
 def _sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -195,85 +204,26 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, thres
 
     one, two = (texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return materialise(joined.mapInArrow(run, "a binary, b binary"), "links", PAIR_BATCH)
-
-
-def _crossing(sig: np.ndarray, comp: list, left: np.ndarray, right: np.ndarray, same_tile: bool, agree: int):
-    """For each row of a tile's left side: the row, and the rows of its right side in other components whose signatures agree enough, with their agreement."""
-    codes = {c: i for i, c in enumerate(dict.fromkeys(comp))}
-    code = np.array([codes[c] for c in comp])
-    for x in left.tolist():
-        ys = right[right > x] if same_tile else right
-        ys = ys[code[ys] != code[x]]
-        same = (sig[ys] == sig[x]).sum(axis=1)
-        if (same >= agree).any():
-            yield x, ys[same >= agree], same[same >= agree]
+    found = materialise(joined.mapInArrow(run, "a binary, b binary"), "links", PAIR_BATCH)
+    discard(texts)
+    return found
 
 
-def _rest(lab: DataFrame, classes: DataFrame, agree: int, docs: DataFrame | None = None, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """lab (h, band, key, comp) -> (a, b), links across components within buckets.
-
-    Without docs: candidates. From a bucket of at most SMALL classes all pairs whose signatures agree enough, each in its first
-    common band only; from a larger one each class's best partner in a tile. With docs: for the larger buckets, links confirmed
-    on the full sets inside the tiles, none between classes that the tile has already joined; so no list of pairs arises that
-    grows with the square of a bucket.
-    """
-    final = docs is not None
-    per = lab.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
-    per = per.groupBy("h").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("total")).filter("total > main.n")
-    if final:
-        per = per.filter(F.col("total") > SMALL)
-    per = per.select("h", "total", F.col("main.comp").alias("main"), F.ceil(F.col("main.n") / TILE).alias("tm"), F.ceil((F.col("total") - F.col("main.n")) / TILE).alias("to"))
-    rows = lab.join(per, "h")
-    rows = rows.join(classes.select("key", "sig"), "key").withColumn("other", F.col("comp") != F.col("main"))
-    own = F.pmod(F.xxhash64("key"), F.when(F.col("other"), F.col("to")).otherwise(F.col("tm")))
-    rows = rows.withColumn("own", own)
-    carried = ["band", "total", "own", "other", "key", "comp", "sig"]
-    if final:
-        rows = materialise(rows, "rest")
-        rows = rows.join(_texts(rows.select("key").distinct(), classes, docs), "key")
-        carried.append("text")
-
-    # the tiles (kind, i, j) in which a row takes part: kind 0 crosses others i with main ones j, kind 1 others i with others j >= i
-    def tile(kind: int, i, j):
-        return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"))
-
-    def up_to(c: str):
-        return F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-
-    crossing = F.transform(up_to("tm"), lambda j: tile(0, F.col("own"), j))
-    among = F.transform(up_to("to"), lambda j: tile(1, F.least(F.col("own"), j), F.greatest(F.col("own"), j)))
-    serving = F.transform(up_to("to"), lambda i: tile(0, i, F.col("own")))
-    rows = rows.withColumn("t", F.explode(F.when(F.col("other"), F.concat(crossing, among)).otherwise(serving)))
-    rows = rows.select("h", "t.kind", "t.i", "t.j", *carried).repartition("h", "kind", "i", "j").sortWithinPartitions("h", "kind", "i", "j")
+def small_buckets(lab: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
+    """lab (h, band, key, comp) of buckets with at most SMALL classes -> (a, b): the pairs across components whose signatures agree enough, each in its first common band only."""
+    deal = int(lab.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the work goes by pairs, not by bytes, so partitions aren't merged by size
+    rows = lab.join(classes.select("key", "sig"), "key").select("h", "band", "key", "comp", "sig").repartition(deal, "h").sortWithinPartitions("h")
 
     def compare(group: pa.Table) -> list[tuple[bytes, bytes]]:
-        kind, i, j, band, total = (group.column(c)[0].as_py() for c in ("kind", "i", "j", "band", "total"))
-        sig = _sig_array(group.column("sig").combine_chunks())
-        key, comp = group.column("key").to_pylist(), group.column("comp").to_pylist()
-        other, own = group.column("other").to_numpy(), group.column("own").to_numpy()
-        left = np.flatnonzero(other if kind == 0 else own == i)
-        right = np.flatnonzero(~other if kind == 0 else own == j)
-        found = _crossing(sig, comp, left, right, kind == 1 and i == j, agree)
-        if final:
-            sets, up = _sets(group.column("text").combine_chunks(), k), {c: c for c in comp}
-
-            def root(c):
-                while up[c] != c:
-                    c = up[c]
-                return c
-
-            out = []
-            for x, ys, same in found:
-                for y in ys[np.argsort(-same, kind="stable")].tolist():
-                    if root(comp[x]) != root(comp[y]) and _similar(sets[x], sets[y], threshold):
-                        up[root(comp[x])] = root(comp[y])
-                        out.append((key[x], key[y]))
-            return out
-        if total > SMALL:
-            return [(key[x], key[int(ys[same.argmax()])]) for x, ys, same in found]
+        band, key = group.column("band")[0].as_py(), group.column("key").to_pylist()
+        comp = pc.dictionary_encode(group.column("comp").combine_chunks()).indices.to_numpy()
+        sig, out = _sig_array(group.column("sig").combine_chunks()), []
         bands = _band_hashes(sig)
-        return [(key[x], key[y]) for x, ys, _ in found for y in ys[(bands[ys] == bands[x]).argmax(axis=1) == band].tolist()]
+        for x in range(len(key) - 1):
+            ys = np.flatnonzero(comp[x + 1 :] != comp[x]) + x + 1
+            ys = ys[(sig[ys] == sig[x]).sum(axis=1) >= agree]
+            out += [(key[x], key[y]) for y in ys[(bands[ys] == bands[x]).argmax(axis=1) == band].tolist()]
+        return out
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -286,13 +236,13 @@ def _rest(lab: DataFrame, classes: DataFrame, agree: int, docs: DataFrame | None
             if not batch.num_rows:
                 continue
             found: list[tuple[bytes, bytes]] = []
-            group = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)], axis=1)
-            edges = np.r_[0, np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, batch.num_rows].tolist()
+            h = batch.column(0).to_numpy()
+            edges = np.r_[0, np.flatnonzero(h[1:] != h[:-1]) + 1, batch.num_rows].tolist()
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if last != group[a].tolist():
+                if last != h[a]:
                     if held:
                         found += compare(pa.Table.from_batches(held))
-                    held, last = [], group[a].tolist()
+                    held, last = [], h[a]
                 held.append(batch.slice(a, b - a))
             if found:
                 yield done(found)
@@ -302,6 +252,72 @@ def _rest(lab: DataFrame, classes: DataFrame, agree: int, docs: DataFrame | None
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+def full_sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(key) distinct -> (key, n, grams), written: the shingle hashes of each class, rising as unsigned numbers."""
+    texts = _texts(keys, classes, docs)
+
+    def run(batches):
+        for batch in batches:
+            for part in batches_of(batch, SLICE):
+                h, offsets = shingles(part.column(1), k)
+                grams = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets).astype(np.int64)), grams], names=["key", "n", "grams"])
+
+    sets = materialise(texts.mapInArrow(run, "key binary, n long, grams array<long>"), "sets", TEXT_BATCH)
+    discard(texts)
+    return sets
+
+
+def prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+    """(key, n, grams) -> (g, key, n, most), written: the places at which a similar set can share its first shingle.
+
+    Order: shingles that no other set has, then by the number of sets that have them, then by hash. Two sets of a and b
+    shingles are similar enough iff (100 + threshold) * common >= threshold * (a + b). If the first that they share, in
+    order, is at place p (from 0) of the one of a, common <= a - p, so b is at most
+    most = ((100 + threshold) * (a - p) - threshold * a) / threshold. Places whose ``most`` is less than any similar set has are
+    left out: what remains is a fifth of a set.
+    """
+    each = sets.select("key", "n", F.explode("grams").alias("g"))
+    shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    met = each.join(shared, "g").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("x"))  # at most the set's size
+    met = met.select("key", "n", F.posexplode("x").alias("i", "x"), (F.col("n") - F.size("x")).alias("alone"))
+    most = F.floor(((100 + threshold) * (F.col("n") - F.col("alone") - F.col("i")) - threshold * F.col("n")) / threshold).cast("long")
+    out = met.select(F.col("x.g").alias("g"), "key", "n", most.alias("most")).filter(100 * F.col("most") >= threshold * F.col("n"))
+    return materialise(out, "prefixes")
+
+
+def agreeing_sets(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; written."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                x, y = ([v.values.to_numpy().view(np.uint64) for v in part.column(c)] for c in (2, 3))
+                yield part.filter(pa.array([_similar(i, j, threshold) for i, j in zip(x, y, strict=True)], pa.bool_())).select([0, 1])
+        tidy()
+
+    one, two = (sets.select(F.col("key").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "grams_a", "grams_b")
+    return materialise(joined.mapInArrow(run, "a binary, b binary"), "links", PAIR_BATCH)
+
+
+def _met(places: DataFrame, comps: DataFrame) -> DataFrame:
+    """(g, key, n, most, comp, main), written: the places at shingles that still have several components, of which main is the one with most places."""
+    rows = places.join(comps, "key")
+    per = rows.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("c"), F.max((F.col("most") >= F.col("n")).cast("int")).alias("smaller"))
+    per = per.groupBy("g").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("total"), F.max("smaller").alias("smaller")).filter("total > x.c AND smaller = 1")
+    per = per.select("g", F.col("x.comp").alias("main"), ((F.col("total") - F.col("x.c")) * F.col("total").cast("double")).alias("listed"))
+    return materialise(rows.join(per, "g"), "met")
+
+
+def _fitting(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of two sides' places at one shingle, in unlike components, each of a size that the other's place allows."""
+    other = theirs.select("g", F.col("key").alias("_k"), F.col("comp").alias("_c"), F.col("n").alias("_n"), F.col("most").alias("_m"))
+    both = mine.join(other, "g").filter((F.col("comp") != F.col("_c")) & (F.col("n") <= F.col("_m")) & (F.col("_n") <= F.col("most")))
+    return both.select(F.least("key", "_k").alias("a"), F.greatest("key", "_k").alias("b")).distinct()
+
+
 def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agree: int = AGREE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept and th (xxhash64 of the text), a row a document."""
     if threshold < THRESHOLD:
@@ -314,32 +330,61 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
     banded = buckets(classes)
     shared = materialise(banded.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "buckets")
     members = materialise(banded.join(maybe_broadcast(shared, shared.count()), "h"), "members")
-    links: DataFrame | None = None
+    links: list[DataFrame] = []
     roots: DataFrame | None = None
 
-    def labelled() -> DataFrame:
+    def labels(rows: DataFrame) -> DataFrame:
+        """rows (key, ...) with the component of each class."""
         if roots is None:
-            return members.withColumn("comp", F.col("key"))
-        return members.join(roots.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("comp", F.coalesce("root", "key")).drop("root")
-
-    for turn in range(STAR_ROUNDS + 2):
-        lab = labelled()
-        if turn < STAR_ROUNDS:
-            hubs = lab.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_"), "key", "comp")).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-            hubs = hubs.filter("low != high").select("h", F.col("hub.key").alias("hub"), F.col("hub.comp").alias("hub_comp"))
-            pairs = lab.join(hubs, "h").filter("comp != hub_comp").select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
-            pairs = _agreeing(pairs, classes, agree)
-        elif turn == STAR_ROUNDS:
-            pairs = _rest(lab, classes, agree)
-        else:
-            pairs = _rest(lab, classes, agree, base, k, threshold)
-        pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs", TEXT_BATCH)
-        if pairs.isEmpty():
-            continue
-        found = confirm(pairs, classes, base, k, threshold) if turn <= STAR_ROUNDS else pairs
-        found = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        links = found if links is None else links.union(found)
-        roots = materialise(components(links), "roots")
+            return rows.withColumn("comp", F.col("key"))
+        return rows.join(roots.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("comp", F.coalesce("root", "key")).drop("root")
+
+    def settle(pairs: DataFrame, check) -> None:
+        """Candidates (whose signatures agree) confirmed, and components joined by what was found."""
+        nonlocal roots
+        pairs = materialise(pairs, "pairs", TEXT_BATCH)
+        if not pairs.isEmpty():
+            links.append(check(pairs))
+            past, roots = roots, materialise(components(reduce(DataFrame.unionAll, links).select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+            if past is not None:
+                discard(past)
+        discard(pairs)
+
+    def by_text(pairs: DataFrame) -> DataFrame:
+        return confirm(pairs, classes, base, k, threshold)
+
+    for turn in range(STAR_ROUNDS):
+        lab = labels(members)
+        hubs = lab.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_"), "key", "comp")).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        hubs = hubs.filter("low != high").select("h", F.col("hub.key").alias("hub"), F.col("hub.comp").alias("hub_comp"))
+        pairs = lab.join(hubs, "h").filter("comp != hub_comp").select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
+        settle(_agreeing(pairs, classes, agree), by_text)
+    lab = labels(members)
+    open_ = lab.groupBy("h").agg(F.count(F.lit(1)).alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("h", "total")
+    left = materialise(lab.join(open_, "h"), "left")
+    hot = materialise(left.filter(F.col("total") > SMALL).select("key").distinct(), "hot")
+    settle(small_buckets(left.filter(F.col("total") <= SMALL), classes, agree), by_text)
+    if not hot.isEmpty():
+        sets = full_sets(hot, classes, base, k)
+        places = prefixes(sets, threshold)
+
+        def by_set(pairs: DataFrame) -> DataFrame:
+            return agreeing_sets(pairs, sets, threshold)
+
+        for turn in range(HUB_ROUNDS + 1):
+            met = _met(places, labels(hot))
+            listed = met.groupBy("g").agg(F.first("listed").alias("listed")).agg(F.sum("listed")).first()[0] or 0
+            last = turn == HUB_ROUNDS or listed <= LISTED * met.count()
+            if last:  # pairs with a class outside the shingle's main component are all there are
+                settle(_agreeing(_fitting(met.filter("comp != main"), met), classes, agree), by_set)
+            else:
+                hubs = met.filter("most >= n").groupBy("g").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_"), "key", "comp", "n", "most")).alias("hub")).select("g", "hub.key", "hub.comp", "hub.n", "hub.most")
+                settle(_agreeing(_fitting(hubs, met), classes, agree), by_set)
+            discard(met)
+            if last:
+                break
+        discard(sets, places)
+    discard(classes, shared, members, left, hot, *links)
     of = drawn.select("doc_id", "n", "key", "th")
     if roots is None:
         of = of.withColumn("root", F.col("key"))

@@ -9,7 +9,9 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from driftline.llm import pieces, quality, token_files, toxicity
+from pyspark.sql import functions as F
+
+from driftline.llm import near_dedup, pieces, quality, token_files, toxicity
 from driftline.llm.collection_bwt import SYMBOL, RoundFiles, build
 from driftline.llm.quotient import CountingQuotientFilter, tally
 
@@ -73,6 +75,70 @@ def test_added_tokens():
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
+def _components_by_brute_force(texts, k):
+    sets = [{tuple(w[i : i + k]) for i in range(max(len(w) - k + 1, 1))} if (w := t.split()) else set() for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and sets[a] & sets[b]:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize(("small", "listed"), [(2, 8), (2, 0), (32, 8)])
+def test_large_buckets_lose_no_link(spark, monkeypatch, small, listed):
+    """Pages of templates, less similar than the threshold or about it; dense groups, chains, sets within sets, short texts."""
+    rng = random.Random(11)
+
+    def own(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    texts = []
+    for share, sizes in ((60, range(16, 24)), (90, range(3, 30)), (40, [40])):
+        frame = own(share)
+        texts += [" ".join(frame + own(rng.choice(sizes))) for _ in range(60)]
+    for _ in range(8):  # groups of near copies under one frame
+        seed = frame + own(40)
+        for _ in range(12):
+            copy = list(seed)
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = own(1)[0]
+            texts.append(" ".join(copy[rng.randrange(4) :]))
+    chain = own(80)
+    for i in range(30):
+        chain[rng.randrange(80)] = f"c{i}"
+        texts.append(" ".join(chain))
+    pool = [own(10) for _ in range(8)]
+    texts += [" ".join(w for part in rng.sample(pool, 6) for w in part) for _ in range(40)]
+    texts += ["a b c d", "a b c d e", "a b c", "a b c", "", *(f"a b c d {i}" for i in range(40))]
+    rng.shuffle(texts)
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "LISTED", listed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs, 4).collect()}
+    want = _components_by_brute_force(texts, 4)
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_prefixes_hold_every_pair(spark):
+    rng = random.Random(12)
+    sets = [sorted(rng.sample(range(30), rng.randrange(1, 25))) for _ in range(200)]
+    rows = spark.createDataFrame([(bytes([i]), len(x), x) for i, x in enumerate(sets)], "key binary, n long, grams array<long>")
+    comps = rows.select("key", F.col("key").alias("comp"))
+    places = near_dedup.prefixes(rows, 80)
+    met = near_dedup._met(places, comps)
+    pairs = {(r.a[0], r.b[0]) for r in near_dedup._fitting(met.filter("comp != main"), met).collect()}
+    want = {(a, b) for b in range(200) for a in range(b) if 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))}
+    assert want and want <= pairs
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((4000, 3)).astype(np.float32)
