@@ -1,22 +1,30 @@
 """Secret scans with an incremental blob ledger, in DataFrame functions only.
 
-Every historical version of every path is content-addressed (SHA-256 of its UTF-8 bytes). The ledger, a Parquet table in a
-folder, holds a row for each (blob, rule version) batch already scanned with the spans found; ``scan`` reads it, scans only
-the pairs it lacks, appends them, and joins the findings back to all paths. A blob that a third of the paths share is scanned
-once (pre-aggregated before the shuffle); the join back moves ids and hashes only, and adaptive execution splits a hot hash.
+Every historical version of every path is content-addressed (SHA-256 of its UTF-8 bytes). The ledger, two Parquet tables in a
+folder, holds the (blob, rule versions) already scanned and the spans found; ``scan`` compares a batch's hashes with it, scans
+only the pairs it lacks, appends them, and ``report`` joins the findings back to all paths.
+
+Texts stay where they are read: a blob that one row of the batch has is scanned in place, and of a blob that many have (a third
+of the paths, say) one copy a task is shuffled and one is scanned. Hashes, and the matches found, are what else is shuffled.
+Rows whose blob is done are kept out by a sieve of the unseen blobs; the few that slip through it are scanned in vain. Ledger
+entries of blobs that the batch lacks don't leave their scan. Adaptive execution splits a hot hash in the join back.
 
 Nulls: a null text is the empty blob, which has no spans; a null path is a path like others. Repeated rows each get an answer.
-Empty tables give empty results; input columns besides the two named are ignored.
+Empty tables give empty results; input columns besides the two named are ignored. A text with very many matches takes time and
+space in proportion to them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.base import load, scratch, text_of
+from driftline.llm import base
+from driftline.llm.base import discard, failing, load, materialise, narrowed, passing, scratch, sieve, text_of
 
 
 @dataclass(frozen=True)
@@ -45,24 +53,38 @@ RULES = (
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-def spans_of(text: Column, rule: Rule, rank: int) -> Column:
-    """All leftmost non-overlapping matches of the rule as (start, rank, end, kind), in code points, end exclusive.
-
-    Splitting the text at its matches gives the gaps; running sums over gaps and matches give the places.
-    """
-    none = F.array().cast(_SPANS)
+def _pieces(text: Column, rule: Rule, rank: int) -> Column:
+    """For each match of the rule, in order: rank, i, the length of the gap before it, its own length, whether it counts."""
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     held = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else matches
     pairs = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), matches.alias("hit"), held.alias("key"))
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    each = F.transform(pairs, lambda x, i: F.struct(F.lit(rank).alias("rank"), i.alias("i"), F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), (F.length(x["key"]) >= rule.least).alias("counts")))
+    return F.when(text.rlike(rule.hint), each).otherwise(F.array().cast("array<struct<rank:int,i:int,gap:int,hit:int,counts:boolean>>"))
+
+
+def spans_of(blobs: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """(blob, text) -> (blob, spans) of the blobs that have any: all leftmost non-overlapping matches as (start, rank, end, kind), in code points, end exclusive, in order.
+
+    Splitting a text at its matches gives the gaps; a running sum over gaps and matches, a window over the blob's matches, gives
+    the places. Repeated blobs have one answer.
+    """
+    found = blobs.select("blob", F.concat(*[_pieces(F.col("text"), r, k) for k, r in rules]).alias("m")).filter(F.size("m") > 0)
+    each = found.dropDuplicates(["blob"]).select("blob", F.explode("m").alias("m")).select("blob", "m.*").filter("hit IS NOT NULL")  # the last gap has no match behind it
+    end = F.sum(F.col("gap") + F.col("hit")).over(Window.partitionBy("blob", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    kind = F.element_at(F.create_map(*[F.lit(x) for k, r in rules for x in (k, r.kind)]), F.col("rank"))
+    placed = each.withColumn("end", end).filter("counts").select("blob", F.struct((F.col("end") - F.col("hit")).alias("start"), "rank", "end", kind.alias("kind")).alias("s"))
+    return placed.groupBy("blob").agg(F.array_sort(F.collect_list("s")).cast(_SPANS).alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["hit"])
-        found = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(F.length(x["key"]) >= rule.least, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"))
 
-    return F.when(text.rlike(rule.hint), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(none)
+def _once(rows: DataFrame, many: DataFrame, n: int) -> DataFrame:
+    """(blob, text) with one row for each blob of ``many``, and the others' rows as they are."""
+    if n <= base.BROADCAST_ROWS:
+        few = F.broadcast(many)
+        single, repeated = rows.join(few, "blob", "left_anti"), rows.join(few, "blob", "left_semi")
+    else:
+        bits = sieve(many, "blob", n)
+        single, repeated = failing(rows, "blob", bits), passing(rows, "blob", bits)
+    return single.unionAll(repeated.groupBy("blob").agg(F.first("text").alias("text")))  # one row a task and blob before the shuffle
 
 
 class SecretLedger:
@@ -71,36 +93,56 @@ class SecretLedger:
     def __init__(self, spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES):
         self.spark, self.path, self.rules = spark, path, rules
 
-    def entries(self) -> DataFrame:
-        """(blob binary, rules array<string>, spans): one row for each blob and batch that scanned it."""
-        schema = f"blob binary, rules array<string>, spans {_SPANS}"
-        jvm = self.spark._jvm
-        there = jvm.org.apache.hadoop.fs.Path(self.path)
+    def _table(self, name: str, schema: str) -> DataFrame:
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         if not there.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(there):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def scanned(self) -> DataFrame:
+        """(blob binary, rules array<string>): one row for each blob and batch that scanned it."""
+        return self._table("scanned", "blob binary, rules array<string>")
+
+    def found(self) -> DataFrame:
+        """(blob binary, rules array<string>, spans): one row for each blob and batch that found something in it."""
+        return self._table("found", f"blob binary, rules array<string>, spans {_SPANS}")
 
     def scan(self, versions: DataFrame, text_col: str = "text") -> int:
-        """Scan the unseen pairs among the blobs of ``versions`` and append them; returns the number of blobs scanned."""
-        names = [r.id for r in self.rules]
-        blobs = versions.select(text_of(text_col).alias("text")).select(F.unhex(F.sha2("text", 256)).alias("blob"), "text").dropDuplicates(["blob"])
-        seen = self.entries()
-        if seen.isEmpty():
-            todo = blobs.withColumn("todo", F.array(*map(F.lit, names)))
-        else:
-            seen = seen.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
-            todo = blobs.join(seen, "blob", "left").withColumn("todo", F.array_except(F.array(*map(F.lit, names)), F.coalesce("done", F.array().cast("array<string>"))))
-            todo = todo.filter(F.size("todo") > 0)
-        none = F.array().cast(_SPANS)
-        found = [F.when(F.array_contains("todo", r.id), spans_of(F.col("text"), r, k)).otherwise(none) for k, r in enumerate(self.rules)]
-        before = self.entries().count()
-        todo.select("blob", F.col("todo").alias("rules"), F.concat(*found).alias("spans")).write.mode("append").parquet(self.path)
-        return self.entries().count() - before
+        """Scan the unseen pairs among the blobs of ``versions`` and append them; returns the number of blobs scanned.
+
+        Findings are appended before the pairs: a scan that breaks off between is made again, and counts once.
+        """
+        names = F.array(*[F.lit(r.id) for r in self.rules])
+        texts = versions.select(text_of(text_col).alias("text")).select(F.unhex(F.sha2("text", 256)).alias("blob"), "text")
+        batch = materialise(texts.groupBy("blob").agg(F.count(F.lit(1)).alias("n")), "batch")
+        n_batch = batch.count()
+        past, own = narrowed(self.scanned(), "blob", batch.select("blob"), "blob", n_batch)
+        done = past.join(own, "blob").groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
+        todo = batch.join(done, "blob", "left").withColumn("rules", F.array_except(names, F.coalesce("done", F.array().cast("array<string>"))))
+        todo = materialise(todo.filter(F.size("rules") > 0).select("blob", "rules", "n"), "todo")
+        n_todo, parts = todo.count(), []
+        for lacking in [r.rules for r in todo.select("rules").distinct().collect()]:  # sets of rule versions: as many as the rules had changes
+            some = todo.filter(F.col("rules") == F.array(*map(F.lit, lacking)))
+            n_some, many = some.count(), materialise(some.filter("n > 1").select("blob"), "many")
+            rows = texts
+            if n_some < n_batch:
+                rows, few = narrowed(texts, "blob", some.select("blob"), "blob", n_some)
+                rows = rows.join(few, "blob", "left_semi") if rows is texts else rows
+            often = many.count()
+            if often:
+                rows = _once(rows, many, often)
+            spans = spans_of(rows, [(k, r) for k, r in enumerate(self.rules) if r.id in lacking])
+            parts.append(spans.join(some.select("blob", "rules"), "blob").select("blob", "rules", "spans"))
+        if parts:
+            reduce(DataFrame.unionAll, parts).write.mode("append").parquet(f"{self.path}/found")
+            todo.select("blob", "rules").write.mode("append").parquet(f"{self.path}/scanned")
+        discard(batch, todo)
+        return n_todo
 
     def findings(self) -> DataFrame:
         """(blob, spans) for the current rule versions, blobs with spans only; spans in order. A pair that two writers scanned counts once."""
         names = F.array(*[F.lit(r.id) for r in self.rules])
-        current = self.entries().filter(F.size("spans") > 0).filter(F.arrays_overlap("rules", names))
+        current = self.found().filter(F.arrays_overlap("rules", names))
         kinds = [F.when(F.array_contains("rules", r.id), F.lit(r.kind)) for r in self.rules]
         current = current.select("blob", F.filter("spans", lambda s: F.array_contains(F.array_compact(F.array(*kinds)), s["kind"])).alias("spans"))
         return current.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"))
@@ -118,9 +160,11 @@ class SecretLedger:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first scan of all documents into a new ledger. The ledger adds no spans to the base ones."""
+    """The history in two batches into a new ledger: the older versions (ids up to the middle of their range), then all documents, of which only blobs that the ledger lacks are scanned. The report has all documents. The ledger adds no spans to the base ones."""
     docs = load(spark, sf_dir, "documents")
     ledger = SecretLedger(spark, scratch(spark, "ledger"))
+    middle = docs.agg(F.floor((F.min("doc_id") + F.max("doc_id")) / 2)).first()[0]
+    ledger.scan(docs.filter(F.col("doc_id") <= middle))
     ledger.scan(docs)
     return ledger.report(docs)
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality, repeats, secrets, token_files, toxicity, warc_fixity
+from driftline.llm import base, decontaminate, exact_dedup, near_dedup, pieces, quality, repeats, secrets, token_files, toxicity, warc_fixity
 from driftline.llm.base import scratch
 from driftline.llm.components import components
 
@@ -47,11 +47,36 @@ def test_secrets_and_ledger(spark, docs):
     assert ledger.scan(docs) == 9 and ledger.scan(docs) == 0  # one scan a blob
     rows = {r.doc_id: r for r in ledger.report(docs).collect()}
     assert rows[10].spans == "assign:0:12,access:35:59,hex:60:88" and rows[10].n_assign == 1 and rows[4].spans == ""
+    later = docs.union(spark.createDataFrame([(11, "passwd: abcdefghi", "en", "s", 0, True, "x", 0.5, 1, 2)] * 3, SCHEMA))
+    assert ledger.scan(later) == 1 and {r.spans for r in ledger.report(later).filter("doc_id = 11").collect()} == {"assign:0:17"}
+    assert [ledger.found().groupBy("blob").count().filter("count > 1").count(), ledger.scanned().count()] == [0, 10]
     newer = secrets.SecretLedger(spark, path, (*secrets.RULES[:2], secrets.Rule("hex", 2, "[0-9a-f]{28}", "[0-9a-f]{28,}", 0, 28)))
     assert newer.scan(docs) == 9 and newer.scan(docs.union(docs)) == 0  # a new rule version is a new pair
     assert newer.report(docs).count() == docs.count() and ledger.report(none(docs)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [None, 0])
+def test_secrets_against_plain_python(spark, monkeypatch, rows):
+    """With and without broadcasts, over two batches, and a text with very many matches."""
+    if rows is not None:
+        monkeypatch.setattr(base, "BROADCAST_ROWS", rows)
+    rng = np.random.default_rng(8)
+    parts = ["token=", "SECRET : '", "api_key\"=\"", "AKIA", "A1B2C3D4E5F6A7B8", "0f" * 12, "abcdef", " ", "é", "password", "=", "x" * 7, "apikey:", "\n"]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 14))) for _ in range(150)] + [("0f" * 12 + " ") * 20_000, None, ""]
+    texts += texts[:40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    patterns = [(r.kind, re.compile(r.pattern, re.ASCII), r.group, r.least) for r in secrets.RULES]
+
+    def brute(t):
+        hits = [(m.start(), k, f"{kind}:{m.start()}:{m.end()}") for k, (kind, p, group, least) in enumerate(patterns) for m in p.finditer(t or "") if len(m.group(group)) >= least]
+        return ",".join(x[2] for x in sorted(hits))
+
+    ledger = secrets.SecretLedger(spark, scratch(spark, "test-ledger"))
+    first = len(set(map(lambda t: t or "", texts[:90])))
+    assert ledger.scan(docs.filter("doc_id < 90")) == first and ledger.scan(docs) == len({t or "" for t in texts}) - first
+    assert {r.doc_id: r.spans for r in ledger.report(docs).collect()} == {i: brute(t) for i, t in enumerate(texts)}
+
+
 def test_decontaminate(spark, docs):
     items = [(1, " ".join(f"WORD{i}" for i in range(5, 20))), (2, "short"), (3, None), (None, "no id"), (1, "word1 word2"), (4, "absent words here")]
     bench = spark.createDataFrame(items, "item_id long, text string")
