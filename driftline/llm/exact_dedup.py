@@ -1,7 +1,8 @@
 """Exact dedup: counting quotient filters built per partition find the fingerprints that repeat; only those texts are compared byte by byte.
 
 * Each partition counts 64-bit fingerprints in one filter a segment (leading bits); filters of a segment merge losslessly.
-* Fingerprints with a count of one are single texts and go no further: their text is never shuffled.
+* Fingerprints with a count of one are single texts and go no further: their text isn't shuffled, but for the few that slip
+  through the sieve that stands for the repeated fingerprints where these are too many to broadcast.
 * Texts of repeated fingerprints are grouped by (fingerprint, bytes), pre-aggregated before the shuffle, so one text that
   fills a third of the rows reaches the reducers as one row a task.
 
@@ -18,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import drop_rows, fresh, load, materialise, maybe_broadcast, text_of
+from driftline.llm import base
+from driftline.llm.base import drop_rows, fresh, load, materialise, maybe_broadcast, passing, sieve, text_of
 from driftline.llm.quotient import CountingQuotientFilter, tally
 
 #: Fingerprints that one task gathers before it writes out its filters.
@@ -71,7 +73,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seg_bits = min(20, 3 + int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
     whole = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("fp", F.xxhash64("text"))
     repeats = materialise(merged_repeats(partition_filters(whole.select("fp"), seg_bits)).select("fp"), "repeats")
-    routed = whole.join(maybe_broadcast(repeats, repeats.count()), "fp", "left_semi")
+    n = repeats.count()
+    routed = whole.join(F.broadcast(repeats), "fp", "left_semi") if n <= base.BROADCAST_ROWS else passing(whole, "fp", sieve(repeats, "fp", n))
     classes = routed.groupBy("fp", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     classes = materialise(classes.filter("group_size > 1").select(F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "classes")
     keyed = whole.select("doc_id", F.sha2("text", 256).alias("text_sha256"))

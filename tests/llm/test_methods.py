@@ -34,6 +34,23 @@ def test_quotient_filters_merge_without_loss(a, b, seg_bits):
     assert got == want
 
 
+def test_quotient_filters_are_packed():
+    rng = np.random.default_rng(3)
+    fps = np.unique(rng.integers(0, 2**56, 100_000, dtype=np.uint64))
+    counts = np.where(rng.random(len(fps)) < 0.1, rng.integers(2, 1 << 40, len(fps)), 1)
+    for seg_bits in (8, 20):
+        own = fps if seg_bits == 8 else np.unique(fps & np.uint64((1 << 44) - 1))
+        n = counts[: len(own)]
+        made = CountingQuotientFilter.build(own, n, 0, seg_bits)
+        data = made.to_bytes()
+        slots = len(made.slots)
+        assert len(data) <= 32 + (1 << made.q) // 8 + slots // 8 + slots * made.r // 8 + 2 and made.r == 64 - seg_bits - made.q
+        got = CountingQuotientFilter.from_bytes(data).items()
+        assert (got[0] == own).all() and (got[1] == n).all()
+        more = CountingQuotientFilter.merge([CountingQuotientFilter.from_bytes(data)] * 3).items()
+        assert (more[0] == own).all() and (more[1] == 3 * n).all()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_column_wise_construction(tmp_path, seed):
     rng = random.Random(seed)

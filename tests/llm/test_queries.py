@@ -30,7 +30,9 @@ def none(docs):
     return docs.limit(0)
 
 
-def test_exact(docs):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_exact(docs, monkeypatch, rows):
+    monkeypatch.setattr(base, "BROADCAST_ROWS", rows)
     got = sorted(((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs).collect()), key=str)
     want = {1: (2, 3, False), 2: (2, 3, True), 4: (5, 2, False), 5: (5, 2, True), 9: (9, 2, True)}
     for d, *rest in got:
