@@ -1,11 +1,13 @@
 """Token ids in Arrow stream files of equal-length sequences.
 
-Format: documents in rising order of id are cut into shards of neighbouring ids. ``<shard>.arrow`` is an Arrow IPC stream whose
+Format: documents in rising order of id are cut into shards of neighbouring ids and of about FILE_BYTES at most (a document isn't
+cut, so one that is longer makes a longer shard). ``<shard>.arrow`` is an Arrow IPC stream whose
 record batches hold ``ids: fixed_size_list<uint16, L>`` (uint32 for vocabularies beyond 65,536) and ``mask: fixed_size_list<bool, L>``: the
 shard's ids, each document followed by the end id, cut every L places; the mask is false on the padding of the shard's last
 sequence. Every batch
 but the last has ``ROWS`` sequences, so sequence i is row i % ROWS of batch i // ROWS, a view into the mapped file without a
-copy. ``<shard>.index.arrow`` has doc_id, start (in the shard) and n_tokens. A document's place in the whole corpus is its
+copy. ``<shard>.batches.arrow`` has the place in the file where each batch begins, and the end: stores other than the local disk
+are read by these ranges, a batch at a time. ``<shard>.index.arrow`` has doc_id, start (in the shard) and n_tokens. A document's place in the whole corpus is its
 start plus the tokens of all shards before: one number a shard.
 
 Words between ASCII white space, and marks that trail a word, are encoded apart and joined, which gives what encoding the
@@ -35,6 +37,8 @@ from driftline.llm.base import filesystem, load, scratch, text_of
 from driftline.llm.wordcache import UnitEncoder, split_words
 
 LENGTH, ROWS, END = 2048, 64, 1
+#: A shard is closed once its ids take so many bytes.
+FILE_BYTES = 256_000_000
 TOKENIZER = "word_bpe_49k.json"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 _LIBC: dict[str, ctypes.CDLL] = {}
@@ -106,13 +110,16 @@ class ShardWriter:
     def __init__(self, sink, dtype: type = np.uint32, length: int = LENGTH, rows: int = ROWS):
         self.length, self.rows, self.held, self.n_held, self.total = length, rows, [], 0, 0
         self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
+        self.sink, self.dtype = sink, dtype
         self.out = pa.ipc.new_stream(sink, self.schema)
+        self.places = [self.schema.serialize().size]  # the stream begins with the schema
 
     def _write(self, ids: np.ndarray, real: int) -> None:
         mask = np.zeros(len(ids), bool)
         mask[:real] = True
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.out.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
+        self.places.append(self.sink.tell())
 
     def append(self, ids: np.ndarray) -> None:
         self.held.append(ids)
@@ -126,35 +133,53 @@ class ShardWriter:
                 self._write(flat[at : at + size], size)
             self.held, self.n_held = [flat[whole:]], len(flat) - whole
 
-    def close(self) -> None:
+    def close(self) -> list[int]:
+        """The places of the batches and of the end."""
         if self.n_held:
             flat = np.concatenate(self.held)
             padded = np.zeros(-(-len(flat) // self.length) * self.length, flat.dtype)
             padded[: len(flat)] = flat
             self._write(padded, len(flat))
         self.out.close()
+        return self.places
 
 
 class TokenFile:
-    """Random access to a shard: the file is mapped (local) or read once (other stores); sequences and masks are views."""
+    """Random access to a shard: sequences and masks are views into the mapped file (local disk) or into the one batch that was read for them (other stores)."""
 
     def __init__(self, uri: str):
         fs, path = filesystem(uri)
-        source = pa.memory_map(path) if fs.type_name == "local" else pa.BufferReader(fs.open_input_stream(path).read())
-        self.batches = list(pa.ipc.open_stream(source))
-        self.length = self.batches[0].schema.field("ids").type.list_size if self.batches else LENGTH
-        self.rows = self.batches[0].num_rows if self.batches else 1
+        with fs.open_input_stream(f"{path.removesuffix('.arrow')}.batches.arrow", compression=None) as f:
+            self.places = pa.ipc.open_stream(f.read()).read_all().column("place").to_pylist()
+        self.mapped = fs.type_name == "local"
+        self.source = pa.memory_map(path) if self.mapped else fs.open_input_file(path)
+        self.bytes_read, self.held = 0, (-1, None)
+        self.schema = pa.ipc.read_schema(self._range(0, self.places[0]))
+        self.length, self.rows = self.schema.field("ids").type.list_size, 1
+        self.rows = self.batch(0).num_rows if len(self.places) > 1 else 1
+
+    def _range(self, start: int, end: int) -> pa.Buffer:
+        self.source.seek(start)
+        self.bytes_read += 0 if self.mapped else end - start
+        return self.source.read_buffer(end - start)
+
+    def batch(self, k: int) -> pa.RecordBatch:
+        """The k-th batch; the last one asked for is kept."""
+        if self.held[0] != k:
+            self.held = (k, pa.ipc.read_record_batch(pa.ipc.read_message(self._range(*self.places[k : k + 2])), self.schema))
+        return self.held[1]
 
     def __len__(self) -> int:
-        return sum(b.num_rows for b in self.batches)
+        n = len(self.places) - 1
+        return (n - 1) * self.rows + self.batch(n - 1).num_rows if n else 0
 
     def _flat(self, k: int) -> np.ndarray:
-        return self.batches[k].column(0).values.to_numpy()
+        return self.batch(k).column(0).values.to_numpy()
 
     def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """ids and mask of the i-th sequence."""
         at = i % self.rows * self.length
-        return self._flat(i // self.rows)[at : at + self.length], self.batches[i // self.rows].column(1).values.slice(at, self.length)
+        return self._flat(i // self.rows)[at : at + self.length], self.batch(i // self.rows).column(1).values.slice(at, self.length)
 
     def span(self, start: int, n: int) -> np.ndarray:
         """n ids from a place in the shard; a view if they lie in one batch."""
@@ -166,30 +191,35 @@ class TokenFile:
         return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.zeros(0, np.uint32)])
 
 
-def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
+def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES) -> list[dict]:
     """Encode and write all documents; returns the shards in order: name, base (ids in shards before it), n_docs, n_tokens.
 
-    One row a shard reaches the driver. Tasks write under names of their own and name the files they finished, so that a
+    One row a shard, which has file_bytes or is the last of its task, reaches the driver. Tasks write under names of their own and name the files they finished, so that a
     task run twice does no harm; files of lost attempts are never read.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     tie = F.xxhash64("text")
-    ordered = rows.repartitionByRange(shards, "doc_id", tie).sortWithinPartitions("doc_id", tie)
+    ordered = rows.repartitionByRange(deal, "doc_id", tie).sortWithinPartitions("doc_id", tie)
 
     def write(batches):
-        words, sink, name = tokenizer(path), None, uuid.uuid4().hex
+        words, shard, seq = tokenizer(path), None, 0
         fs, root = filesystem(out_dir)
-        first = None
+
+        def done() -> pa.RecordBatch:
+            places = pa.record_batch([pa.array(shard.close(), pa.int64())], names=["place"])
+            index.close(), sink.close(), index_sink.close()
+            with fs.open_output_stream(f"{root}/{name}.batches.arrow", compression=None) as out, pa.ipc.new_stream(out, places.schema) as stream:
+                stream.write_batch(places)
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([seq]), pa.array([n_docs]), pa.array([shard.total])], names=["name", "seq", "n_docs", "n_tokens"])
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if sink is None:
-                fs.create_dir(root, recursive=True)
-                sink, index_sink = fs.open_output_stream(f"{root}/{name}.arrow"), fs.open_output_stream(f"{root}/{name}.index.arrow")
-                shard, index, n_docs = ShardWriter(sink, words.dtype, length), pa.ipc.new_stream(index_sink, _INDEX), 0
-                first = batch.column(0)[0].as_py()
             for part in batches_of(batch, 8_000_000):
+                if shard is None:
+                    name, n_docs = uuid.uuid4().hex, 0
+                    fs.create_dir(root, recursive=True)
+                    sink, index_sink = (fs.open_output_stream(f"{root}/{name}{end_}", compression=None) for end_ in (".arrow", ".index.arrow"))
+                    shard, index = ShardWriter(sink, words.dtype, length), pa.ipc.new_stream(index_sink, _INDEX)
                 ids, at = words.encode(part.column(1))
                 n = np.diff(at) + 1
                 ends = np.cumsum(n)
@@ -200,13 +230,15 @@ def write_tokens(docs: DataFrame, out_dir: str, path: str, length: int = LENGTH,
                 index.write_batch(pa.RecordBatch.from_arrays([part.column(0), pa.array(shard.total + ends - n), pa.array(n)], schema=_INDEX))
                 shard.append(flat)
                 n_docs += part.num_rows
-        if sink is not None:
-            shard.close(), index.close(), sink.close(), index_sink.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([first], pa.int64()), pa.array([n_docs]), pa.array([shard.total])], names=["name", "first", "n_docs", "n_tokens"])
+                if shard.total * flat.itemsize >= file_bytes:
+                    yield done()
+                    shard, seq = None, seq + 1
+        if shard is not None:
+            yield done()
 
-    done = ordered.mapInArrow(write, "name string, first long, n_docs long, n_tokens long").withColumn("part", F.spark_partition_id())
+    made = ordered.mapInArrow(write, "name string, seq long, n_docs long, n_tokens long").withColumn("part", F.spark_partition_id())
     found, base = [], 0
-    for r in sorted(done.collect(), key=lambda r: r.part):
+    for r in sorted(made.collect(), key=lambda r: (r.part, r.seq)):
         found.append({"name": r.name, "base": base, "n_docs": r.n_docs, "n_tokens": r.n_tokens})
         base += r.n_tokens
     return found
@@ -239,12 +271,12 @@ def read_back(spark: SparkSession, out_dir: str, shards: list[dict]) -> DataFram
             for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 fs, root = filesystem(out_dir)
                 tokens = TokenFile(f"{out_dir}/{name}.arrow")
-                for part in pa.ipc.open_stream(fs.open_input_stream(f"{root}/{name}.index.arrow")):
+                for part in pa.ipc.open_stream(fs.open_input_stream(f"{root}/{name}.index.arrow", compression=None)):
                     start, n = part.column(1).to_numpy(), part.column(2).to_numpy()
                     crc = [zlib.crc32(tokens.span(a, k).astype("<u4")) for a, k in zip(start.tolist(), n.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(start + base), part.column(2), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    table = spark.createDataFrame([(s["name"], s["base"]) for s in shards], "name string, base long").repartition(max(1, len(shards)))
+    table = spark.createDataFrame([(s["name"], s["base"]) for s in shards], "name string, base long").repartition(max(1, min(len(shards), 10_000)))
     return table.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -173,6 +173,33 @@ def test_token_files(spark, docs):
     assert token_files.write_tokens(none(docs), scratch(spark, "test-tokens"), path) == []
 
 
+def test_shards_are_cut_by_bytes_and_read_by_ranges(spark, tmp_path, monkeypatch):
+    """A store that can't be mapped: one sequence costs one batch."""
+    from pyarrow import fs
+
+    texts = [(i, f"some words {i} " * 40) for i in range(3000)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    path, out = token_files.default_tokenizer(), f"file://{tmp_path}/tokens"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        shards = token_files.write_tokens(rows, out, path, length=32, file_bytes=100_000)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(shards) > 6 and max(s["n_tokens"] for s in shards) * 2 < 100_000 + 100 * 500
+    whole = [tuple(r) for r in token_files.read_back(spark, out, shards).orderBy("start").collect()]
+    assert [r[0] for r in whole] == list(range(3000)) and [r[1] for r in whole[1:]] == [r[1] + r[2] for r in whole[:-1]]
+    near = token_files.TokenFile(f"{out}/{shards[0]['name']}.arrow")
+    monkeypatch.setattr(token_files, "filesystem", lambda uri: (fs.SubTreeFileSystem(f"{tmp_path}/tokens", fs.LocalFileSystem()), uri.rsplit("/", 1)[-1]))
+    far = token_files.TokenFile(f"{out}/{shards[0]['name']}.arrow")
+    assert near.mapped and not far.mapped and len(near) == len(far) and far.bytes_read < far.places[-1]
+    before = far.bytes_read
+    i = len(far) // 2
+    ids, mask = far.sequence(i)
+    assert (ids == near.sequence(i)[0]).all() and mask.equals(near.sequence(i)[1]) and near.bytes_read == 0
+    assert far.bytes_read - before <= max(b - a for a, b in zip(far.places, far.places[1:], strict=False))
+    assert (far.span(100, 5000) == near.span(100, 5000)).all()
+
+
 def test_pieces_round_trip(docs):
     encoded = pieces.encode_documents(docs.select("doc_id", "text"), check_col="ok")
     assert encoded.filter("ok").count() == docs.count()
