@@ -159,12 +159,13 @@ def snippet_bytes(reps: DataFrame, docs: DataFrame) -> DataFrame:
 def flagged(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, folder: str) -> np.ndarray:
     """For each byte of the snippets whether a repeated window starts there."""
     files = RoundFiles(f"{folder}/{uuid.uuid4().hex}")
-    place, common = build(data, offsets, files)
+    out, last = np.zeros(len(data), bool), np.zeros(0, np.int64)
+    for place, common in build(data, offsets, files):
+        alike = np.flatnonzero(common >= LENGTH // SYMBOL)
+        place = np.r_[last, place]  # with the last one of the block before
+        out[place[alike + len(last)]] = out[place[alike + len(last) - 1]] = True
+        last = place[-1:]
     files.clear()
-    out = np.zeros(len(data), bool)
-    alike = common >= LENGTH // SYMBOL
-    out[place[alike]] = True
-    out[place[np.flatnonzero(alike) - 1]] = True
     start, sizes = offsets[:-1], np.diff(offsets)
     full = np.repeat(weights > 1, np.maximum(sizes - LENGTH + 1, 0))
     windows = np.maximum(sizes - LENGTH + 1, 0)

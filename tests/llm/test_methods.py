@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from driftline.llm import near_dedup, pieces, quality, token_files, toxicity
+from driftline.llm import collection_bwt, near_dedup, pieces, quality, token_files, toxicity
 from driftline.llm.collection_bwt import SYMBOL, RoundFiles, build
 from driftline.llm.quotient import CountingQuotientFilter, tally
 
@@ -51,14 +51,15 @@ def test_quotient_filters_are_packed():
         assert (more[0] == own).all() and (more[1] == 3 * n).all()
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_column_wise_construction(tmp_path, seed):
+@pytest.mark.parametrize(("seed", "block"), [(0, 1 << 18), (1, 7), (2, 64), (3, 1000)])
+def test_column_wise_construction(tmp_path, monkeypatch, seed, block):
     rng = random.Random(seed)
     base = bytes(rng.choice(b"ab") for _ in range(400))
     strings = [base[rng.randrange(100) :][: rng.randrange(0, 300)] for _ in range(12)] + [b"", b"x", b"a" * 250, b"a" * 250]
     offsets = np.r_[0, np.cumsum([len(s) for s in strings])]
     data = np.frombuffer(b"".join(strings), np.uint8)
-    place, common = build(data, offsets, RoundFiles(f"file://{tmp_path}/r"))
+    monkeypatch.setattr(collection_bwt, "BLOCK", block)
+    place, common = (np.concatenate(x) for x in zip(*build(data, offsets, RoundFiles(f"file://{tmp_path}/r")), strict=True))
     ends = np.repeat(offsets[1:], np.diff(offsets))
 
     def whole(p):
@@ -72,6 +73,29 @@ def test_column_wise_construction(tmp_path, seed):
         assert common[i] == n
 
 
+def test_ranks_come_from_the_transform(tmp_path, monkeypatch):
+    """An altered transform gives other places."""
+    rng = random.Random(9)
+    strings = [bytes(rng.choice(b"ab") for _ in range(240)) for _ in range(6)]
+    data, offsets = np.frombuffer(b"".join(strings), np.uint8), np.arange(7) * 240
+
+    def built(name):
+        return np.concatenate([p for p, _ in build(data, offsets, RoundFiles(f"file://{tmp_path}/{name}"))]).tolist()
+
+    right, whole = built("a"), RoundFiles.blocks
+
+    def altered(self, name):
+        for part in whole(self, name):
+            if name == "transform" and self.round == 2:
+                part = part.copy()
+                i, j = np.flatnonzero(part)[[0, -1]]
+                part[i], part[j] = part[j], part[i]
+            yield part
+
+    monkeypatch.setattr(RoundFiles, "blocks", altered)
+    assert built("b") != right
+
+
 def test_pieces_match_the_library():
     path = pieces.default_model()
     ours, library, rng = pieces.model(path), sentencepiece.SentencePieceProcessor(model_file=path), random.Random(3)
