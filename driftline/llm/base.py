@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.shared import discard, scratch, shared_dir, written  # noqa: F401  the operators take them from here
+from driftline.shared import discard, made, release, scratch, shared_dir, written  # noqa: F401  the operators take them from here
 
 #: A side of a join is broadcast only when it was counted and has at most so many (narrow) rows.
 BROADCAST_ROWS = 100_000

@@ -11,7 +11,8 @@ documents. The steps:
 4. verify the window word by word at that place.
 
 Everything from the tokens to the verification is one generated code span over the scan when the windows are few enough to
-broadcast (their number is checked); beyond that the same join is by shuffle, and the words around the shingle travel along.
+broadcast (their number and bytes are checked). Beyond that the same joins are by shuffle, behind a sieve of the windows'
+shingles: only places whose shingle passes it are shuffled, in step 3 with the words around them.
 Both sides' shingles are 64-bit hashes of words under the A-Z rule (Unicode's lower case depends on a letter's neighbours, and
 these differ between a document and a window); step 4 compares the words. One window is joined once whatever number of items share it.
 
@@ -26,7 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.base import drop_rows, load, materialise, maybe_broadcast, text_of
+from driftline.llm import base as base_
+from driftline.llm.base import drop_rows, load, materialise, maybe_broadcast, passing, sieve, text_of
 
 WINDOW, SHINGLE = 10, 5
 #: Characters between words, either case of A-Z being word characters.
@@ -67,7 +69,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     wins, owners = windows_of(benchmark, item_col, item_text, window)
     wins = materialise(wins.withColumn("k", F.least("n", F.lit(shingle))), "windows")
-    n_wins, lengths = wins.count(), sorted(r.k for r in wins.select("k").distinct().collect())  # at most `shingle` lengths
+    owners = materialise(owners, "owners")
+    n_wins, n_bytes = wins.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.array_join("words", " ")) + 200), F.lit(0))).first()
+    few = n_wins <= BROADCAST_WINDOWS and n_bytes <= base_.BROADCAST_BYTES
+    lengths = sorted(r.k for r in wins.select("k").distinct().collect())  # at most `shingle` lengths
     if not lengths:
         hits = docs.sparkSession.createDataFrame([], "doc_id long, h long, wid string, s int, n int").select(F.col("doc_id").cast(base.schema["doc_id"].dataType).alias("doc_id"), "h", "wid", "s", "n")
     else:
@@ -77,24 +82,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             for k in lengths
         ])
         places = materialise(places.groupBy("wid", "key").agg(F.min("off").alias("off"), F.first("words").alias("words"), F.first("n").alias("n"), F.first("k").alias("k")), "places")
-        keys = places.select("key", "k").distinct()
-        tokens = _tokens(base)
-        counted = [tokens.select(_key("w", F.col("p"), k).alias("key")).join(maybe_broadcast(keys.filter(F.col("k") == k).select("key"), n_wins, BROADCAST_WINDOWS), "key").groupBy("key").agg(F.count(F.lit(1)).alias("df")) for k in lengths]
+        tokens, counted = _tokens(base), []
+        for k in lengths:
+            keys = places.filter(F.col("k") == k).select("key").distinct()
+            every = tokens.select(_key("w", F.col("p"), k).alias("key"))
+            every = every.join(F.broadcast(keys), "key") if few else passing(every.filter("key IS NOT NULL"), "key", sieve(keys, "key", keys.count()))
+            counted.append(every.groupBy("key").agg(F.count(F.lit(1)).alias("df")))  # what slips through a sieve is no window's shingle
         rarity = reduce(DataFrame.unionByName, counted)
         # a window with a shingle that no document has (no count) can't occur; else the rarest is its prefix
         ranked = places.join(rarity, "key", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "key", "off", "words", "n", "k")).alias("x"))
         prefix = materialise(ranked.select("wid", "x.*").filter("df > 0"), "prefix")
         found = []
         for k in lengths:
-            side = maybe_broadcast(prefix.filter(F.col("k") == k).select("wid", "key", "off", "words", "n"), n_wins, BROADCAST_WINDOWS)
+            side = prefix.filter(F.col("k") == k).select("wid", "key", "off", "words", "n")
             size = F.size("w")
-            if n_wins <= BROADCAST_WINDOWS:
+            if few:
+                side = F.broadcast(side)
                 near, at = tokens.select("doc_id", "h", "w", "p", _key("w", F.col("p"), k).alias("key")), F.col("p") - F.col("off")
                 total, first = size, at
             else:  # the words that a window around this place can reach, where they begin, and the document's length
                 low = F.greatest(F.col("p") - (window - k), F.lit(0))
                 near = tokens.filter("p IS NOT NULL").select("doc_id", "h", F.slice("w", low + 1, F.lit(2 * window)).alias("w"), "p", low.alias("low"), size.alias("size"), _key("w", F.col("p"), k).alias("key"))
                 total, first = F.col("size"), F.col("p") - F.col("off") - F.col("low")
+                near = passing(near, "key", sieve(side, "key", side.count()))
                 at = F.col("p") - F.col("off")
             bound = (at >= 0) & (at + F.col("n") <= total)
             same = reduce(lambda a, b: a & b, [(F.col("n") <= j) | (F.get("w", first + j) == F.get("words", F.lit(j))) for j in range(window)])
@@ -106,7 +116,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     spans = hits.select("doc_id", "h", "s", (F.col("s") + F.col("n")).alias("e")).distinct()
     spans = spans.withColumn("past", F.coalesce(F.max("e").over(order), F.lit(0)))
     covered = spans.groupBy("doc_id", "h").agg(F.sum(F.greatest(F.col("e") - F.greatest("s", "past"), F.lit(0))).alias("n_hit"))
-    named = hits.select("doc_id", "h", "wid").distinct().join(maybe_broadcast(owners, n_wins, BROADCAST_WINDOWS), "wid").groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    named = hits.select("doc_id", "h", "wid").distinct().join(maybe_broadcast(owners, owners.count(), BROADCAST_WINDOWS), "wid").groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     per_doc = covered.join(named, ["doc_id", "h"], "left").withColumnsRenamed({"doc_id": "_id", "h": "_h"})
     counted_docs = base.select("doc_id", "h", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     joined = counted_docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")

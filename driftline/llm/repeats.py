@@ -2,8 +2,8 @@
 
 1. Anchors. Of the k-grams in each LENGTH-byte window the one with the least hash is its anchor, so equal windows have equal
    anchors at equal places. Windows that share an anchor form a run; its bytes are a snippet. Counts and the least and largest
-   snippet hash of each anchor, pre-aggregated before the shuffle, sort anchors into single ones (no window repeats), even
-   ones (all snippets equal: all windows repeat) and mixed ones.
+   snippet digest (BLAKE2b of its bytes, 128 bits) of each anchor, pre-aggregated before the shuffle, sort anchors into single
+   ones (no window repeats), even ones (all snippets equal: all windows repeat) and mixed ones.
 2. Mixed anchors: their distinct snippets, with how often each occurs, are gathered in collections of bounded size, and the
    suffixes of a collection are sorted by column-wise construction of its Burrows-Wheeler transform and common prefixes
    (``collection_bwt``), through files in the shared folder. A window repeats iff its suffix has LENGTH bytes in common with a
@@ -12,7 +12,8 @@
    first; at k = LENGTH an anchor is the whole window and nothing is mixed. So no group is unbounded, and none is cut short.
 4. Runs of repeated windows go back to their documents, whose covered bytes are dropped.
 
-Equality is by 64-bit hashes in step 1 and of bytes in step 2. Strings never cross documents and are judged on the input. Nulls:
+Equality is that of 128-bit digests of the bytes in step 1 and of bytes in step 2, where snippets of one anchor whose digests
+agree in 64 bits are one. Only documents with a snippet to sort, or something to remove, have their texts shuffled. Strings never cross documents and are judged on the input. Nulls:
 a null text is empty; texts shorter than LENGTH bytes keep everything. Rows that repeat an id and a text are documents that
 repeat each other. Empty table: empty result. Very long texts are cut into overlapping parts for hashing only. Other columns
 are ignored.
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.base import TEXT_BATCH, load, materialise, maybe_broadcast, scratch, text_of
+from driftline.llm.base import TEXT_BATCH, failing, load, made, materialise, maybe_broadcast, narrowed, passing, release, scratch, sieve, text_of
 from driftline.llm.collection_bwt import SYMBOL, RoundFiles, build
 from driftline.llm.token_files import batches_of, tidy
 
@@ -64,12 +65,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, k: int, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(text, start in data, windows, anchor, snippet hash) of the runs of all texts, in order."""
+    """(text, start in data, windows, anchor, and both halves of the snippet's digest) of the runs of all texts, in order."""
     sizes = np.diff(offsets)
     windows = np.maximum(sizes - length + 1, 0)
     total = int(windows.sum())
     if not total:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64, np.int64))
     up, down = _powers(len(data) + 1)
     sums = np.r_[np.uint64(0), np.cumsum(_TABLE[data] * up[: len(data)])]
     grams = _mix((sums[k:] - sums[:-k]) * down[: len(data) - k + 1])
@@ -87,8 +88,9 @@ def runs(data: np.ndarray, offsets: np.ndarray, k: int, length: int = LENGTH) ->
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])])
     count = np.diff(np.r_[first, total])
     begin = start[first]
-    snippet = _mix((sums[begin + count - 1 + length] - sums[begin]) * down[begin] + np.uint64(1) * count.astype(np.uint64))
-    return owner[first].astype(np.int64), begin, count, grams[anchor[first]], snippet
+    whole, each = data.tobytes(), hashlib.blake2b
+    digest = b"".join([each(whole[a:b], digest_size=16).digest() for a, b in zip(begin.tolist(), (begin + count - 1 + length).tolist(), strict=True)])
+    return owner[first].astype(np.int64), begin, count, grams[anchor[first]], *np.frombuffer(digest, "<i8").reshape(-1, 2).T
 
 
 def _parts(texts: pa.Array):
@@ -111,35 +113,37 @@ def _parts(texts: pa.Array):
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, th, text) -> (anchor, snip, doc_id, th, at): a row a run; at = start * 256 + windows."""
+    """docs (doc_id, th, text) -> (anchor, snip, proof, doc_id, th, at): a row a run; snip and proof are its digest, at = start * 256 + windows."""
     k = ANCHORS[0]
 
     def run(batches):
         for batch in batches:
             for part in batches_of(batch, column=2):
                 for own, moved, data, offsets in _parts(part.column(2)):
-                    text, start, count, anchor, snip = runs(data, offsets, k)
+                    text, start, count, anchor, snip, proof = runs(data, offsets, k)
                     row = pa.array(own[text])
                     at = (start - offsets[text] + moved[text]) * 256 + count
-                    yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(snip.view(np.int64)), part.column(0).take(row), part.column(1).take(row), pa.array(at)], names=["anchor", "snip", "doc_id", "th", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(snip), pa.array(proof), part.column(0).take(row), part.column(1).take(row), pa.array(at)], names=["anchor", "snip", "proof", "doc_id", "th", "at"])
 
-    return docs.mapInArrow(run, "anchor long, snip long, doc_id long, th long, at long")
+    return docs.mapInArrow(run, "anchor long, snip long, proof long, doc_id long, th long, at long")
 
 
 def kinds(rows: DataFrame, weight=None) -> DataFrame:
-    """(anchor, snip) -> (anchor, even) of the anchors that occur more than once; partial sums before the shuffle."""
+    """(anchor, snip, proof) -> (anchor, even) of the anchors that occur more than once; partial sums before the shuffle."""
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return rows.groupBy("anchor").agg(n.alias("n"), F.min("snip").alias("low"), F.max("snip").alias("high")).filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("even"))
+    ends = [f(c).alias(f"{name}_{c}") for c in ("snip", "proof") for f, name in ((F.min, "low"), (F.max, "high"))]
+    even = (F.col("low_snip") == F.col("high_snip")) & (F.col("low_proof") == F.col("high_proof"))
+    return rows.groupBy("anchor").agg(n.alias("n"), *ends).filter("n > 1").select("anchor", even.alias("even"))
 
 
 def snippet_bytes(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """reps (anchor, snip, n, rep(doc_id, th, at)) -> (anchor, snip, n, data), written."""
     per = reps.select("rep.doc_id", "rep.th", F.struct("anchor", "snip", "n", "rep.at").alias("s")).groupBy("doc_id", "th").agg(F.collect_list("s").alias("s"))  # at most one a window of the document
     wanted = materialise(per.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "wanted")
-    keys = wanted.select(F.col("_id").alias("_i"), F.col("_th").alias("_t"))
-    texts = docs.join(maybe_broadcast(keys, wanted.count()), docs["doc_id"].eqNullSafe(F.col("_i")) & (docs["th"] == F.col("_t")), "left_semi")
+    near, keys = narrowed(docs, "th", wanted.select(F.col("_id").alias("_i"), F.col("_th").alias("_t")), "_t", wanted.count())
+    texts = near.join(keys, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_t")), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "th"])
-    joined = texts.join(wanted, texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["th"] == F.col("_th"))).select("text", "s")
+    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "s")
 
     def run(batches):
         for batch in batches:
@@ -221,7 +225,7 @@ def sorted_collections(snippets: DataFrame, folder: str) -> DataFrame:
 
 
 def _cut_again(snippets: DataFrame, k: int) -> DataFrame:
-    """(anchor, snip, n, data) -> (anchor, snip, up_anchor, up_snip, off, count, n, data): the runs of snippets by longer anchors, and where they are in the snippet."""
+    """(anchor, snip, n, data) -> (anchor, snip, proof, up_anchor, up_snip, off, count, n, data): the runs of snippets by longer anchors, and where they are in the snippet."""
 
     def run(batches):
         for batch in batches:
@@ -229,12 +233,12 @@ def _cut_again(snippets: DataFrame, k: int) -> DataFrame:
                 raw = part.column(3)
                 offsets = np.r_[0, np.cumsum(pc.binary_length(raw).to_numpy().astype(np.int64))]
                 joined = b"".join(raw.to_pylist())
-                text, start, count, anchor, snip = runs(np.frombuffer(joined, np.uint8), offsets, k)
+                text, start, count, anchor, snip, proof = runs(np.frombuffer(joined, np.uint8), offsets, k)
                 row = pa.array(text)
                 data = [joined[a:b] for a, b in zip(start.tolist(), (start + count - 1 + LENGTH).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(snip.view(np.int64)), part.column(0).take(row), part.column(1).take(row), pa.array(start - offsets[text]), pa.array(count), part.column(2).take(row), pa.array(data, pa.binary())], names=["anchor", "snip", "up_anchor", "up_snip", "off", "count", "n", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(snip), pa.array(proof), part.column(0).take(row), part.column(1).take(row), pa.array(start - offsets[text]), pa.array(count), part.column(2).take(row), pa.array(data, pa.binary())], names=["anchor", "snip", "proof", "up_anchor", "up_snip", "off", "count", "n", "data"])
 
-    return snippets.select("anchor", "snip", "n", "data").mapInArrow(run, "anchor long, snip long, up_anchor long, up_snip long, off long, count long, n long, data binary")
+    return snippets.select("anchor", "snip", "n", "data").mapInArrow(run, "anchor long, snip long, proof long, up_anchor long, up_snip long, off long, count long, n long, data binary")
 
 
 def mixed_windows(snippets: DataFrame) -> DataFrame:
@@ -286,9 +290,14 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans (the removed stretches, array<struct<start,end>>) and kept (binary, what remains) of each document."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("th", F.xxhash64("text")).select("doc_id", "th", "text")
+    spark = docs.sparkSession
+    first = made(spark)
     marks = repeated_windows(base).groupBy("doc_id", "th").agg(F.collect_list("at").alias("at"))  # at most one a window of the document
-    marks = marks.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    joined = base.join(marks, base["doc_id"].eqNullSafe(F.col("_id")) & (base["th"] == F.col("_th")), "left").select("doc_id", "text", "at")
+    marks = materialise(marks.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "marks")
+    release(spark, first, keep=marks)
+    bits = sieve(marks, "_th", marks.count())
+    marked = passing(base, "th", bits).join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("doc_id", "text", "at")
+    joined = marked.unionAll(failing(base, "th", bits).select("doc_id", "text", F.lit(None).cast("array<long>").alias("at")))
 
     def run(batches):
         for batch in batches:
