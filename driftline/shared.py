@@ -56,9 +56,16 @@ def discard(*tables: DataFrame) -> None:
             own.remove(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete all folders that this session's calls made and that are still there; results read from them are then gone. Their number."""
-    paths = _WRITTEN.pop(id(spark), [])
-    for path in paths:
+def made(spark: SparkSession) -> int:
+    """How many folders this session's calls have made: where ``release`` may begin."""
+    return len(_WRITTEN.get(id(spark), []))
+
+
+def release(spark: SparkSession, first: int = 0, keep: DataFrame | None = None) -> int:
+    """Delete the folders that this session's calls made (from the first-th on) and that are still there, but for a table's; results read from them are gone. Their number."""
+    paths, kept = _WRITTEN.get(id(spark), []), getattr(keep, "_folder", None)
+    gone = [p for p in paths[first:] if p != kept]
+    for path in gone:
         delete(spark, path)
-    return len(paths)
+        paths.remove(path)
+    return len(gone)
