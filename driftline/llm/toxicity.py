@@ -141,7 +141,7 @@ def fit(row: np.ndarray, term: np.ndarray, x: np.ndarray, y: np.ndarray, n_terms
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> FactorizationMachine:
-    sample = training_rows(docs, labels, label, rows).select("text", F.col("label").cast("int").alias("label"))
+    sample = training_rows(docs, labels, label, rows).select("text", F.col("label").cast("int").alias("label"), F.col("doc_id").cast("string").alias("doc_id"))
 
     def count(batches):
         for batch in batches:
@@ -167,14 +167,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
             for part in batches_of(batch, SLICE, 0):
                 row, bucket, n = terms(part.column(0), place >= 0)
                 at = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.ListArray.from_arrays(at, pa.array(place[bucket])), pa.ListArray.from_arrays(at, pa.array(value(n).astype(np.float32)))], names=["label", "term", "x"])
-
-    told = sample.mapInArrow(sparse, "label int, term array<int>, x array<float>").toArrow()
-    keyed = sorted(zip(told["label"].to_pylist(), told["term"].to_pylist(), told["x"].to_pylist(), strict=True))  # the order of rows in a DataFrame is not fixed
-    y = np.array([r[0] for r in keyed], float)
-    lens = [len(r[1]) for r in keyed]
-    term, x = (np.array([i for r in keyed for i in r[k]], kind) for k, kind in ((1, np.int64), (2, float)))
-    w0, w, v = fit(np.repeat(np.arange(len(y)), lens), term, x, y, len(chosen))
+                yield pa.RecordBatch.from_arrays([part.column(2), part.column(1), pa.ListArray.from_arrays(at, pa.array(place[bucket])), pa.ListArray.from_arrays(at, pa.array(value(n).astype(np.float32)))], names=["doc_id", "label", "term", "x"])
+
+    told = sample.mapInArrow(sparse, "doc_id string, label int, term array<int>, x array<float>").toArrow()  # at most `rows` rows of terms that the machine has
+    told = told.take(pc.sort_indices(told["doc_id"])).combine_chunks()  # the order of rows in a DataFrame is not fixed
+    y, (term, x) = told["label"].to_numpy().astype(float), (told[c].combine_chunks() for c in ("term", "x"))
+    row = np.repeat(np.arange(len(y)), pc.list_value_length(term).to_numpy(zero_copy_only=False))
+    w0, w, v = fit(row, term.flatten().to_numpy().astype(np.int64), x.flatten().to_numpy().astype(float), y, len(chosen))
     return FactorizationMachine(place, w0, w, v)
 
 

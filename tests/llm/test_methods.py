@@ -1,6 +1,7 @@
 """The methods below the queries, against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -189,6 +190,68 @@ def test_additive_model_learns_an_interaction():
     assert (quality.fit(np.zeros((0, 3), np.float32), np.zeros(0)).scores(x[:2]) == 0.5).all()
 
 
+def test_additive_scores_are_sums_of_looked_up_values():
+    """One text, table and boosting step at a time."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["Word", "a", "bb!", "|", "12", "é", "line\n", "X,"], rng.integers(0, 60))) for _ in range(300)]
+    x = quality.features(pa.array(texts))
+    assert all((quality.features(pa.array([t]))[0] == x[i]).all() for i, t in enumerate(texts[:50]))  # a text's features are its own
+    y = (x[:, 2] + rng.normal(0, 0.05, len(x)) > x[:, 2].mean()).astype(float)
+    model = quality.fit(x, y, rounds=5, pair_rounds=3)
+    for row, score in zip(x, model.scores(x), strict=True):
+        total = model.intercept
+        for f, (edge, table) in enumerate(zip(model.edges, model.tables, strict=True)):
+            total += table[sum(e <= row[f] for e in edge)]
+        for f, g, ef, eg, table in model.pairs:
+            total += table[sum(e <= row[f] for e in ef), sum(e <= row[g] for e in eg)]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+    # the first step of boosting on one feature: the tree of at most four leaves that lowers the loss most, greedily
+    g, h = rng.normal(size=9), rng.random(9)
+
+    def leaf(a, b):
+        return -g[a:b].sum() / (h[a:b].sum() + quality._LEAF)
+
+    def gain(a, b):
+        return g[a:b].sum() ** 2 / (h[a:b].sum() + quality._LEAF)
+
+    def cut(a, b):
+        return max(((gain(a, c) + gain(c, b) - gain(a, b), c) for c in range(a + 1, b)), default=(0, a))
+
+    want, stack = np.zeros(9), [(0, 9, 2)]
+    while stack:
+        a, b, left = stack.pop()
+        best, c = cut(a, b) if left else (0, a)
+        if best > 1e-9:
+            stack += [(a, c, left - 1), (c, b, left - 1)]
+        else:
+            want[a:b] = leaf(a, b)
+    assert quality._shallow_tree(g, h) == pytest.approx(want)
+
+
+def test_machine_scores_by_the_formula():
+    """Terms and pairs one by one."""
+    rng = np.random.default_rng(6)
+    words = ["You", "are", "idiot", "group", "café", "Of", "them!", "x-ray"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 12))) for _ in range(60)]
+    row, bucket, count = toxicity.terms(pa.array(texts))
+    used = np.unique(bucket)
+    place = np.full(1 << toxicity.BITS, -1, np.int32)
+    place[used[::2]] = np.arange(len(used[::2]))
+    n = len(used[::2])
+    machine = toxicity.FactorizationMachine(place, 0.3, rng.normal(size=n), rng.normal(size=(n, toxicity.FACTORS)) * 0.2)
+    for i, t in enumerate(texts):
+        seen = {}
+        for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower()):
+            for kind in (0, *toxicity.BEGINNINGS):
+                if kind == 0 or len(w) > kind:
+                    b = int(toxicity._bucket(pa.array([w[:kind] if kind else w]), kind)[0])
+                    seen[b] = seen.get(b, 0) + 1
+        assert seen == dict(zip(bucket[row == i].tolist(), count[row == i].tolist(), strict=True))
+        xs = [(place[b], min(np.log2(1 + c), toxicity.CAP)) for b, c in seen.items() if place[b] >= 0]
+        logit = machine.w0 + sum(machine.w[j] * x for j, x in xs) + sum(machine.v[j] @ machine.v[k] * x * z for a, (j, x) in enumerate(xs) for k, z in xs[:a])
+        assert machine.scores(pa.array([t]))[0] == pytest.approx(1 / (1 + np.exp(-logit)))
+
+
 def test_machine_learns_a_pair_of_terms():
     rng = np.random.default_rng(2)
     both = rng.integers(0, 2, (3000, 2))
