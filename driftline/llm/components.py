@@ -9,17 +9,26 @@ from driftline.llm import base
 from driftline.llm.base import discard, materialise, maybe_broadcast
 
 
+#: Edges for each task, about: a counted graph is worked on in as many tasks as that makes, if these are fewer than the session's.
+EDGES_A_TASK = 50_000
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _spread(df: DataFrame, edges: int) -> DataFrame:
+    tasks = max(1, -(-edges // EDGES_A_TASK))
+    return df.coalesce(tasks) if tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def minima(edges: DataFrame, most: int) -> DataFrame:
     """(u, m): each node's least neighbour, of ``most`` rows at most.
 
     Broadcast where that bound allows. Else written, so that adaptive execution can split a node with very many neighbours
     when they are joined.
     """
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = _spread(edges.groupBy("u").agg(F.min("v").alias("m")), most)
     if most <= base.BROADCAST_ROWS:
         return F.broadcast(least)
     least = materialise(least, "least")
@@ -44,11 +53,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         near = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = minima(near, 2 * state[0]).select(F.col("u"), F.least("u", "m").alias("m"))
         large = near.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialise(large, "large-star")
+        large = materialise(_spread(large, 2 * state[0]), "large-star")
         least = minima(large, 2 * state[0])
         small = large.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         past = now
-        now = materialise(small.filter("u != v").distinct(), "small-star")
+        now = materialise(_spread(small.filter("u != v").distinct(), 2 * state[0]), "small-star")
         discard(past, large)
         last, state = state, _state(now)
         if state == last:

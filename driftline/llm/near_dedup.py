@@ -46,8 +46,9 @@ AGREE = 76
 STAR_ROUNDS = 2
 #: Buckets of at most so many classes list all their pairs across components.
 SMALL = 32
-#: Rounds with a hub for each shingle, made while the pairs to list are more than LISTED times the places they come from.
-HUB_ROUNDS, LISTED = 4, 8
+#: Rounds with a hub for each shingle, made while the pairs to list may be more than LISTED times the places they come from and
+#: the round before found a link for each HUB_YIELD places at least.
+HUB_ROUNDS, LISTED, HUB_YIELD = 4, 64, 100
 #: Bytes of text that a task turns into shingles at a time.
 SLICE = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -303,11 +304,11 @@ def agreeing_sets(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFram
 
 
 def _met(places: DataFrame, comps: DataFrame) -> DataFrame:
-    """(g, key, n, most, comp, main), written: the places at shingles that still have several components, of which main is the one with most places."""
+    """(g, key, n, most, comp, main, total, listed), written: the places at shingles that still have several components, of which main is the one with most places."""
     rows = places.join(comps, "key")
     per = rows.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("c"), F.max((F.col("most") >= F.col("n")).cast("int")).alias("smaller"))
     per = per.groupBy("g").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("total"), F.max("smaller").alias("smaller")).filter("total > x.c AND smaller = 1")
-    per = per.select("g", F.col("x.comp").alias("main"), ((F.col("total") - F.col("x.c")) * F.col("total").cast("double")).alias("listed"))
+    per = per.select("g", F.col("x.comp").alias("main"), "total", ((F.col("total") - F.col("x.c")) * F.col("total").cast("double")).alias("listed"))
     return materialise(rows.join(per, "g"), "met")
 
 
@@ -340,16 +341,23 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
         return rows.join(roots.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("comp", F.coalesce("root", "key")).drop("root")
 
     def settle(pairs: DataFrame, check) -> None:
-        """Candidates (whose signatures agree) confirmed, and components joined by what was found."""
-        nonlocal roots
+        """Candidates, whose signatures agree, confirmed."""
         pairs = materialise(pairs, "pairs", TEXT_BATCH)
         if not pairs.isEmpty():
-            links.append(check(pairs))
-            past, roots = roots, materialise(components(reduce(DataFrame.unionAll, links).select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
-            if past is not None:
-                discard(past)
+            found = check(pairs)
+            (discard if found.isEmpty() else links.append)(found)
         discard(pairs)
 
+    def join_up() -> None:
+        """Components joined by the links found since; what was joined before goes in as stars."""
+        nonlocal roots
+        if links:
+            edges, past = reduce(DataFrame.unionAll, links), roots
+            edges = edges if past is None else edges.unionAll(past.select("node", "root"))
+            roots = materialise(components(edges.toDF("u", "v")), "roots")
+            discard(*links, *([past] if past is not None else []))
+            links.clear()
+
     def by_text(pairs: DataFrame) -> DataFrame:
         return confirm(pairs, classes, base, k, threshold)
 
@@ -359,6 +367,7 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
         hubs = hubs.filter("low != high").select("h", F.col("hub.key").alias("hub"), F.col("hub.comp").alias("hub_comp"))
         pairs = lab.join(hubs, "h").filter("comp != hub_comp").select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
         settle(_agreeing(pairs, classes, agree), by_text)
+        join_up()
     lab = labels(members)
     open_ = lab.groupBy("h").agg(F.count(F.lit(1)).alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("h", "total")
     left = materialise(lab.join(open_, "h"), "left")
@@ -371,20 +380,24 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
         def by_set(pairs: DataFrame) -> DataFrame:
             return agreeing_sets(pairs, sets, threshold)
 
+        enough = False  # the last round found few links
         for turn in range(HUB_ROUNDS + 1):
             met = _met(places, labels(hot))
-            listed = met.groupBy("g").agg(F.first("listed").alias("listed")).agg(F.sum("listed")).first()[0] or 0
-            last = turn == HUB_ROUNDS or listed <= LISTED * met.count()
-            if last:  # pairs with a class outside the shingle's main component are all there are
+            n_met, listed = met.agg(F.count(F.lit(1)), F.sum(F.col("listed") / F.col("total"))).first()
+            listing = enough or turn == HUB_ROUNDS or (listed or 0) <= LISTED * n_met
+            if listing:  # pairs with a class outside the shingle's main component are all there are
                 settle(_agreeing(_fitting(met.filter("comp != main"), met), classes, agree), by_set)
             else:
                 hubs = met.filter("most >= n").groupBy("g").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_"), "key", "comp", "n", "most")).alias("hub")).select("g", "hub.key", "hub.comp", "hub.n", "hub.most")
                 settle(_agreeing(_fitting(hubs, met), classes, agree), by_set)
+                enough = sum(x.count() for x in links) * HUB_YIELD < n_met
+            join_up()
             discard(met)
-            if last:
+            if listing:
                 break
         discard(sets, places)
-    discard(classes, shared, members, left, hot, *links)
+    join_up()
+    discard(classes, shared, members, left, hot)
     of = drawn.select("doc_id", "n", "key", "th")
     if roots is None:
         of = of.withColumn("root", F.col("key"))
