@@ -74,11 +74,6 @@ def _master(spark: SparkSession, package: str | None) -> DataFrame:
     return documents.whole_files(spark, f"{package}/{LOCAL}/masterTrans", "*.json")
 
 
-def as_items(rows: DataFrame) -> DataFrame:
-    """The columns of an item; those that rows lack are null."""
-    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in ITEM], *[c for c in ("seq",) if c in rows.columns])
-
-
 def extract(spark: SparkSession, cfg: dict) -> DataFrame:
     """All items with their status, written to the work folder in the order of category, file, place."""
     paths, use_fallback = cfg["paths"], cfg["packages"]["use_fallback"]
@@ -93,13 +88,7 @@ def extract(spark: SparkSession, cfg: dict) -> DataFrame:
     if two:
         flat = diff.add_missing(flat, documents.generic_items(_generic(spark, two)))
         nested = diff.add_missing(nested, documents.localization_items(_localization(spark, two)))
-    whole = None
-    for part in (resource, table_items, flat, nested):
-        rows = as_items(part)
-        rows = rows if "seq" in rows.columns else rows.withColumn("seq", F.lit(0))
-        whole = rows if whole is None else whole.unionByName(rows)
-    rank = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col("category"))
-    ordered = whole.orderBy(rank, "file", F.coalesce("line", "rec_idx"), "seq", "uid").withColumn("ord", F.monotonically_increasing_id()).drop("seq")
+    ordered = work.item_table([resource, table_items, flat, nested])
     tables.write_items(ordered, f"{paths['work']}/extract")
     return documents.read_items(spark, f"{paths['work']}/extract")
 

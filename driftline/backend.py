@@ -14,7 +14,7 @@ class Backend(Protocol):
 
 
 def read_reply(reply: str, uids: list[str]) -> dict[str, str]:
-    """Texts by uid, by the rules of ``operators.work.answers``."""
+    """Texts by uid: segments by their [uid] prefix, the last of a uid; if none has one and their number fits, by position; else none."""
     parts = [p for p in (x.strip() for x in re.split(r"\n\s*---\s*\n", reply)) if p]
     named = {}
     for p in parts:

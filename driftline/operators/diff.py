@@ -8,13 +8,6 @@ from pyspark.sql import functions as F
 from driftline.functions.text import best_text, first_containing, no_text, normalise_source
 
 
-def fallback_join(items: DataFrame, primary: DataFrame, fallback: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """items with ``value`` of the primary package, or of the fallback where the primary's is missing or empty (rule by emptiness)."""
-    one, two = (p.select(*keys, F.col(value).alias(n)) for p, n in ((primary, "_one"), (fallback, "_two")))
-    joined = items.join(one, keys, "left").join(two, keys, "left")
-    return joined.withColumn(value, best_text(F.col("_one"), F.col("_two"))).drop("_one", "_two")
-
-
 def add_missing(primary: DataFrame, fallback: DataFrame, key: str = "uid") -> DataFrame:
     """The primary's rows and those of the fallback whose key it lacks (rule by absence)."""
     return primary.unionByName(fallback.join(primary.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)

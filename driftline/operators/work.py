@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.functions.text import content_key, first_prefix, mapped, no_text, strip
-from driftline.schema import STORY_LABELS
+from driftline.functions.text import content_key, first_prefix, mapped, no_text
+from driftline.schema import CATEGORIES, ITEM, STORY_LABELS
 
 # The prompt's sentences, needed for equal prompts.
 HEAD = ("[场景上下文]", "文件: ", "角色: ", "场景类型: ", "章节: ")
@@ -21,6 +22,19 @@ OUTPUT = ("输出格式：每段必须以原始 [uid] 开头，后接对应译
 ATTEMPTS, WAITS = 3, (5, 10)
 
 
+def as_items(rows: DataFrame) -> DataFrame:
+    """The columns of an item, and seq; those that rows lack are null, or 0."""
+    own = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in ITEM]
+    return rows.select(*own, (F.col("seq") if "seq" in rows.columns else F.lit(0)).cast("int").alias("seq"))
+
+
+def item_table(parts: list[DataFrame]) -> DataFrame:
+    """All parts' items, numbered by ord in the order of category, file and place."""
+    whole = reduce(DataFrame.unionByName, map(as_items, parts))
+    rank = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col("category"))
+    return whole.orderBy(rank, "file", F.coalesce("line", "rec_idx"), "seq", "uid").withColumn("ord", F.monotonically_increasing_id()).drop("seq")
+
+
 def eligible(skip_changed: bool = False) -> Column:
     return (F.col("status") == "new") | ((F.col("status") == "changed") & F.lit(not skip_changed))
 
@@ -67,19 +81,6 @@ def prompts(planned: DataFrame, names: dict[str, str] | None = None, labels: dic
     return got.select("gk", "batch", F.array_join(whole, "\n").alias("prompt"), F.transform("r", lambda x: x["uid"]).alias("uids"))
 
 
-def answers(replies: DataFrame) -> DataFrame:
-    """(gk, batch, uids, reply) -> (gk, batch, uid, cn): segments by their [uid] prefix; if none has one and their number fits, by position; else none."""
-    parts = F.filter(F.transform(F.split("reply", r"\n\s*---\s*\n", -1), strip), lambda x: x != "")
-    rows = replies.withColumn("parts", parts)
-    own = F.filter(F.transform("parts", lambda p: F.struct(F.get(F.filter("uids", lambda u: F.startswith(p, F.concat(F.lit("["), u, F.lit("]")))), F.lit(0)).alias("uid"), p.alias("p"))), lambda x: x["uid"].isNotNull())
-    named = F.transform(own, lambda x: F.struct(x["uid"].alias("uid"), strip(F.substring(x["p"], F.length(x["uid"]) + 3, F.length(x["p"]))).alias("cn")))
-    placed = F.zip_with("uids", "parts", lambda u, p: F.struct(u.alias("uid"), p.alias("cn")))
-    none = F.array().cast("array<struct<uid:string,cn:string>>")
-    found = F.when(F.size(named) > 0, named).when(F.size("parts") == F.size("uids"), placed).otherwise(none)
-    each = rows.select("gk", "batch", F.posexplode(found).alias("k", "a"))
-    return each.groupBy("gk", "batch", "a.uid").agg(F.max_by("a.cn", "k").alias("cn"))
-
-
 def translate(planned: DataFrame, backend: Callable[[], object], concurrency: int = 5, keep_partial: bool = False, waits: tuple[int, ...] = WAITS, names: dict[str, str] | None = None) -> DataFrame:
     """(gk, batch, uid, cn, error): a batch succeeds if every uid has a text; else it is tried again, and failed batches come out as error rows.
 

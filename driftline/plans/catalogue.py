@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from driftline.backend import EchoBackend
 from driftline.functions import script, text
 from driftline.functions.jsontree import json_leaves, json_with
-from driftline.functions.wrapper import split_wrapped
+from driftline.functions.wrapper import prior, split_wrapped
 from driftline.operators import diff, master, rebuild, work
-from driftline.sources import scripts, web
+from driftline.plans import workspace
+from driftline.shared import scratch
+from driftline.sinks import tables
+from driftline.sources import documents, manifest, scripts, web
 
 ACCENTS = r"[À-ÿ]"
 #: More names than this are joined.
@@ -23,17 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _packages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents as current items; a primary package with every third, half of them of another source; a fallback with every fifth."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("uid"), "doc_id", F.sha2("text", 256).alias("jp"))
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("uid"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("jp"))
     one = docs.filter(F.col("doc_id") % 3 == 0).select("uid", F.when(F.col("doc_id") % 6 == 0, F.concat("jp", F.lit("x"))).otherwise(F.col("jp")).alias("src"), F.when(F.col("doc_id") % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("p"), "uid")).alias("value"))
     two = docs.filter(F.col("doc_id") % 5 == 0).select("uid", F.col("jp").alias("src"), F.concat(F.lit("f"), "uid").alias("value"))
     return docs, one, two
 
 
-def status_items(spark: SparkSession, sf: str) -> DataFrame:
+def _scripts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same as lines of scripts: a document is a file of one message, whose text a package has in the wrapper."""
     docs, one, two = _packages(spark, sf)
-    got = diff.fallback_join(docs, one, two, ["uid"]).join(one.select("uid", F.col("src").alias("s1"), F.col("value").alias("v1")), "uid", "left").join(two.select("uid", F.col("src").alias("s2")), "uid", "left")
-    old = F.when(text.no_text(F.col("v1")), F.col("s2")).otherwise(F.col("s1"))
-    return got.select("uid", F.col("value").alias("existing_cn"), diff.status(F.col("value"), old, F.col("jp")).alias("status"))
+    place = [F.lit(1).alias("line"), F.lit("message").alias("command"), F.lit("text").alias("field"), F.lit(0).alias("seq")]
+    packages = [p.select(F.col("uid").alias("file"), *place, F.concat(F.lit("<r\\="), "src", F.lit(">"), "value", F.lit("</r>")).alias("jp")) for p in (one, two)]
+    return docs.select("uid", F.col("uid").alias("file"), *place, "jp"), *packages
+
+
+def status_items(spark: SparkSession, sf: str) -> DataFrame:
+    return diff.resource_diff(*_scripts(spark, sf), {}).select("uid", "existing_cn", "status")
 
 
 def status_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,15 +57,20 @@ def fallback_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fallback_by_emptiness(spark: SparkSession, sf: str) -> DataFrame:
-    docs, one, two = _packages(spark, sf)
-    return diff.fallback_join(docs.select("uid"), one, two, ["uid"])
+    return diff.resource_diff(*_scripts(spark, sf), {}).select("uid", F.col("existing_cn").alias("value"))
 
 
 def fallback_by_presence(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as records with an id; the primary has them at their places, the fallback elsewhere. A field that is there counts, even an empty one."""
     docs, one, two = _packages(spark, sf)
-    a, b = (p.select("uid", F.create_map(F.lit("t"), F.col("value")).alias(n)) for p, n in ((one, "a"), (two, "b")))
-    joined = docs.select("uid").join(a, "uid", "left").join(b, "uid", "left")
-    return joined.select("uid", F.when(F.map_contains_key("a", F.lit("t")), F.col("a")["t"]).when(F.map_contains_key("b", F.lit("t")), F.col("b")["t"]).otherwise(F.lit("")).alias("value"))
+
+    def records(rows: DataFrame, t, moved: int) -> DataFrame:
+        key = F.concat(F.lit('"d'), "uid", F.lit('"'))
+        return rows.select(F.lit("doc").alias("table"), (F.col("uid").cast("int") + moved).alias("rec_idx"), F.create_map(F.lit("id"), key, F.lit("t"), F.concat(F.lit('"'), t, F.lit('"'))).alias("rec"))
+
+    fields = master.record_fields(records(docs, F.concat(F.lit("か"), "uid"), 0)).filter("field = 't'")
+    found = master.lookup(fields, records(one, F.col("value"), 0), records(two, F.col("value"), 1_000_000_000))
+    return found.select(F.regexp_extract("id", "d(.*)\"", 1).alias("uid"), F.col("existing_cn").alias("value"))
 
 
 def pending_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,17 +158,38 @@ def batch_prompt(spark: SparkSession, sf: str) -> DataFrame:
     return work.prompts(work.batches(_work(spark, sf), 3)).select("gk", "batch", F.sha2("prompt", 256).alias("prompt_sha256"), F.size("uids").cast("long").alias("n"))
 
 
+class Replies(EchoBackend):
+    """In reverse order of the items with their uids, or by position, as the first uid's turn is even or odd."""
+
+    def translate(self, prompt: str) -> str:
+        uids = re.findall(r"^\[(\d+:\d+)\] ", prompt, re.M)
+        if int(uids[0].split(":")[1]) % 2 == 0:
+            return "\n---\n".join(f"[{u}]  t{u} " for u in reversed(uids))
+        return "\n --- \n".join(f"t{u}" for u in uids)
+
+
 def response_parse(spark: SparkSession, sf: str) -> DataFrame:
-    """Replies in reverse order of the items; those of odd batches without uids, by position."""
-    planned = work.prompts(work.batches(_work(spark, sf), 3)).select("gk", "batch", "uids")
-    named = F.array_join(F.reverse(F.transform("uids", lambda u: F.concat(F.lit("["), u, F.lit("]  t"), u, F.lit(" ")))), "\n---\n")
-    bare = F.array_join(F.transform("uids", lambda u: F.concat(F.lit("t"), u)), "\n --- \n")
-    return work.answers(planned.withColumn("reply", F.when(F.col("batch") % 2 == 0, named).otherwise(bare))).select("uid", "cn")
+    return work.translate(work.batches(_work(spark, sf), 3), Replies, waits=()).select("uid", "cn")
 
 
-def translate_merge(spark: SparkSession, sf: str) -> DataFrame:
-    from driftline.backend import EchoBackend
+class Failing(EchoBackend):
+    """An error without a message where a conversation's number is a multiple of 7, and a text too few where it is one more."""
+
+    def translate(self, prompt: str) -> str:
+        left = {int(u) % 7 for u in re.findall(r"^\[(\d+):", prompt, re.M)}
+        if 0 in left:
+            raise RuntimeError
+        reply = super().translate(prompt)
+        return reply.rsplit("[", 1)[0] if 1 in left else reply
+
 
+def failed_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that fails has no texts and says why."""
+    got = work.translate(work.batches(_work(spark, sf), 3), Failing, waits=())
+    return got.select("uid", "cn", F.regexp_replace("error", r"^\d+ of \d+", "some").alias("error"))
+
+
+def translate_merge(spark: SparkSession, sf: str) -> DataFrame:
     items = _work(spark, sf).withColumn("status", F.when(F.col("line") == 0, F.lit("existing")).otherwise(F.lit("new"))).withColumn("existing_cn", F.when(F.col("line") == 0, F.lit("old")).otherwise(F.lit("")))
     got = work.translate(work.batches(items.filter(work.eligible()), 20), EchoBackend, waits=())
     return work.merge_results(items, got).select("uid", "cn")
@@ -219,7 +256,17 @@ def json_path_set(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def generic_explode(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("k", "v"))
+    """Each event as a flat JSON file; keys with an accent are sources, and values other than texts are left out."""
+    value = F.to_json(F.struct(F.col("event_type").alias("é"), F.col("user_id").cast("string").alias("à b"), F.col("event_type").alias("plain"), F.col("value").alias("ü")))
+    files = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("rel"), value.alias("value"))
+    return documents.generic_items(files, ACCENTS).select("uid", "file", "field", "jp", "existing_cn", "status")
+
+
+def localization_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """Each turn as a nested JSON file, French being the source."""
+    nested = F.to_json(F.struct(F.struct("role", F.array(F.sha2(F.coalesce("text", F.lit("")), 256), F.concat(F.lit("é#à "), "role"), F.concat(F.lit("#é "), "role")).alias("said")).alias("turn")))
+    files = table(spark, sf, "conversations").select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("file"), nested.alias("value"))
+    return documents.localization_items(files, "[éà]", "[éà]").select("file", "uid", "field", "jp", "status")
 
 
 def record_pivot(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,21 +289,26 @@ def manifest_filter(spark: SparkSession, sf: str) -> DataFrame:
     return web.missing(wanted, log, held).select("page_id", F.replace(F.lit("https://store.example.com/{o}?x"), F.lit("{o}"), F.col("page_id").cast("string")).alias("object_url"))
 
 
+def _exported(spark: SparkSession, sf: str, status: str) -> DataFrame:
+    path = scratch(spark, "export")
+    tables.export_items(status_items(spark, sf), status, path)
+    return documents.read_items(spark, path).select("uid")
+
+
 def export_new(spark: SparkSession, sf: str) -> DataFrame:
-    return status_items(spark, sf).filter("status = 'new'").select("uid")
+    return _exported(spark, sf, "new")
 
 
 def export_changed(spark: SparkSession, sf: str) -> DataFrame:
-    return status_items(spark, sf).filter("status = 'changed'").select("uid")
+    return _exported(spark, sf, "changed")
 
 
 def category_union(spark: SparkSession, sf: str) -> DataFrame:
     def item(name: str, key: str, jp: str, category: str) -> DataFrame:
         return table(spark, sf, name).select(F.concat_ws(":", F.lit(category), F.col(key).cast("string")).alias("uid"), F.lit(category).alias("category"), F.col(jp).alias("jp"))
 
-    rows = item("nation", "n_nationkey", "n_name", "resource").withColumn("line", F.lit(1)).unionByName(item("part", "p_partkey", "p_name", "master"), allowMissingColumns=True)
-    rows = rows.unionByName(item("customer", "c_custkey", "c_name", "generic"), allowMissingColumns=True).unionByName(item("supplier", "s_suppkey", "s_name", "localization"), allowMissingColumns=True)
-    return rows.withColumn("line", F.coalesce("line", F.lit(-1)))
+    parts = [item("nation", "n_nationkey", "n_name", "resource").withColumn("line", F.lit(1)), item("part", "p_partkey", "p_name", "master"), item("customer", "c_custkey", "c_name", "generic"), item("supplier", "s_suppkey", "s_name", "localization")]
+    return work.item_table(parts).select("uid", "category", "jp", F.coalesce("line", F.lit(-1)).alias("line"))
 
 
 def apply_generic(spark: SparkSession, sf: str) -> DataFrame:
@@ -266,11 +318,65 @@ def apply_generic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def crypto_hash(spark: SparkSession, sf: str) -> DataFrame:
-    """Content keys, and an AES-CBC round trip under a key derived by hashing."""
-    key = F.unhex(F.sha2(F.lit("driftline"), 256))
-    docs = table(spark, sf, "documents")
-    back = F.aes_decrypt(F.aes_encrypt(F.col("text"), key, F.lit("CBC"), F.lit("PKCS")), key, F.lit("CBC"), F.lit("PKCS")).cast("string")
-    return docs.select("doc_id", text.content_key(F.col("text")).alias("sha256"), (back == F.col("text")).alias("round_trip"))
+    """Content keys, and texts as the service and the cache file encrypt them, decrypted."""
+    seed, key, vector = "driftline", "00112233445566778899aabbccddeeff", "0f" * 16
+    docs = table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+
+    def sealed(plain, by, iv):
+        return F.aes_encrypt(plain, by, F.lit("CBC"), F.lit("PKCS"), F.unhex(F.lit(iv)))
+
+    reply = sealed(F.col("text").cast("binary"), F.unhex(F.sha2(F.lit(seed), 256)), vector)
+    cached = sealed(F.concat(F.unhex(F.lit("63" * 16)), F.col("text").cast("binary")), F.unhex(F.lit(key)), vector)
+    cached = F.concat(F.unhex(F.lit("01")), F.substring(cached, F.lit(17), F.length(cached)))
+    back = [manifest.decrypt_reply(reply, seed).cast("string"), manifest.decrypt_cache(cached, key, vector).cast("string")]
+    return docs.select("doc_id", text.content_key(F.col("text")).alias("sha256"), (back[0] == F.col("text")).alias("round_trip"), (back[1] == F.col("text")).alias("cache_round_trip"))
+
+
+def choice_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """Choice lines with the first choice of every second line put in."""
+    jp = F.sha2(F.coalesce("text", F.lit("")), 256)
+    lines_ = table(spark, sf, "conversations").select("conv_id", "turn", F.concat(F.lit("[choicegroup text="), jp, F.lit(" text=b"), jp, F.lit("]")).alias("line"))
+    texts = F.when(F.col("turn") % 2 == 0, F.create_map(F.lit("text[0]"), F.lit("A"), F.lit("text[1]"), F.lit(""))).otherwise(F.create_map(F.lit("text[1]"), F.lit("B")))
+    return lines_.select("conv_id", "turn", script.build_line(F.col("line"), texts).alias("line"))
+
+
+def prior_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Earlier texts of choices: wrapped with a stray bracket, plain answers, plain sources; and of other fields."""
+    jp = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = table(spark, sf, "documents").select("doc_id", jp.alias("jp"), F.when(F.col("doc_id") % 5 == 4, F.lit("text")).otherwise(F.lit("text[0]")).alias("field"))
+    kinds = F.element_at(F.array(F.concat(F.lit("<r\\="), "jp", F.lit("]>T</r>")), F.lit("answer"), F.col("jp"), F.concat(F.lit("か"), "jp"), F.lit("answer")), (F.pmod("doc_id", F.lit(5)) + 1).cast("int"))
+    current = F.when(F.pmod("doc_id", F.lit(5)) == 3, F.concat(F.lit("か"), "jp")).otherwise(F.col("jp"))
+    return rows.select("doc_id", prior(F.col("field"), kinds, current).alias("x")).select("doc_id", "x.*")
+
+
+def known_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Name lines: what a package has, else the first known name that contains it, else itself; {user} stays; and names by key."""
+    known = {"k": "", "a": "SMALL BRUSHED TIN", "b": "Brand#11 and Brand#12", "c": "PROMO"}
+    part = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 4 == 0, F.lit("{user}")).otherwise(F.col("p_brand")).alias("jp"), F.when(F.col("p_partkey") % 3 == 0, F.lit("had")).otherwise(F.lit("")).alias("existing_cn"), F.when(F.col("p_partkey") % 2 == 0, F.lit("text")).otherwise(F.lit("name")).alias("field"), F.lit("new").alias("status"), "p_type")
+    return diff.with_names(part, known).select("p_partkey", "existing_cn", "status", text.mapped(F.col("p_type"), {"PROMO": "promoted", "ECONOMY": "cheap"}).alias("label"))
+
+
+def record_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as records with texts put in: at their place, by id where the place has another, as a new field, and none."""
+    parts = table(spark, sf, "part").withColumn("i", F.col("p_partkey").cast("int"))
+    key = F.concat(F.lit('"k'), F.col("p_partkey").cast("string"), F.lit('"'))
+    records = parts.select(F.lit("part").alias("table"), F.col("i").alias("rec_idx"), F.create_map(F.lit("size"), F.col("p_size").cast("string"), F.lit("id"), key, F.lit("name"), F.lit('"old"')).alias("rec"))
+    kind = F.col("p_partkey") % 4
+    items = parts.filter(kind < 3).select(F.lit("part").alias("table"), F.when(kind == 1, F.col("i") + 1).otherwise(F.col("i")).alias("rec_idx"), key.alias("record_id"), F.when(kind == 2, F.lit("more")).otherwise(F.lit("name")).alias("field"), F.col("p_brand").alias("cn"), F.lit("").alias("existing_cn"))
+    out = master.apply_updates(records, items)
+    return out.select("rec_idx", F.array_join(F.transform(F.map_entries("rec"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("rec"), F.col("applied").cast("int").alias("applied"))
+
+
+def package_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A file for each brand of parts, rewritten with new names; other keys keep order and values. Brands without a file get one."""
+    parts = table(spark, sf, "part").select("p_partkey", F.translate("p_brand", "#", "_").alias("table"), "p_name", "p_size", (F.col("p_brand").like("%1%")).alias("held"))
+    order = F.row_number().over(Window.partitionBy("table").orderBy("p_partkey")) - 1
+    parts = parts.withColumn("rec_idx", order.cast("int")).withColumn("key", F.concat(F.lit("k"), F.col("p_partkey").cast("string")))
+    record = F.to_json(F.struct(F.col("p_size").alias("z"), F.col("key").alias("id"), F.lit("old").alias("name"), F.array(F.lit(1), F.lit(2)).alias("a")))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rec_idx", record.alias("r")))), lambda x: x["r"]), ",")
+    files = parts.filter("held").groupBy("table").agg(F.concat(F.lit('{"rules":{"primaryKeys":["id"]},"more":1,"data":['), listed, F.lit("]}")).alias("value"))
+    items = parts.select("table", "rec_idx", F.concat(F.lit('"'), "key", F.lit('"')).alias("record_id"), F.lit("name").alias("field"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.lit("")).alias("cn"), F.lit("").alias("existing_cn"))
+    return master.package_files(files, items).select("table", F.sha2("content", 256).alias("content_sha256"), "applied")
 
 
-QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash)} | {"split_wrapped": split_wrapped_back}
+QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from driftline.operators import work
+from driftline.plans import workspace
 from driftline.schema import STORY_LABELS
 
-_PACKAGES = """docs AS (SELECT CAST(doc_id AS VARCHAR) AS uid, doc_id, sha256(text) AS jp FROM documents),
+_PACKAGES = """docs AS (SELECT CAST(doc_id AS VARCHAR) AS uid, doc_id, sha256(coalesce(text, '')) AS jp FROM documents),
 one AS (SELECT uid, CASE WHEN doc_id % 6 = 0 THEN jp || 'x' ELSE jp END AS src, CASE WHEN doc_id % 9 = 0 THEN '' ELSE 'p' || uid END AS value FROM docs WHERE doc_id % 3 = 0),
 two AS (SELECT uid, jp AS src, 'f' || uid AS value FROM docs WHERE doc_id % 5 = 0)"""
 _STATUS = f"""{_PACKAGES},
@@ -64,11 +65,21 @@ ORACLES = {
     "prefix_label": "SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1-%' THEN 'first' WHEN o_orderpriority LIKE '2-%' THEN 'second' WHEN o_orderpriority LIKE '3-%' THEN 'third' ELSE o_orderpriority END AS label FROM orders",
     "json_flatten": "SELECT conv_id, turn AS k, 'turn.role' AS path, sha256(role) AS text_sha256 FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[0]', sha256(text) FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[1]', sha256(role) FROM conversations WHERE text IS NOT NULL",
     "json_path_set": """SELECT event_id, '{"event_type":"' || event_type || '","n":{"l":["' || user_id || '"]}}' AS tree FROM events""",
-    "generic_explode": "SELECT event_id, k, props::JSON ->> k AS v FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)",
+    "generic_explode": "SELECT 'generic:' || event_id || ':' || k AS uid, CAST(event_id AS VARCHAR) AS file, k AS field, k AS jp, v AS existing_cn, 'existing' AS status FROM (SELECT event_id, unnest(['é', 'à b']) AS k, unnest([event_type, CAST(user_id AS VARCHAR)]) AS v FROM events)",
+    "localization_leaves": "WITH c AS (SELECT conv_id || ':' || turn AS file, role FROM conversations) SELECT file, 'localization:turn.said[1]' AS uid, 'turn.said[1]' AS field, 'é#à ' || role AS jp, 'new' AS status FROM c UNION ALL SELECT file, 'localization:turn.said[2]', 'turn.said[2]', '#é ' || role, 'existing' FROM c",
+    "choice_rebuild": r"WITH c AS (SELECT conv_id, turn, sha256(coalesce(text, '')) AS jp FROM conversations) SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '[choicegroup text=<r\=' || jp || '>A</r> text=b' || jp || ']' ELSE '[choicegroup text=' || jp || ' text=<r\=b' || jp || '>B</r>]' END AS line FROM c",
+    "prior_texts": "WITH d AS (SELECT doc_id, doc_id % 5 AS k, sha256(coalesce(text, '')) AS jp FROM documents) SELECT doc_id, CASE k WHEN 3 THEN 'か' || jp WHEN 4 THEN 'answer' ELSE jp END AS src, CASE k WHEN 0 THEN 'T' WHEN 1 THEN 'answer' WHEN 2 THEN jp ELSE '' END AS dst FROM d",
+    "known_names": "WITH p AS (SELECT p_partkey, p_type, p_partkey % 4 = 0 AS own, p_partkey % 2 = 1 AS is_name, p_brand AS jp, CASE WHEN p_partkey % 3 = 0 THEN 'had' ELSE '' END AS had FROM part) SELECT p_partkey, CASE WHEN own THEN '{user}' WHEN is_name AND had = '' THEN CASE WHEN contains('SMALL BRUSHED TIN', jp) THEN 'SMALL BRUSHED TIN' WHEN contains('Brand#11 and Brand#12', jp) THEN 'Brand#11 and Brand#12' WHEN contains('PROMO', jp) THEN 'PROMO' ELSE jp END ELSE had END AS existing_cn, CASE WHEN own OR is_name THEN 'existing' ELSE 'new' END AS status, CASE p_type WHEN 'PROMO' THEN 'promoted' WHEN 'ECONOMY' THEN 'cheap' ELSE p_type END AS label FROM p",
+    "record_updates": """SELECT CAST(p_partkey AS INT) AS rec_idx, 'size=' || p_size || ';id="k' || p_partkey || '";name="' || CASE WHEN p_partkey % 4 < 2 THEN p_brand ELSE 'old' END || '"' || CASE WHEN p_partkey % 4 = 2 THEN ';more="' || p_brand || '"' ELSE '' END AS rec, CASE WHEN p_partkey % 4 = 3 THEN 0 ELSE 1 END AS applied FROM part""",
+    "package_files": """WITH p AS (SELECT *, replace(p_brand, '#', '_') AS tab, p_brand LIKE '%1%' AS held, p_partkey % 2 = 0 AS put FROM part),
+r AS (SELECT tab, held, put, p_partkey, CASE WHEN held THEN '  {' || chr(10) || '   "z": ' || p_size || ',' || chr(10) || '   "id": "k' || p_partkey || '",' || chr(10) || '   "name": "' || CASE WHEN put THEN p_name ELSE 'old' END || '",' || chr(10) || '   "a": [' || chr(10) || '    1,' || chr(10) || '    2' || chr(10) || '   ]' || chr(10) || '  }'
+  ELSE '  {' || chr(10) || '   "id": "k' || p_partkey || '",' || chr(10) || '   "name": "' || p_name || '"' || chr(10) || '  }' END AS rec FROM p WHERE held OR put)
+SELECT tab AS "table", sha256('{' || chr(10) || ' "rules": {' || chr(10) || '  "primaryKeys": [' || chr(10) || '   "id"' || chr(10) || '  ]' || chr(10) || ' },' || chr(10) || CASE WHEN held THEN ' "more": 1,' || chr(10) ELSE '' END || ' "data": [' || chr(10) || string_agg(rec, ',' || chr(10) ORDER BY p_partkey) || chr(10) || ' ]' || chr(10) || '}') AS content_sha256, count(*) FILTER (put) AS applied FROM r GROUP BY tab, held""",
+    "failed_batches": f"WITH {_WORK}, f AS (SELECT *, bool_or(conv_id % 7 = 0) OVER (PARTITION BY gk, batch) AS broken, bool_or(conv_id % 7 = 1) OVER (PARTITION BY gk, batch) AS short FROM p) SELECT uid, CASE WHEN broken OR short THEN NULL ELSE upper(jp) END AS cn, CASE WHEN broken THEN 'RuntimeError' WHEN short THEN 'some missing' END AS error FROM f",
     "record_pivot": """WITH f AS (SELECT p_name AS record_id, p_brand AS field, arg_max(p_type, p_partkey) AS t FROM part GROUP BY 1, 2) SELECT record_id, '{' || string_agg('"' || field || '":"' || t || '"', ',' ORDER BY field) || '}' AS fields FROM f GROUP BY 1""",
     "script_rebuild": rf"WITH {_TURNS}, l AS (SELECT file, line, '[message text=' || CASE WHEN line % 2 = 0 AND len(string_split(said, '\n')) > 0 THEN '<r\=' || said || '>T' || line || '</r>' ELSE said END || ' name=' || role || ']' AS x FROM turns) SELECT file, sha256(string_agg(x, chr(10) ORDER BY line)) AS content_sha256 FROM l GROUP BY file",
     "manifest_filter": "SELECT page_id, 'https://store.example.com/' || page_id || '?x' AS object_url FROM pages WHERE url LIKE 'https%' AND url NOT LIKE '%#top' AND page_id % 4 <> 0",
     "category_union": "SELECT 'resource:' || n_nationkey AS uid, 'resource' AS category, n_name AS jp, 1 AS line FROM nation UNION ALL SELECT 'master:' || p_partkey, 'master', p_name, -1 FROM part UNION ALL SELECT 'generic:' || c_custkey, 'generic', c_name, -1 FROM customer UNION ALL SELECT 'localization:' || s_suppkey, 'localization', s_name, -1 FROM supplier",
     "apply_generic": """SELECT CAST(event_id AS VARCHAR) AS file, '{"a":"' || CASE WHEN event_id % 2 = 0 THEN 'T' ELSE event_type END || '","b":"y"}' AS value, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS applied FROM events""",
-    "crypto_hash": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256, true AS round_trip FROM documents",
-}
+    "crypto_hash": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256, true AS round_trip, true AS cache_round_trip FROM documents",
+} | workspace.ORACLES
