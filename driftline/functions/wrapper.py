@@ -1,9 +1,8 @@
-"""The translation wrapper <r\\=SOURCE>ANSWER</r>: nested markup needs a stack, hence an Arrow UDF."""
+"""The translation wrapper <r\\=SOURCE>ANSWER</r>: texts without other markup are split by built-in functions; nested markup needs a stack, hence an Arrow UDF."""
 
 from __future__ import annotations
 
 import re
-from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,14 +14,18 @@ from driftline.functions.text import looks_like_source
 _EDGES = re.compile(r"<r\\=|</r\\?>")
 _MARKS = re.compile(r"<r\\=[^>]*>|</r\\?>|<[^>]*>|<|>")
 _BREAKS = re.compile(r"(?:\\r\\n|\\n)*")
+#: A segment whose halves hold no markup, and the breaks after it.
+_PLAIN = r"<r\\=([^<>]*+)>([^<>]*+)</r\\?>(?:\\r\\n|\\n)*+"
 
 
 def _segment(text: str, at: int) -> tuple[str, int] | None:
     """The inside of the wrapper that opens at the place and where it ends, by matching opens and closes."""
-    edges = list(_EDGES.finditer(text, at))
-    depths = accumulate(1 if e.group() == "<r\\=" else -1 for e in edges)
-    close = next((e for e, d in zip(edges, depths, strict=True) if d == 0), None)
-    return (text[at + 4 : close.start()], close.end()) if close else None
+    depth = 0
+    for edge in _EDGES.finditer(text, at):
+        depth += 1 if edge.group() == "<r\\=" else -1
+        if not depth:
+            return text[at + 4 : edge.start()], edge.end()
+    return None
 
 
 def _halves(inside: str) -> tuple[str, str] | None:
@@ -53,13 +56,26 @@ def split_text(text: str) -> tuple[str, str]:
     return tuple("\\n".join(x) for x in zip(*found, strict=True))
 
 
-@F.pandas_udf(T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())]))
-def split_wrapped(texts: pd.Series) -> pd.DataFrame:
+_HALVES = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
+
+
+@F.pandas_udf(_HALVES)
+def _scanned(texts: pd.Series) -> pd.DataFrame:
     """Nulls give null halves."""
     both = [(None, None) if t is None else split_text(t) for t in texts]
     return pd.DataFrame(both, columns=["src", "dst"])
 
 
+def split_wrapped(c: Column) -> Column:
+    """struct<src,dst>: source and answer, several segments joined by the two characters of a line break; (text, "") if it isn't a wrapped text. Nulls give null halves."""
+    wrapped = F.startswith(c, F.lit("<r\\="))
+    plain = F.regexp_replace(c, _PLAIN, "") == ""
+    src, dst = (F.array_join(F.regexp_extract_all(c, F.lit(_PLAIN), F.lit(k)), "\\n") for k in (1, 2))
+    hard = wrapped & ~plain
+    easy = F.when(wrapped, F.struct(src.alias("src"), dst.alias("dst"))).otherwise(F.struct(c.alias("src"), F.when(c.isNotNull(), F.lit("")).alias("dst")))
+    return F.when(hard, _scanned(F.when(hard, c))).otherwise(easy).cast(_HALVES)
+
+
 def prior(field: Column, wrapped: Column, current: Column) -> Column:
     """struct<src,dst>: the earlier source and answer in a package's text; choices may be plain answers without a wrapper."""
     choice = F.startswith(field, F.lit("text["))

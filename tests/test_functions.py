@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions import script, text
 from driftline.functions.jsontree import flatten, parse_path, set_path
-from driftline.functions.wrapper import prior, split_text
+from driftline.functions.wrapper import prior, split_text, split_wrapped
 from driftline.sources import scripts
 
 
@@ -34,6 +34,14 @@ def test_wrapper_round_trip(rows):
     assert split_text(joined) == (r"\n".join(a for a, _ in rows), r"\n".join(b for _, b in rows))
 
 
+def test_splitting_by_columns_is_splitting_by_scan(spark):
+    rng = random.Random(5)
+    parts = ["<r\\=", ">", "</r>", "</r\\>", "<em\\=x>", "</em>", "A", "b c", "\\r\\n", "\\n", "\n", "<r\\=S>T</r>", "<r\\=S>T</r>\\r\\n", "", "é<", "=", "<r\\=>", "\\"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(3000)] + [r"<r\=A>B</r>\r\n" * 30_000]
+    rows = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "i int, t string").select("i", split_wrapped(F.col("t")).alias("x")).select("i", "x.*").collect()
+    assert {r.i: (r.src, r.dst) for r in rows} == {-1: (None, None)} | {i: split_text(t) for i, t in enumerate(texts)}
+
+
 def test_prior_translation(spark):
     def got(field, wrapped, current):
         r = one(spark, prior(F.col("f"), F.col("w"), F.col("c")), f=field, w=wrapped, c=current)
