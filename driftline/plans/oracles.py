@@ -80,6 +80,6 @@ SELECT tab AS "table", sha256('{' || chr(10) || ' "rules": {' || chr(10) || '  "
     "script_rebuild": rf"WITH {_TURNS}, l AS (SELECT file, line, '[message text=' || CASE WHEN line % 2 = 0 AND len(string_split(said, '\n')) > 0 THEN '<r\=' || said || '>T' || line || '</r>' ELSE said END || ' name=' || role || ']' AS x FROM turns) SELECT file, sha256(string_agg(x, chr(10) ORDER BY line)) AS content_sha256 FROM l GROUP BY file",
     "manifest_filter": "SELECT page_id, 'https://store.example.com/' || page_id || '?x' AS object_url FROM pages WHERE url LIKE 'https%' AND url NOT LIKE '%#top' AND page_id % 4 <> 0",
     "category_union": "SELECT 'resource:' || n_nationkey AS uid, 'resource' AS category, n_name AS jp, 1 AS line FROM nation UNION ALL SELECT 'master:' || p_partkey, 'master', p_name, -1 FROM part UNION ALL SELECT 'generic:' || c_custkey, 'generic', c_name, -1 FROM customer UNION ALL SELECT 'localization:' || s_suppkey, 'localization', s_name, -1 FROM supplier",
-    "apply_generic": """SELECT CAST(event_id AS VARCHAR) AS file, '{"a":"' || CASE WHEN event_id % 2 = 0 THEN 'T' ELSE event_type END || '","b":"y"}' AS value, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS applied FROM events""",
+    "apply_generic": """SELECT CAST(event_id AS VARCHAR) AS file, '{"a":"' || CASE WHEN event_id % 2 = 0 THEN 'T' ELSE event_type END || '","b":"y"}' AS value, CAST(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS applied FROM events""",
     "crypto_hash": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256, true AS round_trip, true AS cache_round_trip FROM documents",
 } | workspace.ORACLES
