@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality
-from driftline.llm.base import TEXT_BATCH, load, materialise
+from driftline.llm.base import TEXT_BATCH, discard, load, made, materialise, release
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -59,7 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage wrote is deleted once the next stage's documents are written."""
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.split()[0].lower())
+        first = made(spark)
+        past, docs = docs, materialise(stage(spark, docs, sf_dir), name.split()[0].lower())
+        release(spark, first, keep=docs)
+        if name != STAGES[0][0]:
+            discard(past)
     return STAGES[-1][1](spark, docs, sf_dir)
