@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi pass.
 
 Texts are cut into units (a run of word marks and what follows, since no piece has a mark after another character); distinct
-units of equal length advance together, one character a step. At each step the hashes of the substrings that end there probe
+units of equal length advance together, one character a step (where few share a length, with those of lengths next to it). At each step the hashes of the substrings that end there probe
 the sorted piece keys; a candidate piece scores by its length if it may follow the best piece that ends where it begins, and
 minus infinity otherwise; the vectorised maximum is stored as a backpointer.
 
@@ -187,9 +187,10 @@ class PieceModel:
         return self.pairs[a, b]
 
     def _viterbi(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Units of one length: all ids and each unit's number of them."""
-        k, n = len(units), len(units[0])
-        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(k, n).astype(np.uint64)
+        """Units of one length, or of lengths so alike that shorter ones go along to the end: all ids and each unit's number of them."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        k, n = len(units), int(sizes.max())
+        codes = np.frombuffer("".join(u.ljust(n, "\0") for u in units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(k, n).astype(np.uint64)
         prefix = np.zeros((n + 1, k), np.uint64)
         for j in range(n):
             prefix[j + 1] = prefix[j] * _BASE + codes[:, j] + np.uint64(1)
@@ -214,7 +215,7 @@ class PieceModel:
                 rows, piece = rows[wins], piece[wins]
                 best[rows], last[i, rows], step[i, rows] = length, piece, length
             step[i, best == 0] = 1
-        ends = np.full(k, n)
+        ends = sizes.copy()
         back: list[np.ndarray] = []
         rows_at: list[np.ndarray] = []
         live = np.arange(k)
@@ -234,43 +235,63 @@ class PieceModel:
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         return np.array([y for p in parts for y in p], np.uint32), np.add.reduceat(sizes, np.cumsum(counts) - counts)
 
+    def _batches(self, lengths: np.ndarray):
+        """Rows of rising lengths in batches: 50,000 of one length at most; FEW of one length or less go with neighbours up to half as long again."""
+        edges = np.r_[np.flatnonzero(np.r_[True, lengths[1:] != lengths[:-1]]), len(lengths)] if len(lengths) else np.zeros(1, np.int64)
+        few = 0  # where rows begin that wait for neighbours
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if few < a and (b - a >= FEW or lengths[a] > 1.5 * lengths[few]):
+                yield few, a
+                few = a
+            if b - a >= FEW:
+                yield from ((at, min(at + 50_000, b)) for at in range(a, b, 50_000))
+                few = b
+        if few < len(lengths):
+            yield few, len(lengths)
+
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and each unit's number of them, for units that aren't empty."""
-        chars = np.fromiter(map(len, units), np.int64, len(units))
-        runs = np.fromiter((u.startswith(MARK + MARK) for u in units), bool, len(units))
+        """All ids and each unit's number of them, for units that aren't empty.
+
+        Of a unit with several marks, the last one and the word go through the pass as usual, since these pieces score above
+        runs of marks; what marks are left merge from the left.
+        """
+        marks = np.fromiter((len(u) - len(u.lstrip(MARK)) if u.startswith(MARK + MARK) else 1 for u in units), np.int64, len(units))
+        cores = [u[m - 1 :] if m > 1 else u for u, m in zip(units, marks.tolist(), strict=True)]
+        chars = np.fromiter(map(len, cores), np.int64, len(units))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # units, ids, numbers
-        order = np.argsort(np.where(runs, 0, chars), kind="stable")
-        lengths = np.where(runs, 0, chars)[order]
-        edges = np.r_[np.flatnonzero(np.r_[True, lengths[1:] != lengths[:-1]]), len(units)] if len(units) else np.zeros(1, np.int64)
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            for at in range(a, b, 50_000):
-                rows = order[at : min(at + 50_000, b)]
-                texts = [units[i] for i in rows.tolist()]
-                if lengths[a] == 0 or len(rows) < FEW:
-                    each = [self._runs(t) if lengths[a] == 0 else self._scalar(t) for t in texts]
-                    found.append((rows, np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))))
-                else:
-                    found.append((rows, *self._viterbi(texts)))
+        order = np.argsort(chars, kind="stable")
+        for a, b in self._batches(chars[order]):
+            rows = order[a:b]
+            texts = [cores[i] for i in rows.tolist()]
+            if len(rows) < FEW:  # a pass over so few, of which one may be very long, is faster without numpy
+                each = [self._scalar(t) for t in texts]
+                found.append((rows, np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))))
+            else:
+                found.append((rows, *self._viterbi(texts)))
+        heads: dict[int, np.ndarray] = {}  # ids of the marks before a unit's own
+        drop = np.zeros(len(units), np.int64)  # 1: the unit's last mark stands alone and belongs to the run
+        many = marks > 1
+        for rows, ids, n in found if many.any() else ():
+            first = ids[np.cumsum(n) - n]
+            for i, x in zip(rows[many[rows]].tolist(), first[many[rows]].tolist(), strict=True):
+                drop[i] = self.surface[x] == MARK
+                heads[i] = np.array([self.id[p] for p in self._merged_run(int(marks[i] - 1 + drop[i]))], np.uint32)
+        size = np.zeros(len(units), np.int64)
+        size[list(heads)] = [len(h) for h in heads.values()]
         lens = np.zeros(len(units), np.int64)
         for rows, _, n in found:
-            lens[rows] = n
+            lens[rows] = n - drop[rows] + size[rows]
         begin = np.cumsum(lens) - lens
-        out = np.zeros(int(lens.sum()), np.uint32)
+        out = np.zeros(int(lens.sum()) + 1, np.uint32)  # with a place for what is dropped
         for rows, ids, n in found:
             ends = np.cumsum(n)
-            out[np.repeat(begin[rows] - (ends - n), n) + np.arange(len(ids))] = ids
-        return out, lens
-
-    def _runs(self, unit: str) -> np.ndarray:
-        """A unit with several marks: its last mark merges with the word as usual, since these pieces score above runs of marks; what marks are left merge from the left."""
-        marks = len(unit) - len(unit.lstrip(MARK))
-        ids = self._scalar(unit[marks - 1 :])
-        if len(ids) and self.surface[int(ids[0])] == MARK:
-            ids, left = ids[1:], marks
-        else:
-            left = marks - 1
-        run = [self.id[p] for p in self._merged_run(left)]
-        return np.r_[np.array(run, np.uint32), ids].astype(np.uint32)
+            at = np.repeat(begin[rows] + size[rows] - drop[rows] - (ends - n), n) + np.arange(len(ids))
+            gone = (ends - n)[drop[rows] > 0]
+            at[gone] = len(out) - 1
+            out[at] = ids
+        for i, head in heads.items():
+            out[begin[i] : begin[i] + len(head)] = head
+        return out[:-1], lens
 
     def _merged_run(self, n: int) -> list[str]:
         if n <= 512:
