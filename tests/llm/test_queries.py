@@ -110,7 +110,9 @@ def test_decontaminate_beside_signs(spark, monkeypatch):
         assert {r.doc_id: (r.n_hit, r.contaminated) for r in decontaminate.contamination(docs, bench).collect()} == want
 
 
-def test_near(docs):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_near(docs, monkeypatch, rows):
+    monkeypatch.setattr(base, "BROADCAST_ROWS", rows)
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dedup.near_dedup(docs, 4).collect()}
     assert got[1, 57] == got[2, 57][:1] + (True,) or got[1, 57] == (1, True)
     assert got[2, 57] == (1, False) and got[3, 57] == (1, False) and got[4, 0] == (4, True) and got[6, 1] == (6, True)
@@ -118,6 +120,32 @@ def test_near(docs):
     assert near_dedup.keep_one(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("slots", [8192, 1])
+def test_sieve(spark, monkeypatch, slots):
+    """Nothing that is in is kept out; in one piece and in segments, and with more keys than bits."""
+    monkeypatch.setattr(base, "SLOTS", slots)
+    keys, rows = spark.range(0, 15_000, 3), spark.range(30_000).select("id", F.lit("x").alias("bits"), F.lit(None).alias("sieve_slot"))
+    for segments in (8, 1):
+        monkeypatch.setattr(base, "SEGMENTS", segments)
+        bits = base.sieve(keys, "id", 5000)
+        into, out = base.passing(rows, "id", bits), base.failing(rows, "id", bits)
+        there = {r.id for r in into.collect()}
+        assert set(range(0, 15_000, 3)) <= there and len(there) < (6000 if slots * segments > 2 else 15_000) and into.columns == rows.columns
+        assert {r.id for r in out.collect()} == set(range(30_000)) - there
+    assert base.passing(rows, "id", base.sieve(keys.limit(0), "id", 0)).count() == 0
+
+
+def test_what_is_written_is_released(spark):
+    first = base.made(spark)
+    one, two = base.materialise(spark.range(3), "test-one"), base.materialise(spark.range(4), "test-two")
+    base.discard(one)
+    assert base.made(spark) == first + 1 and base.release(spark, first, keep=two) == 0 and two.count() == 4
+    assert base.release(spark, first) == 1 and base.made(spark) == first
+    for gone in (one, two):
+        with pytest.raises(Exception, match="driftline-test"):
+            gone.count()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -143,7 +171,9 @@ def brute_repeats(texts, n):
     return [bytes(b for i, b in enumerate(t) if i not in g) for t, g in zip(texts, gone, strict=True)]
 
 
-def test_repeats(spark, docs):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_repeats(spark, docs, monkeypatch, rows):
+    monkeypatch.setattr(base, "BROADCAST_ROWS", rows)
     rng = np.random.default_rng(5)
     a, b = ("".join(rng.choice(list("abcé "), 900)) for _ in range(2))
     texts = [a, b[:300] + a[100:420] + b[300:], "y" * 700, None, "", a[:199], "z" + a[:205] + "é", b[:250]]
