@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import json
 import os
@@ -19,7 +20,7 @@ from driftline.config import LLM_DEFAULTS, PATHS, load_config
 from driftline.functions.jsontree import json_leaves
 from driftline.shared import scratch
 from driftline.sinks import files, tables
-from driftline.sources import documents, manifest, scripts
+from driftline.sources import documents, manifest, scripts, web
 
 NEST = "{{{{{{{{x}}}}}}}}"
 NAMES = {"k": "", "u": "the user"}
@@ -105,7 +106,7 @@ def stage_extract(spark: SparkSession, sf: str) -> DataFrame:
 def _translated(spark: SparkSession, sf: str) -> tuple[dict, dict]:
     cfg = lay(spark, sf)
     app.extract(spark, cfg)
-    return cfg, app.translate(spark, cfg, EchoBackend, waits=(), report=lambda said: None)
+    return cfg, app.translate(spark, cfg, waits=(), report=lambda said: None)  # the configured backend, which echoes
 
 
 def stage_translate(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,8 +233,6 @@ def stage_fetch(spark: SparkSession, sf: str) -> DataFrame:
     log = f"{cfg['paths']['scripts']}/download_log"
     first = spark.createDataFrame(tables.read_pairs(spark, log, "name", "state").collect(), "name string, state string")  # the log is swapped by the second run; a small dimension
     two = app.fetch(spark, cfg, _service(spark, sf, options, None))
-    from driftline.sources import web
-
     held = web.stored(spark, f"{cfg['paths']['scripts']}/{app.SCRIPTS}").select(F.lit("held").alias("kind"), "name", F.col("n_bytes").cast("string").alias("value"))
     logs = first.select(F.lit("log 1"), "name", "state").unionAll(tables.read_pairs(spark, log, "name", "state").select(F.lit("log 2"), "name", "state"))
     index = json.loads(files.get(f"{cfg['paths']['scripts']}/index.json"))
@@ -263,6 +262,34 @@ def manifest_sources(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
+def fetched_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Files fetched by the connector's own client, from addresses that hold their content."""
+    folder = scratch(spark, "fetched")
+    wanted = _table(spark, sf, "nation").select(F.concat("n_name", F.lit(".txt")).alias("name"), F.when(F.col("n_nationkey") % 5 == 0, F.lit("")).otherwise(F.col("n_name")).alias("objectName"))
+    tried = spark.createDataFrame(web.fetch(wanted, "data:,{o}", folder, workers=4).collect(), "name string, state string")  # fetched once; a small dimension
+    return tried.join(web.stored(spark, folder), "name", "left")
+
+
+def command_line(spark: SparkSession, sf: str) -> DataFrame:
+    """The stages by command: exit codes, what the last run exported, and an unknown stage."""
+    from driftline.__main__ import main
+
+    cfg, codes = lay(spark, sf), []
+    text = json.dumps({"llm": {"backend": "echo", "skip_changed": False}, "paths": {k: cfg["paths"][k] for k in PATHS}, "character_names": NAMES})  # JSON is YAML
+    with tempfile.TemporaryDirectory() as folder, contextlib.redirect_stdout(io.StringIO()) as said, contextlib.redirect_stderr(io.StringIO()):
+        config = str(Path(folder, "config.yaml"))
+        Path(config).write_text(text, encoding="utf-8")
+        for stages in (["extract", "translate", "build", "package"], ["export", "--status", "new"], ["wrong"]):
+            try:
+                codes.append(main([*stages, "--config", config]))
+            except SystemExit as e:
+                codes.append(e.code)
+    n_new = documents.read_items(spark, f"{cfg['paths']['work']}/new.json").count()
+    steps = [x.split(":", 1)[0] for x in said.getvalue().splitlines() if ": " in x]
+    made = files.exists(f"{cfg['paths']['output']}/package.zip")
+    return spark.createDataFrame([(*codes, ",".join(x for x in steps if x.isalpha()), n_new, made)], "stages int, export int, wrong int, said string, n_new long, made boolean")
+
+
 def config_values(spark: SparkSession, sf: str) -> DataFrame:
     """A configuration file with an environment's overrides, as keys and values."""
     regions = _table(spark, sf, "region").select("r_regionkey", "r_name").orderBy("r_regionkey").collect()
@@ -276,7 +303,7 @@ def config_values(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "key string, value string")
 
 
-QUERIES = {f.__name__: f for f in (stage_extract, stage_translate, stage_translate_again, stage_build, stage_build_counts, stage_package, stage_export, stage_fetch, manifest_sources, config_values)}
+QUERIES = {f.__name__: f for f in (stage_extract, stage_translate, stage_translate_again, stage_build, stage_build_counts, stage_package, stage_export, stage_fetch, fetched_bytes, command_line, manifest_sources, config_values)}
 
 _JP = "か"
 _FILES = f"""t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS line, coalesce(role, '') AS role, sha256(coalesce(text, '')) AS jp, CASE WHEN conv_id % 2 = 0 THEN 'adv_dear_hski_' ELSE 'adv_event_' END || conv_id AS stem FROM conversations),
@@ -318,6 +345,8 @@ SELECT CAST(row_number() OVER (ORDER BY late, string_split(name, '/')) - 1 AS IN
 SELECT 'held' AS kind, name, CAST(length('[title text=x]') + length(CAST(k AS VARCHAR)) AS VARCHAR) AS value FROM n UNION ALL SELECT 'log 1', name, 'ok' FROM n WHERE k % 7 <> 3 UNION ALL SELECT 'log 2', name, 'ok' FROM n
 UNION ALL SELECT 'index', name, 'o' || k FROM n UNION ALL SELECT 'index', r_name || '.bin', 'b' || r_regionkey FROM region UNION ALL SELECT 'revision', '', '454' UNION ALL SELECT 'primary', 'local-files/resource/' || r_name || '.txt', r_name FROM region UNION ALL SELECT 'primary', 'version.txt', 'v7'
 UNION ALL SELECT 'run ' || r, unnest(['manifest', 'n_eligible', 'n_failed', 'primary', 'tables']), unnest(['service', CAST((SELECT count(*) FROM n) AS VARCHAR), CASE r WHEN 0 THEN CAST((SELECT count(*) FROM n WHERE k % 7 = 3) AS VARCHAR) ELSE '0' END, CASE r WHEN 0 THEN '(''v7'', True)' ELSE '(''v7'', False)' END, 'new']) FROM (SELECT unnest([0, 1]) AS r)""",
+    "fetched_bytes": "SELECT n_name || '.txt' AS name, CASE WHEN n_nationkey % 5 = 0 THEN 'empty answer' ELSE 'ok' END AS state, CAST(CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE length(n_name) END AS BIGINT) AS n_bytes FROM nation",
+    "command_line": f"WITH {_FILES} SELECT CAST(0 AS INT) AS stages, CAST(0 AS INT) AS export, CAST(2 AS INT) AS wrong, 'extract,translate,build,package,export' AS said, count(*) FILTER (status = 'new') AS n_new, true AS made FROM i",
     "manifest_sources": "SELECT origin, id, name, \"objectName\" FROM (SELECT CAST(n_nationkey AS INT) AS id, 'adv_' || n_name || '.txt' AS name, 'o' || n_nationkey AS \"objectName\" FROM nation UNION ALL SELECT 0, r_name || '.bin', 'b' || r_regionkey FROM region), (SELECT unnest(['cache', 'service', 'json']) AS origin)",
     "config_values": "SELECT 'names.k' || r_regionkey AS key, r_name AS value FROM region UNION ALL SELECT unnest(['names.none', 'llm.backend', 'llm.skip_changed', 'llm.batch_size', 'llm.max_concurrent', 'llm.timeout', 'llm.max_tokens', 'llm.api_version', 'llm.model', 'llm.base_url', 'paths.scripts', 'paths.primary', 'paths.fallback', 'paths.tables', 'paths.work', 'paths.output', 'manifest.url', 'manifest.version']), unnest(['', 'openai', 'True', '9', '5', '180', '4096', '2023-06-01', 'm', 'http://h', 'cache/server', 'cache/primary', 'cache/fallback', 'hdfs://n/t', 'cache', '/abs', 'v2/pub/a/400/v/7/list/0', '7'])",
 }
