@@ -7,8 +7,8 @@ minus infinity otherwise; the vectorised maximum is stored as a backpointer.
 
 The model is a merge model (BPE), whose result isn't the one of largest score sum. The transition rule makes the pass exact:
 a piece may follow another iff merging the two pieces' characters alone gives just these two pieces, and for every prefix
-exactly one last piece meets the rule. ``test_pieces_match_the_library`` holds ids against the sentencepiece library. Units that
-begin with two marks or more, whose pieces tie in score, are merged directly.
+exactly one last piece meets the rule. ``test_pieces_match_the_library`` holds ids against the sentencepiece library. Of units
+that begin with two marks or more, the marks before the last, whose pieces tie in score, are merged directly.
 
 Characters without a piece become byte pieces. Decoding joins pieces, turns marks into spaces, drops the dummy prefix and reads
 byte pieces as UTF-8 (what isn't valid becomes U+FFFD).

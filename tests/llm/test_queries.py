@@ -280,3 +280,11 @@ def test_warc_against_what_was_written(spark):
     with open(f"{alike.removeprefix('file://')}/{last.file}", "ab") as out:
         out.write(b"more")
     assert [tuple(r) for r in warc_fixity.longer_or_shorter(manifest, alike).collect()] == [(last.file, last.ord)]
+
+
+def test_queries_over_empty_tables(spark, tmp_path):
+    from driftline.llm import queries
+
+    for name in ("documents", "benchmark", "labels", "pages"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert {name: query(spark, str(tmp_path)).count() for name, query in queries.QUERIES.items()} == dict.fromkeys(queries.QUERIES, 0)
