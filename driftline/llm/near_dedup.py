@@ -14,8 +14,10 @@
    that grow with the square of the bucket. They go through a prefix-filtered join of their full sets instead, exact and
    without buckets: shingles are put in one order for all, the rarest first, and two sets as similar as the threshold share
    one among the first few of each, at places that leave room for enough common shingles after it. What pages of a template
-   have in common comes late in that order. Rounds with a hub for each shingle join dense groups first; then the pairs that
-   remain across components are listed. No link is lost to a cap.
+   have in common comes late in that order. Rounds with a hub for each shingle join dense groups first. Then the classes that
+   still meet across components at some shingle are gathered around the component that has most of its places, and compared in
+   tiles of at most TILE by TILE classes spread over the tasks: by signature, and on the full sets unless the tile has joined
+   the two already. So no list of pairs arises, and no link is lost to a cap.
 6. Components by alternating large-star and small-star after each step.
 
 Texts are read again only for the classes in surviving pairs. Nulls: a null text is empty; texts without words have empty sets
@@ -46,9 +48,10 @@ AGREE = 76
 STAR_ROUNDS = 2
 #: Buckets of at most so many classes list all their pairs across components.
 SMALL = 32
-#: Rounds with a hub for each shingle, made while the pairs to list may be more than LISTED times the places they come from and
+#: Rounds with a hub for each shingle, made while the pairs to compare may be more than LISTED times the places they come from and
 #: the round before found a link for each HUB_YIELD places at least.
 HUB_ROUNDS, LISTED, HUB_YIELD = 4, 64, 100
+TILE = 256
 #: Bytes of text that a task turns into shingles at a time.
 SLICE = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -226,6 +229,12 @@ def small_buckets(lab: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
             out += [(key[x], key[y]) for y in ys[(bands[ys] == bands[x]).argmax(axis=1) == band].tolist()]
         return out
 
+    return rows.mapInArrow(_grouped(1, compare), "a binary, b binary")
+
+
+def _grouped(columns: int, compare):
+    """For mapInArrow: pairs (a, b) that ``compare`` finds in each group of neighbouring rows that agree in the leading columns (long, or any number type)."""
+
     def run(batches):
         held: list[pa.RecordBatch] = []
         last = None
@@ -237,20 +246,21 @@ def small_buckets(lab: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             found: list[tuple[bytes, bytes]] = []
-            h = batch.column(0).to_numpy()
-            edges = np.r_[0, np.flatnonzero(h[1:] != h[:-1]) + 1, batch.num_rows].tolist()
+            group = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(columns)], axis=1)
+            edges = np.r_[0, np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, batch.num_rows].tolist()
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if last != h[a]:
+                if last != group[a].tolist():
                     if held:
                         found += compare(pa.Table.from_batches(held))
-                    held, last = [], h[a]
+                    held, last = [], group[a].tolist()
                 held.append(batch.slice(a, b - a))
             if found:
                 yield done(found)
         if held and (found := compare(pa.Table.from_batches(held))):
             yield done(found)
+        tidy()
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return run
 
 
 def full_sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -319,6 +329,63 @@ def _fitting(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     return both.select(F.least("key", "_k").alias("a"), F.greatest("key", "_k").alias("b")).distinct()
 
 
+def tiles(met: DataFrame, classes: DataFrame, sets: DataFrame, agree: int, threshold: int) -> DataFrame:
+    """met -> (a, b), written: links that join all components whose classes meet at some shingle.
+
+    A class belongs to the ring of each main component of its places, ``other`` unless it is of that component. In a ring the
+    others are compared with the main ones and among each other: that covers each pair that meets, since at least one of the two
+    is other at the shingle where they do.
+    """
+    deal = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = met.select(F.xxhash64("main").alias("ring"), "key", "comp", (F.col("comp") != F.col("main")).alias("other")).distinct()
+    per = rows.groupBy("ring").agg(F.ceil(F.count_if(~F.col("other")) / TILE).alias("tm"), F.ceil(F.count_if("other") / TILE).alias("to")).filter("to > 0")
+    rows = rows.join(per, "ring").withColumn("own", F.pmod(F.xxhash64("key"), F.when(F.col("other"), F.col("to")).otherwise(F.col("tm"))))
+
+    # the tiles (kind, i, j) in which a row takes part: kind 0 crosses others i with main ones j, kind 1 others i with others j >= i
+    def tile(kind: int, i, j):
+        return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"))
+
+    def up_to(c: str):
+        return F.when(F.col(c) > 0, F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).otherwise(F.array().cast("array<long>"))
+
+    crossing = F.transform(up_to("tm"), lambda j: tile(0, F.col("own"), j))
+    among = F.transform(up_to("to"), lambda j: tile(1, F.least(F.col("own"), j), F.greatest(F.col("own"), j)))
+    serving = F.transform(up_to("to"), lambda i: tile(0, i, F.col("own")))
+    rows = rows.join(classes.select("key", "sig"), "key").join(sets.select("key", "n", "grams"), "key")
+    rows = rows.withColumn("t", F.explode(F.when(F.col("other"), F.concat(crossing, among)).otherwise(serving)))
+    rows = rows.select("ring", "t.kind", "t.i", "t.j", "other", "own", "key", "comp", "n", "sig", "grams")
+    rows = rows.repartition(deal, "ring", "kind", "i", "j").sortWithinPartitions("ring", "kind", "i", "j", "key")
+
+    def compare(group: pa.Table) -> list[tuple[bytes, bytes]]:
+        kind, i, j = (group.column(c)[0].as_py() for c in ("kind", "i", "j"))
+        key, n = group.column("key").to_pylist(), group.column("n").to_numpy()
+        comp = pc.dictionary_encode(group.column("comp").combine_chunks()).indices.to_numpy()
+        other, own = group.column("other").to_numpy(), group.column("own").to_numpy()
+        left, right = (np.flatnonzero(other & (own == i)), np.flatnonzero(~other if kind == 0 else own == j))
+        sig, lists = _sig_array(group.column("sig").combine_chunks()), group.column("grams").combine_chunks()
+        up, out = np.arange(len(key)), []  # the component that each component has been joined to
+
+        def root(c: int) -> int:
+            while up[c] != c:
+                c = up[c]
+            return c
+
+        def grams(x: int) -> np.ndarray:
+            return lists[x].values.to_numpy().view(np.uint64)
+
+        for x in left.tolist():
+            ys = right[right > x] if kind == 1 and i == j else right
+            ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(n[ys], n[x]) >= threshold * np.maximum(n[ys], n[x]))]
+            same = (sig[ys] == sig[x]).sum(axis=1)
+            for y in ys[same >= agree][np.argsort(-same[same >= agree], kind="stable")].tolist():  # the likeliest first
+                if root(comp[x]) != root(comp[y]) and _similar(grams(x), grams(y), threshold):
+                    up[root(comp[x])] = root(comp[y])
+                    out.append((key[x], key[y]))
+        return out
+
+    return materialise(rows.mapInArrow(_grouped(4, compare), "a binary, b binary"), "links", PAIR_BATCH)
+
+
 def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agree: int = AGREE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept and th (xxhash64 of the text), a row a document."""
     if threshold < THRESHOLD:
@@ -385,8 +452,9 @@ def near_dedup(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD, agre
             met = _met(places, labels(hot))
             n_met, listed = met.agg(F.count(F.lit(1)), F.sum(F.col("listed") / F.col("total"))).first()
             listing = enough or turn == HUB_ROUNDS or (listed or 0) <= LISTED * n_met
-            if listing:  # pairs with a class outside the shingle's main component are all there are
-                settle(_agreeing(_fitting(met.filter("comp != main"), met), classes, agree), by_set)
+            if listing:
+                found = tiles(met, classes, sets, agree, threshold)
+                (discard if found.isEmpty() else links.append)(found)
             else:
                 hubs = met.filter("most >= n").groupBy("g").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_"), "key", "comp", "n", "most")).alias("hub")).select("g", "hub.key", "hub.comp", "hub.n", "hub.most")
                 settle(_agreeing(_fitting(hubs, met), classes, agree), by_set)

@@ -134,8 +134,8 @@ def _components_by_brute_force(texts, k):
     return [find(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize(("small", "listed"), [(2, 8), (2, 0), (32, 8)])
-def test_large_buckets_lose_no_link(spark, monkeypatch, small, listed):
+@pytest.mark.parametrize(("small", "listed", "tile"), [(2, 8, 256), (2, 0, 7), (32, 8, 16)])
+def test_large_buckets_lose_no_link(spark, monkeypatch, small, listed, tile):
     """Pages of templates, less similar than the threshold or about it; dense groups, chains, sets within sets, short texts."""
     rng = random.Random(11)
 
@@ -163,6 +163,7 @@ def test_large_buckets_lose_no_link(spark, monkeypatch, small, listed):
     rng.shuffle(texts)
     monkeypatch.setattr(near_dedup, "SMALL", small)
     monkeypatch.setattr(near_dedup, "LISTED", listed)
+    monkeypatch.setattr(near_dedup, "TILE", tile)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs, 4).collect()}
     want = _components_by_brute_force(texts, 4)
