@@ -24,7 +24,7 @@ SYMBOL = 40
 _WORD = 8
 #: Entries of a file that are held at a time.
 BLOCK = 1 << 18
-_KINDS = {"transform": np.int32, "common": np.uint8, "place": np.int64}
+_KINDS = {"transform": np.int32, "common": np.uint8, "place": np.int32}
 
 
 class RoundFiles:
@@ -126,19 +126,21 @@ class LeastOver:
         return out
 
 
-def _neighbours(files: RoundFiles, pending: np.ndarray, before: np.ndarray, n_strings: int) -> tuple[np.ndarray, ...]:
-    """One pass over the transform. pending: rising places of the entries whose symbol begins a new suffix; before: how many entries have a smaller symbol, for each symbol.
+def _neighbours(files: RoundFiles, pending: np.ndarray, asked: np.ndarray, before: np.ndarray, n_strings: int) -> tuple[np.ndarray, ...]:
+    """One pass over the transform. pending: rising places of the entries whose symbol begins a new suffix; asked: whether a symbol is one of theirs; before: how many entries have a smaller one.
+
+    Entries of other symbols only count in ``before``: no new suffix comes between those that they begin.
 
     Returns the new suffix of each pending entry, and (suffix, a, b) for each suffix that is new or follows a new one and begins
     with the same symbol as the one before it: a - 1 and b are the places of what follows the two symbols.
     """
     seen, last, last_new = np.zeros(len(before), np.int64), np.full(len(before), -1, np.int64), np.zeros(len(before), bool)
-    spot, asked, low = np.zeros(len(pending), np.int64), [], 0
+    spot, found, low = np.zeros(len(pending), np.int64), [], 0
     for t in files.blocks("transform"):
         i, j = np.searchsorted(pending, (low, low + len(t)))
         is_new = np.zeros(len(t), bool)
         is_new[pending[i:j] - low] = True
-        nz = np.flatnonzero(t)
+        nz = np.flatnonzero(asked[t])
         key = (t[nz].astype(np.int64) << 32) | nz
         key.sort()
         sym, idx = key >> 32, key & 0xFFFFFFFF
@@ -151,12 +153,12 @@ def _neighbours(files: RoundFiles, pending: np.ndarray, before: np.ndarray, n_st
         prev, prev_new = np.r_[0, idx[:-1]] + low, np.r_[False, new[:-1]]
         prev[first], prev_new[first] = last[sym[first]], last_new[sym[first]]
         want = (new | prev_new) & (prev >= 0)
-        asked.append((suffix[want], prev[want] + 1, idx[want] + low))
+        found.append((suffix[want], prev[want] + 1, idx[want] + low))
         ends = start + size - 1
         seen[sym[start]] += size
         last[sym[start]], last_new[sym[start]] = idx[ends] + low, new[ends]
         low += len(t)
-    return (spot, *(np.concatenate(x) for x in zip(*asked, strict=True)))
+    return (spot, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 def _least_common(files: RoundFiles, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -221,10 +223,10 @@ def build(data: np.ndarray, offsets: np.ndarray, files: RoundFiles) -> Iterator[
         put(sinks, transform=code[some], common=np.zeros(len(some)), place=np.full(len(some), -1))
     files.done(sinks)
     while len(live):
-        order = np.argsort(rank[live])
-        live = live[order]
         before = np.cumsum(counts) - counts
-        spot, suffix, a, b = _neighbours(files, rank[live], before, n_strings)
+        asked = np.zeros(len(counts), bool)
+        asked[code[at[live]]] = True
+        spot, suffix, a, b = _neighbours(files, rank[live], asked, before, n_strings)
         common = np.minimum(_least_common(files, a, b), 254) + np.uint8(1)
         by_suffix, by_spot = np.argsort(suffix), np.argsort(spot)
         rank[live] = spot
@@ -234,7 +236,7 @@ def build(data: np.ndarray, offsets: np.ndarray, files: RoundFiles) -> Iterator[
         size += len(who)
         _merge(files, spot[by_spot], {"transform": preceding, "common": np.zeros(len(who), np.uint8), "place": place}, suffix[by_suffix], common[by_suffix], size)
         counts += np.bincount(preceding[preceding > 0], minlength=len(counts))
-        at[live] -= SYMBOL
-        live = live[at[live] >= begin[live]]
+        at[who] -= SYMBOL
+        live = who[at[who] >= begin[who]]  # in order of rank
     for place, common in zip(files.blocks("place"), files.blocks("common"), strict=True):
         yield place[place >= 0], common[place >= 0]

@@ -2,7 +2,7 @@
 
 1. Anchors. Of the k-grams in each LENGTH-byte window the one with the least hash is its anchor, so equal windows have equal
    anchors at equal places. Windows that share an anchor form a run; its bytes are a snippet. Counts and the least and largest
-   snippet digest (BLAKE2b of its bytes, 128 bits) of each anchor, pre-aggregated before the shuffle, sort anchors into single
+   snippet digest (XXH3 of its bytes, 128 bits) of each anchor, pre-aggregated before the shuffle, sort anchors into single
    ones (no window repeats), even ones (all snippets equal: all windows repeat) and mixed ones.
 2. Mixed anchors: their distinct snippets, with how often each occurs, are gathered in collections of bounded size, and the
    suffixes of a collection are sorted by column-wise construction of its Burrows-Wheeler transform and common prefixes
@@ -21,13 +21,13 @@ are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,8 +88,8 @@ def runs(data: np.ndarray, offsets: np.ndarray, k: int, length: int = LENGTH) ->
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])])
     count = np.diff(np.r_[first, total])
     begin = start[first]
-    whole, each = data.tobytes(), hashlib.blake2b
-    digest = b"".join([each(whole[a:b], digest_size=16).digest() for a, b in zip(begin.tolist(), (begin + count - 1 + length).tolist(), strict=True)])
+    whole, each = data.tobytes(), xxhash.xxh3_128_digest
+    digest = b"".join([each(whole[a:b]) for a, b in zip(begin.tolist(), (begin + count - 1 + length).tolist(), strict=True)])
     return owner[first].astype(np.int64), begin, count, grams[anchor[first]], *np.frombuffer(digest, "<i8").reshape(-1, 2).T
 
 
@@ -163,7 +163,7 @@ def snippet_bytes(reps: DataFrame, docs: DataFrame) -> DataFrame:
 def flagged(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, folder: str) -> np.ndarray:
     """For each byte of the snippets whether a repeated window starts there."""
     files = RoundFiles(f"{folder}/{uuid.uuid4().hex}")
-    out, last = np.zeros(len(data), bool), np.zeros(0, np.int64)
+    out, last = np.zeros(len(data), bool), np.zeros(0, np.int32)
     for place, common in build(data, offsets, files):
         alike = np.flatnonzero(common >= LENGTH // SYMBOL)
         place = np.r_[last, place]  # with the last one of the block before
