@@ -16,6 +16,7 @@ from driftline.llm.base import TEXT_BATCH, discard, load, made, materialise, rel
 def small_batches(spark: SparkSession) -> None:
     """Rows here hold whole texts: fewer of them in an Arrow batch keep JVM and Python workers small. Set for the session, since the stages' results are computed after they return."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4000000")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
