@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality, repeats, secrets, token_files, toxicity, warc_fixity
+from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, prefix_bpe, quality, repeats, secrets, token_files, toxicity, warc_fixity
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_prefix_bpe": prefix_bpe.op11_prefix_bpe,
 }
 
 ORACLES = {
