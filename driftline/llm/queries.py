@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftline.llm import conversations, decontaminate, exact_dedup, near_dedup, pieces, prefix_bpe, quality, repeats, secrets, token_files, toxicity, warc_fixity
+from driftline.llm import conversations, decontaminate, exact_dedup, leaderboard, near_dedup, pieces, prefix_bpe, quality, repeats, secrets, token_files, toxicity, warc_fixity
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_prefix_bpe": prefix_bpe.op11_prefix_bpe,
+    "op12_leaderboard": leaderboard.op12_leaderboard,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 
@@ -26,4 +27,5 @@ ORACLES = {
     "op6_near_dedup": near_dedup.ORACLE,
     "op8_secret_scan": secrets.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_leaderboard": leaderboard.ORACLE,
 }
