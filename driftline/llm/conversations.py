@@ -352,3 +352,56 @@ def repair(turns: DataFrame, segment: int | None = None) -> DataFrame:
 
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(load(spark, sf_dir, "conversations")))
+
+
+ORACLE = (
+    """
+with recursive crc as (
+  select list(x order by i) as tab from (
+    select i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as x from range(256) r(i))
+), moves(state, turn, nxt, cost, edits) as (values """
+    + ", ".join(map(str, moves()))
+    + r"""
+), convs as (
+  select conv_id, row_number() over () as conv from (select distinct conv_id from conversations)
+), hashed as (
+  select v.conv, t.turn, t.role, t.text, xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(t.conv_id::varchar, ' ') || ':' || coalesce(t.turn::varchar, ' '), ''), lambda ch: ascii(ch)::bigint)), lambda c, b: xor(c // 256, tab[1 + xor(c, b) % 256])), 4294967295) % 20 as k
+  from conversations t join convs v on v.conv_id is not distinct from t.conv_id, crc
+), damaged as (
+  select conv, turn, case when k = 4 then 'user' else coalesce(role, ' ') end as role,
+    case k when 1 then '' when 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text, unnest(range(case k when 0 then 0 when 3 then 2 else 1 end)) as copy
+  from hashed
+), placed as (
+  select conv, turn, role, text, substr(role, 1, 1) as initial, row_number() over (partition by conv order by turn nulls first, role, text, copy) - 1 as pos from damaged
+), judged as (
+  select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as cut_off,
+    row_number() over (partition by conv, role, text order by pos) > 1 as seen, lag(initial) over (partition by conv order by pos) || initial as pair
+  from placed
+), folded as (
+  select conv, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank, count(*) filter (seen and not blank) as duplicate,
+    count(*) filter (cut_off and not blank and not seen) as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal,
+    string_agg(case when blank or seen then 'x' when initial not in ('s', 'u', 'a') then case when cut_off then 'O' else 'o' end when cut_off then upper(initial) else initial end, '' order by pos) as letters
+  from judged group by conv
+), walk(conv, state, pos, best) using key (conv, state) as (
+  select conv, 0, 0::bigint, {'cost': 0::bigint, 'edits': ''} from folded
+  union
+  select w.conv, m.nxt, min(w.pos) + 1, min({'cost': w.best.cost + m.cost, 'edits': w.best.edits || m.edits})
+  from walk w join folded f on f.conv = w.conv join moves m on m.state = w.state and m.turn = substr(f.letters, w.pos + 1, 1)
+  where w.pos < f.n group by w.conv, m.nxt
+), chosen as (
+  select w.conv, min({'cost': best.cost + case state when 2 then 5 else 0 end, 'edits': best.edits || case state when 2 then 'I' else '' end}) as best
+  from walk w join folded f on f.conv = w.conv where w.pos = f.n and state <> 1 group by w.conv
+), steps as (
+  select conv, unnest(range(length(best.edits))) as j, substr(best.edits, j + 1, 1) as edit from chosen
+), at_turn as (
+  select conv, edit, count(*) filter (edit <> 'I') over w - 1 as pos, count(*) filter (edit <> 'D') over w - 1 as m from steps window w as (partition by conv order by j rows between unbounded preceding and current row)
+), kept as (
+  select a.conv, a.m, a.edit, p.role, p.text, max((a.m = 0 and a.edit = 'K' and p.initial = 's')::int) over (partition by a.conv) as opening
+  from at_turn a left join placed p on p.conv = a.conv and p.pos = a.pos and a.edit <> 'I' where a.edit <> 'D'
+), repaired as (
+  select conv, string_agg(case when edit = 'K' then role when (m - opening) % 2 = 0 then 'user' else 'assistant' end || ':' || coalesce(text, ''), chr(10) order by m) as lines from kept group by conv
+)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal,
+  coalesce(best.cost, 0)::bigint as cost, coalesce(best.edits, '') as audit, sha256(coalesce(lines, '')) as repaired_sha256, coalesce(n, 0)::bigint as turns
+from convs left join folded using (conv) left join chosen using (conv) left join repaired using (conv)"""
+)

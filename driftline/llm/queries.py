@@ -28,4 +28,5 @@ ORACLES = {
     "op8_secret_scan": secrets.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
     "op12_leaderboard": leaderboard.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
 }
