@@ -13,6 +13,7 @@ from driftline.config import validate_llm
 from driftline.functions.jsontree import indented
 from driftline.functions.text import content_key, no_text, stem
 from driftline.operators import diff, master, rebuild, work
+from driftline.operators.ledger import ReplyLedger
 from driftline.schema import CATEGORIES, CHECKPOINT, ITEM
 from driftline.sinks import files, tables
 from driftline.sources import documents, manifest, scripts, web
@@ -102,7 +103,7 @@ def progress(done: int, whole: int, ok: int, failed: int, seconds: float) -> str
 def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | None = None, waits: tuple[int, ...] = work.WAITS, report: Callable[[str], object] = print) -> dict:
     """Pending items answered in waves, each kept in the checkpoint; all items merged. The checkpoint goes once no batch has failed.
 
-    Results are kept by uid and source text, so that a changed source is pending again. ``report`` gets a line a wave.
+    Within a wave each batch's answer is in a ledger before the next is asked for; a run that follows one that ended early begins with them. Results are kept by uid and source text, so that a changed source is pending again. ``report`` gets a line a wave.
     """
     llm, at = cfg["llm"], cfg["paths"]["work"]
     items, skip = documents.read_items(spark, f"{at}/extract"), bool(llm["skip_changed"])
@@ -118,6 +119,10 @@ def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | No
     elif files.exists(prior_path):  # items from elsewhere: a result is a text that isn't merely carried over
         earlier = documents.read_items(spark, prior_path).filter(~no_text(F.col("cn")) & ~F.col("cn").eqNullSafe(F.col("existing_cn")))
         prior = earlier.select("uid", content_key(F.col("jp")).alias("jp_sha"), "cn")
+    ledger = ReplyLedger(f"{at}/ledger")
+    if files.exists(ledger.folder):  # the last run ended within a wave: what it paid for counts
+        ledger.rows(spark).select("uid", "jp_sha", "cn").write.mode("append").parquet(checkpoint_path)
+        ledger.clear()
     todo = work.pending(items, work.checkpoint_over_prior(checkpoint(), prior, ["uid", "jp_sha"]), skip)
     n_eligible, n_todo, per_wave = items.filter(work.eligible(skip)).count(), todo.count(), llm["batch_size"] * WAVE
     waves = -(-n_todo // per_wave)
@@ -133,14 +138,12 @@ def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | No
     planned, failed, n_ok, n_batches = spark.read.schema(batched.schema).parquet(planned_path), 0, 0, 0
     whole, began = planned.select("gk", "batch").distinct().count(), time.monotonic()
     for wave in range(waves):
-        some = planned.filter(F.col("wave") == wave)
-        answered_path = f"{at}/answered"
-        work.translate(some, make, llm["max_concurrent"], waits=waits, names=cfg["names"]).write.mode("overwrite").parquet(answered_path)
-        answered = spark.read.parquet(answered_path)
-        answered.filter(~no_text(F.col("cn"))).join(some.select("uid", content_key(F.col("jp")).alias("jp_sha")), "uid").select("uid", "jp_sha", "cn").write.mode("append").parquet(checkpoint_path)
-        bad = answered.groupBy("gk", "batch").agg(F.max(F.col("error").isNotNull()).alias("failed"), F.count_if(~no_text(F.col("cn"))).alias("ok"))
-        batches, lost, ok = bad.agg(F.count(F.lit(1)), F.count_if("failed"), F.coalesce(F.sum("ok"), F.lit(0))).first()
-        n_batches, failed, n_ok = n_batches + batches, failed + lost, n_ok + ok
+        answers = work.translate(planned.filter(F.col("wave") == wave), make, llm["max_concurrent"], waits=waits, names=cfg["names"], ledger=ledger)
+        answers, seen = work.totals(answers)
+        answers.filter(~no_text(F.col("cn"))).select("uid", "jp_sha", "cn").write.mode("append").parquet(checkpoint_path)
+        ledger.clear()  # the wave's replies are in the checkpoint
+        got = seen.get
+        n_batches, failed, n_ok = n_batches + got["batches"], failed + got["failed"], n_ok + got["texts"]
         report(progress(n_batches, whole, n_ok, failed, time.monotonic() - began))
     results = work.checkpoint_over_prior(checkpoint(), prior, ["uid", "jp_sha"]).groupBy("uid", "jp_sha").agg(F.max("cn").alias("cn"))
     results.write.mode("overwrite").parquet(f"{results_path}.new")
@@ -148,7 +151,7 @@ def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | No
     valid = spark.read.schema(CHECKPOINT).parquet(results_path).join(keyed.select("uid", "jp_sha"), ["uid", "jp_sha"], "left_semi").select("uid", "cn")
     tables.write_items(work.merge_results(items, valid, skip).select(*[f.name for f in ITEM]), f"{at}/translated.new")
     files.swap(f"{at}/translated.new", prior_path)
-    for path in [planned_path, f"{at}/answered"] + ([] if failed else [checkpoint_path]):
+    for path in [planned_path] + ([] if failed else [checkpoint_path]):
         files.remove(path)
     return {"n_eligible": n_eligible, "n_skipped": n_eligible - n_todo, "n_pending": n_todo, "n_answered": n_ok, "n_batches": whole, "n_failed_batches": failed}
 

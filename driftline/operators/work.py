@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from driftline.functions.text import content_key, first_prefix, mapped, no_text
+from driftline.operators.ledger import ReplyLedger
+from driftline.operators.numbering import numbered
 from driftline.schema import CATEGORIES, ITEM, STORY_LABELS
 
 # The prompt's sentences, needed for equal prompts.
@@ -20,6 +24,8 @@ SPEECH = "注意对话的角色语气和上下文连贯性。"
 INPUT = "输入（按顺序翻译）:"
 OUTPUT = ("输出格式：每段必须以原始 [uid] 开头，后接对应译文，用 --- 单独一行分隔；--- 不属于译文。", "只翻译本次输入中出现的 [uid]，不要输出任何未出现在输入中的 [uid]。", "不要省略、改写或翻译 [uid]。不要解释。")
 ATTEMPTS, WAITS = 3, (5, 10)
+#: Calls that one task has under way at most.
+THREADS = 8
 
 
 def as_items(rows: DataFrame) -> DataFrame:
@@ -60,15 +66,15 @@ def group_key() -> Column:
 
 
 def batches(items: DataFrame, size: int = 20, key: Column | None = None) -> DataFrame:
-    """items with gk, pos (from 0 in the group) and batch: groups in order of lines (scripts) and of ord, cut by size."""
+    """items with gk, pos (from 0 in the group) and batch: groups in order of lines (scripts) and of ord, cut by size. A group of any size is spread over many tasks."""
     rows = items.withColumn("gk", key if key is not None else group_key())
     by_line = F.when(F.startswith("gk", F.lit("resource:")), F.coalesce("line", F.lit(0))).otherwise(F.lit(0))
-    place = F.row_number().over(Window.partitionBy("gk").orderBy(by_line, "ord")) - 1
-    return rows.withColumn("pos", place.cast("long")).withColumn("batch", F.floor(F.col("pos") / size).cast("long"))
+    placed = numbered(rows.withColumn("_by_line", by_line), ["gk"], ["_by_line", "ord"], "pos").drop("_by_line")
+    return placed.withColumn("batch", F.floor(F.col("pos") / size).cast("long"))
 
 
 def prompts(planned: DataFrame, names: dict[str, str] | None = None, labels: dict[str, str] | None = None) -> DataFrame:
-    """(gk, batch, prompt, uids): one prompt a batch; a batch has a bounded number of items."""
+    """(gk, batch, prompt, uids, shas): one prompt a batch, which has a bounded number of items; shas are the hashes of their sources."""
     row = F.struct("pos", "uid", "jp", "speaker", "file", "file_context")
     got = planned.groupBy("gk", "batch").agg(F.array_sort(F.collect_list(row)).alias("r"))
     first = F.get("r", F.lit(0))
@@ -78,41 +84,78 @@ def prompts(planned: DataFrame, names: dict[str, str] | None = None, labels: dic
     speech = F.when(F.exists("r", lambda x: ~no_text(x["speaker"])), F.array(F.lit(SPEECH))).otherwise(F.array().cast("array<string>"))
     said = F.transform("r", lambda x: F.concat(F.lit("["), x["uid"], F.lit("] "), F.when(no_text(x["speaker"]), F.lit("")).otherwise(F.concat(F.lit("("), x["speaker"], F.lit(") "))), x["jp"]))
     whole = F.concat(head, rules, speech, F.array(F.lit(""), F.lit(INPUT)), said, F.array(F.lit(""), *map(F.lit, OUTPUT), F.lit(""), F.lit("输出:")))
-    return got.select("gk", "batch", F.array_join(whole, "\n").alias("prompt"), F.transform("r", lambda x: x["uid"]).alias("uids"))
+    return got.select("gk", "batch", F.array_join(whole, "\n").alias("prompt"), F.transform("r", lambda x: x["uid"]).alias("uids"), F.transform("r", lambda x: content_key(x["jp"])).alias("shas"))
 
 
-def translate(planned: DataFrame, backend: Callable[[], object], concurrency: int = 5, keep_partial: bool = False, waits: tuple[int, ...] = WAITS, names: dict[str, str] | None = None) -> DataFrame:
-    """(gk, batch, uid, cn, error): a batch succeeds if every uid has a text; else it is tried again, and failed batches come out as error rows.
+def shares(concurrency: int) -> tuple[int, int]:
+    """Tasks, and calls that each has under way at a time; together at most so many calls."""
+    tasks = max(1, -(-concurrency // THREADS))
+    return tasks, max(1, concurrency // tasks)
 
-    ``backend()`` makes an object with translate(prompt) once a task. Calls aren't idempotent: write the result before using it twice.
+
+def _answered(service, prompt: str, uids: list[str], waits: tuple[int, ...]) -> tuple[dict[str, str], bool, str | None]:
+    """The best of up to ATTEMPTS answers: texts by uid, whether none lacks, and the last error."""
+    from driftline.backend import read_reply
+
+    best, error = {}, None
+    for attempt in range(ATTEMPTS):
+        try:
+            found = {u: t for u, t in read_reply(service.translate(prompt), uids).items() if t}
+            if len(found) == len(uids):
+                return found, True, None
+            best = found if len(found) > len(best) else best
+            error = f"{len(uids) - len(found)} of {len(uids)} missing"
+        except Exception as e:  # noqa: BLE001  a failed call is an error row, not a failed job
+            error = str(e)[:200] or type(e).__name__
+        if attempt < ATTEMPTS - 1:
+            time.sleep(waits[min(attempt, len(waits) - 1)] if waits else 0)
+    return best, False, error
+
+
+def translate(planned: DataFrame, backend: Callable[[], object], concurrency: int = 5, keep_partial: bool = False, waits: tuple[int, ...] = WAITS, names: dict[str, str] | None = None, ledger: ReplyLedger | None = None) -> DataFrame:
+    """(gk, batch, uid, jp_sha, cn, error, first): a batch succeeds if every uid has a text; else it is tried again, and failed batches come out as error rows. first: one row a batch.
+
+    ``backend()`` makes an object with translate(prompt) once a task; several threads of the task call it, as many in all as
+    ``concurrency`` says. With a ledger each whole answer is kept before its task goes on, and a batch that is kept isn't asked:
+    the result may be computed twice. Without one, calls aren't idempotent: write the result before using it twice.
     """
-    wanted = prompts(planned, names).repartition(concurrency, "gk", "batch")
+    tasks, threads = shares(concurrency)
+    wanted = prompts(planned, names).repartition(tasks, "gk", "batch")
 
     def run(frames):
-        from driftline.backend import read_reply
-
         service = backend()
-        for frame in frames:
-            out = []
-            for gk, batch, prompt, uids in frame[["gk", "batch", "prompt", "uids"]].itertuples(index=False):
-                uids, best, whole, error = list(uids), {}, False, None
-                for attempt in range(ATTEMPTS):
-                    try:
-                        found = {u: t for u, t in read_reply(service.translate(prompt), uids).items() if t}
-                        whole = len(found) == len(uids)
-                        best = found if whole or len(found) > len(best) else best
-                        error = None if whole else f"{len(uids) - len(found)} of {len(uids)} missing"
-                    except Exception as e:  # noqa: BLE001  a failed call is an error row, not a failed job
-                        error = str(e)[:200] or type(e).__name__
-                    if whole:
-                        break
-                    if attempt < ATTEMPTS - 1:
-                        time.sleep(waits[min(attempt, len(waits) - 1)] if waits else 0)
-                kept = best if whole or keep_partial else {}
-                out += [(gk, batch, u, kept.get(u), error) for u in uids]
-            yield pd.DataFrame(out, columns=["gk", "batch", "uid", "cn", "error"])
-
-    return wanted.mapInPandas(run, "gk string, batch long, uid string, cn string, error string")
+
+        def ask(gk: str, batch: int, prompt: str, uids: list[str], shas: list[str]) -> list[tuple]:
+            key = ledger.key(gk, batch, prompt) if ledger else ""
+            texts, error = (ledger.find(key) if ledger else None), None
+            if texts is None:
+                texts, whole, error = _answered(service, prompt, uids, waits)
+                if whole and ledger:
+                    ledger.keep(key, gk, batch, [(u, s, texts[u]) for u, s in zip(uids, shas, strict=True)])
+                texts = texts if whole or keep_partial else {}
+            return [(gk, batch, u, s, texts.get(u), error, i == 0) for i, (u, s) in enumerate(zip(uids, shas, strict=True))]
+
+        def frame_of(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=["gk", "batch", "uid", "jp_sha", "cn", "error", "first"])
+
+        with ThreadPoolExecutor(threads) as pool:
+            under_way: deque = deque()
+            for frame in frames:
+                for gk, batch, prompt, uids, shas in frame[["gk", "batch", "prompt", "uids", "shas"]].itertuples(index=False):
+                    under_way.append(pool.submit(ask, gk, batch, prompt, list(uids), list(shas)))
+                    if len(under_way) > 2 * threads:  # bounded: the rest waits in Spark
+                        yield frame_of(under_way.popleft().result())
+            while under_way:
+                yield frame_of(under_way.popleft().result())
+
+    return wanted.mapInPandas(run, "gk string, batch long, uid string, jp_sha string, cn string, error string, first boolean")
+
+
+def totals(answers: DataFrame) -> tuple[DataFrame, Observation]:
+    """The answers, and what their one pass counts: batches, failed ones, texts."""
+    seen = Observation()
+    has = ~no_text(F.col("cn"))
+    return answers.observe(seen, F.count_if("first").alias("batches"), F.count_if(F.col("first") & F.col("error").isNotNull()).alias("failed"), F.count_if(has).alias("texts")), seen
 
 
 def merge_results(items: DataFrame, results: DataFrame, skip_changed: bool = False) -> DataFrame:
