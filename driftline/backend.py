@@ -10,6 +10,8 @@ from typing import Protocol
 
 
 class Backend(Protocol):
+    """Answers prompts; several threads may ask at a time."""
+
     def translate(self, prompt: str) -> str: ...
 
 
@@ -46,7 +48,11 @@ class ChatBackend:
     timeout: float = 180
 
     def translate(self, prompt: str) -> str:
-        reply = _post(endpoint(self.base_url, "/chat/completions"), {"model": self.model, "messages": [{"role": "user", "content": prompt}]}, {"Authorization": f"Bearer {self.key}"}, self.timeout)
+        return self.text(_post(endpoint(self.base_url, "/chat/completions"), {"model": self.model, "messages": [{"role": "user", "content": prompt}]}, {"Authorization": f"Bearer {self.key}"}, self.timeout))
+
+    @staticmethod
+    def text(reply: dict) -> str:
+        """The first choice's text; a reply without one is an error."""
         if not reply.get("choices"):
             raise ValueError(f"no choices: {json.dumps(reply)[:200]}")
         message = reply["choices"][0].get("message") if isinstance(reply["choices"][0], dict) else None
@@ -66,7 +72,11 @@ class MessagesBackend:
 
     def translate(self, prompt: str) -> str:
         body = {"model": self.model, "max_tokens": self.max_tokens, "messages": [{"role": "user", "content": prompt}]}
-        reply = _post(endpoint(self.base_url, "/v1/messages"), body, {"x-api-key": self.key, "anthropic-version": self.api_version}, self.timeout)
+        return self.text(_post(endpoint(self.base_url, "/v1/messages"), body, {"x-api-key": self.key, "anthropic-version": self.api_version}, self.timeout))
+
+    @staticmethod
+    def text(reply: dict) -> str:
+        """The first text block; a reply without one is an error."""
         texts = [b["text"] for b in reply.get("content") or () if isinstance(b, dict) and b.get("type") == "text" and isinstance(b.get("text"), str)]
         if not texts:
             raise ValueError(f"no text block: {json.dumps(reply)[:200]}")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.backend import EchoBackend
+from driftline.backend import ChatBackend, EchoBackend, MessagesBackend
 from driftline.functions import script, text
 from driftline.functions.jsontree import json_leaves, json_with
 from driftline.functions.wrapper import prior, split_wrapped
 from driftline.operators import diff, master, rebuild, work
+from driftline.operators.ledger import ReplyLedger
 from driftline.plans import workspace
-from driftline.shared import scratch
+from driftline.shared import scratch, written
 from driftline.sinks import tables
 from driftline.sources import documents, manifest, scripts, web
 
@@ -189,6 +193,54 @@ def failed_batches(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("uid", "cn", F.regexp_replace("error", r"^\d+ of \d+", "some").alias("error"))
 
 
+class Dying(EchoBackend):
+    """Takes its worker down where a conversation's number is a multiple of 50: the executor is lost with what it had in memory."""
+
+    def translate(self, prompt: str) -> str:
+        if any(int(u) % 50 == 0 for u in re.findall(r"^\[(\d+):", prompt, re.M)):
+            os._exit(3)
+        return super().translate(prompt)
+
+
+def batch_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that dies among its batches, and one after it: each text, and how often its batch was paid for in both."""
+    ledger = ReplyLedger(scratch(spark, "ledger"))
+    planned = written(work.batches(_work(spark, sf), 3), "planned")
+    with contextlib.suppress(Exception):
+        work.translate(planned, Dying, waits=(), ledger=ledger).write.format("noop").mode("overwrite").save()
+    answers = written(work.translate(planned, EchoBackend, waits=(), ledger=ledger), "answers")
+    paid = ledger.rows(spark).groupBy("uid").agg(F.count(F.lit(1)).alias("n_paid"))
+    return answers.join(paid, "uid").select("uid", "cn", "n_paid")
+
+
+def translate_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches, failed ones and texts, counted while the answers are written."""
+    answers, seen = work.totals(work.translate(work.batches(_work(spark, sf), 3), Failing, waits=()))
+    answers.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(seen.get[c] for c in ("batches", "failed", "texts"))], "n_batches long, n_failed long, n_texts long")
+
+
+def reply_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies of both message services, with and without a text, read as the backends read them."""
+    said = F.sha2(F.coalesce("text", F.lit("")), 256)
+    block = lambda kind, **c: F.struct(F.lit(kind).alias("type"), *[v.alias(k) for k, v in c.items()])
+    chat = lambda c: F.to_json(F.struct(F.array(F.struct(F.struct(c.alias("content")).alias("message"))).alias("choices")))
+    kinds = F.array(chat(said), F.lit('{"choices":[]}'), chat(F.lit(None).cast("string")), F.to_json(F.struct(F.array(block("tool_use", text=F.lit(None).cast("string")), block("text", text=said)).alias("content"))), F.lit('{"content":[{"type":"tool_use"}]}'), F.lit("{}"))
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.get(kinds, F.pmod(F.col("conv_id") + F.col("turn"), F.lit(6)).cast("int")).alias("reply"), F.pmod(F.col("conv_id") + F.col("turn"), F.lit(6)).alias("k"))
+
+    def read(frames):
+        for frame in frames:
+            out = []
+            for reply, k in zip(frame["reply"], frame["k"], strict=True):
+                try:
+                    out.append((ChatBackend if k < 3 else MessagesBackend).text(json.loads(reply)))
+                except ValueError as e:
+                    out.append(f"error: {str(e).split(':')[0]}")
+            yield frame[["conv_id", "turn"]].assign(said=out)
+
+    return rows.mapInPandas(read, "conv_id long, turn long, said string")
+
+
 def translate_merge(spark: SparkSession, sf: str) -> DataFrame:
     items = _work(spark, sf).withColumn("status", F.when(F.col("line") == 0, F.lit("existing")).otherwise(F.lit("new"))).withColumn("existing_cn", F.when(F.col("line") == 0, F.lit("old")).otherwise(F.lit("")))
     got = work.translate(work.batches(items.filter(work.eligible()), 20), EchoBackend, waits=())
@@ -379,4 +431,4 @@ def package_files(spark: SparkSession, sf: str) -> DataFrame:
     return master.package_files(files, items).select("table", F.sha2("content", 256).alias("content_sha256"), "applied")
 
 
-QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES
+QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, batch_ledger, translate_totals, reply_texts, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES

@@ -54,6 +54,9 @@ ORACLES = {
     "batch_plan": f"WITH {_WORK} SELECT uid, gk, pos, batch FROM p",
     "batch_prompt": _prompt(),
     "response_parse": f"WITH {_WORK} SELECT uid, 't' || uid AS cn FROM p",
+    "batch_ledger": f"WITH {_WORK} SELECT uid, upper(jp) AS cn, CAST(1 AS BIGINT) AS n_paid FROM w",
+    "translate_totals": f"WITH {_WORK}, f AS (SELECT gk, batch, count(*) AS n, bool_or(conv_id % 7 < 2) AS bad FROM p GROUP BY gk, batch) SELECT count(*) AS n_batches, count(*) FILTER (bad) AS n_failed, CAST(coalesce(sum(n) FILTER (NOT bad), 0) AS BIGINT) AS n_texts FROM f",
+    "reply_texts": "SELECT conv_id, CAST(turn AS BIGINT) AS turn, CASE (conv_id + turn) % 6 WHEN 0 THEN sha256(coalesce(text, '')) WHEN 3 THEN sha256(coalesce(text, '')) WHEN 1 THEN 'error: no choices' WHEN 2 THEN 'error: no text in the first choice' ELSE 'error: no text block' END AS said FROM conversations",
     "translate_merge": "SELECT conv_id || ':' || turn AS uid, CASE WHEN turn = 0 THEN 'old' ELSE upper(sha256(coalesce(text, ''))) END AS cn FROM conversations",
     "source_normalise": r"SELECT page_id, sha256(replace(regexp_replace(html, '</?(?:b|p)(?:\\=[^>]*)?>', '', 'g'), '—', '―')) AS plain_sha256 FROM pages",
     "source_equal": r"SELECT page_id, true AS same, replace(regexp_replace(html, '</?(?:b|p)(?:\\=[^>]*)?>', '', 'g'), '—', '―') = replace(regexp_replace(url, '</?(?:b|p)(?:\\=[^>]*)?>', '', 'g'), '—', '―') AS other FROM pages",

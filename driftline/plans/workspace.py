@@ -124,14 +124,15 @@ class Unsteady(EchoBackend):
 
 
 def stage_translate_again(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of a run in which the tables' batches fail, of one after it, whose pending items are theirs, and of one with nothing left."""
+    """Counts and the last line of progress of a run in which the tables' batches fail, of one after it, whose pending items are theirs, and of one with nothing left."""
     cfg, out = lay(spark, sf), []
     app.extract(spark, cfg)
     for run, kind in enumerate((Unsteady, EchoBackend, EchoBackend)):
-        did = app.translate(spark, cfg, kind, waits=(), report=lambda said: None)
+        said = [""]
+        did = app.translate(spark, cfg, kind, waits=(), report=said.append)
         kept = files.exists(f"{cfg['paths']['work']}/checkpoint")
-        out.append((run, *(did[c] for c in ("n_eligible", "n_skipped", "n_pending", "n_answered", "n_batches", "n_failed_batches")), kept))
-    return spark.createDataFrame(out, "run int, n_eligible long, n_skipped long, n_pending long, n_answered long, n_batches long, n_failed_batches long, checkpoint_kept boolean")
+        out.append((run, *(did[c] for c in ("n_eligible", "n_skipped", "n_pending", "n_answered", "n_batches", "n_failed_batches")), kept, said[-1].split(" | ")[0]))
+    return spark.createDataFrame(out, "run int, n_eligible long, n_skipped long, n_pending long, n_answered long, n_batches long, n_failed_batches long, checkpoint_kept boolean, said string")
 
 
 def stage_build(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,8 +328,8 @@ ORACLES = {
     "stage_extract": f'WITH {_FILES} SELECT uid, category, file, field, jp, existing_cn, status, speaker, "character" FROM i',
     "stage_translate": f"WITH {_FILES} SELECT uid, cn FROM w",
     "stage_translate_again": f"""WITH {_FILES}, c AS (SELECT CAST({_N.format('')} AS BIGINT) AS a, CAST({_N.format(_NOT)} AS BIGINT) AS b, CAST({_N.format(_OWN)} AS BIGINT) AS d, CAST({_BATCHES.format('')} AS BIGINT) AS e, CAST({_BATCHES.format(_OWN)} AS BIGINT) AS f)
-SELECT CAST(0 AS INT) AS run, a AS n_eligible, CAST(0 AS BIGINT) AS n_skipped, a AS n_pending, b AS n_answered, e AS n_batches, f AS n_failed_batches, true AS checkpoint_kept FROM c
-UNION ALL SELECT 1, a, b, d, d, f, 0, false FROM c UNION ALL SELECT 2, a, a, 0, 0, 0, 0, false FROM c""",
+SELECT CAST(0 AS INT) AS run, a AS n_eligible, CAST(0 AS BIGINT) AS n_skipped, a AS n_pending, b AS n_answered, e AS n_batches, f AS n_failed_batches, true AS checkpoint_kept, '[' || e || '/' || e || '] 100.0% ok ' || b || ' failed ' || f AS said FROM c
+UNION ALL SELECT 1, a, b, d, d, f, 0, false, '[' || f || '/' || f || '] 100.0% ok ' || d || ' failed 0' FROM c UNION ALL SELECT 2, a, a, 0, 0, 0, 0, false, '' FROM c""",
     "stage_build": rf"""WITH {_FILES} SELECT 'script' AS kind, x.stem || '.txt' AS file, CAST(x.line AS INT) AS place, '' AS key, '[message clip={NEST} name=' || n.called || ' text=<r\=' || x.jp || ' >' || w.cn || '</r>]' AS value FROM x JOIN n ON x.conv_id = n.conv_id AND x.line = n.line JOIN w ON w.uid = x.stem || ':' || x.line || ':text'
 UNION ALL SELECT 'table', 'Part', CAST(p_partkey // 2 AS INT), unnest(['kind', 'id', 'name', 'size']), unnest(['"' || p_type || '"', '"' || id || '"', '"' || CASE WHEN p_partkey % 8 = 0 THEN upper(jp) ELSE had END || '"', CAST(p_size AS VARCHAR)]) FROM m WHERE p_partkey % 2 = 0
 UNION ALL SELECT 'order', 'Part', CAST(p_partkey // 2 AS INT), '', 'kind,id,name,size' FROM m WHERE p_partkey % 2 = 0
