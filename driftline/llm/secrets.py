@@ -10,7 +10,7 @@ Rows whose blob is done are kept out by a sieve of the unseen blobs; the few tha
 entries of blobs that the batch lacks don't leave their scan. Adaptive execution splits a hot hash in the join back.
 
 Nulls: a null text is the empty blob, which has no spans; a null path is a path like others. Repeated rows each get an answer.
-Empty tables give empty results; input columns besides the two named are ignored. A text with very many matches takes time and
+Empty tables give empty results; input columns besides the two named are ignored. The query takes the middle of the ids, so its doc_ids are numbers. A text with very many matches takes time and
 space in proportion to them.
 """
 
@@ -120,10 +120,11 @@ class SecretLedger:
         done = past.join(own, "blob").groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
         todo = batch.join(done, "blob", "left").withColumn("rules", F.array_except(names, F.coalesce("done", F.array().cast("array<string>"))))
         todo = materialise(todo.filter(F.size("rules") > 0).select("blob", "rules", "n"), "todo")
-        n_todo, parts = todo.count(), []
+        n_todo, parts, held = todo.count(), [], []
         for lacking in [r.rules for r in todo.select("rules").distinct().collect()]:  # sets of rule versions: as many as the rules had changes
             some = todo.filter(F.col("rules") == F.array(*map(F.lit, lacking)))
             n_some, many = some.count(), materialise(some.filter("n > 1").select("blob"), "many")
+            held.append(many)
             rows = texts
             if n_some < n_batch:
                 rows, few = narrowed(texts, "blob", some.select("blob"), "blob", n_some)
@@ -136,7 +137,7 @@ class SecretLedger:
         if parts:
             reduce(DataFrame.unionAll, parts).write.mode("append").parquet(f"{self.path}/found")
             todo.select("blob", "rules").write.mode("append").parquet(f"{self.path}/scanned")
-        discard(batch, todo)
+        discard(batch, todo, *held)
         return n_todo
 
     def findings(self) -> DataFrame:
@@ -145,7 +146,8 @@ class SecretLedger:
         current = self.found().filter(F.arrays_overlap("rules", names))
         kinds = [F.when(F.array_contains("rules", r.id), F.lit(r.kind)) for r in self.rules]
         current = current.select("blob", F.filter("spans", lambda s: F.array_contains(F.array_compact(F.array(*kinds)), s["kind"])).alias("spans"))
-        return current.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"))
+        each = current.select("blob", F.explode("spans").alias("s")).distinct()  # grouped by value: a set inside a row would compare all pairs
+        return each.groupBy("blob").agg(F.array_sort(F.collect_list("s")).alias("spans"))
 
     def report(self, versions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row for each row of ``versions``: doc_id, n_<kind> for each rule, base_sha256, spans."""
