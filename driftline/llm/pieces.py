@@ -14,7 +14,7 @@ Characters without a piece become byte pieces. Decoding joins pieces, turns mark
 byte pieces as UTF-8 (what isn't valid becomes U+FFFD).
 
 Nulls: a null text is empty and has no ids. Any length is encoded whole. Repeated rows are rows like others; an empty table
-gives an empty one; columns besides those named are ignored by the query and carried by ``encode_documents``.
+gives an empty one; ids of documents are cast to long; columns besides those named are ignored by the query and carried by ``encode_documents``.
 """
 
 from __future__ import annotations
@@ -169,15 +169,15 @@ class PieceModel:
                     break
             else:
                 last[i] = None  # a character without a piece: what follows begins anew
-        ids, i = [], n
+        ids, i = [], n  # from the end
         while i:
             if last[i] is None:
-                ids[:0] = self._fallback(unit[i - 1])
+                ids += reversed(self._fallback(unit[i - 1]))
                 i -= 1
             else:
-                ids.insert(0, self.id[last[i]])
+                ids.append(self.id[last[i]])
                 i -= len(last[i])
-        return np.array(ids, np.uint32)
+        return np.array(ids[::-1], np.uint32)
 
     def _known(self, a: str, b: str) -> bool:
         if (a, b) not in self.pairs:
