@@ -13,16 +13,9 @@ from driftline.llm import decontaminate, exact_dedup, near_dedup, pieces, qualit
 from driftline.llm.base import TEXT_BATCH, discard, load, made, materialise, release
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Rows here hold whole texts: fewer of them in an Arrow batch keep JVM and Python workers small. Set for the session, since the stages' results are computed after they return."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4000000")
-
-
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from the labelled ones among them, scores at 0.3 or more."""
-    small_batches(spark)
-    return quality.keep_good(docs, load(spark, sf_dir, "labels"))
+    """Documents that the classifier, learnt from the labelled ones among them, scores at 0.3 or more. Written with fewer rows in an Arrow batch: rows hold whole texts."""
+    return materialise(quality.keep_good(docs, load(spark, sf_dir, "labels")), "quality", TEXT_BATCH)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +34,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids and round_trip: whether decoding the ids gives the text."""
-    small_batches(spark)
+    """doc_id, n_tokens, ids and round_trip: whether decoding the ids gives the text. Written as in the first stage."""
     out = pieces.encode_documents(docs.select("doc_id", "text"), check_col="round_trip")
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
+    return materialise(out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip"), "tokens", TEXT_BATCH)
 
 
 STAGES = [
@@ -64,7 +56,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         first = made(spark)
-        past, docs = docs, materialise(stage(spark, docs, sf_dir), name.split()[0].lower())
+        past, found = docs, stage(spark, docs, sf_dir)
+        docs = found if hasattr(found, "_folder") else materialise(found, name.split()[0].lower())
         release(spark, first, keep=docs)
         if name != STAGES[0][0]:
             discard(past)
