@@ -57,7 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         first = made(spark)
         past, found = docs, stage(spark, docs, sf_dir)
-        docs = found if hasattr(found, "_folder") else materialise(found, name.split()[0].lower())
+        docs = found if hasattr(found, "_folder") else materialise(found, name.split()[0].lower(), TEXT_BATCH)
         release(spark, first, keep=docs)
         if name != STAGES[0][0]:
             discard(past)
