@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from driftline.llm import collection_bwt, near_dedup, pieces, quality, token_files, toxicity
+from driftline.llm import collection_bwt, near_dedup, pieces, quality, secrets, token_files, toxicity
+from driftline.llm.base import scratch
 from driftline.llm.collection_bwt import SYMBOL, RoundFiles, build
 from driftline.llm.quotient import CountingQuotientFilter, tally
 
