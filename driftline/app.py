@@ -170,12 +170,13 @@ def build(spark: SparkSession, cfg: dict, package: str = "package") -> dict:
     nothing = spark.createDataFrame([], "file string, line int, text string")
     new, old = (scripts.read_lines(spark, p) if documents.exists(spark, p) else nothing for p in (server, held))
     lines = new.unionByName(old.join(new.select("file").distinct(), "file", "left_anti")).join(of["resource"].select("file").distinct(), "file", "left_semi")
-    rebuilt = rebuild.rebuild_scripts(lines, of["resource"].withColumn("existing_cn", F.lit("")))
-    out["scripts"] = files.write_named(rebuilt, f"{fresh}/{LOCAL}/resource")
+    rebuilt = rebuild.rebuilt_lines(lines, of["resource"].withColumn("existing_cn", F.lit(""))).withColumnRenamed("text", "piece")
+    out["scripts"], _ = files.write_totals(files.write_streamed(rebuilt, f"{fresh}/{LOCAL}/resource", ["line"]))
 
     texts = of["master"].withColumn("table", stem(F.col("file")))
-    made = master.package_files(_master(spark, one).select(stem(F.col("path")).alias("table"), "value"), texts)
-    out["tables"], set_tables = files.write_counted(made.select(F.concat("table", F.lit(".json")).alias("file"), "content", "applied"), f"{fresh}/{LOCAL}/masterTrans")
+    made = master.package_pieces(_master(spark, one).select(stem(F.col("path")).alias("table"), "value"), texts)
+    made = made.withColumn("file", F.concat("table", F.lit(".json")))
+    out["tables"], set_tables = files.write_totals(files.write_streamed(made, f"{fresh}/{LOCAL}/masterTrans", ["place"], **master.JOINTS))
 
     flat = _generic(spark, one).withColumnRenamed("rel", "file").join(of["generic"].select("file").distinct(), "file", "left_semi")
     out["flat"], set_flat = files.write_counted(rebuild.apply_generic(flat, of["generic"]).select("file", indented(F.col("value"), 2).alias("content"), "applied"), fresh)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -100,7 +101,17 @@ def indented(c, spaces: int):
     return laid_out(c)
 
 
+@F.pandas_udf(T.StructType([T.StructField("head", T.StringType()), T.StructField("tail", T.StringType())]))
+def json_around_data(texts: pd.Series) -> pd.DataFrame:
+    """struct<head,tail>: JSON objects laid out in lines, up to the first record of their ``data`` and from its end."""
+    rows = []
+    for t in texts:
+        mark = uuid.uuid4().hex
+        rows.append(json.dumps(json.loads(t) | {"data": [mark]}, ensure_ascii=False, indent=1).split(f'\n  "{mark}"\n ') if t is not None else (None, None))
+    return pd.DataFrame(rows, columns=["head", "tail"])
+
+
 @F.pandas_udf(T.StringType())
-def json_with_data(texts: pd.Series, data: pd.Series) -> pd.Series:
-    """JSON objects with another list of records as their ``data``."""
-    return pd.Series([None if t is None else json.dumps(json.loads(t) | {"data": json.loads(d)}, ensure_ascii=False, indent=1) for t, d in zip(texts, data, strict=True)])
+def json_in_data(records: pd.Series) -> pd.Series:
+    """JSON records laid out as they stand in a ``data`` list."""
+    return records.map(lambda r: None if r is None else "  " + json.dumps(json.loads(r), ensure_ascii=False, indent=1).replace("\n", "\n  "))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.jsontree import json_with_data
+from driftline.functions.jsontree import json_around_data, json_in_data
 from driftline.functions.text import SOURCE_CLASS, best_text, contains_source
 from driftline.operators.diff import last_wins, snapshot_status
 
@@ -85,23 +85,29 @@ def _record_json(rec: Column, raw: bool) -> Column:
     return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
 
 
-def _joined(rows: DataFrame, order: str, record: Column) -> DataFrame:
-    """(table, data, applied): the records of a table, which is one file and so one row, as a JSON list; how many fields were set."""
-    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col("_r").alias("r"))))
-    return rows.withColumn("_r", record).groupBy("table").agg(F.concat(F.lit("["), F.array_join(F.transform(listed, lambda x: x["r"]), ","), F.lit("]")).alias("data"), F.sum("applied").cast("long").alias("applied"))
+def package_pieces(files: DataFrame, items: DataFrame, check_id: bool = True) -> DataFrame:
+    """(table, part, place, piece, applied): heads, records and tails of the files (table, value) that items change, and of tables that had none.
 
-
-def package_files(files: DataFrame, items: DataFrame, check_id: bool = True) -> DataFrame:
-    """(table, content, applied): the files (table, value) that items change, rewritten, and files of tables that had none; how many fields were set."""
+    ``JOINTS`` go between them; ``sinks.files.write_streamed`` makes files of them, laid out in lines, without holding a table whole.
+    """
     from driftline.sources.documents import package_rows
 
     touched = files.join(items.select("table").distinct(), "table", "left_semi")
     records = apply_updates(package_rows(touched.withColumnRenamed("table", "path")), items, check_id)
-    kept = touched.join(_joined(records, "rec_idx", _record_json(F.col("rec"), True)), "table").select("table", json_with_data("value", "data").alias("content"), "applied")
-    fresh = new_table(items.join(files.select("table"), "table", "left_anti"))
+    fresh = new_table(items.join(files.select("table"), "table", "left_anti")).withColumn("applied", F.size("fields"))
     whole = F.concat(F.lit('{"id":'), F.col("record_id"), F.when(F.size("fields") > 0, F.concat(F.lit(","), F.substring(_record_json(F.col("fields"), False), F.lit(2), F.lit(2**31 - 1)))).otherwise(F.lit("}")))
-    made = _joined(fresh.withColumn("applied", F.size("fields")), "first", whole).select("table", json_with_data(F.lit('{"rules":{"primaryKeys":["id"]},"data":[]}'), "data").alias("content"), "applied")
-    return kept.unionByName(made)
+    pieces = records.select("table", F.col("rec_idx").cast("long").alias("place"), _record_json(F.col("rec"), True).alias("r"), "applied")
+    pieces = pieces.unionByName(fresh.select("table", F.col("first").cast("long").alias("place"), whole.alias("r"), "applied"))
+    own = touched.join(records.select("table").distinct(), "table", "left_semi").select("table", "value")
+    own = own.unionByName(fresh.select("table").distinct().withColumn("value", F.lit('{"rules":{"primaryKeys":["id"]},"data":[]}')))
+    ends = own.select("table", json_around_data("value").alias("x"))
+    around = ends.select("table", F.explode(F.array(F.struct(F.lit(0).alias("part"), F.col("x.head").alias("piece")), F.struct(F.lit(2).alias("part"), F.col("x.tail").alias("piece")))).alias("e"))
+    nothing = F.lit(None).cast("long").alias("place")
+    return pieces.select("table", F.lit(1).alias("part"), "place", json_in_data("r").alias("piece"), "applied").unionByName(around.select("table", "e.part", nothing, "e.piece", F.lit(0).alias("applied")))
+
+
+#: Between the parts of a package file: before the first record, between two, after the last.
+JOINTS = {"first": "\n", "between": ",\n", "last": "\n "}
 
 
 def new_table(items: DataFrame) -> DataFrame:

@@ -20,11 +20,11 @@ def line_texts(items: DataFrame) -> DataFrame:
     return one.groupBy("file", "line").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "t")))).alias("texts"))
 
 
-def rebuild_scripts(lines: DataFrame, items: DataFrame) -> DataFrame:
-    """(file, content): all lines of each file in order, those with texts rebuilt."""
+def rebuilt_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
+    """(file, line, text): all lines, those with texts rebuilt. ``sinks.files.write_streamed`` makes files of them."""
     joined = lines.join(line_texts(items), ["file", "line"], "left")
     text = F.when(F.col("texts").isNotNull(), build_line(F.col("text"), F.col("texts"))).otherwise(F.col("text"))
-    return joined.withColumn("text", text).groupBy("file").agg(F.expr("listagg(text, '\n') WITHIN GROUP (ORDER BY line)").alias("content"))
+    return joined.select("file", "line", text.alias("text"))
 
 
 def apply_generic(files: DataFrame, items: DataFrame) -> DataFrame:

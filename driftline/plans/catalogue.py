@@ -18,7 +18,7 @@ from driftline.operators import diff, master, rebuild, work
 from driftline.operators.ledger import ReplyLedger
 from driftline.plans import workspace
 from driftline.shared import scratch, written
-from driftline.sinks import tables
+from driftline.sinks import files, tables
 from driftline.sources import documents, manifest, scripts, web
 
 ACCENTS = r"[À-ÿ]"
@@ -310,15 +310,15 @@ def json_path_set(spark: SparkSession, sf: str) -> DataFrame:
 def generic_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Each event as a flat JSON file; keys with an accent are sources, and values other than texts are left out."""
     value = F.to_json(F.struct(F.col("event_type").alias("é"), F.col("user_id").cast("string").alias("à b"), F.col("event_type").alias("plain"), F.col("value").alias("ü")))
-    files = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("rel"), value.alias("value"))
-    return documents.generic_items(files, ACCENTS).select("uid", "file", "field", "jp", "existing_cn", "status")
+    flat = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("rel"), value.alias("value"))
+    return documents.generic_items(flat, ACCENTS).select("uid", "file", "field", "jp", "existing_cn", "status")
 
 
 def localization_leaves(spark: SparkSession, sf: str) -> DataFrame:
     """Each turn as a nested JSON file, French being the source."""
     nested = F.to_json(F.struct(F.struct("role", F.array(F.sha2(F.coalesce("text", F.lit("")), 256), F.concat(F.lit("é#à "), "role"), F.concat(F.lit("#é "), "role")).alias("said")).alias("turn")))
-    files = table(spark, sf, "conversations").select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("file"), nested.alias("value"))
-    return documents.localization_items(files, "[éà]", "[éà]").select("file", "uid", "field", "jp", "status")
+    trees = table(spark, sf, "conversations").select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("file"), nested.alias("value"))
+    return documents.localization_items(trees, "[éà]", "[éà]").select("file", "uid", "field", "jp", "status")
 
 
 def record_pivot(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,7 +329,8 @@ def record_pivot(spark: SparkSession, sf: str) -> DataFrame:
 def script_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     lines_ = _turn_lines(spark, sf)
     items = scripts.items(lines_).filter("field = 'text' AND line % 2 = 0").select("file", "line", "field", F.concat(F.lit("T"), F.col("line").cast("string")).alias("cn"), F.lit("").alias("existing_cn"), F.col("seq").alias("ord"))
-    return rebuild.rebuild_scripts(lines_, items).select("file", F.sha2("content", 256).alias("content_sha256"))
+    made = files.write_streamed(rebuild.rebuilt_lines(lines_, items).withColumnRenamed("text", "piece"), scratch(spark, "scripts"), ["line"])
+    return made.select("file", F.col("sha256").alias("content_sha256"))
 
 
 def manifest_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -426,9 +427,10 @@ def package_files(spark: SparkSession, sf: str) -> DataFrame:
     parts = parts.withColumn("rec_idx", order.cast("int")).withColumn("key", F.concat(F.lit("k"), F.col("p_partkey").cast("string")))
     record = F.to_json(F.struct(F.col("p_size").alias("z"), F.col("key").alias("id"), F.lit("old").alias("name"), F.array(F.lit(1), F.lit(2)).alias("a")))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rec_idx", record.alias("r")))), lambda x: x["r"]), ",")
-    files = parts.filter("held").groupBy("table").agg(F.concat(F.lit('{"rules":{"primaryKeys":["id"]},"more":1,"data":['), listed, F.lit("]}")).alias("value"))
+    held = parts.filter("held").groupBy("table").agg(F.concat(F.lit('{"rules":{"primaryKeys":["id"]},"more":1,"data":['), listed, F.lit("]}")).alias("value"))
     items = parts.select("table", "rec_idx", F.concat(F.lit('"'), "key", F.lit('"')).alias("record_id"), F.lit("name").alias("field"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.lit("")).alias("cn"), F.lit("").alias("existing_cn"))
-    return master.package_files(files, items).select("table", F.sha2("content", 256).alias("content_sha256"), "applied")
+    made = files.write_streamed(master.package_pieces(held, items).withColumnRenamed("table", "file"), scratch(spark, "tables"), ["place"], **master.JOINTS)
+    return made.select(F.col("file").alias("table"), F.col("sha256").alias("content_sha256"), "applied")
 
 
 QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, batch_ledger, translate_totals, reply_texts, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES

@@ -36,10 +36,14 @@ def _json(**columns: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in columns.items()]))
 
 
-def _file(rows: DataFrame, name: Column, piece: Column, order: str, between: str, before: str = "", after: str = "") -> DataFrame:
-    """(file, content): the pieces of each name in order."""
-    parts = rows.select(name.alias("file"), F.struct(F.col(order).alias("o"), piece.alias("p")).alias("x")).groupBy("file").agg(F.array_sort(F.collect_list("x")).alias("x"))
-    return parts.select("file", F.concat(F.lit(before), F.array_join(F.transform("x", lambda x: x["p"]), between), F.lit(after)).alias("content"))
+def _lay(rows: DataFrame, name: Column, piece: Column, order: str, between: str, folder: str, before: str = "", after: str = "") -> None:
+    """Write files: the pieces of each name in order, streamed."""
+    pieces = rows.select(name.alias("file"), F.lit(files.PIECE).alias("part"), F.col(order).cast("long").alias("o"), piece.alias("piece"))
+    if before or after:
+        ends = F.explode(F.array(*[F.struct(F.lit(k).alias("part"), F.lit(t).alias("piece")) for k, t in ((files.HEAD, before), (files.TAIL, after))]))
+        names = pieces.select("file").distinct().select("file", ends.alias("e"))
+        pieces = pieces.unionByName(names.select("file", "e.part", F.lit(None).cast("long").alias("o"), "e.piece"))
+    files.write_streamed(pieces, folder, ["o"], between=between)
 
 
 def _turns(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +68,7 @@ def lay(spark: SparkSession, sf: str) -> dict:
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
     def script(rows: DataFrame, text: Column, folder: str) -> None:
-        files.write_named(_file(rows, F.col("file"), text, "line", "\n"), folder)
+        _lay(rows, F.col("file"), text, "line", "\n", folder)
 
     script(turns, message("[message clip=", NEST, " name=", name, " text=", jp, " ]"), f"{paths['scripts']}/{app.SCRIPTS}")
     old = F.when(F.col("line") % 2 == 0, jp).otherwise(F.concat(jp, F.lit("x")))
@@ -72,28 +76,28 @@ def lay(spark: SparkSession, sf: str) -> dict:
     script(turns.filter("conv_id % 3 = 0"), message("[message name=", name, " text=", wrapped, "]"), f"{one}/{held}")
     script(turns.filter("conv_id % 5 = 0"), message("[message name=", name, " text=<r\\=", jp, " >F", line, "</r>]"), f"{two}/{held}")
 
-    part = _table(spark, sf, "part").withColumn("key", F.concat(F.lit("k"), F.col("p_partkey").cast("string"))).withColumn("jp", F.concat(F.lit(SIGN), "p_name"))
+    part = _table(spark, sf, "part").withColumn("key", F.concat(F.lit("k"), F.col("p_partkey").cast("string"))).withColumn("jp", F.concat(F.lit(SIGN), "p_name")).withColumn("table", F.concat(F.lit("P"), F.regexp_extract("p_brand", "([0-9]+)", 1)))
     record = F.concat(F.lit("- "), _json(id=F.col("key"), name=F.col("jp"), kind=F.col("p_type")))
-    files.write_named(_file(part, F.lit("Part.yaml"), record, "p_partkey", "\n"), paths["tables"])
+    _lay(part, F.concat("table", F.lit(".yaml")), record, "p_partkey", "\n", paths["tables"])
     for folder, every, sign in ((one, 2, "P"), (two, 3, "F")):
         some = part.filter(F.col("p_partkey") % every == 0)
         record = _json(kind=F.col("p_type"), id=F.col("key"), name=F.concat(F.lit(sign), "p_brand"), size=F.col("p_size"))
-        files.write_named(_file(some, F.lit("Part.json"), record, "p_partkey", ", ", '{"rules": {"primaryKeys": ["id"]}, "data": [', "]}"), f"{folder}/{LOCAL}/masterTrans")
+        _lay(some, F.concat("table", F.lit(".json")), record, "p_partkey", ", ", f"{folder}/{LOCAL}/masterTrans", '{"rules": {"primaryKeys": ["id"]}, "data": [', "]}")
     rows = documents.table_rows(documents.whole_files(spark, paths["tables"], "*.yaml"))
-    keys = rows.select(F.concat_ws(":", F.lit("master:Part"), F.col("rec_idx").cast("string"), F.from_json(F.concat(F.lit('{"v":'), F.col("rec")["id"], F.lit("}")), "v string")["v"], F.lit("name")).alias("uid"), F.regexp_extract(F.col("rec")["id"], "k([0-9]+)", 1).cast("long").alias("p_partkey"))
-    seen = part.join(keys, "p_partkey").filter("p_partkey % 4 = 0")
+    keys = rows.select(F.concat_ws(":", F.lit("master"), "table", F.col("rec_idx").cast("string"), F.from_json(F.concat(F.lit('{"v":'), F.col("rec")["id"], F.lit("}")), "v string")["v"], F.lit("name")).alias("uid"), F.regexp_extract(F.col("rec")["id"], "k([0-9]+)", 1).cast("long").alias("p_partkey"))
+    seen = part.drop("table").join(keys, "p_partkey").filter("p_partkey % 4 = 0")
     tables.write_pairs(seen.select("uid", F.when(F.col("p_partkey") % 8 == 0, F.concat("jp", F.lit("old"))).otherwise(F.col("jp")).alias("jp")), f"{paths['work']}/snapshot")
 
     customer = _table(spark, sf, "customer").withColumn("file", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit(".json")))
     for folder, keep, sign in ((one, "c_nationkey % 5 <> 0", "G"), (two, "c_nationkey % 2 = 0", "F")):
         pair = F.concat(F.lit('"'), F.lit(SIGN), "c_name", F.lit('": "'), F.lit(sign), F.col("c_custkey").cast("string"), F.lit('"'))
-        files.write_named(_file(customer.filter(keep), F.col("file"), pair, "c_custkey", ", ", "{", ', "plain": "x", "かず": 5}'), f"{folder}/{LOCAL}/genericTrans")
+        _lay(customer.filter(keep), F.col("file"), pair, "c_custkey", ", ", f"{folder}/{LOCAL}/genericTrans", "{", ', "plain": "x", "かず": 5}')
 
     supplier = _table(spark, sf, "supplier")
     text = F.concat(F.when(F.col("s_suppkey") % 2 == 0, F.lit(SIGN)).otherwise(F.lit("漢")), "s_name")
     pair = F.concat(F.lit('"k'), F.col("s_suppkey").cast("string"), F.lit('": "'), text, F.lit('"'))
-    files.write_named(_file(supplier, F.lit("localization.json"), pair, "s_suppkey", ", ", '{"n": 1, "s": {', "}}"), f"{one}/{LOCAL}")
-    files.write_named(_file(supplier.filter("s_suppkey % 10 = 0"), F.lit("localization.json"), pair, "s_suppkey", "}, {", '{"t": [{', "}]}"), f"{two}/{LOCAL}")
+    _lay(supplier, F.lit("localization.json"), pair, "s_suppkey", ", ", f"{one}/{LOCAL}", '{"n": 1, "s": {', "}}")
+    _lay(supplier.filter("s_suppkey % 10 = 0"), F.lit("localization.json"), pair, "s_suppkey", "}, {", f"{two}/{LOCAL}", '{"t": [{', "}]}")
     return {"llm": LLM_DEFAULTS | {"backend": "echo", "skip_changed": False}, "paths": paths, "packages": {"use_fallback": True}, "manifest": manifest.ManifestOptions(), "names": NAMES}
 
 
@@ -310,16 +314,18 @@ _JP = "か"
 _FILES = f"""t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS line, coalesce(role, '') AS role, sha256(coalesce(text, '')) AS jp, CASE WHEN conv_id % 2 = 0 THEN 'adv_dear_hski_' ELSE 'adv_event_' END || conv_id AS stem FROM conversations),
 x AS (SELECT *, CASE WHEN conv_id % 3 = 0 AND line % 4 <> 0 THEN 'P' || line WHEN conv_id % 5 = 0 THEN 'F' || line ELSE '' END AS had, conv_id % 3 = 0 AND line % 4 <> 0 AND line % 2 = 1 AS moved FROM t),
 n AS (SELECT *, CASE WHEN strpos('the user', role) > 0 THEN 'the user' ELSE role END AS called FROM t),
-m AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, p_partkey, 'k' || p_partkey AS id, '{_JP}' || p_name AS jp, p_type, p_brand, p_size, CASE WHEN p_partkey % 2 = 0 THEN 'P' || p_brand WHEN p_partkey % 3 = 0 THEN 'F' || p_brand ELSE '' END AS had FROM part),
+k AS (SELECT *, 'P' || regexp_extract(p_brand, '([0-9]+)', 1) AS tab FROM part),
+o AS (SELECT *, row_number() OVER (PARTITION BY tab ORDER BY p_partkey) - 1 AS idx, row_number() OVER (PARTITION BY tab, p_partkey % 2 ORDER BY p_partkey) - 1 AS held, row_number() OVER (PARTITION BY tab, p_partkey % 3 = 0 ORDER BY p_partkey) - 1 AS held_two FROM k),
+m AS (SELECT tab, idx, held, p_partkey, 'k' || p_partkey AS id, '{_JP}' || p_name AS jp, p_type, p_brand, p_size, CASE WHEN p_partkey % 2 = 0 AND (held = idx OR p_partkey % 3 <> 0 OR held_two <> idx) THEN 'P' || p_brand WHEN p_partkey % 3 = 0 THEN 'F' || p_brand ELSE '' END AS had FROM o),
 g AS (SELECT c_custkey, c_nationkey, 'local-files/genericTrans/n' || c_nationkey || '.json' AS file, '{_JP}' || c_name AS jp, CASE WHEN c_nationkey % 5 <> 0 THEN 'G' || c_custkey ELSE 'F' || c_custkey END AS had FROM customer WHERE c_nationkey % 5 <> 0 OR c_nationkey % 2 = 0),
 l AS (SELECT s_suppkey, 's.k' || s_suppkey AS path, CASE WHEN s_suppkey % 2 = 0 THEN '{_JP}' ELSE '漢' END || s_name AS jp FROM supplier),
 l2 AS (SELECT 't[' || (row_number() OVER (ORDER BY s_suppkey) - 1) || '].k' || s_suppkey AS path, jp, s_suppkey FROM l WHERE s_suppkey % 10 = 0),
 i AS (SELECT stem || ':' || line || ':text' AS uid, 'resource' AS category, stem || '.txt' AS file, 'text' AS field, jp || ' ' AS jp, had AS existing_cn, CASE WHEN had = '' THEN 'new' WHEN moved THEN 'changed' ELSE 'existing' END AS status, role AS speaker, CASE WHEN conv_id % 2 = 0 THEN 'hski' ELSE '' END AS "character" FROM x
 UNION ALL SELECT stem || ':' || line || ':name', 'resource', stem || '.txt', 'name', role, called, 'existing', NULL, NULL FROM n
-UNION ALL SELECT 'master:Part:' || idx || ':' || id || ':name', 'master', 'Part.json', 'name', jp, had, CASE WHEN had = '' THEN 'new' WHEN p_partkey % 8 = 0 THEN 'changed' ELSE 'existing' END, NULL, NULL FROM m
+UNION ALL SELECT 'master:' || tab || ':' || idx || ':' || id || ':name', 'master', tab || '.json', 'name', jp, had, CASE WHEN had = '' THEN 'new' WHEN p_partkey % 8 = 0 THEN 'changed' ELSE 'existing' END, NULL, NULL FROM m
 UNION ALL SELECT 'generic:' || file || ':' || jp, 'generic', file, jp, jp, had, 'existing', NULL, NULL FROM g
 UNION ALL SELECT 'localization:' || path, 'localization', 'localization.json', path, jp, jp, CASE WHEN s_suppkey % 2 = 0 THEN 'new' ELSE 'existing' END, NULL, NULL FROM (SELECT path, jp, s_suppkey FROM l UNION ALL SELECT path, jp, s_suppkey FROM l2)),
-w AS (SELECT *, CASE WHEN status = 'existing' THEN existing_cn ELSE upper(trim(jp)) END AS cn, CASE WHEN "character" = 'hski' THEN 'r' || file WHEN category = 'master' THEN 'm' ELSE category END AS gk FROM i)"""
+w AS (SELECT *, CASE WHEN status = 'existing' THEN existing_cn ELSE upper(trim(jp)) END AS cn, CASE WHEN "character" = 'hski' THEN 'r' || file WHEN category = 'master' THEN 'm' || file ELSE category END AS gk FROM i)"""
 _BATCHES = "(SELECT coalesce(sum((n + 19) // 20), 0) FROM (SELECT count(*) AS n FROM w WHERE status <> 'existing'{} GROUP BY gk))"
 _N = "(SELECT count(*) FROM w WHERE status <> 'existing'{})"
 _NOT, _OWN = " AND category <> 'master'", " AND category = 'master'"
@@ -331,15 +337,15 @@ ORACLES = {
 SELECT CAST(0 AS INT) AS run, a AS n_eligible, CAST(0 AS BIGINT) AS n_skipped, a AS n_pending, b AS n_answered, e AS n_batches, f AS n_failed_batches, true AS checkpoint_kept, '[' || e || '/' || e || '] 100.0% ok ' || b || ' failed ' || f AS said FROM c
 UNION ALL SELECT 1, a, b, d, d, f, 0, false, '[' || f || '/' || f || '] 100.0% ok ' || d || ' failed 0' FROM c UNION ALL SELECT 2, a, a, 0, 0, 0, 0, false, '' FROM c""",
     "stage_build": rf"""WITH {_FILES} SELECT 'script' AS kind, x.stem || '.txt' AS file, CAST(x.line AS INT) AS place, '' AS key, '[message clip={NEST} name=' || n.called || ' text=<r\=' || x.jp || ' >' || w.cn || '</r>]' AS value FROM x JOIN n ON x.conv_id = n.conv_id AND x.line = n.line JOIN w ON w.uid = x.stem || ':' || x.line || ':text'
-UNION ALL SELECT 'table', 'Part', CAST(p_partkey // 2 AS INT), unnest(['kind', 'id', 'name', 'size']), unnest(['"' || p_type || '"', '"' || id || '"', '"' || CASE WHEN p_partkey % 8 = 0 THEN upper(jp) ELSE had END || '"', CAST(p_size AS VARCHAR)]) FROM m WHERE p_partkey % 2 = 0
-UNION ALL SELECT 'order', 'Part', CAST(p_partkey // 2 AS INT), '', 'kind,id,name,size' FROM m WHERE p_partkey % 2 = 0
+UNION ALL SELECT 'table', tab, CAST(held AS INT), unnest(['kind', 'id', 'name', 'size']), unnest(['"' || p_type || '"', '"' || id || '"', '"' || CASE WHEN p_partkey % 8 = 0 THEN upper(jp) ELSE had END || '"', CAST(p_size AS VARCHAR)]) FROM m WHERE p_partkey % 2 = 0
+UNION ALL SELECT 'order', tab, CAST(held AS INT), '', 'kind,id,name,size' FROM m WHERE p_partkey % 2 = 0
 UNION ALL SELECT 'flat', file, 0, jp, had FROM g WHERE c_nationkey % 5 <> 0
 UNION ALL SELECT 'nested', 'localization.json', 0, path, upper(jp) FROM l WHERE s_suppkey % 2 = 0 UNION ALL SELECT 'nested', 'localization.json', 0, path, jp FROM l WHERE s_suppkey % 2 = 1""",
-    "stage_build_counts": f"""WITH {_FILES}, r(what, n) AS (SELECT 'scripts', count(DISTINCT conv_id) FROM t UNION ALL SELECT 'tables', 1 UNION ALL SELECT 'flat', count(DISTINCT c_nationkey) FROM g WHERE c_nationkey % 5 <> 0 UNION ALL SELECT 'nested', 1
+    "stage_build_counts": f"""WITH {_FILES}, r(what, n) AS (SELECT 'scripts', count(DISTINCT conv_id) FROM t UNION ALL SELECT 'tables', count(DISTINCT tab) FROM m UNION ALL SELECT 'flat', count(DISTINCT c_nationkey) FROM g WHERE c_nationkey % 5 <> 0 UNION ALL SELECT 'nested', 1
 UNION ALL SELECT 'applied tables', count(*) FROM m WHERE p_partkey % 2 = 0 UNION ALL SELECT 'applied flat', count(*) FROM g WHERE c_nationkey % 5 <> 0 UNION ALL SELECT 'applied nested', count(*) FROM l
 UNION ALL SELECT 'snapshot', count(*) FROM m) SELECT what, n FROM r""",
     "stage_package": f"""WITH {_FILES}, e AS (SELECT unnest(['local-files/', 'local-files/genericTrans/', 'local-files/masterTrans/', 'local-files/resource/']) AS name, 0 AS late
-UNION ALL SELECT DISTINCT file, 1 FROM g WHERE c_nationkey % 5 <> 0 UNION ALL SELECT unnest(['local-files/localization.json', 'local-files/masterTrans/Part.json', 'version.txt']), 1 UNION ALL SELECT DISTINCT 'local-files/resource/' || stem || '.txt', 1 FROM t)
+UNION ALL SELECT DISTINCT file, 1 FROM g WHERE c_nationkey % 5 <> 0 UNION ALL SELECT DISTINCT 'local-files/masterTrans/' || tab || '.json', 1 FROM m UNION ALL SELECT unnest(['local-files/localization.json', 'version.txt']), 1 UNION ALL SELECT DISTINCT 'local-files/resource/' || stem || '.txt', 1 FROM t)
 SELECT CAST(row_number() OVER (ORDER BY late, string_split(name, '/')) - 1 AS INT) AS place, name, late = 0 AS is_dir, true AS whole, CAST(sum(late) OVER () AS INT) AS n_files FROM e""",
     "stage_export": f"WITH {_FILES} SELECT uid, status, count(*) OVER (PARTITION BY status) AS n FROM i WHERE status <> 'existing'",
     "stage_fetch": """WITH n AS (SELECT n_nationkey AS k, 'adv_' || n_name || '.txt' AS name FROM nation)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import io
 import os
 import posixpath
@@ -15,6 +16,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.shared import written
+
 
 def located(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a URI or a local path, and the path in it."""
@@ -77,6 +80,103 @@ def write_named(files: DataFrame, folder: str) -> int:
     return write_counted(files.withColumn("applied", F.lit(0)), folder)[0]
 
 
+HEAD, PIECE, TAIL = 0, 1, 2
+_REPORT = "file string, n_bytes long, sha256 string, applied long"
+
+
+class _Writing:
+    """A file that is being written beside its place; it appears there once it is whole."""
+
+    def __init__(self, folder: str, name: str, first: str, between: str, last: str):
+        self.name, self.joints = name, (first, between, last)
+        self.store, self.place = located(f"{folder}/{safe_name(name)}")
+        self.store.create_dir(posixpath.dirname(self.place), recursive=True)
+        self.part = f"{self.place}.{uuid.uuid4().hex}.tmp"
+        self.out = self.store.open_output_stream(self.part, compression=None)
+        self.sha, self.n_bytes, self.pieces, self.applied = hashlib.sha256(), 0, False, 0
+
+    def _put(self, text: str) -> None:
+        content = text.encode()
+        self.out.write(content)
+        self.sha.update(content)
+        self.n_bytes += len(content)
+
+    def add(self, part: int, texts: list[str | None], applied: int) -> None:
+        """Texts of one kind, in order."""
+        first, between, _ = self.joints
+        self.applied += applied
+        if part == PIECE:
+            self._put((between if self.pieces else first) + between.join(t or "" for t in texts))
+            self.pieces = True
+        else:
+            self.ended(part == TAIL)
+            self._put("".join(t or "" for t in texts))
+
+    def ended(self, tail: bool) -> None:
+        if tail and self.pieces:
+            self._put(self.joints[2])
+            self.pieces = False
+
+    def done(self) -> tuple[str, int, str, int]:
+        self.ended(True)
+        self.out.close()
+        self.store.move(self.part, self.place)
+        return self.name, self.n_bytes, self.sha.hexdigest(), self.applied
+
+    def dropped(self) -> None:
+        self.out.close()
+        self.store.delete_file(self.part)
+
+
+def write_streamed(rows: DataFrame, folder: str, by: list[str], first: str = "", between: str = "\n", last: str = "") -> DataFrame:
+    """Write (file, part, *by, piece, applied) as files of exact names: each file's head, its pieces in order, its tail. (file, n_bytes, sha256, applied), a row a file, once all are written.
+
+    Rows are dealt by file, sorted there and written as they come, so no file is held whole anywhere. ``first`` goes before
+    the first piece, ``between`` between two, ``last`` after the last one. A file appears under its name once it is whole; one that
+    a task wrote twice is the same. Rows without ``part`` are pieces; ``applied`` is summed, 0 where it lacks; a null piece is an empty one.
+    """
+    part = F.col("part") if "part" in rows.columns else F.lit(PIECE)
+    applied = F.coalesce(F.col("applied"), F.lit(0)) if "applied" in rows.columns else F.lit(0)
+    wanted = rows.select("file", part.cast("int").alias("part"), *by, "piece", applied.cast("long").alias("applied"))
+    dealt = wanted.repartition("file").sortWithinPartitions("file", "part", *by).select("file", "part", "piece", "applied")
+
+    def run(frames):
+        import pyarrow as pa
+
+        now, out = None, []
+        try:
+            for frame in frames:
+                names, parts, pieces = frame["file"].to_numpy(), frame["part"].to_numpy(), frame["piece"].tolist()
+                sums = frame["applied"].to_numpy()
+                new = (names[1:] != names[:-1]) | (parts[1:] != parts[:-1])
+                edges = [0, *(new.nonzero()[0] + 1).tolist(), len(names)]
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    if now is None or now.name != names[a]:
+                        if now:
+                            out.append(now.done())
+                        now = _Writing(folder, names[a], first, between, last)
+                    now.add(int(parts[a]), pieces[a:b], int(sums[a:b].sum()))
+                if out:
+                    yield pd.DataFrame(out, columns=["file", "n_bytes", "sha256", "applied"])
+                    out = []
+            if now:
+                out, now = [now.done()], None
+                yield pd.DataFrame(out, columns=["file", "n_bytes", "sha256", "applied"])
+        except BaseException:
+            if now:
+                now.dropped()
+            raise
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return written(dealt.filter("file IS NOT NULL").mapInPandas(run, _REPORT), "files")
+
+
+def write_totals(report: DataFrame) -> tuple[int, int]:
+    """The number of files of a report, and the sum of ``applied``."""
+    return tuple(report.agg(F.count(F.lit(1)), F.coalesce(F.sum("applied"), F.lit(0))).first())
+
+
 def tree(folder: str) -> tuple[list[str], list[str]]:
     """Relative folders and files below a folder, each sorted by the parts of their paths."""
     store, place = located(folder)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.backend import EchoBackend, create_backend, endpoint, read_reply
 from driftline.operators import diff, master, rebuild, work
+from driftline.sinks import files as sink
 from driftline.sources import documents, scripts
 
 
@@ -116,12 +117,15 @@ def test_errors_are_never_successes(spark, monkeypatch):
         backend.ChatBackend("http://h", "m", "k").translate("p")
 
 
-def test_package_files_keep_order_and_refuse_bad_json(spark):
+def test_package_files_keep_order_and_refuse_bad_json(spark, tmp_path):
     text = '{"rules": {"primaryKeys": ["id"]}, "data": [{"id": "r1", "x": 1, "y": [1, {"b": 2, "a": 1.50}], "z": "old", "a": null, "b": true, "c": "k"}]}'
     files = spark.createDataFrame([("T", text)], "table string, value string")
     items = spark.createDataFrame([("T", 0, '"r1"', "z", "new", ""), ("T", 0, '"r1"', "more", "m", "")], "table string, rec_idx int, record_id string, field string, cn string, existing_cn string")
-    row = master.package_files(files, items).first()
-    assert list(json.loads(row.content)["data"][0].items()) == [("id", "r1"), ("x", 1), ("y", [1, {"b": 2, "a": 1.5}]), ("z", "new"), ("a", None), ("b", True), ("c", "k"), ("more", "m")] and row.applied == 2
+    made = master.package_pieces(files, items).withColumnRenamed("table", "file")
+    row = sink.write_streamed(made, str(tmp_path), ["place"], **master.JOINTS).first()
+    content = (tmp_path / "T").read_text()
+    assert content == json.dumps(json.loads(content), ensure_ascii=False, indent=1)
+    assert list(json.loads(content)["data"][0].items()) == [("id", "r1"), ("x", 1), ("y", [1, {"b": 2, "a": 1.5}]), ("z", "new"), ("a", None), ("b", True), ("c", "k"), ("more", "m")] and row.applied == 2
     for bad in ("{", "[]", '{"data": [1]}', '{"data": 3}'):
         with pytest.raises(PythonException, match="not a JSON object"):
             documents.package_rows(spark.createDataFrame([("a/T.json", bad)], "path string, value string")).collect()
@@ -147,7 +151,7 @@ def test_pending_by_source(spark):
 def test_rebuild_scripts(spark):
     lines = scripts.numbered(spark.createDataFrame([("f", "[message text=A name=N]\nkeep\n[title text=T]")], "file string, value string"))
     items = spark.createDataFrame([("f", 1, "text", "a", "", 0), ("f", 3, "text", "", "t", 0)], "file string, line int, field string, cn string, existing_cn string, ord int")
-    assert rebuild.rebuild_scripts(lines, items).first().content == "[message text=<r\\=A>a</r> name=N]\nkeep\n[title text=<r\\=T>t</r>]"
+    assert "\n".join(r.text for r in rebuild.rebuilt_lines(lines, items).orderBy("line").collect()) == "[message text=<r\\=A>a</r> name=N]\nkeep\n[title text=<r\\=T>t</r>]"
 
 
 def test_catalogue_against_duckdb(spark):
