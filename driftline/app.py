@@ -82,7 +82,7 @@ def extract(spark: SparkSession, cfg: dict) -> DataFrame:
     server = _scripts(spark, f"{paths['scripts']}/{SCRIPTS}")
     earlier = [_scripts(spark, f"{p}/{LOCAL}/resource") if p else server.limit(0) for p in (one, two)]
     resource = diff.resource_diff(server, *earlier, cfg["names"])
-    rows = documents.table_rows(documents.whole_files(spark, paths["tables"], "*.yaml"))
+    rows = documents.read_tables(spark, paths["tables"])
     snapshot = tables.read_pairs(spark, f"{paths['work']}/snapshot", "uid", "jp")
     table_items = master.master_items(rows, *[documents.package_rows(_master(spark, p)) for p in (one, two)], snapshot)
     flat, nested = documents.generic_items(_generic(spark, one)), documents.localization_items(_localization(spark, one))

@@ -1,4 +1,4 @@
-"""Nested JSON as paths such as a.b[0].c: flattening, parsing and setting; order of keys is kept."""
+"""Nested JSON at paths such as a.b[0].c: parsing paths and setting texts; order of keys is kept. ``operators.unfold`` reads the leaves."""
 
 from __future__ import annotations
 
@@ -13,20 +13,6 @@ from pyspark.sql import types as T
 _STEP = re.compile(r"\[(\d+)\]|([^.\[\]]+)")
 
 
-def flatten(tree, prefix: str = "") -> dict[str, str]:
-    """Paths and texts of all string leaves; a path met twice has its last text."""
-    stack, out = [(prefix, tree)], {}
-    while stack:
-        path, node = stack.pop()
-        if isinstance(node, str):
-            out[path] = node
-        elif isinstance(node, dict):
-            stack += [(f"{path}.{k}" if path else k, v) for k, v in reversed(node.items())]
-        elif isinstance(node, list):
-            stack += [(f"{path}[{i}]", v) for i, v in reversed(list(enumerate(node)))]
-    return out
-
-
 def parse_path(path: str) -> list[str | int]:
     return [int(i) if i else name for i, name in _STEP.findall(path)]
 
@@ -50,12 +36,6 @@ def _child(node, step, default=None):
     return node.get(step, default) if isinstance(node, dict) else default
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("text", T.StringType())])))
-def json_leaves(texts: pd.Series) -> pd.Series:
-    """array<struct<path,text>> of a JSON text's string leaves; null for null."""
-    return texts.map(lambda t: None if t is None else [{"path": k, "text": v} for k, v in flatten(json.loads(t)).items()])
-
-
 _UPDATED = T.StructType([T.StructField("value", T.StringType()), T.StructField("applied", T.LongType())])
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from driftline.backend import ChatBackend, EchoBackend, MessagesBackend
 from driftline.functions import script, text
-from driftline.functions.jsontree import json_leaves, json_with
+from driftline.functions.jsontree import json_with
 from driftline.functions.wrapper import prior, split_wrapped
-from driftline.operators import diff, master, rebuild, work
+from driftline.operators import contain, diff, master, rebuild, unfold, work
 from driftline.operators.ledger import ReplyLedger
 from driftline.plans import workspace
 from driftline.shared import scratch, written
@@ -22,8 +22,6 @@ from driftline.sinks import files, tables
 from driftline.sources import documents, manifest, scripts, web
 
 ACCENTS = r"[À-ÿ]"
-#: More names than this are joined.
-NAMES = 1000
 LABELS = {"1-": "first", "2-": "second", "3-": "third"}
 
 
@@ -276,14 +274,16 @@ def split_wrapped_back(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_name_match(spark: SparkSession, sf: str) -> DataFrame:
-    """The first nation, by key, whose name contains a two-letter piece of each region's name; beyond ``NAMES`` names by a join."""
-    nations, regions = table(spark, sf, "nation").orderBy("n_nationkey", "n_name"), table(spark, sf, "region").withColumn("piece", F.substring("r_name", 2, 2))
-    names = [r.n_name for r in nations.limit(NAMES + 1).collect()]
-    if len(names) <= NAMES:
-        return regions.select("r_regionkey", text.first_containing(F.col("piece"), dict(enumerate(names))).alias("n_name"))
-    hits = regions.select("piece").distinct().join(nations.filter("n_name <> ''"), F.contains("n_name", "piece"))
-    first = hits.groupBy("piece").agg(F.min(F.struct("n_nationkey", "n_name"))["n_name"].alias("n_name"))
-    return regions.join(first, "piece", "left").select("r_regionkey", "n_name")
+    """The first nation, by key, whose name contains a two-letter piece of each region's name."""
+    regions = table(spark, sf, "region").withColumn("piece", F.substring("r_name", 2, 2))
+    return contain.first_names(regions, table(spark, sf, "nation"), "piece", "n_name", ["n_nationkey"], "found").select("r_regionkey", F.col("found").alias("n_name"))
+
+
+def first_container(spark: SparkSession, sf: str) -> DataFrame:
+    """For pieces of parts' names of no to nine letters, the first part whose name contains them."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    pieces = parts.select("p_partkey", F.substring("p_name", F.lit(2), (F.col("p_partkey") % 10).cast("int")).alias("piece"))
+    return contain.first_names(pieces, parts.withColumnRenamed("p_partkey", "at"), "piece", "p_name", ["at"], "name")
 
 
 def context_from_stem(spark: SparkSession, sf: str) -> DataFrame:
@@ -298,7 +298,8 @@ def prefix_label(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     nested = F.to_json(F.struct("conv_id", F.struct("role", F.array("text", "role").alias("said")).alias("turn")))
-    return table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("k"), F.explode(json_leaves(nested)).alias("e")).select("conv_id", "k", "e.path", F.sha2("e.text", 256).alias("text_sha256"))
+    trees = table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("k"), nested.alias("tree"))
+    return unfold.leaves(trees, "tree").select("conv_id", "k", "path", F.sha2("text", 256).alias("text_sha256"))
 
 
 def json_path_set(spark: SparkSession, sf: str) -> DataFrame:
@@ -433,4 +434,4 @@ def package_files(spark: SparkSession, sf: str) -> DataFrame:
     return made.select(F.col("file").alias("table"), F.col("sha256").alias("content_sha256"), "applied")
 
 
-QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, batch_ledger, translate_totals, reply_texts, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES
+QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, first_container, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, batch_ledger, translate_totals, reply_texts, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES

@@ -64,6 +64,7 @@ ORACLES = {
     "wrap_multiline": rf"WITH {_DOC_PAIRS} SELECT doc_id, sha256(array_to_string(list_transform(parts, lambda x: '<r\=' || x || '>' || lang || length(x) || '</r>'), '\r\n')) AS wrapped_sha256 FROM d",
     "split_wrapped": rf"WITH {_DOC_PAIRS} SELECT doc_id, sha256(array_to_string(parts, '\n')) AS src_sha256, array_to_string(list_transform(parts, lambda x: lang || length(x)), '\n') AS dst FROM d",
     "first_name_match": "SELECT r_regionkey, (SELECT arg_min(n_name, n_nationkey) FROM nation WHERE contains(n_name, substr(r_name, 2, 2))) AS n_name FROM region",
+    "first_container": "WITH q AS (SELECT p_partkey, substr(p_name, 2, (p_partkey % 10)::INT) AS piece FROM part), d AS (SELECT DISTINCT piece FROM q WHERE piece IS NOT NULL), f AS (SELECT piece, arg_min(p_name, p_partkey) AS name FROM d JOIN part ON contains(p_name, piece) WHERE p_name <> '' GROUP BY piece) SELECT p_partkey, piece, name FROM q LEFT JOIN f USING (piece)",
     "context_from_stem": "WITH s AS (SELECT p_partkey, lower(p_brand) AS b, ['hski', 'ttmr', 'none'][p_partkey % 3 + 1] AS k, CAST(p_size AS VARCHAR) AS z FROM part) SELECT p_partkey, CASE WHEN k = 'none' THEN b || '_none-' || z ELSE b END AS story_type, CASE WHEN k = 'none' THEN '' ELSE k END AS \"character\", CASE WHEN k = 'none' THEN '' ELSE z END AS chapter FROM s",
     "prefix_label": "SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1-%' THEN 'first' WHEN o_orderpriority LIKE '2-%' THEN 'second' WHEN o_orderpriority LIKE '3-%' THEN 'third' ELSE o_orderpriority END AS label FROM orders",
     "json_flatten": "SELECT conv_id, turn AS k, 'turn.role' AS path, sha256(role) AS text_sha256 FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[0]', sha256(text) FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[1]', sha256(role) FROM conversations WHERE text IS NOT NULL",

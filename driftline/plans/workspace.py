@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from driftline import app
 from driftline.backend import EchoBackend
 from driftline.config import LLM_DEFAULTS, PATHS, load_config
-from driftline.functions.jsontree import json_leaves
+from driftline.operators.unfold import leaves
 from driftline.shared import scratch
 from driftline.sinks import files, tables
 from driftline.sources import documents, manifest, scripts, web
@@ -83,7 +83,7 @@ def lay(spark: SparkSession, sf: str) -> dict:
         some = part.filter(F.col("p_partkey") % every == 0)
         record = _json(kind=F.col("p_type"), id=F.col("key"), name=F.concat(F.lit(sign), "p_brand"), size=F.col("p_size"))
         _lay(some, F.concat("table", F.lit(".json")), record, "p_partkey", ", ", f"{folder}/{LOCAL}/masterTrans", '{"rules": {"primaryKeys": ["id"]}, "data": [', "]}")
-    rows = documents.table_rows(documents.whole_files(spark, paths["tables"], "*.yaml"))
+    rows = documents.read_tables(spark, paths["tables"])
     keys = rows.select(F.concat_ws(":", F.lit("master"), "table", F.col("rec_idx").cast("string"), F.from_json(F.concat(F.lit('{"v":'), F.col("rec")["id"], F.lit("}")), "v string")["v"], F.lit("name")).alias("uid"), F.regexp_extract(F.col("rec")["id"], "k([0-9]+)", 1).cast("long").alias("p_partkey"))
     seen = part.drop("table").join(keys, "p_partkey").filter("p_partkey % 4 = 0")
     tables.write_pairs(seen.select("uid", F.when(F.col("p_partkey") % 8 == 0, F.concat("jp", F.lit("old"))).otherwise(F.col("jp")).alias("jp")), f"{paths['work']}/snapshot")
@@ -149,7 +149,7 @@ def stage_build(spark: SparkSession, sf: str) -> DataFrame:
     fields = records.select(F.lit("table"), "table", "rec_idx", F.explode("rec"))
     order = records.select(F.lit("order"), "table", "rec_idx", F.lit(""), F.array_join(F.map_keys("rec"), ","))
     flat = documents.generic_items(app._generic(spark, top)).select(F.lit("flat"), "file", F.lit(0), "field", "existing_cn")
-    nested = documents.whole_files(spark, f"{top}/{LOCAL}", "localization.json").select(F.explode(json_leaves("value")).alias("e")).select(F.lit("nested"), F.lit("localization.json"), F.lit(0), "e.path", "e.text")
+    nested = leaves(documents.whole_files(spark, f"{top}/{LOCAL}", "localization.json"), "value").select(F.lit("nested"), F.lit("localization.json"), F.lit(0), F.col("path").alias("key"), "text")
     return lines.unionAll(fields).unionAll(order).unionAll(flat).unionAll(nested)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+@contextmanager
+def settings(spark: SparkSession, held: dict[str, str]):
+    """Settings of the session for what is planned and run within; they are put back."""
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.functions.jsontree import json_leaves
 from driftline.functions.text import KANA_CLASS, SOURCE_CLASS, contains_source, looks_like_source, stem
+from driftline.operators.unfold import leaves
 from driftline.schema import ITEM, MASTER_RECORD
+from driftline.shared import written
+from driftline.sources import splits
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -62,6 +65,49 @@ def table_rows(files: DataFrame) -> DataFrame:
     return files.mapInArrow(run, f"table string, rec_idx int, rec {MASTER_RECORD}")
 
 
+def read_tables(spark: SparkSession, folder: str, pattern: str = "*.yaml") -> DataFrame:
+    """The rows of ``table_rows`` for a folder's files, which are read by splits and parsed record by record.
+
+    A record begins with a dash at the start of a line. Files that can't be read so (another form than a list, anchors that
+    reach over records, several documents) are read whole, as ``table_rows`` reads them.
+    """
+    if not exists(spark, folder):
+        return table_rows(whole_files(spark, folder, pattern))
+    lines = splits.read_lines(spark, folder, pattern, mark=F.col("text").rlike(r"^-(?:\s|\z)"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n")
+    records = lines.groupBy("path", "marks").agg(joined.alias("value"))  # a row a record
+
+    def run(frames):
+        import yaml
+
+        loader = _loader()
+        for frame in frames:
+            out = []
+            for path, marks, value in frame[["path", "marks", "value"]].itertuples(index=False):
+                rec, whole = None, False
+                rows = value.split("\n")
+                if marks == 0:  # what is before the first record
+                    whole = any(r.strip() and not r.startswith("#") and (r.strip() != "---") for r in rows) or sum(r.strip() == "---" for r in rows) > 1
+                elif any(r.startswith(("---", "...", "%")) for r in rows):
+                    whole = True
+                else:
+                    try:
+                        got = yaml.load(value, loader)  # noqa: S506  a safe loader
+                        whole = not isinstance(got, list) or len(got) != 1
+                        rec = None if whole or not isinstance(got[0], dict) else {str(k): json.dumps(v, ensure_ascii=False, default=str) for k, v in got[0].items()}
+                    except yaml.YAMLError:
+                        whole = True
+                out.append((path, marks - 1, rec, whole))
+            yield pd.DataFrame(out, columns=["path", "rec_idx", "rec", "whole"])
+
+    parsed = written(records.mapInPandas(run, f"path string, rec_idx int, rec {MASTER_RECORD}, whole boolean"), "records")
+    others = parsed.filter("whole").select("path").distinct()
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.yaml\z", "")
+    kept = parsed.filter("rec IS NOT NULL").join(others, "path", "left_anti").select(name.alias("table"), "rec_idx", "rec")
+    rest = whole_files(spark, folder, pattern).join(others, "path", "left_semi")
+    return kept.unionByName(table_rows(rest))
+
+
 def package_rows(files: DataFrame) -> DataFrame:
     """JSON translations (path, value), {rules, data: [record]} -> (table, rec_idx, rec): each record's fields as JSON texts, in their order.
 
@@ -92,9 +138,9 @@ def generic_items(files: DataFrame, char_class: str = SOURCE_CLASS) -> DataFrame
 
 def localization_items(files: DataFrame, char_class: str = SOURCE_CLASS, kana: str = KANA_CLASS) -> DataFrame:
     """Nested JSON (file, value): a row for each string leaf with source text; new if it still looks like source, else existing."""
-    each = files.select("file", F.explode(json_leaves("value")).alias("e")).filter(contains_source(F.col("e.text"), char_class))
-    text = F.col("e.text")
-    return each.select(F.concat_ws(":", F.lit("localization"), "e.path").alias("uid"), F.lit("localization").alias("category"), "file", F.col("e.path").alias("field"), text.alias("jp"), text.alias("existing_cn"), F.when(looks_like_source(text, kana), F.lit("new")).otherwise(F.lit("existing")).alias("status"))
+    each = leaves(files.select("file", "value"), "value").filter(contains_source(F.col("text"), char_class))
+    text = F.col("text")
+    return each.select(F.concat_ws(":", F.lit("localization"), "path").alias("uid"), F.lit("localization").alias("category"), "file", F.col("path").alias("field"), text.alias("jp"), text.alias("existing_cn"), F.when(looks_like_source(text, kana), F.lit("new")).otherwise(F.lit("existing")).alias("status"))
 
 
 def read_map(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from driftline.functions import script
 from driftline.functions.text import lines, stem
+from driftline.sources import splits
 
 
 def read_lines(spark: SparkSession, folder: str, pattern: str = "adv_*.txt") -> DataFrame:
-    """(file, line, text), lines from 1. Line numbers need whole files, which are small."""
-    whole = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    return numbered(whole)
+    """(file, line, text), lines from 1; files of any size, read by splits."""
+    return splits.read_lines(spark, folder, pattern).select("file", "line", "text")
 
 
 def numbered(files: DataFrame) -> DataFrame:
+    """The same of texts (file, value) that are in a table."""
     return files.select("file", F.posexplode(lines(F.col("value"))).alias("pos", "text")).select("file", (F.col("pos") + 1).alias("line"), "text")
 
 
