@@ -15,7 +15,7 @@ from driftline.functions.text import content_key, no_text, stem
 from driftline.operators import diff, master, rebuild, work
 from driftline.operators.ledger import ReplyLedger
 from driftline.schema import CATEGORIES, CHECKPOINT, ITEM
-from driftline.sinks import files, tables
+from driftline.sinks import buckets, files, tables
 from driftline.sources import documents, manifest, scripts, web
 
 SCRIPTS, LOCAL = "res_raw", "local-files"
@@ -83,7 +83,7 @@ def extract(spark: SparkSession, cfg: dict) -> DataFrame:
     earlier = [_scripts(spark, f"{p}/{LOCAL}/resource") if p else server.limit(0) for p in (one, two)]
     resource = diff.resource_diff(server, *earlier, cfg["names"])
     rows = documents.read_tables(spark, paths["tables"])
-    snapshot = tables.read_pairs(spark, f"{paths['work']}/snapshot", "uid", "jp")
+    snapshot = buckets.snapshot(spark, f"{paths['work']}/snapshot")
     table_items = master.master_items(rows, *[documents.package_rows(_master(spark, p)) for p in (one, two)], snapshot)
     flat, nested = documents.generic_items(_generic(spark, one)), documents.localization_items(_localization(spark, one))
     if two:
@@ -184,8 +184,7 @@ def build(spark: SparkSession, cfg: dict, package: str = "package") -> dict:
     out["nested"], set_nested = files.write_counted(nested.select("file", indented(F.col("value"), 2).alias("content"), "applied"), f"{fresh}/{LOCAL}")
     out["applied"] = {"tables": set_tables, "flat": set_flat, "nested": set_nested}
 
-    snapshot_path = f"{paths['work']}/snapshot"
-    tables.write_pairs(diff.snapshot_upsert(tables.read_pairs(spark, snapshot_path, "uid", "jp"), of["master"]), snapshot_path)
+    buckets.update_snapshot(spark, f"{paths['work']}/snapshot", diff.snapshot_rows(of["master"]))
     files.put(f"{fresh}/version.txt", files.build_version().encode())
     files.swap(fresh, dest)
     return out

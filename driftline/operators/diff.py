@@ -46,9 +46,14 @@ def snapshot_status(items: DataFrame, snapshot: DataFrame) -> DataFrame:
     return joined.withColumn("status", status(F.col("existing_cn"), F.col("_old"), F.col("jp"), normalised=False)).drop("_old")
 
 
+def snapshot_rows(items: DataFrame) -> DataFrame:
+    """What a build puts into the snapshot: the sources of items with a result. ``sinks.buckets`` keeps them."""
+    return items.filter(~no_text(F.col("cn"))).select("uid", "jp")
+
+
 def snapshot_upsert(old: DataFrame, items: DataFrame) -> DataFrame:
-    """The snapshot after a build: the sources of items with a result replace older ones."""
-    new = items.filter(~no_text(F.col("cn"))).select("uid", "jp")
+    """The snapshot after a build, as one table: new sources replace older ones."""
+    new = snapshot_rows(items)
     return old.select("uid", "jp").join(new, "uid", "left_anti").unionByName(new)
 
 

@@ -19,6 +19,7 @@ from driftline.operators.ledger import ReplyLedger
 from driftline.plans import workspace
 from driftline.shared import scratch, written
 from driftline.sinks import files, tables
+from driftline.sinks.buckets import BucketTable
 from driftline.sources import documents, manifest, scripts, web
 
 ACCENTS = r"[À-ÿ]"
@@ -102,6 +103,17 @@ def snapshot_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return diff.snapshot_upsert(one.select("uid", F.col("src").alias("jp")), docs.join(two.select("uid", F.col("value").alias("cn")), "uid", "left"))
 
 
+def snapshot_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot of all documents after an update of every seventh, one of every hundredth with new ids, and one of nothing: what each wrote, and what is read after the last."""
+    docs, *_ = _packages(spark, sf)
+    kept = BucketTable(spark, scratch(spark, "snapshot"), buckets=16, most=2)
+    seventh = docs.filter("doc_id % 7 = 0").select("uid", F.concat(F.lit("a"), "jp").alias("jp"))
+    hundredth = docs.filter("doc_id % 100 = 0").select(F.explode(F.array("uid", F.concat(F.lit("n"), "uid"))).alias("uid"), F.concat(F.lit("b"), "jp").alias("jp"))
+    did = [kept.upsert(rows) for rows in (docs.select("uid", "jp"), seventh, hundredth, docs.limit(0).select("uid", "jp"))]
+    wrote = spark.createDataFrame([(f"version {d['version']}", str(d["rows"])) for d in did], "uid string, jp string")
+    return kept.read().unionAll(wrote)
+
+
 def dup_id_index_join(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as records whose ids (names) repeat; the primary has the even places, the fallback all of them under other places."""
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand")
@@ -434,4 +446,4 @@ def package_files(spark: SparkSession, sf: str) -> DataFrame:
     return made.select(F.col("file").alias("table"), F.col("sha256").alias("content_sha256"), "applied")
 
 
-QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, first_container, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, batch_ledger, translate_totals, reply_texts, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES
+QUERIES = {f.__name__: f for f in (status_counts, status_items, fallback_union, fallback_by_emptiness, fallback_by_presence, pending_items, pending_by_source, checkpoint_precedence, snapshot_changed, snapshot_upsert, snapshot_deltas, dup_id_index_join, script_lines, command_parse, choice_indexed, speaker_for_text, batch_plan, batch_prompt, response_parse, translate_merge, source_normalise, source_equal, hashtag_kana_filter, wrap_multiline, first_name_match, first_container, context_from_stem, prefix_label, json_flatten, json_path_set, generic_explode, record_pivot, script_rebuild, manifest_filter, export_new, export_changed, category_union, apply_generic, crypto_hash, failed_batches, batch_ledger, translate_totals, reply_texts, localization_leaves, choice_rebuild, prior_texts, known_names, record_updates, package_files)} | {"split_wrapped": split_wrapped_back} | workspace.QUERIES

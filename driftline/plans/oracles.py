@@ -46,6 +46,7 @@ ORACLES = {
     "checkpoint_precedence": f"WITH {_PACKAGES} SELECT coalesce(two.uid, one.uid) AS uid, coalesce(two.value, one.value) AS cn FROM two FULL JOIN (SELECT * FROM one WHERE value <> '') one ON two.uid = one.uid",
     "snapshot_changed": f"WITH {_PACKAGES} SELECT uid, CASE WHEN two.value IS NULL THEN 'new' WHEN one.src IS NOT NULL AND one.src <> jp THEN 'changed' ELSE 'existing' END AS status FROM docs LEFT JOIN one USING (uid) LEFT JOIN two USING (uid)",
     "snapshot_upsert": f"WITH {_PACKAGES} SELECT uid, jp FROM docs WHERE doc_id % 5 = 0 UNION ALL SELECT uid, src FROM one WHERE uid NOT IN (SELECT uid FROM two)",
+    "snapshot_deltas": f"WITH {_PACKAGES} SELECT uid, CASE WHEN doc_id % 100 = 0 THEN 'b' WHEN doc_id % 7 = 0 THEN 'a' ELSE '' END || jp AS jp FROM docs UNION ALL SELECT 'n' || uid, 'b' || jp FROM docs WHERE doc_id % 100 = 0 UNION ALL SELECT 'version 1', CAST(count(*) AS VARCHAR) FROM docs UNION ALL SELECT 'version 2', CAST(count(*) AS VARCHAR) FROM docs WHERE doc_id % 7 = 0 UNION ALL SELECT 'version 3', CAST(2 * count(*) AS VARCHAR) FROM docs WHERE doc_id % 100 = 0 UNION ALL SELECT 'version 4', '0'",
     "dup_id_index_join": "WITH last AS (SELECT p_name, arg_max(p_brand, p_partkey) FILTER (p_partkey % 2 = 0) AS a, arg_max(p_brand, p_partkey) AS b FROM part GROUP BY p_name) SELECT 'master:part:' || p_partkey || ':' || p_name || ':name' AS uid, CAST(p_partkey AS INT) AS rec_idx, p_type AS jp, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE coalesce(a, b) END AS existing_cn FROM part JOIN last USING (p_name)",
     "script_lines": r"WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS file, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS l FROM documents) SELECT file, CAST(i AS INT) AS line, l[i] AS text FROM (SELECT file, l, unnest(range(1, len(l) + 1)) AS i FROM d)",
     "command_parse": f"WITH {_TURNS} SELECT file, line, 'message' AS command, 'text' AS field, said AS jp FROM turns UNION ALL SELECT file, line, 'message', 'name', role FROM turns",

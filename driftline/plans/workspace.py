@@ -19,7 +19,7 @@ from driftline.backend import EchoBackend
 from driftline.config import LLM_DEFAULTS, PATHS, load_config
 from driftline.operators.unfold import leaves
 from driftline.shared import scratch
-from driftline.sinks import files, tables
+from driftline.sinks import buckets, files, tables
 from driftline.sources import documents, manifest, scripts, web
 
 NEST = "{{{{{{{{x}}}}}}}}"
@@ -86,7 +86,7 @@ def lay(spark: SparkSession, sf: str) -> dict:
     rows = documents.read_tables(spark, paths["tables"])
     keys = rows.select(F.concat_ws(":", F.lit("master"), "table", F.col("rec_idx").cast("string"), F.from_json(F.concat(F.lit('{"v":'), F.col("rec")["id"], F.lit("}")), "v string")["v"], F.lit("name")).alias("uid"), F.regexp_extract(F.col("rec")["id"], "k([0-9]+)", 1).cast("long").alias("p_partkey"))
     seen = part.drop("table").join(keys, "p_partkey").filter("p_partkey % 4 = 0")
-    tables.write_pairs(seen.select("uid", F.when(F.col("p_partkey") % 8 == 0, F.concat("jp", F.lit("old"))).otherwise(F.col("jp")).alias("jp")), f"{paths['work']}/snapshot")
+    buckets.update_snapshot(spark, f"{paths['work']}/snapshot", seen.select("uid", F.when(F.col("p_partkey") % 8 == 0, F.concat("jp", F.lit("old"))).otherwise(F.col("jp")).alias("jp")))
 
     customer = _table(spark, sf, "customer").withColumn("file", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit(".json")))
     for folder, keep, sign in ((one, "c_nationkey % 5 <> 0", "G"), (two, "c_nationkey % 2 = 0", "F")):
@@ -149,7 +149,7 @@ def stage_build(spark: SparkSession, sf: str) -> DataFrame:
     fields = records.select(F.lit("table"), "table", "rec_idx", F.explode("rec"))
     order = records.select(F.lit("order"), "table", "rec_idx", F.lit(""), F.array_join(F.map_keys("rec"), ","))
     flat = documents.generic_items(app._generic(spark, top)).select(F.lit("flat"), "file", F.lit(0), "field", "existing_cn")
-    nested = leaves(documents.whole_files(spark, f"{top}/{LOCAL}", "localization.json"), "value").select(F.lit("nested"), F.lit("localization.json"), F.lit(0), F.col("path").alias("key"), "text")
+    nested = leaves(documents.whole_files(spark, f"{top}/{LOCAL}", "localization.json").select("value"), "value").select(F.lit("nested"), F.lit("localization.json"), F.lit(0), F.col("path").alias("key"), "text")
     return lines.unionAll(fields).unionAll(order).unionAll(flat).unionAll(nested)
 
 
@@ -157,7 +157,7 @@ def stage_build_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Files and applied texts by kind, and the snapshot's size after the build."""
     cfg, _ = _translated(spark, sf)
     did = app.build(spark, cfg)
-    snapshot = tables.read_pairs(spark, f"{cfg['paths']['work']}/snapshot", "uid", "jp").count()
+    snapshot = buckets.snapshot(spark, f"{cfg['paths']['work']}/snapshot").count()
     rows = [(k, n) for k, n in did.items() if k != "applied"] + [(f"applied {k}", n) for k, n in did["applied"].items()] + [("snapshot", snapshot)]
     return spark.createDataFrame(rows, "what string, n long")
 

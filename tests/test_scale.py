@@ -16,6 +16,7 @@ from driftline.operators import work
 from driftline.operators.ledger import ReplyLedger
 from driftline.operators.numbering import forget, numbered
 from driftline.sinks import files
+from driftline.sinks.buckets import BucketTable, snapshot, update_snapshot
 from tests.test_app import cfg  # noqa: F401  a fixture
 from tests.test_operators import work_items
 
@@ -117,3 +118,47 @@ def test_a_run_that_died_is_gone_on_with(spark, cfg, tmp_path):  # noqa: F811
     assert not files.exists(f"{cfg['paths']['work']}/ledger") and not files.exists(f"{cfg['paths']['work']}/checkpoint")
     texts = {r.uid: r.cn for r in app.documents.read_items(spark, f"{cfg['paths']['work']}/translated").collect()}
     assert texts["master:New:0:7:name"] == "かな新" and texts["localization:a.b[0]"] == "かな" and json.dumps(texts)
+
+
+def test_bucket_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = lambda: BucketTable(spark, path, buckets=8, most=2)
+    rows = lambda pairs: spark.createDataFrame(pairs, "uid string, jp string")
+    assert table().read().count() == 0
+    held = {f"u{i}": f"s{i}" for i in range(400)}
+    assert table().upsert(rows(list(held.items()))) == {"version": 1, "rows": 400, "buckets": 8, "together": 0}
+    first = table()
+    listed = json.loads((tmp_path / "t/_state.json").read_text())["files"]
+    reader = first.read()  # planned on the first version's files
+    assert table().upsert(rows([("u5", "a"), ("u5", "new"), ("fresh", None)])) == {"version": 2, "rows": 2, "buckets": 2, "together": 0}
+    held |= {"u5": "new", "fresh": None}
+    now = json.loads((tmp_path / "t/_state.json").read_text())["files"]
+    assert sum(now[b] != listed[b] for b in now) == 2  # other buckets weren't written
+    assert {r.uid: r.jp for r in reader.collect()}["u5"] == "s5" and {r.uid: r.jp for r in table().read().collect()} == held
+    did = [table().upsert(rows([("u5", f"v{i}")])) for i in range(3)]
+    assert [d["together"] for d in did] == [1, 0, 1] and all(d["buckets"] == 1 and d["rows"] == 1 for d in did)
+    held["u5"] = "v2"
+    assert {r.uid: r.jp for r in table().read().collect()} == held and table().upsert(rows([]))["rows"] == 0
+    table().upsert(rows([]))
+    assert {r.uid: r.jp for r in table().read().collect()} == held
+    named = {p.split("/")[0] for own in json.loads((tmp_path / "t/_state.json").read_text())["files"].values() for _, p in own}
+    gone = [d for d in (tmp_path / "t").iterdir() if d.is_dir() and d.name not in named and any(d.rglob("*.parquet"))]
+    assert not gone  # files that no list names are deleted
+
+    class Late(BucketTable):  # another writer comes in between
+        def _write(self, rows, name):
+            table().upsert(spark.createDataFrame([("other", "o")], "uid string, jp string"))
+            return super()._write(rows, name)
+
+    with pytest.raises(RuntimeError, match="another writer"):
+        Late(spark, path).upsert(rows([("u1", "lost")]))
+    assert {r.uid: r.jp for r in table().read().collect()} == held | {"other": "o"}
+
+
+def test_older_snapshots_are_taken_over(spark, tmp_path):
+    path = str(tmp_path / "s")
+    spark.createDataFrame([("a", "1"), ("b", "2")], "uid string, jp string").write.parquet(path)
+    assert {tuple(r) for r in snapshot(spark, path).collect()} == {("a", "1"), ("b", "2")}
+    update_snapshot(spark, path, spark.createDataFrame([("b", "3"), ("c", "4")], "uid string, jp string"))
+    assert {tuple(r) for r in snapshot(spark, path).collect()} == {("a", "1"), ("b", "3"), ("c", "4")}
+    assert snapshot(spark, str(tmp_path / "none")).count() == 0
