@@ -68,7 +68,7 @@ ORACLES = {
     "first_container": "WITH q AS (SELECT p_partkey, substr(p_name, 2, (p_partkey % 10)::INT) AS piece FROM part), d AS (SELECT DISTINCT piece FROM q WHERE piece IS NOT NULL), f AS (SELECT piece, arg_min(p_name, p_partkey) AS name FROM d JOIN part ON contains(p_name, piece) WHERE p_name <> '' GROUP BY piece) SELECT p_partkey, piece, name FROM q LEFT JOIN f USING (piece)",
     "context_from_stem": "WITH s AS (SELECT p_partkey, lower(p_brand) AS b, ['hski', 'ttmr', 'none'][p_partkey % 3 + 1] AS k, CAST(p_size AS VARCHAR) AS z FROM part) SELECT p_partkey, CASE WHEN k = 'none' THEN b || '_none-' || z ELSE b END AS story_type, CASE WHEN k = 'none' THEN '' ELSE k END AS \"character\", CASE WHEN k = 'none' THEN '' ELSE z END AS chapter FROM s",
     "prefix_label": "SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1-%' THEN 'first' WHEN o_orderpriority LIKE '2-%' THEN 'second' WHEN o_orderpriority LIKE '3-%' THEN 'third' ELSE o_orderpriority END AS label FROM orders",
-    "json_flatten": "SELECT conv_id, turn AS k, 'turn.role' AS path, sha256(role) AS text_sha256 FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[0]', sha256(text) FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[1]', sha256(role) FROM conversations WHERE text IS NOT NULL",
+    "json_flatten": "SELECT conv_id, turn AS k, 'turn.role' AS path, sha256(role) AS text_sha256 FROM conversations WHERE role IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[0]', sha256(text) FROM conversations WHERE text IS NOT NULL UNION ALL SELECT conv_id, turn, 'turn.said[1]', sha256(role) FROM conversations WHERE role IS NOT NULL",
     "json_path_set": """SELECT event_id, '{"event_type":"' || event_type || '","n":{"l":["' || user_id || '"]}}' AS tree FROM events""",
     "generic_explode": "SELECT 'generic:' || event_id || ':' || k AS uid, CAST(event_id AS VARCHAR) AS file, k AS field, k AS jp, v AS existing_cn, 'existing' AS status FROM (SELECT event_id, unnest(['é', 'à b']) AS k, unnest([event_type, CAST(user_id AS VARCHAR)]) AS v FROM events)",
     "localization_leaves": "WITH c AS (SELECT conv_id || ':' || turn AS file, role FROM conversations) SELECT file, 'localization:turn.said[1]' AS uid, 'turn.said[1]' AS field, 'é#à ' || role AS jp, 'new' AS status FROM c UNION ALL SELECT file, 'localization:turn.said[2]', 'turn.said[2]', '#é ' || role, 'existing' FROM c",

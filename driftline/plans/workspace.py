@@ -21,6 +21,7 @@ from driftline.operators.unfold import leaves
 from driftline.shared import scratch
 from driftline.sinks import buckets, files, tables
 from driftline.sources import documents, manifest, scripts, web
+from driftline.streaming.arrivals import Arrivals
 
 NEST = "{{{{{{{{x}}}}}}}}"
 NAMES = {"k": "", "u": "the user"}
@@ -175,6 +176,20 @@ def stage_package(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "place int, name string, is_dir boolean, whole boolean, n_files int")
 
 
+def script_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Scripts that arrive in three parts, each followed by a start of the stream, the last by two: the items, and what the snapshot has."""
+    root = scratch(spark, "arrivals")
+    turns, folder = _turns(spark, sf), f"{root}/scripts"
+    stream = Arrivals(spark, folder, f"{root}/state")
+    said = F.concat(F.lit("[message name="), F.col("role"), F.lit(" text="), F.col("jp"), F.lit("]"))
+    for part in range(3):
+        _lay(turns.filter(F.pmod("conv_id", F.lit(3)) == part), F.col("file"), said, "line", "\n", folder)
+        stream.run()
+    stream.run()
+    kept = stream.snapshot().select(F.lit("snapshot").alias("kind"), "uid", "jp")
+    return stream.items().select(F.lit("item").alias("kind"), "uid", "jp").unionAll(kept)
+
+
 def stage_export(spark: SparkSession, sf: str) -> DataFrame:
     """new.json and changed.json read back, in their order."""
     cfg = lay(spark, sf)
@@ -308,7 +323,7 @@ def config_values(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "key string, value string")
 
 
-QUERIES = {f.__name__: f for f in (stage_extract, stage_translate, stage_translate_again, stage_build, stage_build_counts, stage_package, stage_export, stage_fetch, fetched_bytes, command_line, manifest_sources, config_values)}
+QUERIES = {f.__name__: f for f in (stage_extract, stage_translate, stage_translate_again, stage_build, stage_build_counts, stage_package, script_arrivals, stage_export, stage_fetch, fetched_bytes, command_line, manifest_sources, config_values)}
 
 _JP = "か"
 _FILES = f"""t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS line, coalesce(role, '') AS role, sha256(coalesce(text, '')) AS jp, CASE WHEN conv_id % 2 = 0 THEN 'adv_dear_hski_' ELSE 'adv_event_' END || conv_id AS stem FROM conversations),
@@ -347,6 +362,7 @@ UNION ALL SELECT 'snapshot', count(*) FROM m) SELECT what, n FROM r""",
     "stage_package": f"""WITH {_FILES}, e AS (SELECT unnest(['local-files/', 'local-files/genericTrans/', 'local-files/masterTrans/', 'local-files/resource/']) AS name, 0 AS late
 UNION ALL SELECT DISTINCT file, 1 FROM g WHERE c_nationkey % 5 <> 0 UNION ALL SELECT DISTINCT 'local-files/masterTrans/' || tab || '.json', 1 FROM m UNION ALL SELECT unnest(['local-files/localization.json', 'version.txt']), 1 UNION ALL SELECT DISTINCT 'local-files/resource/' || stem || '.txt', 1 FROM t)
 SELECT CAST(row_number() OVER (ORDER BY late, string_split(name, '/')) - 1 AS INT) AS place, name, late = 0 AS is_dir, true AS whole, CAST(sum(late) OVER () AS INT) AS n_files FROM e""",
+    "script_arrivals": f"WITH {_FILES}, a AS (SELECT stem || ':' || line || ':text' AS uid, jp FROM t UNION ALL SELECT stem || ':' || line || ':name', role FROM t) SELECT unnest(['item', 'snapshot']) AS kind, uid, jp FROM a",
     "stage_export": f"WITH {_FILES} SELECT uid, status, count(*) OVER (PARTITION BY status) AS n FROM i WHERE status <> 'existing'",
     "stage_fetch": """WITH n AS (SELECT n_nationkey AS k, 'adv_' || n_name || '.txt' AS name FROM nation)
 SELECT 'held' AS kind, name, CAST(length('[title text=x]') + length(CAST(k AS VARCHAR)) AS VARCHAR) AS value FROM n UNION ALL SELECT 'log 1', name, 'ok' FROM n WHERE k % 7 <> 3 UNION ALL SELECT 'log 2', name, 'ok' FROM n

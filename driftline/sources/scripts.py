@@ -39,6 +39,10 @@ def items(rows: DataFrame) -> DataFrame:
 
 def script_items(spark: SparkSession, folder: str, pattern: str = "adv_*.txt") -> DataFrame:
     """Items with uid and context, in the order of file, line, seq."""
-    found = items(read_lines(spark, folder, pattern))
+    return with_uids(items(read_lines(spark, folder, pattern)))
+
+
+def with_uids(found: DataFrame) -> DataFrame:
+    """Items (file, line, field, ...) with uid and file_context."""
     name = stem(F.col("file"))
     return found.withColumn("uid", F.concat_ws(":", name, F.col("line").cast("string"), "field")).withColumn("file_context", F.when(F.col("field") == "text", script.context_of(name)))

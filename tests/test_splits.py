@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from driftline.shared import settings
 from driftline.sources import documents, scripts, splits
+from driftline.streaming.arrivals import Arrivals
 
 SMALL = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
 
@@ -71,3 +72,29 @@ def test_tables_by_record(spark, tmp_path):
         with settings(spark, settings_of):
             assert sorted((r.table, r.rec_idx, r.rec) for r in documents.read_tables(spark, str(tmp_path)).collect()) == want
     assert len(want) > 60 and documents.read_tables(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_arrivals_are_applied_once(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    stream = Arrivals(spark, str(source), target, files_at_a_time=2)
+    assert stream.items().count() == 0 and stream.snapshot().count() == 0
+    want = set()
+    for run in range(3):
+        for i in range(3):
+            (source / f"adv_x_{run}{i}.txt").write_text(f"[message text=t{run}{i} name=n]\n[title text=e{i}]")
+            want |= {(f"adv_x_{run}{i}:1:text", f"t{run}{i}"), (f"adv_x_{run}{i}:1:name", "n"), (f"adv_x_{run}{i}:2:text", f"e{i}")}
+        (source / "other.txt").write_text("[title text=no]")
+        stream.run()
+        stream.run()  # nothing new
+        got = stream.items().select("uid", "jp").collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+        assert {tuple(r) for r in stream.snapshot().select("uid", "jp").collect()} == want
+    last = spark.createDataFrame([("adv_x_20.txt", "[message text=t20 name=n]\n[title text=e0]")], "file string, value string")
+    n = max(int(p.name.split("=")[1]) for p in (tmp_path / "out/items").glob("batch=*"))
+    held = {tuple(r) for r in spark.read.parquet(f"{target}/items/batch={n}").select("file", "line", "field", "jp").collect()}
+    files = {f for f, *_ in held}
+    again = spark.createDataFrame([(f, (source / f).read_text()) for f in files], last.schema)
+    stream.apply(again, n)  # a batch that was written but not committed is made again
+    got = stream.items().select("uid", "jp").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
