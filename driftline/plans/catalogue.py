@@ -134,28 +134,33 @@ def script_lines(spark: SparkSession, sf: str) -> DataFrame:
     return scripts.numbered(_documents(spark, sf))
 
 
-def _turns(spark: SparkSession, sf: str) -> DataFrame:
-    """All conversation turns, a null text as an empty one. The SQL can't follow texts with script signs and leaves them, and empty ones, out."""
+#: Signs of scripts and of the wrapper, and letters that stand for them.
+SIGNS, PLAIN = ("=[]{}", "＝［］｛｝"), ("<>\\\r", "‹›＼ ")
+
+
+def _turns(spark: SparkSession, sf: str, escape: bool) -> DataFrame:
+    """All conversation turns, nulls as empty texts. escape: signs of scripts are other letters, so that SQL can follow; tests/test_catalogue.py holds them as they are against brute force."""
     turns = table(spark, sf, "conversations")
     said = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n|\r|\n", r"\\n"), r"[^\x20-\x{10FFFF}]", " "))
-    return turns.select(F.col("conv_id").cast("string").alias("file"), (F.col("turn") + 1).cast("int").alias("line"), "role", said.alias("said"))
+    plain = lambda c: F.translate(c, *SIGNS) if escape else c
+    return turns.select(F.col("conv_id").cast("string").alias("file"), (F.col("turn") + 1).cast("int").alias("line"), plain(F.coalesce("role", F.lit(""))).alias("role"), plain(said).alias("said"))
 
 
-def _turn_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return _turns(spark, sf).select("file", "line", F.concat(F.lit("[message text="), "said", F.lit(" name="), "role", F.lit("]")).alias("text"))
+def _turn_lines(spark: SparkSession, sf: str, escape: bool) -> DataFrame:
+    return _turns(spark, sf, escape).select("file", "line", F.concat(F.lit("[message text="), "said", F.lit(" name="), "role", F.lit("]")).alias("text"))
 
 
-def command_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return scripts.items(_turn_lines(spark, sf)).select("file", "line", "command", "field", "jp")
+def command_parse(spark: SparkSession, sf: str, escape: bool = True) -> DataFrame:
+    return scripts.items(_turn_lines(spark, sf, escape)).select("file", "line", "command", "field", "jp")
 
 
-def choice_indexed(spark: SparkSession, sf: str) -> DataFrame:
-    lines_ = _turns(spark, sf).select("file", "line", F.concat(F.lit("[choicegroup choices=[choice text="), "said", F.lit("] choices=[choice text="), "role", F.lit("]]")).alias("text"))
+def choice_indexed(spark: SparkSession, sf: str, escape: bool = True) -> DataFrame:
+    lines_ = _turns(spark, sf, escape).select("file", "line", F.concat(F.lit("[choicegroup choices=[choice text="), "said", F.lit("] choices=[choice text="), "role", F.lit("]]")).alias("text"))
     return scripts.items(lines_).select("file", "line", "command", "field", "jp")
 
 
-def speaker_for_text(spark: SparkSession, sf: str) -> DataFrame:
-    return diff.with_speaker(scripts.items(_turn_lines(spark, sf))).filter("field = 'text'").select("file", "line", "jp", "speaker")
+def speaker_for_text(spark: SparkSession, sf: str, escape: bool = True) -> DataFrame:
+    return diff.with_speaker(scripts.items(_turn_lines(spark, sf, escape))).filter("field = 'text'").select("file", "line", "jp", "speaker")
 
 
 def _work(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,18 +275,19 @@ def hashtag_kana_filter(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", text.contains_source(F.col("text"), ACCENTS).alias("has"), text.looks_like_source(F.col("text"), ACCENTS).alias("looks"))
 
 
-def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents, a null text as an empty one. The SQL leaves out texts with signs of the wrapper, and empty ones."""
-    docs = table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+def _pairs(spark: SparkSession, sf: str, escape: bool) -> DataFrame:
+    """All documents, nulls as empty texts. escape: as in ``_turns``, of the wrapper's signs."""
+    plain = lambda c: F.translate(c, *PLAIN) if escape else c
+    docs = table(spark, sf, "documents").withColumn("text", plain(F.coalesce("text", F.lit("")))).withColumn("lang", plain(F.coalesce("lang", F.lit(""))))
     return docs.select("doc_id", F.replace("text", F.lit("\n"), F.lit("\\n")).alias("s"), F.replace(F.upper("lang"), F.lit("\n"), F.lit("\\n")).alias("lang"), F.size(F.split("text", "\n", -1)).alias("n")).withColumn("t", F.array_join(F.transform(F.split("s", r"\\n", -1), lambda x: F.concat(F.col("lang"), F.length(x).cast("string"))), "\\n"))
 
 
-def wrap_multiline(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(spark, sf).select("doc_id", F.sha2(text.wrap(F.col("s"), F.col("t")), 256).alias("wrapped_sha256"))
+def wrap_multiline(spark: SparkSession, sf: str, escape: bool = True) -> DataFrame:
+    return _pairs(spark, sf, escape).select("doc_id", F.sha2(text.wrap(F.col("s"), F.col("t")), 256).alias("wrapped_sha256"))
 
 
-def split_wrapped_back(spark: SparkSession, sf: str) -> DataFrame:
-    both = _pairs(spark, sf).select("doc_id", split_wrapped(text.wrap(F.col("s"), F.col("t"))).alias("x"))
+def split_wrapped_back(spark: SparkSession, sf: str, escape: bool = True) -> DataFrame:
+    both = _pairs(spark, sf, escape).select("doc_id", split_wrapped(text.wrap(F.col("s"), F.col("t"))).alias("x"))
     return both.select("doc_id", F.sha2("x.src", 256).alias("src_sha256"), F.col("x.dst").alias("dst"))
 
 
@@ -339,8 +345,8 @@ def record_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return master.new_table(parts).select("record_id", F.to_json("fields").alias("fields"))
 
 
-def script_rebuild(spark: SparkSession, sf: str) -> DataFrame:
-    lines_ = _turn_lines(spark, sf)
+def script_rebuild(spark: SparkSession, sf: str, escape: bool = True) -> DataFrame:
+    lines_ = _turn_lines(spark, sf, escape)
     items = scripts.items(lines_).filter("field = 'text' AND line % 2 = 0").select("file", "line", "field", F.concat(F.lit("T"), F.col("line").cast("string")).alias("cn"), F.lit("").alias("existing_cn"), F.col("seq").alias("ord"))
     made = files.write_streamed(rebuild.rebuilt_lines(lines_, items).withColumnRenamed("text", "piece"), scratch(spark, "scripts"), ["line"])
     return made.select("file", F.col("sha256").alias("content_sha256"))

@@ -12,11 +12,11 @@ two AS (SELECT uid, jp AS src, 'f' || uid AS value FROM docs WHERE doc_id % 5 =
 _STATUS = f"""{_PACKAGES},
 items AS (SELECT uid, coalesce(nullif(one.value, ''), two.value, '') AS existing_cn, CASE WHEN coalesce(one.value, '') = '' THEN two.src ELSE one.src END AS old, jp FROM docs LEFT JOIN one USING (uid) LEFT JOIN two USING (uid)),
 status AS (SELECT uid, existing_cn, CASE WHEN existing_cn <> '' AND coalesce(old <> jp, false) THEN 'changed' WHEN existing_cn <> '' THEN 'existing' ELSE 'new' END AS status FROM items)"""
-_TURNS = r"""turns AS (SELECT CAST(conv_id AS VARCHAR) AS file, CAST(turn + 1 AS INT) AS line, role, trim(regexp_replace(regexp_replace(text, '\r\n|\r|\n', '\\n', 'g'), '[^\x20-\x{10FFFF}]', ' ', 'g')) AS said FROM conversations WHERE NOT contains(text, '=') AND NOT contains(text, '[') AND NOT contains(text, ']') AND trim(text) <> '')"""
+_TURNS = r"""turns AS (SELECT CAST(conv_id AS VARCHAR) AS file, CAST(turn + 1 AS INT) AS line, translate(coalesce(role, ''), '=[]{}', '＝［］｛｝') AS role, translate(trim(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n|\r|\n', '\\n', 'g'), '[^\x20-\x{10FFFF}]', ' ', 'g'), ' '), '=[]{}', '＝［］｛｝') AS said FROM conversations)"""
 _WORK = """w AS (SELECT conv_id || ':' || turn AS uid, conv_id, turn, role, sha256(coalesce(text, '')) AS jp, CASE WHEN conv_id % 5 = 0 THEN 'master:' || conv_id WHEN conv_id % 2 = 0 AND coalesce(role, '') <> '' THEN 'resource:' || conv_id ELSE 'resource:flat' END AS gk FROM conversations),
 b AS (SELECT *, row_number() OVER (PARTITION BY gk ORDER BY CASE WHEN gk LIKE 'resource:%' THEN turn ELSE 0 END, conv_id * 1000 + turn) - 1 AS pos FROM w),
 p AS (SELECT *, pos // 3 AS batch FROM b)"""
-_DOC_PAIRS = r"""d AS (SELECT doc_id, string_split(text, chr(10)) AS parts, upper(lang) AS lang FROM documents WHERE NOT contains(text, '<') AND NOT contains(text, '>') AND NOT contains(text, '\') AND NOT contains(text, chr(13)) AND trim(text) <> '' AND NOT contains(text, '---'))"""
+_DOC_PAIRS = r"""d AS (SELECT doc_id, string_split(translate(coalesce(text, ''), '<>\' || chr(13), '‹›＼ '), chr(10)) AS parts, upper(translate(coalesce(lang, ''), '<>\' || chr(13), '‹›＼ ')) AS lang FROM documents)"""
 
 
 def _sql(value: str) -> str:
@@ -49,9 +49,9 @@ ORACLES = {
     "snapshot_deltas": f"WITH {_PACKAGES} SELECT uid, CASE WHEN doc_id % 100 = 0 THEN 'b' WHEN doc_id % 7 = 0 THEN 'a' ELSE '' END || jp AS jp FROM docs UNION ALL SELECT 'n' || uid, 'b' || jp FROM docs WHERE doc_id % 100 = 0 UNION ALL SELECT 'version 1', CAST(count(*) AS VARCHAR) FROM docs UNION ALL SELECT 'version 2', CAST(count(*) AS VARCHAR) FROM docs WHERE doc_id % 7 = 0 UNION ALL SELECT 'version 3', CAST(2 * count(*) AS VARCHAR) FROM docs WHERE doc_id % 100 = 0 UNION ALL SELECT 'version 4', '0'",
     "dup_id_index_join": "WITH last AS (SELECT p_name, arg_max(p_brand, p_partkey) FILTER (p_partkey % 2 = 0) AS a, arg_max(p_brand, p_partkey) AS b FROM part GROUP BY p_name) SELECT 'master:part:' || p_partkey || ':' || p_name || ':name' AS uid, CAST(p_partkey AS INT) AS rec_idx, p_type AS jp, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE coalesce(a, b) END AS existing_cn FROM part JOIN last USING (p_name)",
     "script_lines": r"WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS file, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS l FROM documents) SELECT file, CAST(i AS INT) AS line, l[i] AS text FROM (SELECT file, l, unnest(range(1, len(l) + 1)) AS i FROM d)",
-    "command_parse": f"WITH {_TURNS} SELECT file, line, 'message' AS command, 'text' AS field, said AS jp FROM turns UNION ALL SELECT file, line, 'message', 'name', role FROM turns",
+    "command_parse": f"WITH {_TURNS} SELECT file, line, 'message' AS command, 'text' AS field, said AS jp FROM turns UNION ALL SELECT file, line, 'message', 'name', role FROM turns WHERE role <> ''",
     "choice_indexed": f"WITH {_TURNS} SELECT file, line, 'choice' AS command, 'text[0]' AS field, said AS jp FROM turns UNION ALL SELECT file, line, 'choice', 'text[1]', role FROM turns",
-    "speaker_for_text": f"WITH {_TURNS} SELECT a.file, a.line, a.said AS jp, b.role AS speaker FROM turns a JOIN turns b ON a.file = b.file AND a.line = b.line",
+    "speaker_for_text": f"WITH {_TURNS} SELECT a.file, a.line, a.said AS jp, nullif(b.role, '') AS speaker FROM turns a JOIN turns b ON a.file = b.file AND a.line = b.line",
     "batch_plan": f"WITH {_WORK} SELECT uid, gk, pos, batch FROM p",
     "batch_prompt": _prompt(),
     "response_parse": f"WITH {_WORK} SELECT uid, 't' || uid AS cn FROM p",
@@ -82,7 +82,7 @@ r AS (SELECT tab, held, put, p_partkey, CASE WHEN held THEN '  {' || chr(10) ||
 SELECT tab AS "table", sha256('{' || chr(10) || ' "rules": {' || chr(10) || '  "primaryKeys": [' || chr(10) || '   "id"' || chr(10) || '  ]' || chr(10) || ' },' || chr(10) || CASE WHEN held THEN ' "more": 1,' || chr(10) ELSE '' END || ' "data": [' || chr(10) || string_agg(rec, ',' || chr(10) ORDER BY p_partkey) || chr(10) || ' ]' || chr(10) || '}') AS content_sha256, count(*) FILTER (put) AS applied FROM r GROUP BY tab, held""",
     "failed_batches": f"WITH {_WORK}, f AS (SELECT *, bool_or(conv_id % 7 = 0) OVER (PARTITION BY gk, batch) AS broken, bool_or(conv_id % 7 = 1) OVER (PARTITION BY gk, batch) AS short FROM p) SELECT uid, CASE WHEN broken OR short THEN NULL ELSE upper(jp) END AS cn, CASE WHEN broken THEN 'RuntimeError' WHEN short THEN 'some missing' END AS error FROM f",
     "record_pivot": """WITH f AS (SELECT p_name AS record_id, p_brand AS field, arg_max(p_type, p_partkey) AS t FROM part GROUP BY 1, 2) SELECT record_id, '{' || string_agg('"' || field || '":"' || t || '"', ',' ORDER BY field) || '}' AS fields FROM f GROUP BY 1""",
-    "script_rebuild": rf"WITH {_TURNS}, l AS (SELECT file, line, '[message text=' || CASE WHEN line % 2 = 0 AND len(string_split(said, '\n')) > 0 THEN '<r\=' || said || '>T' || line || '</r>' ELSE said END || ' name=' || role || ']' AS x FROM turns) SELECT file, sha256(string_agg(x, chr(10) ORDER BY line)) AS content_sha256 FROM l GROUP BY file",
+    "script_rebuild": rf"WITH {_TURNS}, l AS (SELECT file, line, '[message text=' || CASE WHEN line % 2 = 0 AND said <> '' THEN '<r\=' || said || '>T' || line || '</r>' ELSE said END || ' name=' || role || ']' AS x FROM turns) SELECT file, sha256(string_agg(x, chr(10) ORDER BY line)) AS content_sha256 FROM l GROUP BY file",
     "manifest_filter": "SELECT page_id, 'https://store.example.com/' || page_id || '?x' AS object_url FROM pages WHERE url LIKE 'https%' AND url NOT LIKE '%#top' AND page_id % 4 <> 0",
     "category_union": "SELECT 'resource:' || n_nationkey AS uid, 'resource' AS category, n_name AS jp, 1 AS line FROM nation UNION ALL SELECT 'master:' || p_partkey, 'master', p_name, -1 FROM part UNION ALL SELECT 'generic:' || c_custkey, 'generic', c_name, -1 FROM customer UNION ALL SELECT 'localization:' || s_suppkey, 'localization', s_name, -1 FROM supplier",
     "apply_generic": """SELECT CAST(event_id AS VARCHAR) AS file, '{"a":"' || CASE WHEN event_id % 2 = 0 THEN 'T' ELSE event_type END || '","b":"y"}' AS value, CAST(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS applied FROM events""",
