@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from driftline.functions.text import content_key, no_text, stem
 from driftline.operators import diff, master, rebuild, work
 from driftline.operators.ledger import ReplyLedger
 from driftline.schema import CATEGORIES, CHECKPOINT, ITEM
+from driftline.shared import made, release
 from driftline.sinks import buckets, files, tables
 from driftline.sources import documents, manifest, scripts, web
 
@@ -23,6 +25,20 @@ SCRIPTS, LOCAL = "res_raw", "local-files"
 WAVE = 1000
 
 
+def _tidied(stage: Callable) -> Callable:
+    """A stage whose intermediate tables are deleted when it ends; what it returns and leaves lies in the configured folders."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, *args, **options):
+        first = made(spark)
+        try:
+            return stage(spark, *args, **options)
+        finally:
+            release(spark, first)
+
+    return run
+
+
 def fetch(spark: SparkSession, cfg: dict, fetcher: web.Get = web.get) -> dict:
     """Manifest, scripts and packages brought up to date; what was done."""
     paths, packages = cfg["paths"], cfg["packages"]
@@ -75,6 +91,7 @@ def _master(spark: SparkSession, package: str | None) -> DataFrame:
     return documents.whole_files(spark, f"{package}/{LOCAL}/masterTrans", "*.json")
 
 
+@_tidied
 def extract(spark: SparkSession, cfg: dict) -> DataFrame:
     """All items with their status, written to the work folder in the order of category, file, place."""
     paths, use_fallback = cfg["paths"], cfg["packages"]["use_fallback"]
@@ -100,6 +117,7 @@ def progress(done: int, whole: int, ok: int, failed: int, seconds: float) -> str
     return f"[{done}/{whole}] {100 * done / max(whole, 1):.1f}% ok {ok} failed {failed} | {seconds:.0f} s, {rate:.2f} batches a s, {(whole - done) / rate if rate else 0:.0f} s to go"
 
 
+@_tidied
 def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | None = None, waits: tuple[int, ...] = work.WAITS, report: Callable[[str], object] = print) -> dict:
     """Pending items answered in waves, each kept in the checkpoint; all items merged. The checkpoint goes once no batch has failed.
 
@@ -156,6 +174,7 @@ def translate(spark: SparkSession, cfg: dict, backend: Callable[[], object] | No
     return {"n_eligible": n_eligible, "n_skipped": n_eligible - n_todo, "n_pending": n_todo, "n_answered": n_ok, "n_batches": whole, "n_failed_batches": failed}
 
 
+@_tidied
 def build(spark: SparkSession, cfg: dict, package: str = "package") -> dict:
     """The output tree: the primary package overlaid by rebuilt files, finished beside the old one and swapped in; the snapshot follows."""
     paths = cfg["paths"]

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.shared import written
+from driftline.shared import discard, written
 from driftline.sinks import files
 
 #: Buckets of a new table, and files that a bucket has before it is put together.
@@ -66,6 +66,7 @@ class BucketTable:
         new = written(rows.select(self.key, self.value).groupBy(self.key).agg(F.max(self.value).alias(self.value)), "upsert")
         name = f"v{version}-{uuid.uuid4().hex}"
         touched = self._write(new, name) if (n := new.count()) else []
+        discard(new)
         listed = {b: [tuple(x) for x in own] for b, own in before["files"].items()}
         for b in touched:
             listed.setdefault(b, []).append((version, f"{name}/bucket={b}"))

@@ -83,3 +83,13 @@ def test_stages(spark, cfg, tmp_path):
     again = {r.uid: (r.status, r.existing_cn) for r in app.extract(spark, cfg).collect()}
     assert again["master:Card:0:c1:name"] == ("changed", "P1") and again["master:New:0:7:name"] == ("existing", "かな新")
     assert {u: again[u] for u in again if u.startswith(stem)} == {f"{stem}:1:text": ("existing", "すABC"), f"{stem}:1:name": ("existing", "麻央"), f"{stem}:3:text": ("existing", "T3"), f"{stem}:4:text[0]": ("existing", "えX"), f"{stem}:4:text[1]": ("existing", "おY")}
+
+
+def test_stages_leave_no_intermediate_tables(spark, cfg):
+    from driftline.shared import made
+
+    before = made(spark)
+    app.extract(spark, cfg)
+    app.translate(spark, cfg, EchoBackend, waits=(), report=lambda said: None)
+    app.build(spark, cfg)
+    assert made(spark) == before and documents.read_items(spark, f"{cfg['paths']['work']}/translated").count() == 12
