@@ -277,7 +277,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     """docs (doc_id, th, text) -> (doc_id, th, at): runs of windows that also start elsewhere; at = start * 256 + windows."""
     seen = occurrences(docs)
     kind = materialise(kinds(seen), "anchors")
-    hits = seen.join(kind, "anchor").select(F.when(~F.col("even"), F.col("anchor")).alias("anchor"), F.when(~F.col("even"), F.col("snip")).alias("snip"), "doc_id", "th", "at")
+    near, repeated = narrowed(seen, "anchor", kind, "anchor", kind.count())  # most anchors are single: their runs aren't shuffled
+    hits = near.join(repeated, "anchor").select(F.when(~F.col("even"), F.col("anchor")).alias("anchor"), F.when(~F.col("even"), F.col("snip")).alias("snip"), "doc_id", "th", "at")
     hits = materialise(hits, "hits")
     mixed = hits.filter("anchor IS NOT NULL")
     reps = mixed.groupBy("anchor", "snip").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "at")).alias("rep"))
