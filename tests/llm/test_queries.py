@@ -285,6 +285,6 @@ def test_warc_against_what_was_written(spark):
 def test_queries_over_empty_tables(spark, tmp_path):
     from driftline.llm import queries
 
-    for name in ("documents", "benchmark", "labels", "pages"):
+    for name in ("documents", "benchmark", "labels", "pages", "conversations", "sale_lines", "vendors", "items"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert {name: query(spark, str(tmp_path)).count() for name, query in queries.QUERIES.items()} == dict.fromkeys(queries.QUERIES, 0)
