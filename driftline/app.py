@@ -16,7 +16,7 @@ from driftline.functions.text import content_key, no_text, stem
 from driftline.operators import diff, master, rebuild, work
 from driftline.operators.ledger import ReplyLedger
 from driftline.schema import CATEGORIES, CHECKPOINT, ITEM
-from driftline.shared import made, release
+from driftline.shared import passing_folders
 from driftline.sinks import buckets, files, tables
 from driftline.sources import documents, manifest, scripts, web
 
@@ -30,11 +30,8 @@ def _tidied(stage: Callable) -> Callable:
 
     @wraps(stage)
     def run(spark: SparkSession, *args, **options):
-        first = made(spark)
-        try:
+        with passing_folders(spark):
             return stage(spark, *args, **options)
-        finally:
-            release(spark, first)
 
     return run
 

@@ -23,6 +23,8 @@ from driftline.sinks.buckets import BucketTable
 from driftline.sources import documents, manifest, scripts, web
 
 ACCENTS = r"[À-ÿ]"
+#: Calls to a batch function under way at a time.
+CALLS = 64
 LABELS = {"1-": "first", "2-": "second", "3-": "third"}
 
 
@@ -188,7 +190,7 @@ class Replies(EchoBackend):
 
 
 def response_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return work.translate(work.batches(_work(spark, sf), 3), Replies, waits=()).select("uid", "cn")
+    return work.translate(work.batches(_work(spark, sf), 3), Replies, CALLS, waits=()).select("uid", "cn")
 
 
 class Failing(EchoBackend):
@@ -204,7 +206,7 @@ class Failing(EchoBackend):
 
 def failed_batches(spark: SparkSession, sf: str) -> DataFrame:
     """A batch that fails has no texts and says why."""
-    got = work.translate(work.batches(_work(spark, sf), 3), Failing, waits=())
+    got = work.translate(work.batches(_work(spark, sf), 3), Failing, CALLS, waits=())
     return got.select("uid", "cn", F.regexp_replace("error", r"^\d+ of \d+", "some").alias("error"))
 
 
@@ -222,15 +224,15 @@ def batch_ledger(spark: SparkSession, sf: str) -> DataFrame:
     ledger = ReplyLedger(scratch(spark, "ledger"))
     planned = written(work.batches(_work(spark, sf), 3), "planned")
     with contextlib.suppress(Exception):
-        work.translate(planned, Dying, waits=(), ledger=ledger).write.format("noop").mode("overwrite").save()
-    answers = written(work.translate(planned, EchoBackend, waits=(), ledger=ledger), "answers")
+        work.translate(planned, Dying, CALLS, waits=(), ledger=ledger).write.format("noop").mode("overwrite").save()
+    answers = written(work.translate(planned, EchoBackend, CALLS, waits=(), ledger=ledger), "answers")
     paid = ledger.rows(spark).groupBy("uid").agg(F.count(F.lit(1)).alias("n_paid"))
     return answers.join(paid, "uid").select("uid", "cn", "n_paid")
 
 
 def translate_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Batches, failed ones and texts, counted while the answers are written."""
-    answers, seen = work.totals(work.translate(work.batches(_work(spark, sf), 3), Failing, waits=()))
+    answers, seen = work.totals(work.translate(work.batches(_work(spark, sf), 3), Failing, CALLS, waits=()))
     answers.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([tuple(seen.get[c] for c in ("batches", "failed", "texts"))], "n_batches long, n_failed long, n_texts long")
 
@@ -258,7 +260,7 @@ def reply_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 def translate_merge(spark: SparkSession, sf: str) -> DataFrame:
     items = _work(spark, sf).withColumn("status", F.when(F.col("line") == 0, F.lit("existing")).otherwise(F.lit("new"))).withColumn("existing_cn", F.when(F.col("line") == 0, F.lit("old")).otherwise(F.lit("")))
-    got = work.translate(work.batches(items.filter(work.eligible()), 20), EchoBackend, waits=())
+    got = work.translate(work.batches(items.filter(work.eligible()), 20), EchoBackend, CALLS, waits=())
     return work.merge_results(items, got).select("uid", "cn")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 _WRITTEN: dict[int, list[str]] = {}
+_HERE = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,6 +31,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder; ``release`` deletes it."""
     path = f"{shared_dir(spark)}/driftline-{name}-{uuid.uuid4().hex}"
     _WRITTEN.setdefault(id(spark), []).append(path)
+    for own in getattr(_HERE, "scopes", ()):
+        own.append(path)
     return path
 
 
@@ -55,6 +59,22 @@ def settings(spark: SparkSession, held: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@contextmanager
+def passing_folders(spark: SparkSession):
+    """Folders that this thread's calls make within are deleted at the end; other threads' stay."""
+    own: list[str] = []
+    _HERE.scopes = [*getattr(_HERE, "scopes", ()), own]
+    try:
+        yield
+    finally:
+        _HERE.scopes = _HERE.scopes[:-1]
+        held = _WRITTEN.get(id(spark), [])
+        for path in own:
+            if path in held:
+                held.remove(path)
+                delete(spark, path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
