@@ -137,3 +137,18 @@ def test_names_beyond_the_bound(spark, tmp_path):
     spark.createDataFrame([(i, {1100: "xSIx", 1101: "ySIy", 1102: ""}.get(i, "-")) for i in range(1200)], "n_nationkey long, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
     spark.createDataFrame([(1, "ASIA"), (2, "AFRICA"), (3, None)], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
     assert {tuple(r) for r in catalogue.first_name_match(spark, str(tmp_path)).collect()} == {(1, "xSIx"), (2, None), (3, None)}
+
+
+def test_moved_places_meet_no_others(spark, tmp_path):
+    """Parts whose keys are a million apart and share a name: the fallback has them under other places only."""
+    import duckdb
+
+    from driftline.plans import oracles
+
+    rows = [(k, "a name", f"B{k}", f"T{k}") for k in (1, 3, 999_999, 1_000_001, 1_000_003)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    got = catalogue.dup_id_index_join(spark, str(tmp_path)).select("uid", "rec_idx", "jp", "existing_cn").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(f"SELECT uid, rec_idx, jp, existing_cn FROM ({oracles.ORACLES['dup_id_index_join']})").fetchall())
+    assert {r.existing_cn for r in got} == {"B1000003"}
