@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.shared import settings
 from driftline.sinks import buckets, files
 from driftline.sources import scripts
+from driftline.sources.splits import OPEN_COST
 
 _ITEMS = "uid string, file string, line int, command string, field string, jp string, seq int"
 
@@ -35,7 +37,9 @@ class Arrivals:
         if self.most:
             stream = stream.option("maxFilesPerTrigger", self.most)
         named = stream.load(self.source).select(F.col("_metadata.file_name").alias("file"), "value")
-        named.writeStream.foreachBatch(self.apply).option("checkpointLocation", f"{self.target}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        with settings(self.spark, OPEN_COST):  # a query keeps the settings that it starts with
+            started = named.writeStream.foreachBatch(self.apply).option("checkpointLocation", f"{self.target}/checkpoint").trigger(availableNow=True).start()
+        started.awaitTermination()
 
     def items(self) -> DataFrame:
         """uid, file, line, command, field, jp, seq of all batches."""
