@@ -6,6 +6,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from driftline import app
+from driftline.functions import script
 from driftline.plans import workspace
 from driftline.sinks import files, tables
 from driftline.sources import documents, scripts
@@ -56,3 +57,10 @@ def test_small_files_are_opened_once_by_few_tasks(spark, tmp_path):
     lines = scripts.read_lines(spark, str(tmp_path))
     assert lines.rdd.getNumPartitions() <= 16 and "FileScan text" not in lines._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, lines.collect())) == sorted((f"adv_{i}.txt", n, t) for i in range(300) for n, t in ((1, f"a{i}"), (2, "b")))
+
+
+def test_a_line_is_searched_once(spark):
+    """What a rebuilt line needs of the line is found once, not once a use; the rows stay those of the tests of functions."""
+    made = spark.createDataFrame([("[message clip={{{{{{x}}}}}} name=u text=ab ]", {"text": "T", "name": "N"})], "l string, t map<string,string>").select(script.build_line(F.col("l"), F.col("t")).alias("o"))
+    plan = made._jdf.queryExecution().analyzed().toString()
+    assert made.first().o == "[message clip={{{{{{x}}}}}} name=N text=<r\\=ab >T</r>]" and plan.count("_scanned(") <= 2
