@@ -1,10 +1,14 @@
 """What the driver doesn't hold: a row a file, whatever the number of files."""
 
+import io
+import os
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
 from driftline.shared import settings
-from driftline.sinks import files
+from driftline.sinks import files, tables
 from driftline.sources import documents, scripts, splits
 
 
@@ -43,3 +47,50 @@ def test_one_file_is_read_without_its_neighbours(spark, tmp_path):
         assert "localization.json]" in found._jdf.queryExecution().executedPlan().toString()
     assert [r.value for r in found.select(F.col("value")).collect()] == ["{}"] and found.first().path.endswith("/localization.json")
     assert documents.whole_files(spark, str(tmp_path), "none.json").count() == 0 and documents.whole_files(spark, str(tmp_path / "none"), "*.json").count() == 0
+
+
+def test_an_archive_is_packed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver opens none of the files."""
+    top, held = f"{tmp_path}/top", {f"b{i % 3}/f {i}é.txt": os.urandom(i) for i in range(60)} | {"b0.txt": b"", "b0-/x": b"a" * 9000}
+    for name, content in held.items():
+        files.put(f"{top}/{name}", content)
+    monkeypatch.setattr(files, "PACKED", 7)
+    files.create_package(top, f"{tmp_path}/one.zip")
+    monkeypatch.setattr(files, "get", lambda *_: pytest.fail("read by the driver"))
+    assert files.create_package(top, f"{tmp_path}/two.zip", spark=spark) == 62
+    want = [f"{d}/" for d in sorted(("b0", "b1", "b2", "b0-"))] + sorted(held, key=lambda n: n.split("/"))
+    for made in ("one", "two"):
+        with zipfile.ZipFile(tmp_path / f"{made}.zip") as z:
+            assert z.namelist() == want and z.testzip() is None and all(z.read(n) == c for n, c in held.items())
+            assert {i.date_time for i in z.infolist() if not i.is_dir()} == {(1980, 1, 1, 0, 0, 0)}
+
+
+def test_many_entries_and_far_places(tmp_path):
+    """More entries than the archive's end can say, and a body whose place takes more than 4 bytes."""
+    packs = list(files._packs(str(tmp_path), 1, (f"d{i}/" for i in range(70_000))))
+    with io.BytesIO() as out:
+        assert files._put_together(packs, out) == 70_000
+        assert len(zipfile.ZipFile(out).infolist()) == 70_000
+    records = list(files._moved(packs[0][1], 1 << 33))
+    assert len(records) == 1000 and all(r[42:46] == b"\xff" * 4 for r in records)
+    assert [int.from_bytes(r[-8:], "little") - (1 << 33) for r in records[:2]] == [0, 35]
+    again = list(files._moved(b"".join(records), 5))
+    assert int.from_bytes(again[0][-8:], "little") == (1 << 33) + 5
+
+
+def test_a_tree_is_copied_by_tasks(spark, tmp_path, monkeypatch):
+    for name in ("a/x.txt", "a/b/y é.txt", "z"):
+        files.put(f"{tmp_path}/from/{name}", name.encode())
+    (tmp_path / "from/empty").mkdir()
+    files.put(f"{tmp_path}/to/a/x.txt", b"old")
+    monkeypatch.setattr(files.fs, "copy_files", lambda *_, **__: pytest.fail("copied by the driver"))
+    files.copy_tree(f"{tmp_path}/from", f"{tmp_path}/to", spark)
+    assert files.tree(f"{tmp_path}/to") == (["a", "a/b", "empty"], ["a/b/y é.txt", "a/x.txt", "z"]) and files.get(f"{tmp_path}/to/a/x.txt") == b"a/x.txt"
+    files.copy_tree(f"{tmp_path}/none", f"{tmp_path}/to", spark)
+
+
+def test_rows_are_handed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(tables, "HANDED", 3)
+    made = tables.handed(spark, ((i, f"n{i}", i % 2 == 0) for i in range(10)), "place int, name string, even boolean", "handed")
+    assert [tuple(r) for r in made.orderBy("place").collect()] == [(i, f"n{i}", i % 2 == 0) for i in range(10)]
+    assert tables.handed(spark, iter(()), "place int", "handed").count() == 0
