@@ -7,9 +7,11 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.shared import settings
+from driftline import app
+from driftline.shared import measured_broadcasts, settings, written
 from driftline.sinks import files, tables
 from driftline.sources import documents, scripts, splits
+from tests.test_app import cfg  # noqa: F401  a fixture
 
 
 def test_folders_of_scripts_are_listed_by_tasks(spark, tmp_path, monkeypatch):
@@ -94,3 +96,28 @@ def test_rows_are_handed_on_in_parts(spark, monkeypatch):
     made = tables.handed(spark, ((i, f"n{i}", i % 2 == 0) for i in range(10)), "place int, name string, even boolean", "handed")
     assert [tuple(r) for r in made.orderBy("place").collect()] == [(i, f"n{i}", i % 2 == 0) for i in range(10)]
     assert tables.handed(spark, iter(()), "place int", "handed").count() == 0
+
+
+def test_packed_tables_are_not_broadcast(spark):
+    """A file of a few 100 KB whose rows take 60 MB: by the file's size Spark sends it through the driver."""
+    packed = written(spark.range(200_000).select("id", F.repeat(F.lit("x"), 300).alias("cn")), "packed")
+    wide = spark.range(400_000).select("id", F.lit("y").alias("v"))
+
+    def plan():
+        made = wide.join(packed, "id", "left").agg(F.max("v"), F.max("cn"))
+        made.collect()
+        return made._jdf.queryExecution().executedPlan().toString()
+
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "10m"}):
+        assert "BroadcastHashJoin" in plan()
+        with measured_broadcasts(spark):
+            assert "BroadcastHashJoin" not in plan()
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10m"
+
+
+def test_stages_broadcast_by_measured_sizes(spark, cfg, monkeypatch):  # noqa: F811
+    seen, before, write = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), tables.write_items
+    monkeypatch.setattr(tables, "write_items", lambda *a: seen.append(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")) or write(*a))
+    app.extract(spark, cfg)
+    app.translate(spark, cfg, waits=(), report=lambda said: None)
+    assert seen == ["-1", "-1"] and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
